@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphvec.llm import quality
+from graphvec.llm import decontam, quality, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +17,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("llr", 9).alias("llr"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = secrets.secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda k: F.size(F.filter("base_spans", lambda x: x["kind"] == k)).cast("bigint")
+    return r.select(
+        "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+        F.sha2(secrets.spans_text("base_spans"), 256).alias("base_sha256"), secrets.spans_text("secret_spans").alias("spans"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return r.withColumn("coverage", F.round("coverage", 9))
+
+
 QUERIES = {
+    "op3_secret_scan": op3_secret_scan,
+    "op8_decontaminate": op8_decontaminate,
     "op4_quality_rules": op4_quality_rules,
 }
 
