@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphvec.llm import decontam, quality, secrets
+from graphvec.llm import bpe, decontam, quality, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +31,19 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("coverage", F.round("coverage", 9))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES = {
+    "op6_simhash": op6_simhash,
+    "op7_bpe": op7_bpe,
     "op3_secret_scan": op3_secret_scan,
     "op8_decontaminate": op8_decontaminate,
     "op4_quality_rules": op4_quality_rules,
