@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphvec.llm import bpe, decontam, quality, secrets, simhash
+from graphvec.llm import bpe, decontam, licenses, quality, secrets, simhash, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +41,24 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = token_counts.encoded_lengths(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_counts.context_table(token_counts.histogram(lengths))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_bundles(table(spark, sf_dir, "pages"))
+    return warc.read_bundles(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op5_license_scan": op5_license_scan,
+    "op9_warc": op9_warc,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op3_secret_scan": op3_secret_scan,
