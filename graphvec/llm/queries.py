@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphvec.llm import bpe, decontam, licenses, quality, secrets, simhash, token_counts, warc
+from graphvec.llm import bpe, decontam, licenses, lm_score, quality, secrets, simhash, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +55,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_bundles(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op10_lm_score": op10_lm_score,
     "op1_token_counts": op1_token_counts,
     "op5_license_scan": op5_license_scan,
     "op9_warc": op9_warc,
