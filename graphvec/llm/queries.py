@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphvec.llm import bpe, decontam, licenses, lm_score, quality, secrets, simhash, token_counts, warc
+from graphvec.llm import bpe, decontam, licenses, lm_score, quality, secrets, simhash, suffix_dedup, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +59,13 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op10_lm_score": op10_lm_score,
     "op1_token_counts": op1_token_counts,
     "op5_license_scan": op5_license_scan,
