@@ -98,6 +98,14 @@ def log_ratio_table(docs: DataFrame, labels: DataFrame, text_col: str = "text",
     return full.select("bucket", (ratio if target else F.lit(0.0)).alias("log_ratio"))
 
 
+def keep(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that quality_rules keeps.  The partition number in the condition
+    holds the filter above the projections: pushed below them, it would repeat their
+    expressions once for each reference."""
+    judged = quality_rules(docs, labels, **options).withColumn("_at", F.spark_partition_id())
+    return judged.where(F.col("kept") & (F.col("_at") >= 0)).select(*docs.columns)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, text_col: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with the base columns, llr (mean log ratio per n-gram) and kept."""
     table = log_ratio_table(docs, labels, text_col, buckets)
