@@ -1,9 +1,12 @@
 """Quality rules: text statistics, then a hashed n-gram log-likelihood ratio.
 
 Two multinomials over hashed word uni- and bigrams are counted, one over the trusted target
-(documents whose label says quality 1) and one over the whole raw corpus.  A document's score
-is the mean over its n-grams of log(p_target / p_raw), so length does not matter; one fixed
-threshold decides for every document.  Only DataFrame functions run here.
+(four of five documents whose label says quality 1) and one over the whole raw corpus.  A
+document's score is the mean over its n-grams of log(p_target / p_raw), smoothed towards 0
+where a bucket is rare, so length does not matter.  The fifth of the trusted documents that
+was not counted tells how trusted text scores, and sets one threshold for every document: four
+standard deviations below their mean, but at most one below their smallest score.  Only
+DataFrame functions run here.
 
 Edge cases: a null text has no words; a document without words scores 0 and is not kept,
 since it also fails the base rules; without labels the target equals the raw corpus and all
@@ -20,7 +23,8 @@ from graphvec.storage import broadcast_if_small, materialize
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 BUCKETS = 1 << 14
-THRESHOLD = -0.045
+PRIOR = 10.0  # n-grams of raw text that each target bucket starts with
+THRESHOLD = -0.045  # without trusted documents to learn it from
 MAX_BROADCAST_LABELS = 2_000_000
 
 
@@ -77,16 +81,19 @@ def ngram_buckets(words: str, buckets: int) -> Column:
     return F.concat(uni, bi)
 
 
-def target_ids(labels: DataFrame, max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
+def target_ids(labels: DataFrame, held_out: bool, max_broadcast: int = MAX_BROADCAST_LABELS) -> DataFrame:
+    """Trusted doc_ids: a fifth by hash is held out from the counts."""
     ids = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return broadcast_if_small(ids, max_broadcast)
+    fifth = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    return broadcast_if_small(ids.where(fifth if held_out else ~fifth), max_broadcast)
 
 
 def log_ratio_table(docs: DataFrame, labels: DataFrame, text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, log_ratio) for every bucket: log of smoothed target over smoothed raw share.
+    """(bucket, log_ratio) for every bucket: log of the target's count over what the raw share
+    would give it, both with PRIOR added.
     All documents and all labels are counted; a bucket's counts are summed before the shuffle."""
     marked = docs.select("doc_id", text_col).join(
-        target_ids(labels).withColumn("_target", F.lit(1)), "doc_id", "left"
+        target_ids(labels, False).withColumn("_target", F.lit(1)), "doc_id", "left"
     )
     grams = marked.select(F.col("_target"), words_of(F.col(text_col)).alias("_w")).select("_target", F.explode(ngram_buckets("_w", buckets)).alias("bucket"))
     counted = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_target").alias("target"))
@@ -94,7 +101,7 @@ def log_ratio_table(docs: DataFrame, labels: DataFrame, text_col: str = "text",
     full = materialize(every.join(counted, "bucket", "left").na.fill(0, ["raw", "target"]), "ngrams")  # one row a bucket
     total = full.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     raw, target = total["raw"] or 0, total["target"] or 0
-    ratio = F.log((F.col("target") + 1.0) / F.lit(float(target + buckets))) - F.log((F.col("raw") + 1.0) / F.lit(float(raw + buckets)))
+    ratio = F.log((F.col("target") + PRIOR) / (F.col("raw") * F.lit(target / max(raw, 1)) + PRIOR))
     return full.select("bucket", (ratio if target else F.lit(0.0)).alias("log_ratio"))
 
 
@@ -106,15 +113,27 @@ def keep(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     return judged.where(F.col("kept") & (F.col("_at") >= 0)).select(*docs.columns)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, text_col: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+def learned_threshold(trusted: DataFrame) -> float:
+    """From judged trusted documents: max(mean - 4 sd, least - sd) of those that pass the base
+    rules, or THRESHOLD if there are fewer than two."""
+    llr = F.when(~F.col("base_failed"), F.col("llr"))
+    mean, sd, least, n = trusted.agg(F.avg(llr), F.stddev(llr), F.min(llr), F.count(llr)).first()
+    return max(mean - 4 * sd, least - sd) if n > 1 else THRESHOLD
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, text_col: str = "text", buckets: int = BUCKETS, threshold: float | None = None) -> DataFrame:
     """`docs` with the base columns, llr (mean log ratio per n-gram) and kept."""
     table = log_ratio_table(docs, labels, text_col, buckets)
     # as many rows as there are buckets, whatever the corpus holds
     ratios = table.agg(F.sort_array(F.collect_list(F.struct("bucket", "log_ratio")))["log_ratio"].alias("r")).first()["r"]
     held = F.lit(ratios) if ratios else F.array()
-    d = base_features(docs, text_col)
-    d = d.withColumn("_grams", ngram_buckets("_words", buckets))
-    total = F.aggregate("_grams", F.lit(0.0), lambda acc, b: acc + F.get(held, b))
-    llr = F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0))
-    d = d.withColumn("llr", llr).drop("_grams", "_words")
-    return d.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+
+    def judged(some: DataFrame) -> DataFrame:
+        d = base_features(some, text_col).withColumn("_grams", ngram_buckets("_words", buckets))
+        total = F.aggregate("_grams", F.lit(0.0), lambda acc, b: acc + F.get(held, b))
+        return d.withColumn("llr", F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0))).drop("_grams", "_words")
+
+    if threshold is None:
+        trusted = docs.select("doc_id", text_col).join(target_ids(labels, True), "doc_id", "left_semi")
+        threshold = learned_threshold(judged(trusted))
+    return judged(docs).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
