@@ -2,5 +2,414 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from graphvec.functions import text as text_functions
+from graphvec.functions.vectors import PROFILES, cosine
+from graphvec.operators import crawl, hybrid, lineage, metrics, mutate, retrieve, vector, walk, web_text
+from graphvec.plans import fixtures
+from graphvec.plans.fixtures import table
+
 QUERIES: dict = {}
 SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- vectors -------------------------------------------------------------------------------
+
+def _points(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.to_json(F.struct("label")).alias("payload"))
+
+
+def _queries(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+
+
+@query("""WITH q AS (SELECT embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id = 0),
+s AS (SELECT vec_id AS id, list_cosine_similarity(embedding::DOUBLE[], q.v) AS c FROM embeddings, q)
+SELECT id, round(1 - c, 6) AS score FROM s ORDER BY c DESC, id LIMIT 15""")
+def vector_search_top15(spark, d):
+    p = _points(spark, d)
+    q = p.where("id = 0").first()["vector"]
+    return vector.search(p, q).withColumn("score", F.round("score", 6))
+
+
+_BATCH = """WITH s AS (SELECT q.vec_id AS qid, e.vec_id AS id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS c
+FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0),
+r AS (SELECT qid, id, c, row_number() OVER (PARTITION BY qid ORDER BY round(c, 12) DESC, id) AS rank FROM s)
+SELECT qid, id, round(c, 6) AS cosine, rank FROM r WHERE rank <= {k}"""
+
+
+def _ranked(df: DataFrame) -> DataFrame:
+    return df.select("qid", "id", F.round("cosine", 6).alias("cosine"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@query(_BATCH.format(k=3))
+def vector_batch_top3(spark, d):
+    return _ranked(vector.batch_search(_points(spark, d), _queries(spark, d), 3))
+
+
+@query(_BATCH.format(k=15) + " AND c > 0.3")
+def vector_batch_threshold(spark, d):
+    return _ranked(vector.batch_search(_points(spark, d), _queries(spark, d), None, 0.3))
+
+
+@query("""WITH q AS (SELECT embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id = 0),
+s AS (SELECT vec_id AS id, list_cosine_similarity(embedding::DOUBLE[], q.v) AS c FROM embeddings, q)
+SELECT id, round(1 - c, 6) AS distance, round((1 + c) / 2, 6) AS redis_norm, round(1 - 1 / (2 - c), 6) AS opensearch, round(1 / (2 - c), 6) AS azure FROM s""")
+def vector_score_profiles(spark, d):
+    p = _points(spark, d)
+    q = F.lit([float(x) for x in p.where("id = 0").first()["vector"]])
+    s = p.select("id", cosine(F.col("vector"), q).alias("c"))
+    return s.select("id", *[F.round(f(F.col("c")), 6).alias(n) for n, f in PROFILES.items()])
+
+
+@query("""SELECT o_orderkey AS n, o_custkey AS id, '{"label":"' || c_mktsegment || '"}' AS payload, 0.0::DOUBLE AS score FROM orders JOIN customer ON c_custkey = o_custkey""")
+def vector_retrieve(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.to_json(F.struct(F.col("c_mktsegment").alias("label"))).alias("payload"))
+    return vector.retrieve(c, table(spark, d, "orders").select(F.col("o_orderkey").alias("n"), F.col("o_custkey").alias("id")))
+
+
+@query("""WITH n AS (SELECT o_custkey AS id, arg_max(o_orderpriority, o_orderkey) AS payload FROM orders GROUP BY 1)
+SELECT coalesce(n.id, c_custkey) AS id, coalesce(n.payload, c_mktsegment) AS payload FROM customer FULL JOIN n ON n.id = c_custkey""")
+def vector_upsert_latest(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("payload"))
+    return vector.upsert(c, table(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("payload"), F.col("o_orderkey").alias("seq")))
+
+
+@query("SELECT c_custkey AS id, c_mktsegment AS payload FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def vector_delete(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("payload"))
+    return vector.delete(c, table(spark, d, "orders").select(F.col("o_custkey").alias("id")))
+
+
+@query(r"""WITH a AS (SELECT page_id, trim(regexp_replace(regexp_replace(lower(url), '[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), '-') AS x FROM pages),
+b AS (SELECT page_id, CASE WHEN regexp_matches(x, '^[0-9]') THEN 'idx-' || x ELSE x END AS x FROM a),
+c AS (SELECT page_id, CASE WHEN length(x) > 128 THEN rtrim(substr(x, 1, 128), '-') ELSE x END AS x FROM b)
+SELECT page_id, CASE WHEN x = '' THEN 'default-index' ELSE x END AS name FROM c""")
+def collection_name_sanitize(spark, d):
+    return table(spark, d, "pages").select("page_id", text_functions.collection_name(F.col("url")).alias("name"))
+
+
+@query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
+def payload_json_get(spark, d):
+    return table(spark, d, "events").select("event_id", F.variant_get(text_functions.payload(F.col("props")), "$.k", "bigint").alias("k"))
+
+
+@query("""WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[a-z]{2,}') AS t FROM documents),
+n AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM d),
+tf AS (SELECT id, len, token, count(*) AS tf FROM (SELECT id, len(t) AS len, unnest(t) AS token FROM d) GROUP BY ALL),
+df AS (SELECT token, count(*) AS df FROM tf GROUP BY 1),
+q AS (SELECT DISTINCT item_id AS qid, unnest(regexp_extract_all(lower(text), '[a-z]{2,}')) AS token FROM benchmark),
+b AS (SELECT qid, id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))) AS s FROM tf JOIN df USING (token) JOIN q USING (token), n GROUP BY 1, 2),
+l AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id) AS rank FROM b QUALIFY rank <= 15),
+dv AS (SELECT doc_id AS id, """ + fixtures.LETTER_SQL + """ AS v FROM documents), qv AS (SELECT item_id AS qid, """ + fixtures.LETTER_SQL + """ AS v FROM benchmark),
+c AS (SELECT qid, id, list_cosine_similarity(dv.v, qv.v) AS c FROM dv, qv WHERE list_sum(dv.v) > 0),
+r AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY round(c, 12) DESC, id) AS rank FROM c QUALIFY rank <= 15),
+f AS (SELECT qid, id, sum(1.0::DOUBLE / (60 + rank)) AS s FROM (SELECT * FROM l UNION ALL SELECT * FROM r) GROUP BY 1, 2),
+g AS (SELECT qid, id, s, row_number() OVER (PARTITION BY qid ORDER BY round(s, 12) DESC, id) AS rank FROM f)
+SELECT qid, id, round(s, 9) AS score, rank FROM g WHERE rank <= 15""")
+def hybrid_rrf(spark, d):
+    docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
+    left = hybrid.bm25(docs.select(F.col("doc_id").alias("id"), "text"), items.select(F.col("item_id").alias("qid"), "text"), 15)
+    right = vector.batch_search(docs.select(F.col("doc_id").alias("id"), fixtures.letter_vector("text").alias("vector")),
+                                items.select(F.col("item_id").alias("qid"), fixtures.letter_vector("text").alias("vector")), 15)
+    return hybrid.fuse(left, right, 15).select("qid", "id", F.round("score", 9).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@query()
+def ann_lsh_recall(spark, d):
+    exact = vector.batch_search(_points(spark, d), _queries(spark, d), 5)
+    near = vector.approximate_search(_points(spark, d), _queries(spark, d), 5)
+    hit = exact.join(near.select("qid", "id", F.lit(1).alias("hit")), ["qid", "id"], "left")
+    return hit.groupBy("qid").agg((F.count("hit") / F.count("*")).alias("recall"))
+
+
+# --- graph upserts and deletes -------------------------------------------------------------
+
+@query("""WITH a AS (SELECT user_id, event_id, 'last_type' AS attr, event_type AS value FROM events
+UNION ALL SELECT user_id, event_id, 'last_' || event_type, floor(value * 1000)::BIGINT::VARCHAR FROM events
+UNION ALL SELECT user_id, event_id, 'k', json_extract_string(props, '$.k') FROM events)
+SELECT 'user:' || user_id AS id, attr, arg_max(value, event_id) AS value FROM a GROUP BY user_id, attr""")
+def graph_upsert_nodes(spark, d):
+    e = table(spark, d, "events")
+    k = F.variant_get(text_functions.payload(F.col("props")), "$.k", "string")
+    rows = e.select(F.concat(F.lit("user:"), F.col("user_id").cast("string")).alias("id"), F.col("event_id").alias("seq"), F.inline(F.array(
+        F.struct(F.lit("last_type").alias("attr"), F.col("event_type").alias("value")),
+        F.struct(F.concat(F.lit("last_"), "event_type").alias("attr"), F.floor(F.col("value") * 1000).cast("string").alias("value")),
+        F.struct(F.lit("k").alias("attr"), k.alias("value")))))
+    return mutate.latest_attributes(rows, ["id"])
+
+
+@query("""SELECT 'order:' || l_orderkey AS src, 'part:' || l_partkey AS dst, 'line_' || l_linenumber AS key,
+arg_max(l_quantity, (l_shipdate, l_suppkey, l_quantity, l_extendedprice)) AS quantity FROM lineitem GROUP BY ALL""")
+def graph_upsert_edges_multikey(spark, d):
+    li = table(spark, d, "lineitem")
+    ident = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    rows = li.select(ident("order:", "l_orderkey").alias("src"), ident("part:", "l_partkey").alias("dst"), ident("line_", "l_linenumber").alias("key"),
+                     F.lit("quantity").alias("attr"), F.col("l_quantity").alias("value"), F.struct("l_shipdate", "l_suppkey", "l_quantity", "l_extendedprice").alias("seq"))
+    return mutate.latest_attributes(rows, ["src", "dst", "key"]).select("src", "dst", "key", F.col("value").alias("quantity"))
+
+
+def _commerce(sql: str) -> str:
+    return f"WITH {fixtures.COMMERCE} {sql}"
+
+
+def _ids(spark, d, name: str, prefix: str, key: str, where: str | None = None) -> DataFrame:
+    t = table(spark, d, name)
+    return (t.where(where) if where else t).select(F.concat(F.lit(prefix + ":"), F.col(key).cast("string")).alias("id"))
+
+
+@query(_commerce(""", gone AS (SELECT 'cust:' || c_custkey AS id FROM customer WHERE c_mktsegment = 'BUILDING')
+SELECT src, dst, key FROM edges WHERE NOT EXISTS (SELECT 1 FROM gone WHERE id = src) AND NOT EXISTS (SELECT 1 FROM gone WHERE id = dst)"""))
+def graph_delete_nodes(spark, d):
+    n, e = fixtures.commerce_graph(spark, d)
+    return mutate.delete_nodes(n, e, _ids(spark, d, "customer", "cust", "c_custkey", "c_mktsegment = 'BUILDING'"))[1].select("src", "dst", "key")
+
+
+@query(_commerce("SELECT src, dst, key FROM edges WHERE NOT (key = 'located_in' AND dst LIKE 'nation:%')"))
+def graph_cut_predecessors(spark, d):
+    _, e = fixtures.commerce_graph(spark, d)
+    return mutate.cut_from_predecessors(e, _ids(spark, d, "nation", "nation", "n_nationkey"), "located_in").select("src", "dst", "key")
+
+
+@query(_commerce("""SELECT src, dst, key FROM edges WHERE NOT (key = 'line_1' AND EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND src = 'order:' || o_orderkey))"""))
+def graph_cut_successors(spark, d):
+    _, e = fixtures.commerce_graph(spark, d)
+    return mutate.cut_to_successors(e, _ids(spark, d, "orders", "order", "o_orderkey", "o_orderstatus = 'F'"), "line_1").select("src", "dst", "key")
+
+
+# --- lookups and traversals ----------------------------------------------------------------
+
+@query(_commerce("""SELECT w.* FROM (SELECT 'cust:' || o_custkey AS src, 'order:' || o_orderkey AS dst, unnest(['placed', 'line_1']) AS key FROM orders) w SEMI JOIN edges USING (src, dst, key)"""))
+def graph_has_edges(spark, d):
+    _, e = fixtures.commerce_graph(spark, d)
+    o = table(spark, d, "orders")
+    wanted = o.select(F.concat(F.lit("cust:"), F.col("o_custkey").cast("string")).alias("src"), F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("dst"),
+                      F.explode(F.array(F.lit("placed"), F.lit("line_1"))).alias("key"))
+    return walk.has_edges(e, wanted)
+
+
+@query(_commerce("SELECT o_orderkey AS pos, id, type, name FROM orders JOIN nodes ON id = 'cust:' || o_custkey"))
+def graph_extract_nodes(spark, d):
+    n, _ = fixtures.commerce_graph(spark, d)
+    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("pos"), F.concat(F.lit("cust:"), F.col("o_custkey").cast("string")).alias("id"))
+    return walk.extract_nodes(n, ids).select("pos", "id", "type", "name")
+
+
+@query(_commerce("""SELECT src, dst, key, dst AS node, 'in' AS side FROM edges WHERE dst LIKE 'nation:%' UNION ALL SELECT src, dst, key, src, 'out' FROM edges WHERE src LIKE 'nation:%'"""))
+def graph_get_edges(spark, d):
+    _, e = fixtures.commerce_graph(spark, d)
+    return walk.incident_edges(e, _ids(spark, d, "nation", "nation", "n_nationkey"))
+
+
+@query(_commerce("SELECT DISTINCT dst AS node, id, type, name FROM edges JOIN nodes ON src = id WHERE key = 'line_1' AND dst LIKE 'part:%'"))
+def graph_predecessors(spark, d):
+    n, e = fixtures.commerce_graph(spark, d)
+    return walk.predecessors(n, e, _ids(spark, d, "part", "part", "p_partkey"), "line_1").select("node", "id", "type", "name")
+
+
+@query(_commerce("SELECT DISTINCT src AS node, id, type, name FROM edges JOIN nodes ON dst = id WHERE src LIKE 'order:%'"))
+def graph_successors(spark, d):
+    n, e = fixtures.commerce_graph(spark, d)
+    return walk.successors(n, e, _ids(spark, d, "orders", "order", "o_orderkey")).select("node", "id", "type", "name")
+
+
+@query(_commerce("""SELECT node, id, type, name FROM (SELECT DISTINCT dst AS node, src AS o FROM edges WHERE dst LIKE 'nation:%' OR dst LIKE 'region:%'
+UNION ALL SELECT DISTINCT src, dst FROM edges WHERE src LIKE 'nation:%' OR src LIKE 'region:%') JOIN nodes ON o = id"""))
+def graph_neighbors(spark, d):
+    n, e = fixtures.commerce_graph(spark, d)
+    ids = _ids(spark, d, "nation", "nation", "n_nationkey").unionAll(_ids(spark, d, "region", "region", "r_regionkey"))
+    return walk.neighbors(n, e, ids).select("node", "id", "type", "name")
+
+
+@query(_commerce(""", f AS (SELECT src, a.name AS src_name, key, dst, b.name AS dst_name FROM edges JOIN nodes a ON a.id = src JOIN nodes b ON b.id = dst)
+SELECT dst AS node, * FROM f WHERE dst LIKE 'order:%' UNION ALL SELECT src, * FROM f WHERE src LIKE 'order:%'"""))
+def graph_connections(spark, d):
+    n, e = fixtures.commerce_graph(spark, d)
+    return walk.connections(n, e, _ids(spark, d, "orders", "order", "o_orderkey")).drop("relationship_name")
+
+
+# --- subgraphs -----------------------------------------------------------------------------
+
+def _documents(sql: str) -> str:
+    return f"WITH {fixtures.DOCUMENT_GRAPH} {sql}"
+
+
+@query(_documents("""SELECT src, dst, key, 'UNKNOWN' AS relationship_type FROM edges
+WHERE src IN (SELECT id FROM nodes WHERE type IN ('TextDocument', 'DocumentChunk')) AND dst IN (SELECT id FROM nodes WHERE type IN ('TextDocument', 'DocumentChunk'))"""))
+def graph_filter_attrs(spark, d):
+    n, e = fixtures.document_graph(spark, d)
+    return lineage.filter_graph(n, e, [{"type": ["TextDocument", "DocumentChunk"]}])[1].select("src", "dst", "key", "relationship_type")
+
+
+@query(_documents("""SELECT id, name FROM nodes JOIN (SELECT x FROM (SELECT src AS x FROM edges UNION ALL SELECT dst FROM edges) GROUP BY x HAVING count(*) = 1) ON x = id WHERE type = 'EntityType'"""))
+def graph_degree_one(spark, d):
+    n, e = fixtures.document_graph(spark, d)
+    return metrics.degree_one_nodes(n, e, "EntityType").select("id", "name")
+
+
+_SUBGRAPH = _documents(""", chunks AS (SELECT dst AS document, src AS chunk FROM edges WHERE key = 'is_part_of'),
+ent AS (SELECT document, dst AS entity FROM chunks JOIN edges ON src = chunk AND key = 'contains'),
+used AS (SELECT entity, count(DISTINCT document) AS n FROM ent GROUP BY 1),
+orphans AS (SELECT document, entity FROM ent JOIN used USING (entity) WHERE n = 1),
+kinds AS (SELECT dst AS kind, src AS entity FROM edges WHERE key = 'is_a'),
+kind_total AS (SELECT kind, count(*) AS n FROM kinds GROUP BY 1),
+own AS (SELECT document, kind, count(*) AS n FROM (SELECT DISTINCT * FROM orphans) JOIN kinds USING (entity) GROUP BY 1, 2)
+SELECT document, part, id FROM (
+  SELECT id AS document, 'document' AS part, id FROM nodes WHERE type = 'TextDocument'
+  UNION ALL SELECT document, 'chunks', chunk FROM chunks
+  UNION ALL SELECT document, 'orphan_entities', entity FROM orphans
+  UNION ALL SELECT document, 'orphan_types', own.kind FROM own JOIN kind_total USING (kind) WHERE own.n = kind_total.n
+  UNION ALL SELECT document, 'made_from_nodes', src FROM chunks JOIN edges ON dst = chunk AND key = 'made_from')""")
+
+
+@query(_SUBGRAPH + " WHERE document = 'doc:497'")
+def document_subgraph(spark, d):
+    n, e = fixtures.document_graph(spark, d)
+    return lineage.document_subgraph(e, lineage.find_documents(n, "497"))
+
+
+@query(_SUBGRAPH)
+def document_subgraph_all(spark, d):
+    n, e = fixtures.document_graph(spark, d)
+    return lineage.document_subgraph(e, lineage.find_documents(n))
+
+
+# --- components and metrics ----------------------------------------------------------------
+
+def _similar(sql: str, threshold: float = 0.38) -> str:
+    return f"WITH RECURSIVE {fixtures.similarity_sql(threshold)} {sql}"
+
+
+@query(_similar("SELECT id, component FROM labels"))
+def graph_components(spark, d):
+    return metrics.component_labels(*fixtures.similarity_graph(spark, d)).select("id", "component")
+
+
+@query(_similar("SELECT id FROM labels WHERE component <> (SELECT component FROM sizes ORDER BY n_nodes DESC, component LIMIT 1)"))
+def graph_disconnected_nodes(spark, d):
+    return metrics.disconnected_nodes(*fixtures.similarity_graph(spark, d))
+
+
+@query(_similar("""SELECT count(*) AS num_nodes, (SELECT count(*) FROM edges) AS num_edges, round(2.0 * num_edges / num_nodes, 9) AS mean_degree,
+round(num_edges::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS edge_density, (SELECT count(*) FROM sizes) AS num_connected_components,
+(SELECT array_to_string(list(n_nodes ORDER BY component), ',') FROM sizes) AS sizes, 0::BIGINT AS num_selfloops, -1::BIGINT AS diameter, -1.0::DOUBLE AS avg_shortest_path_length, -1.0::DOUBLE AS avg_clustering FROM nodes"""))
+def graph_metrics(spark, d):
+    return _metrics_row(metrics.graph_metrics(*fixtures.similarity_graph(spark, d)))
+
+
+def _metrics_row(r: DataFrame) -> DataFrame:
+    r = r.withColumn("sizes", F.array_join(F.col("sizes_of_connected_components").cast("array<string>"), ",")).drop("sizes_of_connected_components")
+    return r.withColumns({c: F.round(c, 9) for c in ("mean_degree", "edge_density", "avg_shortest_path_length", "avg_clustering")})
+
+
+@query(_similar(""", top AS (SELECT component FROM sizes ORDER BY n_nodes DESC, component LIMIT 1), own AS (SELECT id FROM labels SEMI JOIN top USING (component)),
+e AS (SELECT * FROM edges WHERE src IN (FROM own)), s AS (SELECT * FROM sym WHERE u IN (FROM own)),
+bfs AS (SELECT id AS a, id AS b, 0 AS d FROM own UNION SELECT bfs.a, s.v, d + 1 FROM bfs JOIN s ON bfs.b = s.u WHERE d < 12),
+dist AS (SELECT a, b, min(d) AS d FROM bfs GROUP BY 1, 2), deg AS (SELECT u, count(*) AS n FROM s GROUP BY 1),
+tri AS (SELECT x.u AS u, count(*) / 2 AS t FROM s x JOIN s y ON x.v = y.u JOIN s z ON y.v = z.u AND z.v = x.u GROUP BY 1),
+clu AS (SELECT own.id, CASE WHEN n > 1 THEN 2.0 * coalesce(t, 0) / (n * (n - 1)) ELSE 0 END AS c FROM own LEFT JOIN deg ON deg.u = id LEFT JOIN tri ON tri.u = id)
+SELECT count(*) AS num_nodes, (SELECT count(*) FROM e) AS num_edges, round(2.0 * num_edges / num_nodes, 9) AS mean_degree,
+round(num_edges::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS edge_density, 1::BIGINT AS num_connected_components, count(*)::VARCHAR AS sizes, 0::BIGINT AS num_selfloops,
+(SELECT max(d)::BIGINT FROM dist) AS diameter, round((SELECT sum(d) FROM dist)::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS avg_shortest_path_length, round((SELECT avg(c) FROM clu), 9) AS avg_clustering FROM own"""))
+def graph_metrics_optional(spark, d):
+    from graphvec.storage import materialize
+
+    n, e = fixtures.similarity_graph(spark, d)
+    e = materialize(e, "edges")
+    ids = materialize(metrics.largest_component_ids(materialize(metrics.component_labels(n, e), "labels")), "largest")
+    n = n.join(ids, "id", "left_semi")
+    return _metrics_row(metrics.graph_metrics(n, e.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").select(*e.columns), True))
+
+
+@query("""WITH edges AS (SELECT a.vec_id AS u, b.vec_id AS v FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) > 0.3),
+s AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges), deg AS (SELECT u, count(*) AS n FROM s GROUP BY 1),
+tri AS (SELECT x.u AS u, count(*) / 2 AS t FROM s x JOIN s y ON x.v = y.u JOIN s z ON y.v = z.u AND z.v = x.u GROUP BY 1)
+SELECT vec_id AS id, round(CASE WHEN n > 1 THEN 2.0 * coalesce(t, 0) / (n * (n - 1)) ELSE 0 END, 9) AS coefficient FROM embeddings LEFT JOIN deg ON deg.u = vec_id LEFT JOIN tri ON tri.u = vec_id""")
+def graph_clustering(spark, d):
+    return metrics.clustering(*fixtures.similarity_graph(spark, d, 0.3)).select("id", F.round("coefficient", 9).alias("coefficient"))
+
+
+# --- web text ------------------------------------------------------------------------------
+
+@query(r"""WITH h AS (SELECT url, regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"', 1) AS l FROM pages),
+x AS (SELECT url, unnest(range(len(l))) AS ord, trim(unnest(l), E' \t\n\r') AS href FROM h)
+SELECT url, ord, CASE WHEN starts_with(href, '/') THEN 'https://docs.example.com' || href ELSE href END AS link FROM x WHERE link LIKE 'https://docs.example.com/%'""")
+def html_links(spark, d):
+    return web_text.links(table(spark, d, "pages"), "https://docs.example.com", "https://docs.example.com/")
+
+
+@query("""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), bfs AS (SELECT 0::BIGINT AS p, 0 AS depth
+UNION SELECT unnest([(7 * p + 3) % n, (13 * p + 5) % n]), depth + 1 FROM bfs, n WHERE depth < 5)
+SELECT 'page:' || p AS url, min(depth) AS depth FROM bfs GROUP BY p""")
+def crawl_bfs(spark, d):
+    pages = table(spark, d, "pages")
+    n = pages.count()
+    p = pages.select("page_id")
+    url = lambda c: F.concat(F.lit("page:"), c.cast("string"))
+    links = p.select(url(F.col("page_id")).alias("url"), F.posexplode(F.array((7 * F.col("page_id") + 3) % n, (13 * F.col("page_id") + 5) % n)).alias("ord", "to"))
+    links = links.select("url", F.col("ord").cast("bigint").alias("ord"), url(F.col("to")).alias("link"))
+    return crawl.crawl(spark.createDataFrame([("page:0",)], "url string"), links).select("url", "depth")
+
+
+def _corpora(sql: str) -> str:
+    return f"WITH {fixtures.CORPORA} {sql}"
+
+
+_COLLAPSE = "regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+
+
+@query(_corpora("SELECT source, length(x)::BIGINT AS n_chars, md5(x) AS text_md5 FROM (SELECT source, " + _COLLAPSE.format(
+    x=r"regexp_replace(regexp_replace(text, '(?s)## Privacy Preference Center.*?(-----|\z)', '\1', 'g'), '(?s)### Cookie List.*?(-----|\z)', '\1', 'g')") + " AS x FROM corpora)"))
+def text_clean(spark, d):
+    c = fixtures.corpora(spark, d).select("source", web_text.clean(F.col("text"), web_text.QDRANT_RULES).alias("x"))
+    return c.select("source", F.length("x").cast("bigint").alias("n_chars"), F.md5("x").alias("text_md5"))
+
+
+@query(_corpora("SELECT source, length(x)::BIGINT AS n_chars, md5(x) AS text_md5 FROM (SELECT source, " + _COLLAPSE.format(
+    x=r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?s)www\.loom\.com.*?!\[\]\(<Base64-Image-Removed>\)!\[\]\(<Base64-Image-Removed>\)', '', 'g'), "
+      r"'(?m)^.*\[Skip to main content\].*$', '', 'g'), '(?si)we use essential cookies.*?PreferencesDeclineAccept', '', 'g'), "
+      r"'(?si)This demo works on codespaces.*?coding help reimagined with AI prowess\.', '', 'g')") + " AS x FROM corpora)"))
+def text_clean_blocks(spark, d):
+    c = fixtures.corpora(spark, d).select("source", web_text.clean(F.col("text"), web_text.DLT_RULES).alias("x"))
+    return c.select("source", F.length("x").cast("bigint").alias("n_chars"), F.md5("x").alias("text_md5"))
+
+
+@query(_corpora("SELECT source, pos, url, start::BIGINT AS start, md5(page) AS page_md5 FROM paged"))
+def page_segment(spark, d):
+    return web_text.segment(fixtures.corpora(spark, d)).select("source", "pos", "url", F.col("start").cast("bigint").alias("start"), F.md5("page").alias("page_md5"))
+
+
+@query(_corpora(r"""SELECT source, count(*) AS n_pages, md5(string_agg(regexp_replace(page, '\s+$', ''), chr(10) || chr(10) ORDER BY pos)) AS text_md5 FROM paged
+WHERE url LIKE 'https://docs.example.com/f%' OR url LIKE 'https://docs.example.com/es/1%' GROUP BY source"""))
+def page_extract_prefix(spark, d):
+    prefixes = spark.createDataFrame([("https://docs.example.com/f",), ("https://docs.example.com/es/1",)], "prefix string")
+    r = web_text.extract_pages(web_text.segment(fixtures.corpora(spark, d)), prefixes, ["source"])
+    return r.select("source", "n_pages", F.md5("text").alias("text_md5"))
+
+
+@query(_corpora(r"""SELECT source, md5(regexp_replace(substr(text, 1, cut), '\s+$', '')) AS first_md5, md5(regexp_replace(substr(text, cut + 1), '^\s+', '')) AS second_md5
+FROM (SELECT source, text, (SELECT coalesce(max(start), 0) FROM paged p WHERE p.source = c.source AND start < length(text) // 2)::BIGINT AS cut FROM corpora c)"""))
+def page_split_mid(spark, d):
+    r = web_text.split_in_halves(fixtures.corpora(spark, d))
+    return r.select("source", F.md5("first_half").alias("first_md5"), F.md5("second_half").alias("second_md5"))
+
+
+@query("""WITH s AS (SELECT q.vec_id AS qid, e.vec_id AS id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS c FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0),
+r AS (SELECT qid, id, c, row_number() OVER (PARTITION BY qid ORDER BY round(c, 12) DESC, id) AS rank FROM s)
+SELECT qid, r.id, round(c, 6) AS cosine, rank, '{"label":' || label || '}' AS payload FROM r JOIN embeddings ON vec_id = r.id WHERE rank <= 5""")
+def retrieval_chunks(spark, d):
+    r = retrieve.chunks(_points(spark, d), _queries(spark, d), 5)
+    return r.select("qid", "id", F.round("cosine", 6).alias("cosine"), F.col("rank").cast("bigint").alias("rank"), "payload")
