@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from graphvec.storage import materialize
 
 # 1: the word must be equal; 0: it is ignored.
-MASKS = ("1101100111", "1110010111", "111111")
+MASKS = ("1101100111", "1110010111", "1111011", "111111")
 MIN_MATCHED = 13
 MIN_COVERAGE = 0.8
 MAX_SLICE = 1_000_000

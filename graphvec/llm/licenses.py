@@ -143,10 +143,12 @@ def scan(text: str, index: Index, band: int = BAND, min_coverage: float = MIN_CO
     k = 0
     while k < len(hits):
         t, p, i = hits[k]
-        ids, low, high, last = index.ids[t], p - i, p - i, p
+        ids, low, high, last, at = index.ids[t], p - i, p - i, p, i
         k += 1
-        while k < len(hits) and hits[k][0] == t and abs(hits[k][1] - hits[k][2] - low) <= 2 * band and hits[k][1] - last <= len(ids):
-            low, high, last = min(low, hits[k][1] - hits[k][2]), max(high, hits[k][1] - hits[k][2]), hits[k][1]
+        # a hit further back in the template begins the next copy of it
+        while k < len(hits) and hits[k][0] == t and abs(hits[k][1] - hits[k][2] - low) <= 2 * band and hits[k][1] - last <= len(ids) and hits[k][2] > at:
+            _, last, at = hits[k]
+            low, high = min(low, last - at), max(high, last - at)
             k += 1
         a, b = max(0, low - band), min(len(words), high + len(ids) + band)
         region = [index.number.get(w, -1) for w in words[a:b]]

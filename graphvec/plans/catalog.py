@@ -302,9 +302,10 @@ def graph_disconnected_nodes(spark, d):
     return metrics.disconnected_nodes(*fixtures.similarity_graph(spark, d))
 
 
-@query(_similar("""SELECT count(*) AS num_nodes, (SELECT count(*) FROM edges) AS num_edges, round(2.0 * num_edges / num_nodes, 9) AS mean_degree,
-round(num_edges::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS edge_density, (SELECT count(*) FROM sizes) AS num_connected_components,
-(SELECT array_to_string(list(n_nodes ORDER BY component), ',') FROM sizes) AS sizes, 0::BIGINT AS num_selfloops, -1::BIGINT AS diameter, -1.0::DOUBLE AS avg_shortest_path_length, -1.0::DOUBLE AS avg_clustering FROM nodes"""))
+@query(_similar(""", n AS (SELECT count(*) AS num_nodes FROM nodes), m AS (SELECT count(*) AS num_edges FROM edges),
+z AS (SELECT count(*) AS num_connected_components, array_to_string(list(n_nodes ORDER BY component), ',') AS sizes FROM sizes)
+SELECT num_nodes, num_edges, round(2.0::DOUBLE * num_edges / num_nodes, 9) AS mean_degree, round(num_edges::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS edge_density,
+num_connected_components, sizes, 0::BIGINT AS num_selfloops, -1::BIGINT AS diameter, -1.0::DOUBLE AS avg_shortest_path_length, -1.0::DOUBLE AS avg_clustering FROM n, m, z"""))
 def graph_metrics(spark, d):
     return _metrics_row(metrics.graph_metrics(*fixtures.similarity_graph(spark, d)))
 
@@ -319,10 +320,10 @@ e AS (SELECT * FROM edges WHERE src IN (FROM own)), s AS (SELECT * FROM sym WHER
 bfs AS (SELECT id AS a, id AS b, 0 AS d FROM own UNION SELECT bfs.a, s.v, d + 1 FROM bfs JOIN s ON bfs.b = s.u WHERE d < 12),
 dist AS (SELECT a, b, min(d) AS d FROM bfs GROUP BY 1, 2), deg AS (SELECT u, count(*) AS n FROM s GROUP BY 1),
 tri AS (SELECT x.u AS u, count(*) / 2 AS t FROM s x JOIN s y ON x.v = y.u JOIN s z ON y.v = z.u AND z.v = x.u GROUP BY 1),
-clu AS (SELECT own.id, CASE WHEN n > 1 THEN 2.0 * coalesce(t, 0) / (n * (n - 1)) ELSE 0 END AS c FROM own LEFT JOIN deg ON deg.u = id LEFT JOIN tri ON tri.u = id)
-SELECT count(*) AS num_nodes, (SELECT count(*) FROM e) AS num_edges, round(2.0 * num_edges / num_nodes, 9) AS mean_degree,
-round(num_edges::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS edge_density, 1::BIGINT AS num_connected_components, count(*)::VARCHAR AS sizes, 0::BIGINT AS num_selfloops,
-(SELECT max(d)::BIGINT FROM dist) AS diameter, round((SELECT sum(d) FROM dist)::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS avg_shortest_path_length, round((SELECT avg(c) FROM clu), 9) AS avg_clustering FROM own"""))
+clu AS (SELECT own.id, CASE WHEN n > 1 THEN 2.0 * coalesce(t, 0) / (n * (n - 1)) ELSE 0 END AS c FROM own LEFT JOIN deg ON deg.u = id LEFT JOIN tri ON tri.u = id),
+n AS (SELECT count(*) AS num_nodes FROM own), m AS (SELECT count(*) AS num_edges FROM e), dd AS (SELECT max(d)::BIGINT AS diameter, sum(d)::DOUBLE AS total FROM dist), cc AS (SELECT avg(c) AS c FROM clu)
+SELECT num_nodes, num_edges, round(2.0::DOUBLE * num_edges / num_nodes, 9) AS mean_degree, round(num_edges::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS edge_density,
+1::BIGINT AS num_connected_components, num_nodes::VARCHAR AS sizes, 0::BIGINT AS num_selfloops, diameter, round(total / (num_nodes * (num_nodes - 1)), 9) AS avg_shortest_path_length, round(c, 9) AS avg_clustering FROM n, m, dd, cc"""))
 def graph_metrics_optional(spark, d):
     from graphvec.storage import materialize
 

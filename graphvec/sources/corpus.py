@@ -15,8 +15,9 @@ def read_corpora(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def write_corpus(fragments: DataFrame, path: str) -> None:
-    """Fragments (ord, fragment) in order, through one writer, as a text."""
-    fragments.orderBy("ord").select("fragment").coalesce(1).write.mode("overwrite").option("lineSep", "").text(path)
+    """Fragments (ord, fragment) in order, through one writer, as a text.  The writer ends each
+    row with a line end, which takes the place of the fragment's own last one."""
+    fragments.orderBy("ord").select(F.regexp_replace("fragment", r"\n\z", "")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def fetch_pages(urls: DataFrame, fetch: Callable[[str], tuple[int, str]], max_tries: int = 5) -> DataFrame:
