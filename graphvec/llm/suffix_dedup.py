@@ -10,8 +10,8 @@ match are sorted, and none that matches is left out:
   LENGTH bytes around it).  Of equal neighbourhoods in a batch only the smallest doc_id
   travels; the others are already known to repeat it.
 2 Buckets.  A bucket is sorted at a time.  Rows with an equal neighbourhood repeat the smallest
-  doc_id's.  An anchor with different neighbourhoods may be the edge of a repeat: one
-  neighbourhood of each kind, the smallest doc_id's, goes on to step 3.
+  doc_id's.  An anchor with different neighbourhoods may be the edge of a repeat: of each kind
+  those of the smallest doc_id, everywhere it has them, go on to step 3.
 3 Suffixes.  The neighbourhoods' bytes are laid out as a local text in which equal offsets from
   the anchor have equal residues modulo 13.  Ranks of the suffixes at the difference cover
   {0, 1, 3, 9} (mod 13) are found first, by prefix doubling from 13 to 39 bytes.  Then the
@@ -201,7 +201,7 @@ def _sort_bucket(held: list[bytes]) -> Iterator[pa.RecordBatch]:
     if again.any():
         yield _found(doc[again], at[again])
     kinds = np.bincount(np.cumsum(new_h) - 1, new_c)  # of neighbourhoods of each anchor
-    edge = firsts[(kinds[np.cumsum(new_h) - 1] > 1)[firsts]]
+    edge = np.flatnonzero(~again & (kinds[np.cumsum(new_h) - 1] > 1))
     if len(edge):
         yield _found(doc[edge], at[edge], h[edge])
 
