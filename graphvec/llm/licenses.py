@@ -150,9 +150,10 @@ def scan(text: str, index: Index, band: int = BAND, min_coverage: float = MIN_CO
             _, last, at = hits[k]
             low, high = min(low, last - at), max(high, last - at)
             k += 1
-        a, b = max(0, low - band), min(len(words), high + len(ids) + band)
+        near = min(band, max(1, len(ids) // 2))  # so that the next copy of a short template stays outside
+        a, b = max(0, low - near), min(len(words), high + len(ids) + near)
         region = [index.number.get(w, -1) for w in words[a:b]]
-        matched, first, final = align(region, ids, low - band - a, high + band - a)
+        matched, first, final = align(region, ids, low - near - a, high + near - a)
         if matched >= min_coverage * len(ids):
             out.append((index.names[t], matched, len(ids), matched / len(ids), spans[a + first][0], spans[a + final][1]))
     return sorted(set(out))
