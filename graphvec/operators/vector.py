@@ -88,17 +88,16 @@ def batch_search(collection: DataFrame, queries: DataFrame, limit: int | None =
 
 
 def _block_search(collection: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    rows = queries.select("qid", "vector").collect()  # one block of queries
+    rows = queries.where("vector is not null").select("qid", "vector").toArrow()  # one block of queries
     id_type, qid_type = collection.schema["id"].dataType.simpleString(), queries.schema["qid"].dataType.simpleString()
     schema = f"qid {qid_type}, id {id_type}, cosine double"
     spark = collection.sparkSession
-    if not rows or not k:
+    if not rows.num_rows or not k:
         return spark.createDataFrame([], schema)
-    held = spark.sparkContext.broadcast(([r["qid"] for r in rows], _normalised(np.array([r["vector"] for r in rows], np.float64))))
+    held = spark.sparkContext.broadcast((rows.column("qid").combine_chunks(), _normalised(np.array(rows.column("vector").to_pylist(), np.float64))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, q = held.value
-        names = pa.array(qids)
+        names, q = held.value
         for b in batches:
             ids = b.column(0)
             c = q @ _normalised(_matrix(b.column(1), q.shape[1])).T

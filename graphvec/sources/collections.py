@@ -108,7 +108,8 @@ class CollectionStore:
 
     def prune(self) -> None:
         """Forget every collection of this store (and prefix)."""
-        newest = self._catalog().groupBy("name").agg(F.max_by("version", "n").alias("version")).where("version is not null")
-        for r in newest.where(F.col("name").startswith(self.prefix)).toLocalIterator():
-            n = self._catalog().count()
-            self.spark.createDataFrame([(n, r["name"], None)], "n bigint, name string, version string").coalesce(1).write.mode("append").parquet(f"{self.root}/catalog")
+        known = self._catalog()
+        newest = known.groupBy("name").agg(F.max_by("version", "n").alias("version")).where("version is not null")
+        gone = newest.where(F.col("name").startswith(self._name(""))) if self.prefix else newest
+        rows = gone.select(F.lit(known.count()).cast("bigint").alias("n"), "name", F.lit(None).cast("string").alias("version"))
+        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/catalog")
