@@ -25,11 +25,11 @@ from __future__ import annotations
 import heapq
 import itertools
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +41,32 @@ WORD_SLOTS = 1 << 21  # each of two tables
 BYTE_SLOTS = 1 << 20  # each of four
 BLOCK = 1 << 16
 CHUNK = 48
-PART = 60_000  # tokens handled at a time
+PART = 60_000  # tokens scored at a time
+TALLY_PART = 24_000  # tokens counted at a time
+SLICE_BYTES = 4 << 20  # text split into words at a time, unless one text is longer
 END = b"\n"  # no word holds white space
 LOG2 = float(np.log10(2.0))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """`batch` in runs of rows whose texts have at most SLICE_BYTES, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts one after another, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    flat, counts = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    full = pc.greater(pc.binary_length(flat), 0)  # white space at an end leaves an empty word
+    so_far = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))
+    ends = np.cumsum(counts)
+    return flat.filter(full).cast(pa.binary()), so_far[ends] - so_far[ends - counts]
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -61,22 +80,23 @@ def word_counts(train: DataFrame) -> DataFrame:
     """(word, c) over column text of `train`, the end included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "c"])
-            held.clear()
-            return made
-
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                held.update(words_of(t))
-                held[END] += 1
-                if len(held) > 400_000:
-                    yield out()
-        yield out()
-
-    return train.select("text").mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+        held: list[pa.Table] = []
+        texts = 0
+        for whole in batches:
+            texts += whole.num_rows
+            for b in slices(whole, 0):
+                words, _ = words_of(b.column(0))
+                held.append(pa.Table.from_struct_array(words.value_counts()).rename_columns(["word", "c"]))
+                if sum(t.num_rows for t in held) > 800_000:
+                    summed = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
+                    held = [summed]
+                    if summed.num_rows > 400_000:
+                        yield from summed.to_batches()
+                        held = []
+        held.append(pa.table({"word": pa.array([END], pa.binary()), "c": pa.array([texts], pa.int64())}))
+        yield from pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"]).to_batches()
+
+    return train.select("text").mapInArrow(run, "word binary, c bigint").where("c > 0").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 class Code:
@@ -119,19 +139,18 @@ class Code:
         self.nodes, self.bits, self.sizes = np.array(nodes, np.int32), np.array(bits, np.int8), np.array(sizes, np.int64)
         self.mixed = (self.nodes.astype(np.uint64) + np.uint64(1)) * _M2
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1])).astype(np.int64)
+        self.tree_at, self.sign_at = self.tree[self.nodes], np.float32(1) - np.float32(2) * self.bits
         self.logc = np.array([0.0, *np.log10(np.array([end, *(c for _, c in top)], float) + 1)])
         self.known = np.array([0, int(end > 0), *([1] * len(top))], np.int64)
 
-    def numbers(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words) if i > 1}
+    def listed(self) -> pa.Array:
+        return pa.array(self.words[2:], pa.binary())
 
     def expand(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place of the token, place in nodes and bits) of each code bit of `ids`."""
+        """(number of code bits of each token, place of each bit in nodes and bits)."""
         sizes = self.sizes[ids]
-        token = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         ends = np.cumsum(sizes)
-        at = np.arange(ends[-1] if len(ends) else 0) + (self.starts[ids] - (ends - sizes))[token]
-        return token, at
+        return sizes, np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[ids] - (ends - sizes), sizes)
 
 
 # --- hashed contexts -----------------------------------------------------------------------
@@ -147,11 +166,15 @@ def _slot(context: np.ndarray, mixed: np.ndarray, slots: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def word_contexts(ids: np.ndarray, before: tuple[int, int] = (0, 0)) -> list[np.ndarray]:
-    """Hash of the one and of the two tokens before each token."""
-    all_ids = np.concatenate((np.array(before, np.uint64), ids.astype(np.uint64)))
-    one = all_ids[1:-1]
-    one_hash, two_hash = (one + np.uint64(1 << 40)) * _M1, ((one + np.uint64(1)) * _M2 ^ (all_ids[:-2] + np.uint64(1)) * _M1) * _M2
+def word_contexts(ids: np.ndarray, starts: np.ndarray, before: tuple[int, int] = (0, 0)) -> list[np.ndarray]:
+    """Hash of the one and of the two tokens before each token; texts begin at `starts`, and
+    `before` stands before the first token of each."""
+    wide = ids.astype(np.uint64)
+    one, two = np.concatenate((wide[:1], wide[:-1])), np.concatenate((wide[:2], wide[:-2]))[: len(wide)]
+    second = starts + 1
+    two[second[second < len(wide)]] = before[1]
+    one[starts], two[starts] = before[1], before[0]
+    one_hash, two_hash = (one + np.uint64(1 << 40)) * _M1, ((one + np.uint64(1)) * _M2 ^ (two + np.uint64(1)) * _M1) * _M2
     return [h ^ h >> np.uint64(31) for h in (one_hash, two_hash)]
 
 
@@ -251,32 +274,36 @@ def gathered(blocks: DataFrame, tables: int, slots: int) -> np.ndarray:
 # --- mixing --------------------------------------------------------------------------------
 
 
-def mix(inputs: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, owner: np.ndarray, ends: np.ndarray, weights: np.ndarray, rate: float) -> np.ndarray:
-    """log2 probability of each owner's bits.  Rows stand by chunk, and `ends` says where each
-    chunk ends.  weights: [owners, gates, inputs], refined in place after each chunk."""
+def mix(inputs: list[np.ndarray], gate: np.ndarray, sign: np.ndarray, owner: np.ndarray, ends: np.ndarray, weights: np.ndarray, rate: float) -> np.ndarray:
+    """log2 probability of each owner's bits; sign is 1 for a bit of 0 and -1 for a bit of 1.
+    Rows stand by chunk, and `ends` says where each chunk ends.  weights: [owners, gates,
+    inputs], refined in place after each chunk."""
     owners, gates, k = weights.shape
     flat = np.ascontiguousarray(weights.reshape(owners * gates, k).T)
-    out = np.zeros(owners)
+    cells = owner * gates + gate
+    against = np.empty(len(cells), np.float32)  # odds against the bit
     at = 0
     for end in ends:
         rows = slice(at, end)
-        own = owner[rows]
-        cell = own * gates + gate[rows]
+        cell, s, odds = cells[rows], sign[rows], against[rows]
         x = [i[rows] for i in inputs]
-        dot = flat[0][cell] * x[0]
+        dot = flat[0].take(cell)
+        dot *= x[0]
         for i in range(1, k):
-            dot += flat[i][cell] * x[i]
+            part = flat[i].take(cell)
+            part *= x[i]
+            dot += part
         np.clip(dot, -11, 11, out=dot)
-        sign = np.float32(1) - np.float32(2) * bit[rows]
-        odds = np.exp(sign * dot)  # against the bit
-        out -= np.bincount(own, np.log(1 + odds), owners)
-        error = odds / (1 + odds) * -sign
+        dot *= s
+        np.exp(dot, out=odds)
+        error = odds / (odds + np.float32(1))
+        error *= s
         seen = np.sqrt(np.bincount(cell, minlength=owners * gates) + 16.0)
         for i in range(k):
-            flat[i] += rate * np.bincount(cell, error * x[i], owners * gates) / seen
+            flat[i] -= rate * np.bincount(cell, error * x[i], owners * gates) / seen
         at = end
     weights[:] = flat.T.reshape(owners, gates, k)
-    return out / np.log(2.0)
+    return np.bincount(owner, np.log1p(against), owners) / -np.log(2.0)
 
 
 def _start(owners: int, starts: np.ndarray) -> np.ndarray:
@@ -321,29 +348,31 @@ class WordModel:
             group = texts[at:end]
             weights = _start(len(group), self.starts)
             if size <= PART:
-                out[at:end] = self._part(group, [(0, 0)] * len(group), weights)
+                out[at:end] = self._part(group, (0, 0), weights)
             else:
                 before, ids = (0, 0), group[0]
                 for i in range(0, len(ids), PART - PART % CHUNK):
                     piece = ids[i : i + PART - PART % CHUNK]
-                    out[at] += self._part([piece], [before], weights)[0]
+                    out[at] += self._part([piece], before, weights)[0]
                     before = tuple(np.concatenate((np.array(before), piece))[-2:])
             at = end
         return out
 
-    def _part(self, texts: list[np.ndarray], before: list[tuple[int, int]], weights: np.ndarray) -> np.ndarray:
-        chunk = np.concatenate([np.arange(len(t)) // CHUNK for t in texts])
+    def _part(self, texts: list[np.ndarray], before: tuple[int, int], weights: np.ndarray) -> np.ndarray:
+        lengths = np.array([len(t) for t in texts], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        chunk = (np.arange(lengths.sum()) - np.repeat(starts, lengths)) // CHUNK
         by_chunk = np.argsort(chunk, kind="stable")
-        ids = np.concatenate(texts)[by_chunk]
-        contexts = [np.concatenate(c)[by_chunk] for c in zip(*(word_contexts(t, b) for t, b in zip(texts, before)))]
-        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[by_chunk]
-        token, at = self.code.expand(ids)
+        ids = np.concatenate(texts)
+        contexts = [c[by_chunk] for c in word_contexts(ids, starts[lengths > 0], before)]
+        ids, owner = ids[by_chunk], np.repeat(np.arange(len(texts)), lengths)[by_chunk]
+        sizes, at = self.code.expand(ids)
         mixed = self.code.mixed[at]
-        inputs, gate = [self.code.tree[self.code.nodes[at]]], np.zeros(len(at), np.int16)
+        inputs, gate = [self.code.tree_at[at]], np.zeros(len(at), np.int16)
         for k, c in enumerate(contexts):
-            _unpack(self.tables[k][_slot(c[token], mixed, self.tables.shape[1])], inputs, gate)
-        ends = np.cumsum(self.code.sizes[ids])[np.cumsum(np.bincount(chunk)) - 1]
-        return mix(inputs, gate, self.code.bits[at], owner[token], ends, weights, self.rate)
+            _unpack(self.tables[k].take(_slot(np.repeat(c, sizes), mixed, self.tables.shape[1])), inputs, gate)
+        ends = np.cumsum(sizes)[np.cumsum(np.bincount(chunk)) - 1]
+        return mix(inputs, gate, self.code.sign_at[at], np.repeat(owner, sizes), ends, weights, self.rate)
 
 
 def _unpack(slots: np.ndarray, inputs: list[np.ndarray], gate: np.ndarray) -> None:
@@ -373,7 +402,7 @@ class Speller:
             for k, c in enumerate(contexts):
                 _unpack(self.tables[k][_slot(c, mixed, self.tables.shape[1])], inputs, gate)
             ends = np.cumsum(np.bincount(np.minimum(place, 63)))  # the bytes from the 64th on are one chunk
-            out.append(mix(inputs, gate, bit, word, ends, _start(end - at, self.starts), self.rate))
+            out.append(mix(inputs, gate, np.float32(1) - np.float32(2) * bit, word, ends, _start(end - at, self.starts), self.rate))
             at = end
         return np.concatenate(out) if out else np.zeros(0)
 
@@ -381,8 +410,18 @@ class Speller:
 # --- Spark ---------------------------------------------------------------------------------
 
 
-def _numbered(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter(itertools.chain(map(number.get, words, itertools.repeat(0)), (1,)), np.int64, len(words) + 1)
+def numbered(texts: pa.Array, listed: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Token numbers of the texts one after another, each closed by 1 for the end; how many
+    tokens each text has; and the words that are not listed, with their texts' places."""
+    words, counts = words_of(texts)
+    found = pc.index_in(words, value_set=listed)
+    number = pc.fill_null(found, -2).to_numpy(zero_copy_only=False) + 2
+    ids = np.ones(len(words) + len(counts), np.int64)
+    inner = np.ones(len(ids), bool)
+    inner[np.cumsum(counts + 1) - 1] = False
+    ids[inner] = number
+    strange = found.is_null()
+    return ids, counts + 1, words.filter(strange), np.repeat(np.arange(len(counts)), counts)[number == 0]
 
 
 def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slots: int = WORD_SLOTS, byte_slots: int = BYTE_SLOTS) -> DataFrame:
@@ -395,24 +434,28 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
     n, v, end = counts.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.col("word") == F.lit(END), F.col("c")))).first()
     n, v, end = n or 0, v or 0, end or 0
     # a fixed number of words of bounded length
-    top = [(bytes(r["word"]), r["c"]) for r in counts.where((F.octet_length("word") <= LONGEST) & (F.col("word") != F.lit(END))).orderBy(F.desc("c"), "word").limit(vocab).collect()]
+    # whole powers of two of counts, from the highest on, until they hold `vocab` words: at most 64 rows
+    listable = counts.where((F.octet_length("word") <= LONGEST) & (F.col("word") != F.lit(END)))
+    sizes = listable.groupBy(F.floor(F.log2("c")).alias("power")).count().orderBy(F.desc("power")).collect()
+    held = list(itertools.accumulate(r["count"] for r in sizes))
+    low = next((r["power"] for r, up_to in zip(sizes, held) if up_to >= vocab), 0)
+    often = listable.where(F.floor(F.log2("c")) >= low).repartition(8)  # eight tasks send `vocab` words at most
+    top = [(bytes(r["word"]), r["c"]) for r in often.orderBy(F.desc("c"), "word").limit(vocab).collect()]
     code = Code(top, n - end - sum(c for _, c in top), end)
-    shared = sc.broadcast((code, code.numbers()))
+    shared = sc.broadcast((code, code.listed()))
 
     def tally_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, number = shared.value
+        code, listed = shared.value
         tally = Tally(2, word_slots)
-        for b in batches:
-            held, size = [], 0
-            for t in b.column(0).to_pylist():
-                ids = _numbered(words_of(t), number)
-                held.append((ids, word_contexts(ids)))
-                size += len(ids)
-                if size >= PART:
-                    _tally(tally, code, held, word_slots)
-                    held, size = [], 0
-            if held:
-                _tally(tally, code, held, word_slots)
+        for whole in batches:
+            for b in slices(whole, 0):
+                ids, counts, _, _ = numbered(b.column(0), listed)
+                contexts = word_contexts(ids, np.cumsum(counts) - counts)
+                for at in range(0, len(ids), TALLY_PART):
+                    part = slice(at, at + TALLY_PART)
+                    sizes, bits = code.expand(ids[part])
+                    for k in range(2):
+                        tally.add(k, _slot(np.repeat(contexts[k][part], sizes), code.mixed[bits], word_slots), code.bits[bits])
         yield from tally.blocks()
 
     least = top[-1][1] if len(top) == vocab else 0
@@ -440,30 +483,26 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
     byte_tables = sc.broadcast(gathered(rare.select("word").mapInArrow(tally_bytes, BLOCKS), 4, byte_slots))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, number = shared.value
+        code, listed = shared.value
         model = WordModel(code, word_tables.value)
         names = ["rid", "doc_id", "held_out", "n_tokens", "known", "logc", "bits", "n_bytes", "word", "n"]
+        none = lambda k, kind: pa.nulls(k, kind)
         for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                b = whole.slice(start, 256)
-                texts, strange, n_bytes = [], [], []
-                for rid, t in zip(b.column(0).to_pylist(), b.column(3).to_pylist()):
-                    words = words_of(t)
-                    ids = _numbered(words, number)
-                    n_bytes.append(len((t or "").encode("utf-8", "surrogatepass")))
-                    texts.append(ids)
-                    strange += [(rid, w, c) for w, c in Counter(words[i] for i in np.flatnonzero(ids[:-1] == 0)).items()]
-                bits = model.score(texts)
-                size = pa.array([len(t) for t in texts], pa.int64())
-                m, r = len(texts), len(strange)
-                none = lambda k, kind: pa.nulls(k, kind)
+            for b in slices(whole, 3):
+                ids, counts, strange, place = numbered(b.column(3), listed)
+                starts = np.cumsum(counts) - counts
+                bits = model.score(np.split(ids, starts[1:]))
+                m = b.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), b.column(2), size, pa.array([int(code.known[t].sum()) for t in texts], pa.int64()),
-                     pa.array([float(code.logc[t].sum()) for t in texts]), pa.array(bits), pa.array(n_bytes, pa.int64()), none(m, pa.binary()), none(m, pa.int64())], names=names)
-                rid, word, c = zip(*strange) if strange else ((), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid, pa.int64()), none(r, pa.int64()), none(r, pa.bool_()), none(r, pa.int64()), none(r, pa.int64()), none(r, pa.float64()), none(r, pa.float64()),
-                     none(r, pa.int64()), pa.array(word, pa.binary()), pa.array(c, pa.int64())], names=names)
+                    [b.column(0), b.column(1), b.column(2), pa.array(counts, pa.int64()), pa.array(np.add.reduceat(code.known[ids], starts), pa.int64()),
+                     pa.array(np.add.reduceat(code.logc[ids], starts)), pa.array(bits), pc.fill_null(pc.binary_length(b.column(3)), 0).cast(pa.int64()), none(m, pa.binary()), none(m, pa.int64())], names=names)
+                rids = pa.array(b.column(0).to_numpy(zero_copy_only=False)[place], pa.int64())
+                met = pa.table({"rid": rids, "word": strange}).group_by(["rid", "word"], use_threads=False).aggregate([([], "count_all")])
+                for t in met.to_batches():
+                    r = t.num_rows
+                    yield pa.RecordBatch.from_arrays(
+                        [t.column("rid"), none(r, pa.int64()), none(r, pa.bool_()), none(r, pa.int64()), none(r, pa.int64()), none(r, pa.float64()), none(r, pa.float64()),
+                         none(r, pa.int64()), t.column("word"), t.column("count_all").cast(pa.int64())], names=names)
 
     schema = "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logc double, bits double, n_bytes bigint, word binary, n bigint"
     # rid ties a text's escaped words to its row, within this one written table
@@ -472,8 +511,8 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(byte_tables.value)
         for b in batches:
-            words, back = np.unique(np.array(b.column(1).to_pylist(), object), return_inverse=True) if b.num_rows else ([], np.zeros(0, int))
-            bits = speller.score(list(words))[back] if len(back) else np.zeros(0)
+            words = b.column(1).dictionary_encode()  # the join leaves equal words together
+            bits = speller.score(words.dictionary.to_pylist())[words.indices.to_numpy(zero_copy_only=False)]
             times = b.column(2).to_numpy(zero_copy_only=False)
             c = b.column(3).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
@@ -487,11 +526,3 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
         "doc_id", "held_out", "n_tokens", both("known").alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"),
         (both("logc") - F.col("n_tokens") * float(np.log10(n + v + 1.0))).alias("base_score"), (both("bits") * LOG2).alias("score"), "n_bytes",
         F.when(F.col("n_bytes") > 0, -both("bits") / F.col("n_bytes")).alias("bits_per_byte"))
-
-
-def _tally(tally: Tally, code: Code, held: list, slots: int) -> None:
-    ids = np.concatenate([x for x, _ in held])
-    token, at = code.expand(ids)
-    for k in range(2):
-        context = np.concatenate([c[k] for _, c in held])
-        tally.add(k, _slot(context[token], code.mixed[at], slots), code.bits[at])
