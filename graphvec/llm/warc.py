@@ -35,6 +35,7 @@ from graphvec.storage import materialize, new_path
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 28
+FRAMES_A_TASK = 64
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 # Fixed values of the seekable format.
@@ -224,7 +225,10 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
                     rows.append(row)
                 yield _records(rows)
 
-    return frames(bundles).repartition("bundle", "at").mapInArrow(run, RECORD)
+    found = materialize(frames(bundles), "frames")
+    # a row is small and what it names is not: a fixed number keeps the tasks from being merged
+    tasks = max(1, -(-found.count() // FRAMES_A_TASK))
+    return found.repartition(tasks, "bundle", "at").mapInArrow(run, RECORD)
 
 
 def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:
