@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphvec.storage import materialize
+
 BLOCK = 4096
 
 
@@ -53,6 +55,7 @@ def context_table(hist: DataFrame) -> DataFrame:
     """For each distinct length L: n_docs of that length, docs_at_least and tokens_at_least
     (documents of L tokens or more, and their tokens), total_docs, total_tokens, and
     truncated_tokens, the sum of min(length, L)."""
+    hist = materialize(hist, "lengths")  # read twice below, and its documents are encoded once
     h = hist.withColumn("block", F.floor(F.col("n_tokens") / BLOCK)).withColumn("t", F.col("n_tokens") * F.col("n_docs"))
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("t").alias("t"))
     above = Window.orderBy(F.desc("block"))  # one row a block of lengths
