@@ -49,6 +49,7 @@ WIDTH = LEFT + LENGTH  # bytes of a neighbourhood
 PERIOD, COVER = 13, (0, 1, 3, 9)  # a perfect difference set: covers every difference
 SLOT = -(-WIDTH // PERIOD) * PERIOD  # a neighbourhood's place in the local text
 BATCH_BYTES = 8 << 20
+SLICE_ROWS = 256  # texts held as Python objects at a time
 BUCKET_ANCHORS = 600_000
 BLOCK_ROWS = 20_000
 HOT = 500_000
@@ -131,6 +132,12 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(at, SLICE_ROWS)
+
+
 def _find_anchors(buckets: int):
     shift = np.uint64(64 - (buckets.bit_length() - 1)) if buckets > 1 else None
 
@@ -159,7 +166,7 @@ def _find_anchors(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, found, size = [], [], 0
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 b = np.frombuffer(_bytes(text), np.uint8)
                 if doc is None or len(b) < LENGTH:
@@ -355,7 +362,7 @@ def _by_string(hot: DataFrame) -> DataFrame:
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for doc, text, ranges in zip(*(c.to_pylist() for c in batch.columns)):
             b = _bytes(text)
