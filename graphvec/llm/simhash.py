@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphvec.llm.near_copies import near_copies
 from graphvec.operators.components import components
 from graphvec.storage import broadcast_if_small, materialize
 
@@ -183,8 +184,10 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     return r.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
-    """`docs` with the smallest doc_id of each component, one row each; null ids all stay."""
-    ids = near_duplicates(docs, text_col, id_col, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
+def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """`docs` with the smallest doc_id of each group of near copies, one row each; null ids all
+    stay.  Near copies are texts whose 5-word shingles have a Jaccard similarity of 0.8 or more
+    (near_copies): the distance of near_duplicates is the query's, and too narrow for them."""
+    ids = near_copies(docs, text_col, id_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     kept = docs.join(ids, id_col, "left_semi").dropDuplicates([id_col]).select(*docs.columns)
     return kept.unionAll(docs.where(F.col(id_col).isNull()))

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from graphvec.llm import bpe, licenses, lm_score, simhash, suffix_dedup, token_counts, warc
+from graphvec.llm import bpe, licenses, lm_score, near_copies, simhash, suffix_dedup, token_counts, warc
 
 CLIP = public_tokenizers.path("word_bpe_49k.json")
 
@@ -179,6 +179,47 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def slow_links(rows):
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for d, t in rows}
+    root = {d: d for d in sets}
+    for a in sets:
+        for b in sets:
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {d: low if x == high else x for d, x in root.items()}
+    return root
+
+
+def test_parities_never_exceed_the_difference():
+    r = np.random.default_rng(4)
+    for n, more in ((3, 1), (500, 40), (510, 60), (5000, 900), (9000, 0)):
+        a = np.unique(r.integers(0, 1 << 63, n, np.int64).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n - n // 9], r.integers(0, 1 << 63, more, np.int64).astype(np.uint64)]))
+        assert near_copies.differing(near_copies.parities(a), near_copies.parities(b)) <= len(np.setxor1d(a, b))
+        other = np.unique(r.integers(0, 1 << 63, n, np.int64).astype(np.uint64))
+        assert n < 9 or 9 * near_copies.differing(near_copies.parities(a), near_copies.parities(other)) > 2 * n
+
+
+@pytest.mark.parametrize("cell_rows", [4096, 2])
+def test_keep_one_drops_copies_of_similarity_of_four_fifths(spark, cell_rows):
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    line = " ".join(word() for _ in range(40))  # a passage that unlike texts share
+    rows = [(d, " ".join(word() for _ in range(200)) + " " + line) for d in range(12)]
+    for d in range(12):
+        for k, changed in enumerate((1, 2, 3, 4, 5, 6)):  # similarity from 0.96 to 0.77
+            w = rows[d][1].split()
+            for at in range(changed):
+                w[20 + 30 * at] = word()
+            rows.append((100 + 10 * d + k, " ".join(w)))
+    rows += [(500, None), (501, ""), (502, "a b"), (503, "A  b")]
+    want = slow_links(rows)
+    got = near_copies.near_copies(docs(spark, rows), cell_rows=cell_rows).collect()
+    assert {x["doc_id"]: x["component_id"] for x in got} == want and len(got) == len(rows)
+    if cell_rows > 2:
+        assert {x["doc_id"] for x in simhash.keep_one(docs(spark, rows)).collect()} == set(want.values())
+
+
 # --- 7 BPE ---------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
