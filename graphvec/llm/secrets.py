@@ -6,7 +6,8 @@ so a match starts where the pieces and matches before it end.  Candidate strings
 each character class that it belongs to, a window of 20 characters slides; per step one
 character leaves and one enters, and the sum of c * log2(c) changes by their counts alone.
 A candidate whose largest window entropy reaches its class's limit is a span of kind
-`entropy`, unless the allow-list covers it or a fixed pattern's span overlaps it.
+`entropy`, unless the allow-list covers it or it lies within a fixed pattern's span; one that
+reaches beyond such a span stands whole beside it.
 
 Edge cases: a null or empty text has no spans; ties of start go by kind (assign, access, hex,
 entropy); repeated rows are scanned alike; extra columns are left alone.
@@ -110,7 +111,7 @@ def secret_scan(docs: DataFrame, text_col: str = "text", classes: Sequence = CLA
     d = docs.withColumn("base_spans", F.sort_array(F.concat(_spans(text, ASSIGN, 0, long_enough), _spans(text, ACCESS, 1), _spans(text, HEX, 2))))
     candidates = lambda found: F.filter(found, lambda x: _suspicious(F.substring(text, x["start"] + 1, x["end"] - x["start"]), classes, allow))
     d = d.withColumn("_entropy", _spans(text, CANDIDATE, 3, candidates))
-    free = F.filter("_entropy", lambda e: ~F.exists("base_spans", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
+    free = F.filter("_entropy", lambda e: ~F.exists("base_spans", lambda b: (b["start"] <= e["start"]) & (e["end"] <= b["end"])))
     return d.withColumn("secret_spans", F.sort_array(F.concat("base_spans", free))).drop("_entropy")
 
 
