@@ -1,12 +1,13 @@
 """Secret scans: three fixed patterns plus sliding-window Shannon entropy.
 
 Matches are located with DataFrame functions only: a text is split at a pattern's matches,
-so a match starts where the pieces and matches before it end.  Candidate strings are runs of
-20 to 256 key characters (a longer run is cut into pieces of 256).  Over each candidate, for
-each character class that it belongs to, a window of 20 characters slides; per step one
-character leaves and one enters, and the sum of c * log2(c) changes by their counts alone.
-A candidate whose largest window entropy reaches its class's limit is a span of kind
-`entropy`, unless the allow-list covers it or it lies within a fixed pattern's span; one that
+so a match starts where the pieces and matches before it end.  Candidate strings are whole
+runs of 20 key characters or more.  What the allow-list matches is taken out of a candidate.
+Over each stretch of the rest, for each character class, a window of 20 characters slides; per
+step one character leaves and one enters, and the sum of c * log2(c) changes by their counts
+alone.  A long stretch is read in pieces that overlap, so that each window lies in a piece.
+A candidate with a stretch whose largest window entropy reaches its class's limit is a span of
+kind `entropy`, unless it lies within a fixed pattern's span; one that
 reaches beyond such a span stands whole beside it.
 
 Edge cases: a null or empty text has no spans; ties of start go by kind (assign, access, hex,
@@ -29,20 +30,22 @@ HEX = r"[0-9a-f]{24,}"
 MIN_SECRET = 6
 
 KINDS = ("assign", "access", "hex", "entropy")
-CANDIDATE = r"[A-Za-z0-9+/=_-]{20,256}"
+CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
 WINDOW = 20
-# class name, pattern of a whole candidate, what it must also contain, bits of entropy
+PIECE = 256
+# class name, pattern of a stretch, what it must also contain, bits of entropy
 CLASSES = (
-    ("hex", r"^[0-9a-fA-F]+$", (r"[0-9]", r"[a-fA-F]"), 3.0),
-    ("alnum", r"^[A-Za-z0-9]+$", (r"[0-9]", r"[A-Z]", r"[a-z]"), 3.7),
-    ("base64", r"^[A-Za-z0-9+/=_-]+$", (r"[0-9]", r"[A-Z]", r"[a-z]"), 3.9),
+    ("hex", r"[0-9a-fA-F]{20,}", (r"[0-9]", r"[a-fA-F]"), 3.0),
+    ("alnum", r"[A-Za-z0-9]{20,}", (r"[0-9]", r"[A-Z]", r"[a-z]"), 3.7),
+    ("base64", r"[A-Za-z0-9+/=_-]{20,}", (r"[0-9]", r"[A-Z]", r"[a-z]"), 3.9),
 )
-# What looks random but is no secret: identifiers, placeholders and paths.
+# What looks random but is no secret: identifiers, digests, and placeholders with the letters
+# and digits that they are joined to. Only what a pattern matches is allowed, not its candidate.
 ALLOW = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"(?i)(example|sample|dummy|placeholder|changeme|redacted)",
-    r"(?i)^(sha1|sha256|sha512|md5)-",
-    r"(?i)(abcdefgh|01234567)",
+    r"(?i)[a-z0-9]{0,64}(example|sample|dummy|placeholder|changeme|redacted)[a-z0-9]{0,64}",
+    r"(?i)^(sha1|sha256|sha512|md5)-([0-9a-f]{128}|[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[a-z0-9+/]{86}==|[a-z0-9+/]{43}=|[a-z0-9+/]{27}=|[a-z0-9+/]{22}==)",
+    r"(?i)[a-z0-9]{0,64}(abcdefgh|01234567)[a-z0-9]{0,64}",
 )
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -88,17 +91,27 @@ def window_entropy(s: Column, window: int = WINDOW) -> Column:
     return F.when(F.length(s) >= window, F.lit(math.log2(window)) - least / F.lit(float(window)))
 
 
+def _reaches(s: Column, bits: float) -> Column:
+    """Whether the entropy of some window of `s`, of any length, reaches `bits`."""
+    chunks = F.regexp_extract_all(s, F.lit("(?s).{1,%d}" % (PIECE - WINDOW + 1)), F.lit(0))
+    pieces = F.transform(chunks, lambda c, i: F.concat(c, F.coalesce(F.substring(F.get(chunks, i + 1), 1, WINDOW - 1), F.lit(""))))
+    return F.exists(pieces, lambda p: F.coalesce(window_entropy(p) >= bits, F.lit(False)))
+
+
 def _suspicious(s: Column, classes: Sequence, allow: Sequence[str]) -> Column:
-    allowed = F.lit(False)
     for pattern in allow:
-        allowed = allowed | s.rlike(pattern)
+        s = F.regexp_replace(s, pattern, " ")
     hit = F.lit(False)
-    for _, whole, also, bits in classes:
-        of_class = s.rlike(whole)
-        for pattern in also:
-            of_class = of_class & s.rlike(pattern)
-        hit = hit | (of_class & (window_entropy(s) >= bits))
-    return ~allowed & hit
+    for _, stretch, also, bits in classes:
+
+        def of_class(x: Column, also=also, bits=bits) -> Column:
+            has = F.lit(True)
+            for pattern in also:
+                has = has & x.rlike(pattern)
+            return has & _reaches(x, bits)
+
+        hit = hit | F.exists(F.regexp_extract_all(s, F.lit(stretch), F.lit(0)), lambda x: of_class(x))
+    return hit
 
 
 def secret_scan(docs: DataFrame, text_col: str = "text", classes: Sequence = CLASSES, allow: Sequence[str] = ALLOW) -> DataFrame:

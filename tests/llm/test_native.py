@@ -135,6 +135,18 @@ def test_secrets_joined_to_base_secrets(spark):
     assert {x["text"] for x in secrets.redact(docs(spark, every)).collect()} == {"see [REDACTED] there"}
 
 
+def test_keys_in_long_runs(spark):
+    r = random.Random(12)
+    key = random_key(r)
+    runs = ["w" * n + "/" + key for n in (230, 240, 250, 255)]  # across the places where runs were cut
+    runs += ["/".join(["path"] * 300) + "/" + key + "/" + "/".join(["path"] * 300), "w" * 245 + "/" + random_key(r, 20)]
+    runs += [f"example/{key}", f"{key}/sample/dummy", f"sha256-abc/{key}"]
+    fine = ["/".join(["path"] * 300), "example/" + "/".join(["path"] * 10), "see/example" + key, "sha256-" + random_key(r, 43) + "="]
+    got = [[tuple(s) for s in x["secret_spans"]] for x in secrets.secret_scan(docs(spark, [f"see {t} there" for t in runs + fine])).orderBy("doc_id").collect()]
+    assert got == [[(4, 3, 4 + len(t))] for t in runs] + [[]] * len(fine)
+    assert {x["text"] for x in secrets.redact(docs(spark, [f"see {t} there" for t in runs])).collect()} == {"see [REDACTED] there"}
+
+
 def test_redaction(spark):
     got = {x["doc_id"]: x["text"] for x in secrets.redact(docs(spark, ["a token=deadbeefdeadbeefdeadbeef00 b", "clean", None])).collect()}
     assert got == {0: "a [REDACTED] b", 1: "clean", 2: None}
