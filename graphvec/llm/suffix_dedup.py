@@ -6,60 +6,77 @@ match are sorted, and none that matches is left out:
 
 1 Anchors.  Winnowing marks the smallest hashed GRAM in each window of LENGTH bytes, so equal
   strings hold equal anchors at equal offsets.  A task sends on the anchors of its batch by
-  bucket of the anchor's hash, with a hash of the anchor's whole neighbourhood (all strings of
-  LENGTH bytes around it).  Of equal neighbourhoods in a batch only the smallest doc_id
-  travels; the others are already known to repeat it.
-2 Buckets.  A bucket is sorted at a time.  Rows with an equal neighbourhood repeat the smallest
-  doc_id's.  An anchor with different neighbourhoods may be the edge of a repeat: of each kind
-  those of the smallest doc_id, everywhere it has them, go on to step 3.
+  bucket of the anchor's hash, with a hash of the anchor's neighbourhood (all strings of LENGTH
+  bytes around it).  Of equal neighbourhoods in a batch only the smallest doc_id's travel; the
+  others are compared with it byte by byte at once.  An anchor with LOCAL_HOT different
+  neighbourhoods in one batch is split over buckets by neighbourhood.
+2 Buckets.  A bucket is sorted at a time.  Each row with an equal neighbourhood in a smaller
+  doc_id claims to equal the row before it; a claim is no proof, see step 4.  An anchor with
+  different neighbourhoods may be the edge of a repeat: of each kind those of the smallest
+  doc_id, everywhere it has them, go on to step 3.
 3 Suffixes.  The neighbourhoods' bytes are laid out as a local text in which equal offsets from
   the anchor have equal residues modulo 13.  Ranks of the suffixes at the difference cover
   {0, 1, 3, 9} (mod 13) are found first, by prefix doubling from 13 to 39 bytes.  Then the
   suffixes of one offset at a time are sorted by their first 13 bytes, ties by the cover rank
   where both suffixes next meet the cover, and last by the final 13 bytes.  Suffixes that
-  compare equal share LENGTH bytes; all but the smallest doc_id's are repeats.
-4 Each document's repeats are merged and cut out.
+  compare equal share LENGTH bytes; all but the smallest doc_id's are repeats.  An anchor with
+  over `hot` neighbourhoods is split in two by the bytes that the upper and the lower half of
+  its offsets share, again and again if need be, until a group is one string.
+4 The bytes behind each claim are fetched from the document that it names and compared with the
+  claiming document's when the repeats are cut out.  If any differ, two neighbourhoods had one
+  hash: the attempt is void and another is made with another hash.
 
-A task holds one batch of texts, one bucket or one block of neighbourhoods; an anchor with
-more than HOT neighbourhoods is grouped by its strings instead, summed before the shuffle.
+Tasks hold a batch of texts, a bucket's different neighbourhoods or a block of them; there are
+as many tasks as the bytes of the table ask for, and buckets as many as its anchors.
 
 Edge cases: a null text is empty and stays so; texts shorter than LENGTH are never changed; a
-null doc_id neither removes nor loses anything; rows that repeat a doc_id must repeat its text
-and are treated alike; an empty table gives no rows; extra columns are ignored.
+null doc_id neither removes nor loses anything; rows that repeat a doc_id, with the same text or
+another, are each judged on their own text and never remove from one another; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
-import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphvec.storage import materialize
+from graphvec.storage import broadcast_if_small, materialize
 
 LENGTH = 50
-GRAM = 18
+GRAM = 24
 LEFT = LENGTH - GRAM  # bytes of a neighbourhood before the anchor
 WIDTH = LEFT + LENGTH  # bytes of a neighbourhood
 PERIOD, COVER = 13, (0, 1, 3, 9)  # a perfect difference set: covers every difference
 SLOT = -(-WIDTH // PERIOD) * PERIOD  # a neighbourhood's place in the local text
 BATCH_BYTES = 8 << 20
+SEGMENT = 1 << 20  # bytes of a text hashed at a time
 SLICE_ROWS = 256  # texts held as Python objects at a time
+LOCAL_HOT = 64
 BUCKET_ANCHORS = 600_000
+TASK_BYTES = 48 << 20  # of texts; more only where that would make over MAX_TASKS tasks
+MAX_TASKS = 50_000
+COLLAPSE_ROWS = 1_000_000
 BLOCK_ROWS = 20_000
-HOT = 500_000
+HOT = 100_000
+SEEDS = 8
+VERSION = 40  # a place is a version of the doc_id's text above so many bits, and an offset
 
-_B, _M = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
-_MASK = (1 << 64) - 1
+_M = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _power(n: int) -> np.uint64:
-    return np.uint64(pow(_B, n, 1 << 64))
+def _base(seed: int) -> int:
+    return (0x9E3779B97F4A7C15 + seed * 0x5851F42D4C957F2E) & ((1 << 64) - 1) | 1
+
+
+def _power(base: int, n: int) -> np.uint64:
+    return np.uint64(pow(base, n, 1 << 64))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -69,18 +86,20 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def gram_hashes(b: np.ndarray) -> np.ndarray:
+def gram_hashes(b: np.ndarray, seed: int = 0) -> np.ndarray:
     """Hash of the GRAM bytes from each place on, by doubling a polynomial hash."""
+    base = _base(seed)
     have, h = 1, b.astype(np.uint64) + np.uint64(1)
     powers = {1: h}
     while have * 2 <= GRAM:
-        h = h[:-have] * _power(have) + h[have:]
+        h = h[:-have] * _power(base, have) + h[have:]
         have *= 2
-        powers[have] = h
+        if GRAM & have:
+            powers[have] = h
     rest = GRAM - have
     for size in sorted((s for s in powers if s & rest), reverse=True):
         part = powers[size][have:]
-        h = h[: len(part)] * _power(size) + part[: len(h)]
+        h = h[: len(part)] * _power(base, size) + part[: len(h)]
         have += size
     return _mixed(h)
 
@@ -102,34 +121,53 @@ def anchors(h: np.ndarray) -> np.ndarray:
     return np.flatnonzero(_sliding(np.concatenate((edge, least, edge)), w, np.maximum) == h)
 
 
-def neighbourhoods(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+def neighbourhoods(h: np.ndarray, at: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """Hash of bytes [at - LEFT, at + LENGTH) of a text of n bytes, cut at its ends: grams
     that cover them, and how much was cut."""
     first, last = np.maximum(at - LEFT, 0), np.minimum(at + LENGTH, n) - GRAM
-    c = ((at - first) * 256 + (last - at)).astype(np.uint64)
+    c = ((at - first) * 256 + (last - at)).astype(np.uint64) + np.uint64(seed << 16)
     for place in (first, np.maximum(at - GRAM, first), at, np.minimum(at + GRAM, last), last):
-        c = _mixed(c * _power(3) + h[place])
+        c = _mixed(c * np.uint64(_base(3)) + h[place])
     return c
 
 
+def anchors_of(b: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor's hash, neighbourhood's hash, place) of every anchor of a text; a long text is
+    read in segments that overlap, and every window of LENGTH bytes lies in one."""
+    n, found = len(b), []
+    for start in range(0, max(1, n - LENGTH + 1), SEGMENT):
+        end = min(n, start + SEGMENT + LENGTH - 1)
+        low, high = max(0, start - LEFT), min(n, end + LENGTH)  # neighbourhoods reach beyond
+        h = gram_hashes(b[low:high], seed)
+        at = anchors(h[start - low : end - low - GRAM + 1]) + (start - low)
+        found.append((h[at], neighbourhoods(h, at, high - low, seed), at + low))
+    h, c, at = (np.concatenate(x) for x in zip(*found)) if len(found) > 1 else found[0]
+    if len(found) > 1:
+        at, once = np.unique(at, return_index=True)
+        h, c = h[once], c[once]
+    return h, c, at
+
+
 ROWS = "bucket int, marks boolean, data binary"
 
 
 def _pack(*columns: np.ndarray) -> bytes:
-    """Columns of equal length as byte planes, compressed."""
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T for c in columns]
-    return zlib.compress(np.concatenate(planes).tobytes(), 1)
+    """Columns of equal length as byte planes, which shuffle compression shrinks."""
+    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
 
 
 def _unpack(data: bytes, *kinds: type) -> list[np.ndarray]:
     sizes = [np.dtype(k).itemsize for k in kinds]
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(sum(sizes), -1)
+    planes = np.frombuffer(data, np.uint8).reshape(sum(sizes), -1)
     ends = np.cumsum(sizes)
     return [np.ascontiguousarray(planes[e - s : e].T).view(k).ravel() for k, s, e in zip(kinds, sizes, ends)]
 
 
-def _bytes(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
+def _raw(column: pa.Array) -> Iterator[np.ndarray]:
+    """The bytes of each text of a column, a null as none."""
+    for x in column.cast(pa.binary()):
+        b = x.as_buffer()
+        yield np.frombuffer(b, np.uint8) if b is not None else np.zeros(0, np.uint8)
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,116 +176,207 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(at, SLICE_ROWS)
 
 
-def _find_anchors(buckets: int):
+def _runs(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of equal doc that overlap or touch, merged: doc, start and size."""
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], end[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > end[:-1])  # all ends follow their starts in one order
+    first = np.flatnonzero(new)
+    return doc[first], start[first], (np.maximum.reduceat(end, first) if len(first) else end) - start[first]
+
+
+def _same_bytes(whole: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> bool:
+    """Whether the neighbourhoods of rows i and j hold equal bytes; `left` and `right` say how
+    far a neighbourhood reaches from its place in `whole`."""
+    if (left[i] != left[j]).any() or (right[i] != right[j]).any():
+        return False
+    reach = np.arange(-LEFT, LENGTH)
+    for k in range(0, len(i), 20_000):
+        a, b = i[k : k + 20_000], j[k : k + 20_000]
+        inside = (reach >= -left[a, None]) & (reach < right[a, None])
+        x, y = (whole.take(at[r, None] + reach, mode="clip") for r in (a, b))
+        if ((x != y) & inside).any():
+            return False
+    return True
+
+
+KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.uint8)  # anchor, neighbourhood, doc_id, place, whether the anchor has others elsewhere
+
+
+def _find_anchors(buckets: int, seed: int, bits: int):
+    kept = np.uint64((1 << bits) - 1)
     shift = np.uint64(64 - (buckets.bit_length() - 1)) if buckets > 1 else None
 
-    def out(ids: list, found: list) -> Iterator[pa.RecordBatch]:
-        docs = np.array(ids, np.int64)
+    def bucket_of(x: np.ndarray) -> np.ndarray:
+        return (x >> shift).astype(np.int64) if shift is not None else np.zeros(len(x), np.int64)
+
+    def out(units: list, found: list, texts: list) -> Iterator[pa.RecordBatch]:
+        counts, sizes = np.array([len(f[0]) for f in found]), np.array([len(t) for t in texts])
         h, c, at = (np.concatenate([f[k] for f in found]) for k in range(3))
-        doc = np.repeat(docs, [len(f[0]) for f in found])
-        order = np.lexsort((doc, c, h))
-        h, c, at, doc = h[order], c[order], at[order], doc[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else doc
-        again = doc != least  # equal neighbourhood in a smaller document of this batch
-        bucket = (h >> shift).astype(np.int32) if shift is not None else np.zeros(len(h), np.int32)
+        doc, high = (np.repeat(np.array([u[k] for u in units], np.int64), counts) for k in (0, 1))
+        size, base = np.repeat(sizes, counts), np.repeat(np.cumsum(sizes) - sizes, counts)
+        order = np.lexsort((at, high, doc, c, h))
+        h, c, at, doc, high, size, base = (x[order] for x in (h, c, at, doc, high, size, base))
+        place = (high << VERSION) + at
+        new_h, new = np.ones(len(h), bool), np.ones(len(h), bool)
+        new_h[1:] = h[1:] != h[:-1]
+        new[1:] = new_h[1:] | (c[1:] != c[:-1])
+        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        again = np.flatnonzero(doc != least)  # equal neighbourhood in a smaller document of this batch
         rows = []
-        if again.any():
-            rows.append((int(bucket[0]), True, _pack(doc[again], at[again].astype(np.uint32))))
-        stay = np.flatnonzero(~again)
-        h, c, at, doc, bucket = h[stay], c[stay], at[stay], doc[stay], bucket[stay]
-        cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            rows.append((int(bucket[a]), False, _pack(h[a:b], (c[a:b] & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)[:, :5], doc[a:b], at[a:b].astype(np.uint32))))
+        if len(again):
+            same = _same_bytes(np.concatenate(texts), base + at, np.minimum(at, LEFT), np.minimum(size - at, LENGTH), again, again - 1)
+            own, start, end = doc[again], place[again] - np.minimum(at, LEFT)[again], place[again] + np.minimum(size - at, LENGTH)[again]
+            merged = _runs(own, start, end) if same else (own[:1], start[:1], np.zeros(1, np.int64))  # a run of 0 bytes: void
+            rows.append((int(doc[0] % buckets), True, _pack(merged[0], merged[1], merged[2].astype(np.int64))))
+        once = np.ones(len(h), bool)
+        once[1:] = new[1:] | (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])
+        once[again] = False
+        kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_h))
+        local_hot = kinds >= LOCAL_HOT
+        stay = np.flatnonzero(once)
+        hot = local_hot[np.cumsum(new_h) - 1][stay]
+        marks = h[np.flatnonzero(new_h)][local_hot]  # one row that says: this anchor has others elsewhere
+        none = np.zeros(len(marks), np.uint64)
+        bucket = np.concatenate((np.where(hot, bucket_of(_mixed(h[stay] ^ c[stay])), bucket_of(h[stay])), bucket_of(marks)))
+        columns = [np.concatenate(x) for x in ((h[stay], marks), (c[stay], none), (doc[stay], none.view(np.int64)), (place[stay], none.view(np.int64)), (hot.astype(np.uint8), np.full(len(marks), 2, np.uint8)))]
+        order = np.argsort(bucket, kind="stable")
+        bucket, columns = bucket[order], [x[order] for x in columns]
+        cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+        rows += [(int(bucket[a]), False, _pack(*[x[a:b] for x in columns])) for a, b in zip(cuts[:-1], cuts[1:])]
         for i in range(0, len(rows), 64):
             b, m, d = zip(*rows[i : i + 64])
             yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(m), pa.array(d, pa.binary())], names=["bucket", "marks", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, found, size = [], [], 0
+        units, found, texts, size = [], [], [], 0
         for batch in sliced(batches):
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                b = np.frombuffer(_bytes(text), np.uint8)
+            for doc, version, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _raw(batch.column(2))):
                 if doc is None or len(b) < LENGTH:
                     continue
-                h = gram_hashes(b)
-                at = anchors(h)
-                ids.append(doc)
-                found.append((h[at], neighbourhoods(h, at, len(b)), at))
+                units.append((doc, version))
+                h, c, at = anchors_of(b, seed)
+                found.append((h, c & kept, at))
+                texts.append(b)
                 size += len(b)
                 if size >= BATCH_BYTES:
-                    yield from out(ids, found)
-                    ids, found, size = [], [], 0
+                    yield from out(units, found, texts)
+                    units, found, texts, size = [], [], [], 0
         if found:
-            yield from out(ids, found)
+            yield from out(units, found, texts)
 
     return run
 
 
-FOUND = "doc_id bigint, at int, anchor bigint"
+#: a run of repeated bytes (size set), a claim to equal another place (pdoc set), or an edge (anchor set); without doc_id: the attempt is void
+FOUND = "doc_id bigint, place bigint, size bigint, pdoc bigint, pplace bigint, anchor bigint"
+
+
+FOUND_SCHEMA = pa.schema([(k, pa.int64()) for k in ("doc_id", "place", "size", "pdoc", "pplace", "anchor")])
 
 
-def _found(doc: np.ndarray, at: np.ndarray, anchor: np.ndarray | None = None) -> pa.RecordBatch:
-    hashes = pa.nulls(len(doc), pa.int64()) if anchor is None else pa.array(anchor.view(np.int64))
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(at.astype(np.int32)), hashes], names=["doc_id", "at", "anchor"])
+def _found(doc: np.ndarray, place: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
+    null = pa.nulls(len(doc), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place), *[pa.array(more[k]) if k in more else null for k in FOUND_SCHEMA.names[2:]]], schema=FOUND_SCHEMA)
 
 
-def _sort_bucket(held: list[bytes]) -> Iterator[pa.RecordBatch]:
-    parts = [_unpack5(d) for d in held]
-    h, c, doc, at = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((doc, c, h))
-    h, c, doc, at = h[order], c[order], doc[order], at[order]
-    new_h = np.ones(len(h), bool)
-    new_h[1:] = h[1:] != h[:-1]
-    new_c = new_h.copy()
-    new_c[1:] |= c[1:] != c[:-1]
-    firsts = np.flatnonzero(new_c)
-    least = doc[firsts][np.cumsum(new_c) - 1]
-    again = doc != least
-    if again.any():
-        yield _found(doc[again], at[again])
-    kinds = np.bincount(np.cumsum(new_h) - 1, new_c)  # of neighbourhoods of each anchor
-    edge = np.flatnonzero(~again & (kinds[np.cumsum(new_h) - 1] > 1))
-    if len(edge):
-        yield _found(doc[edge], at[edge], h[edge])
+class Bucket:
+    """The rows of a bucket.  Once there are many, those with an equal neighbourhood give way to
+    the smallest doc_id's, so what is held follows the different neighbourhoods."""
 
+    def __init__(self):
+        self.parts: list[list[np.ndarray]] = []
+        self.rows = self.limit = 0
 
-def _unpack5(data: bytes) -> list[np.ndarray]:
-    h, c, doc, at = _unpack(data, np.uint64, np.dtype("V5"), np.int64, np.uint32)
-    wide = np.zeros((len(h), 8), np.uint8)
-    wide[:, :5] = c.view(np.uint8).reshape(-1, 5)
-    return [h, wide.view(np.uint64).ravel(), doc, at]
+    def add(self, data: bytes) -> Iterator[pa.RecordBatch]:
+        self.parts.append(_unpack(data, *KINDS))
+        self.rows += len(self.parts[-1][0])
+        if self.rows > max(COLLAPSE_ROWS, self.limit):
+            yield from self.collapse()
+            self.limit = 2 * self.rows
+
+    def collapse(self) -> Iterator[pa.RecordBatch]:
+        h, c, doc, place, flag = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((place, doc, c, flag, h))
+        h, c, doc, place, flag = (x[order] for x in (h, c, doc, place, flag))
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (flag[1:] != flag[:-1])
+        once = new.copy()
+        once[1:] |= (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])
+        h, c, doc, place, flag, new = (x[once] for x in (h, c, doc, place, flag, new))
+        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        again = np.flatnonzero(doc != least)
+        if len(again):
+            yield _found(doc[again], place[again], pdoc=doc[again - 1], pplace=place[again - 1])
+        stay = doc == least
+        self.parts = [[x[stay] for x in (h, c, doc, place, flag)]]
+        self.rows = int(stay.sum())
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        yield from self.collapse()
+        h, c, doc, place, flag = self.parts[0]
+        new_h = np.ones(len(h), bool)
+        new_h[1:] = h[1:] != h[:-1]
+        new = new_h.copy()
+        new[1:] |= (c[1:] != c[:-1]) | (flag[1:] != flag[:-1])
+        anchor = np.cumsum(new_h) - 1
+        kinds = np.bincount(anchor, new) + 2 * np.bincount(anchor, flag > 0)  # of neighbourhoods of each anchor
+        edge = np.flatnonzero((kinds[anchor] > 1) & (flag < 2))
+        if len(edge):
+            yield _found(doc[edge], place[edge], anchor=h[edge].view(np.int64))
 
 
 def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    now, held = None, []
+    now, held = None, Bucket()
     for b in batches:
         for bucket, marks, data in zip(*(b.column(i).to_pylist() for i in range(3))):
             if marks:
-                yield _found(*_unpack(data, np.int64, np.uint32))
+                doc, place, size = _unpack(data, np.int64, np.int64, np.int64)
+                yield _found(doc, place, size=size) if size.all() else pa.RecordBatch.from_pylist([{}], FOUND_SCHEMA)
                 continue
-            if bucket != now and held:
-                yield from _sort_bucket(held)
-                held = []
+            if bucket != now and held.parts:
+                yield from held.close()
+                held = Bucket()
             now = bucket
-            held.append(data)
-    if held:
-        yield from _sort_bucket(held)
+            yield from held.add(data)
+    if held.parts:
+        yield from held.close()
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbourhoods of the asked anchors: anchor, doc_id, start, and the bytes."""
+def _join_claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Claims sorted by doc_id and place -> runs: a row asks for `size` bytes of pdoc at pplace."""
     for b in batches:
-        for i in range(b.num_rows):
-            text, doc = _bytes(b.column(1)[i].as_py()), b.column(0)[i].as_py()
-            asked = b.column(2)[i].as_py()
-            for k in range(0, len(asked), 20_000):
-                part = asked[k : k + 20_000]
-                at = [x["at"] for x in part]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x["anchor"] for x in part], pa.int64()), pa.array([doc] * len(part), pa.int64()), pa.array(at, pa.int32()),
-                     pa.array([text[max(0, a - LEFT) : a + LENGTH] for a in at], pa.binary())], names=["anchor", "doc_id", "at", "near"])
+        doc, place, pdoc, pplace = (np.asarray(b.column(i)) for i in range(4))
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (pdoc[1:] != pdoc[:-1]) | (np.diff(place) != np.diff(pplace)) | (np.diff(place) > WIDTH)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(doc)) - 1
+        left = np.minimum(LEFT, np.minimum(place, pplace)[first] & ((1 << VERSION) - 1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (pdoc[first], pplace[first] - left, place[last] - place[first] + left + LENGTH, doc[first], place[first] - left)],
+            names=["pdoc", "pplace", "size", "doc_id", "place"])
+
+
+PIECES = "anchor bigint, doc_id bigint, version int, place bigint, size bigint, near binary"
+
+
+def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes asked of each text: (text, [(from, size, anchor, doc_id, place)])."""
+    low = (1 << VERSION) - 1
+    for b in sliced(batches):
+        asked = b.column(1)
+        ends = np.asarray(asked.offsets)
+        flat = asked.values
+        at, size = (np.asarray(flat.field(k)) for k in (0, 1))
+        for i, raw in enumerate(_raw(b.column(0))):
+            text = raw.tobytes()
+            for k in range(ends[i], ends[i + 1], 20_000):
+                rows = slice(k, min(k + 20_000, ends[i + 1]))
+                place = flat.field(4)[rows].to_numpy()
+                near = [text[a : a + n] for a, n in zip(at[rows].tolist(), size[rows].tolist())]
+                yield pa.RecordBatch.from_arrays([flat.field(2)[rows], flat.field(3)[rows], pa.array((place >> VERSION).astype(np.int32)), pa.array(place & low), flat.field(1)[rows], pa.array(near, pa.binary())],
+                                                 names=["anchor", "doc_id", "version", "place", "size", "near"])
 
 
 def _keys(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,20 +414,21 @@ def cover_ranks(text: np.ndarray) -> dict[int, np.ndarray]:
     return {c: by_39[i] for i, c in enumerate(upto)}
 
 
-def repeats(anchor: np.ndarray, doc: np.ndarray, at: np.ndarray, near: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(doc_id, start) of every string of LENGTH bytes around an anchor that also stands around
-    the same anchor in a smaller document."""
+def repeats(anchor: np.ndarray, low: np.ndarray, high: np.ndarray, doc: np.ndarray, cut: np.ndarray, near: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, offset) of every string of LENGTH bytes around an anchor that also stands around
+    the same anchor in a smaller document.  A row's bytes begin `cut` columns into its slot, and
+    its offsets are `low` to `high`."""
     n = len(near)
     text = np.zeros((n, SLOT), np.uint8)
-    low = LEFT - np.minimum(at, LEFT)  # the first column with bytes of the text
-    high = low + np.fromiter(map(len, near), np.int64, n)
-    for i, b in enumerate(near):
-        text[i, low[i] : high[i]] = np.frombuffer(b, np.uint8)
+    ends = cut + np.fromiter(map(len, near), np.int64, n)
+    flat = np.frombuffer(b"".join(near), np.uint8)
+    column = np.arange(SLOT)
+    text[(column >= cut[:, None]) & (column < ends[:, None])] = flat
     ranks = cover_ranks(text)
     group = _ranks(anchor.view(np.uint64))
-    docs, starts = [], []
+    found_rows, found_at = [], []
     for s in range(LEFT + 1):  # one suffix bucket: the suffixes that start s bytes into a slot
-        rows = np.flatnonzero((low <= s) & (high >= s + LENGTH))
+        rows = np.flatnonzero((cut <= s) & (ends >= s + LENGTH) & (low <= s) & (s <= high))
         if len(rows) < 2:
             continue
         meet = next(s + d for d in range(PERIOD) if (s + d) % PERIOD in COVER)
@@ -314,11 +444,11 @@ def repeats(anchor: np.ndarray, doc: np.ndarray, at: np.ndarray, near: list[byte
             new[1:] |= k[1:] != k[:-1]
         own = doc[rows][order]
         again = own != own[np.flatnonzero(new)][np.cumsum(new) - 1]
-        docs.append(own[again])
-        starts.append((at[rows][order] - LEFT + s)[again])
-    if not docs:
+        found_rows.append(rows[order][again])
+        found_at.append(np.full(int(again.sum()), s))
+    if not found_rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(docs), np.concatenate(starts)
+    return np.concatenate(found_rows), np.concatenate(found_at)
 
 
 def _shorter(text: np.ndarray, rows: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -329,12 +459,15 @@ def _shorter(text: np.ndarray, rows: np.ndarray, a: int, b: int) -> np.ndarray:
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by anchor (anchor, low, high, doc_id, version, at, near) -> runs of repeats."""
     held: list[pa.RecordBatch] = []
 
     def solve(b: pa.RecordBatch) -> pa.RecordBatch:
-        anchor, doc, at = (np.asarray(b.column(i)) for i in range(3))
-        docs, starts = repeats(anchor, doc, at.astype(np.int64), b.column(3).to_pylist())
-        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(starts.astype(np.int32))], names=["doc_id", "start"])
+        anchor, low, high, doc, version, at = (np.asarray(b.column(i)).astype(np.int64) for i in range(6))
+        rows, s = repeats(anchor, low, high, doc, LEFT - np.minimum(at, LEFT), b.column(6).to_pylist())
+        begin = (version[rows] << VERSION) + at[rows] - LEFT + s
+        own, first, size = _runs(doc[rows], begin, begin + LENGTH)
+        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(first), pa.array(size)], names=["doc_id", "place", "size"])
 
     for b in batches:
         held.append(b)
@@ -347,42 +480,66 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [whole.slice(cut)]
         if cut:
             yield solve(whole.slice(0, cut))
+        elif whole.column(1)[0].as_py() == whole.column(2)[0].as_py():
+            # one string, so the smallest doc_id's row stands for all that came before
+            yield solve(whole)
+            doc = np.asarray(whole.column(3))
+            held = [whole.slice(int(doc.argmin()), 1)]
     if held and sum(x.num_rows for x in held):
         yield solve(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
 
-def _by_string(hot: DataFrame) -> DataFrame:
-    """Repeats of anchors with very many neighbourhoods: one row for each string, whose
-    smallest doc_id is found before the shuffle and joined back."""
-    s = hot.withColumn("low", LEFT - F.least("at", F.lit(LEFT)))
-    s = s.withColumn("k", F.explode(F.expr(f"if(octet_length(near) >= {LENGTH}, sequence(0, octet_length(near) - {LENGTH}), array())")))
-    s = s.select("anchor", "doc_id", (F.col("at") - LEFT + F.col("low") + F.col("k")).alias("start"), (F.col("low") + F.col("k")).alias("off"), F.expr(f"substring(near, k + 1, {LENGTH})").alias("string"))
-    least = s.groupBy("anchor", "off", "string").agg(F.min("doc_id").alias("least"))
-    return s.join(least, ["anchor", "off", "string"]).where("doc_id <> least").select("doc_id", "start")
+def _halved(level: DataFrame) -> DataFrame:
+    """Each row twice, for the lower and the upper half of its offsets: an anchor's strings at
+    some offsets share the bytes from the last one on to the end of the first one."""
+    low, high = F.col("low"), F.col("high")
+    middle = F.floor((low + high) / 2).cast("int")
+    parts = level.withColumn("part", F.explode(F.array(F.struct(low.alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), high.alias("b")))))
+    cut = F.lit(LEFT) - F.least("at", F.lit(LEFT))
+    parts = parts.select("anchor", F.col("part.a").alias("low"), F.col("part.b").alias("high"), "doc_id", "version", "at", "near", cut.cast("int").alias("cut"))
+    whole = parts.where(f"cut <= high and cut + octet_length(near) >= low + {LENGTH}")  # a row without these bytes has none of the strings
+    shared = F.expr(f"substring(near, high - cut + 1, low + {LENGTH} - high)")
+    return whole.select(F.xxhash64("anchor", "low", shared).alias("anchor"), "low", "high", "doc_id", "version", "at", "near")
+
+
+def _split(edges: DataFrame, hot: int) -> DataFrame:
+    """`edges` with anchors of over `hot` rows halved until they have fewer, or one string each."""
+    level, done = edges, []
+    while True:
+        big = materialize(level.where("low < high").groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "hot-anchors")
+        if big.isEmpty():
+            break
+        big = broadcast_if_small(big, 100_000)
+        done.append(level.join(big, "anchor", "left_anti"))
+        level = materialize(_halved(level.join(big, "anchor", "left_semi")), "halves")
+    for other in done:
+        level = level.unionAll(other)
+    return level
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         rows = []
-        for doc, text, ranges in zip(*(c.to_pylist() for c in batch.columns)):
-            b = _bytes(text)
-            gone = spans = 0
-            if ranges:
-                places = np.array(ranges, np.int64)  # an anchor's place, or minus one minus a string's start
-                is_anchor = places >= 0
-                start = np.where(is_anchor, np.maximum(places - LEFT, 0), -1 - places)
-                end = np.minimum(np.where(is_anchor, places, -1 - places) + LENGTH, len(b))
-                depth = np.cumsum(np.bincount(start, minlength=len(b) + 1) - np.bincount(end, minlength=len(b) + 1))[:-1]
-                keep = depth == 0
-                gone = len(b) - int(keep.sum())
-                spans = int((~keep[1:] & keep[:-1]).sum() + (not keep[0]))
-                b_kept = np.frombuffer(b, np.uint8)[keep].tobytes()
-            else:
-                b_kept = b
-            rows.append((doc, len(b), gone, spans, b_kept))
-        cols = list(zip(*rows)) or [()] * 5
-        types = [pa.int64()] * 4 + [pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        marks = batch.column(2)
+        ends, flat, valid = np.asarray(marks.offsets), marks.values, np.asarray(marks.is_valid())
+        starts, sizes, nears = np.asarray(flat.field(0)), np.asarray(flat.field(1)), flat.field(2)
+        for i, (doc, raw) in enumerate(zip(batch.column(0).to_pylist(), _raw(batch.column(1)))):
+            n, kept, gone, spans, void = len(raw), raw, 0, 0, False
+            if valid[i] and ends[i] < ends[i + 1]:
+                own = slice(ends[i], ends[i + 1])
+                start, size = starts[own], sizes[own]
+                for a, k, near in zip(start.tolist(), size.tolist(), nears[own].to_pylist()):
+                    void |= near is not None and raw[a : a + k].tobytes() != near
+                order = np.argsort(start, kind="stable")
+                start, end = start[order], np.maximum.accumulate(np.minimum(start + size, n)[order])
+                first = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
+                start, end = start[first], end[np.append(first[1:], len(end)) - 1]
+                gone, spans = int((end - start).sum()), len(start)
+                kept = np.concatenate([raw[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), n])])
+            rows.append((doc, n, gone, spans, kept.tobytes(), void))
+        cols = list(zip(*rows)) or [()] * 6
+        types = [pa.int64()] * 4 + [pa.binary(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "void"])
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -400,22 +557,73 @@ def _dropping_shuffles(spark):
         spark.conf.set(CLEANUP, before)
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot: int = HOT) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that stay) for each row."""
+def _versions(d: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, version, text) for all rows of `d`, and one for each (doc_id, version): the
+    different texts of a repeated doc_id are numbered."""
+    h = F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")
+    ids = d.select("doc_id", h).groupBy("doc_id").agg(F.count("*").alias("n"), (F.min("h") < F.max("h")).alias("differ"))
+    twice = materialize(ids.where("n > 1").select("doc_id", "differ"), "repeated-ids")
+    n, differ = twice.agg(F.count("*"), F.coalesce(F.max("differ"), F.lit(False))).first()
+    d = d.select("doc_id", "text", h)
+    if differ:
+        texts = d.join(broadcast_if_small(twice.where("differ").select("doc_id"), 100_000), "doc_id", "left_semi").select("doc_id", "h").distinct()
+        numbers = texts.withColumn("version", F.row_number().over(Window.partitionBy("doc_id").orderBy("h")) - 1)
+        d = d.join(broadcast_if_small(materialize(numbers, "versions"), 100_000), ["doc_id", "h"], "left")
+    else:
+        d = d.withColumn("version", F.lit(0))
+    d = d.select("doc_id", F.coalesce("version", F.lit(0)).cast("int").alias("version"), "text")
+    return d, d.dropDuplicates(["doc_id", "version"]) if n else d
+
+
+def _attempt(d: DataFrame, texts: DataFrame, size: int, hot: int, seed: int, bits: int) -> DataFrame | None:
+    """The result, or None if two different neighbourhoods were found to have one hash."""
+    tasks = max(1, math.ceil(size / max(TASK_BYTES, size / MAX_TASKS)))
+    buckets = 1 << max(3, math.ceil(math.log2(max(1.0, size * 2 / (LEFT + 2) / BUCKET_ANCHORS))))
+    low = (1 << VERSION) - 1
+    version, offset = lambda c: F.shiftright(c, VERSION).cast("int"), lambda c: F.col(c).bitwiseAND(F.lit(low))
+
+    sent = texts.mapInArrow(_find_anchors(buckets, seed, bits), ROWS)
+    found = materialize(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, FOUND), "repeats")
+    if not found.where("doc_id is null").isEmpty():
+        return None
+
+    claims = found.where("pdoc is not null").select("doc_id", "place", "pdoc", "pplace").repartition(tasks, "doc_id").sortWithinPartitions("doc_id", "place")
+    claims = claims.mapInArrow(_join_claims, "pdoc bigint, pplace bigint, size bigint, doc_id bigint, place bigint")
+    asked = claims.select(F.col("pdoc").alias("of"), version("pplace").alias("version"), offset("pplace").alias("at"), "size", F.lit(None).cast("bigint").alias("anchor"), "doc_id", "place")
+    begin = F.greatest(offset("place") - LEFT, F.lit(0))
+    asked = asked.unionAll(found.where("anchor is not null").select("doc_id", version("place"), begin, offset("place") + LENGTH - begin, "anchor", "doc_id", "place"))
+    asked = asked.repartition(tasks, "of", "version").groupBy("of", "version").agg(F.collect_list(F.struct("at", "size", "anchor", "doc_id", "place")).alias("asked"))
+    held = texts.select(F.col("doc_id").alias("of"), "version", "text").repartition(tasks, "of", "version").join(asked, ["of", "version"])
+    pieces = materialize(held.select("text", "asked").mapInArrow(_cut_out, PIECES), "pieces")
+
+    edges = pieces.where("anchor is not null").select("anchor", F.lit(0).alias("low"), F.lit(LEFT).alias("high"), "doc_id", "version", F.col("place").alias("at"), "near")
+    ordered = _split(edges, hot).repartition(tasks, "anchor").sortWithinPartitions("anchor")
+    strings = materialize(ordered.mapInArrow(_resolve, "doc_id bigint, place bigint, size bigint"), "strings")
+
+    none = F.lit(None).cast("binary").alias("near")
+    marks = found.where("size is not null").select("doc_id", "place", "size").unionAll(strings).select("doc_id", version("place").alias("version"), offset("place").alias("start"), "size", none)
+    marks = marks.unionAll(pieces.where("anchor is null").select("doc_id", "version", "place", "size", "near"))
+    marks = marks.repartition(tasks, "doc_id", "version").groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "size", "near")).alias("marks"))
+    joined = d.repartition(tasks, "doc_id", "version").join(marks, ["doc_id", "version"], "left")
+    out = materialize(joined.select("doc_id", "text", "marks").mapInArrow(_remove, f"{RESULT}, void boolean"), "removed")
+    return out.drop("void") if out.where("void").isEmpty() else None
+
+
+RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+
+
+def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot: int = HOT, hash_bits: int = 64) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that stay) for each row.
+    `hash_bits` is how much of a neighbourhood's hash the first attempt uses."""
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = 1 << max(3, min(16, math.ceil(math.log2(max(1.0, size * 0.062 / BUCKET_ANCHORS)))))
+    whole = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("kept")
+    zero = F.lit(0).cast("bigint")
+    unnamed = d.where("doc_id is null").select("doc_id", F.octet_length(whole).cast("bigint").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), whole)
     with _dropping_shuffles(docs.sparkSession):
-        sent = d.mapInArrow(_find_anchors(buckets), ROWS)
-        found = materialize(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, FOUND), "repeats")
-
-        asked = found.where("anchor is not null").groupBy("doc_id").agg(F.collect_list(F.struct("at", "anchor")).alias("asked"))
-        edges = materialize(d.dropDuplicates(["doc_id"]).join(asked, "doc_id").mapInArrow(_cut_out, "anchor bigint, doc_id bigint, at int, near binary"), "edges")
-        many = materialize(edges.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "hot-anchors")
-        rest = edges.join(many, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_resolve, "doc_id bigint, start int")
-        strings = materialize(rest.unionAll(_by_string(edges.join(many, "anchor", "left_semi"))), "strings")
-
-    marks = found.where("anchor is null").select("doc_id", F.col("at").alias("place"))
-    marks = marks.unionAll(strings.select("doc_id", (-1 - F.col("start")).alias("place")))
-    merged = marks.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    return d.join(merged, "doc_id", "left").select("doc_id", "text", "places").mapInArrow(_remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+        named, texts = _versions(d.where("doc_id is not null"))
+        for seed in range(SEEDS):
+            done = _attempt(named, texts, size, hot, seed, 64 if seed else hash_bits)
+            if done is not None:
+                return done.unionAll(unnamed)
+    raise RuntimeError(f"{SEEDS} hashes in a row were equal for different bytes")

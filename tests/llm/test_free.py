@@ -72,8 +72,9 @@ def brute_repeats(rows):
     return out
 
 
-@pytest.mark.parametrize(("hot", "batch"), [(500_000, 8 << 20), (3, 2000)])
-def test_repeated_strings(spark, monkeypatch, hot, batch):
+@pytest.mark.parametrize(("hot", "bits", "batch"), [(100_000, 64, 8 << 20), (3, 64, 2000), (100_000, 3, 8 << 20)])
+def test_repeated_strings(spark, monkeypatch, hot, bits, batch):
+    """Whole batches, hot anchors split down to strings, and a hash of three bits that collides."""
     monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
     r = random.Random(3)
     base = ["".join(r.choice("abcdé \n") for _ in range(r.randint(0, 400))) for _ in range(12)]
@@ -87,10 +88,58 @@ def test_repeated_strings(spark, monkeypatch, hot, batch):
         rows.append((i, t))
     rows += [(None, rows[5][1]), (1000, None), (1001, "a" * 300), (1002, "a" * 120), (1003, "ab" * 200), (1004, "b" + "ab" * 100), (1005, ""), (1006, "c" * 49)]
     r.shuffle(rows)
-    got = suffix_dedup.remove_repeats(docs(spark, rows), hot=hot).collect()
+    got = suffix_dedup.remove_repeats(docs(spark, rows), hot=hot, hash_bits=bits).collect()
     assert {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], bytes(x["kept"])) for x in got} == brute_repeats(rows) and len(got) == len(rows)
 
 
+def test_a_passage_in_every_document(spark):
+    """A line of 40 bytes with a different surrounding in each of 300 documents, and a passage
+    of 70 bytes in all of them: an anchor that is split by its neighbourhoods."""
+    r = random.Random(4)
+    noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    line, passage = noise(40), noise(70)
+    rows = [(i, noise(r.randint(20, 60)) + line + noise(r.randint(10, 60)) + passage + noise(r.randint(0, 30))) for i in range(300)]
+    for hot in (100_000, 20):
+        got = suffix_dedup.remove_repeats(docs(spark, rows, 1), hot=hot).collect()
+        assert {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], bytes(x["kept"])) for x in got} == brute_repeats(rows)
+
+
+def test_a_doc_id_with_different_texts(spark):
+    """Each row is judged on its own text, and rows of one doc_id never remove from one another."""
+    p, q = "passage one of more than fifty bytes, all of which come again", "another passage that is also longer than fifty bytes in all"
+    rows = [(1, p), (1, "short"), (1, ""), (1, p + q), (2, p), (2, None), (2, "x" + q), (3, p[:20]), (3, q + p)]
+    got = sorted((x["doc_id"], bytes(x["kept"])) for x in suffix_dedup.remove_repeats(docs(spark, rows)).collect())
+    want = [(1, p), (1, "short"), (1, ""), (1, p + q), (2, ""), (2, ""), (2, "x"), (3, p[:20]), (3, "")]
+    assert got == sorted((d, t.encode()) for d, t in want)
+
+
+def test_anchors_of_a_long_text_do_not_depend_on_segments(monkeypatch):
+    b = np.random.default_rng(2).integers(97, 101, 20_000).astype(np.uint8)
+    whole = suffix_dedup.anchors_of(b)
+    for size in (64, 999, 5000):
+        monkeypatch.setattr(suffix_dedup, "SEGMENT", size)
+        assert all((x == y).all() for x, y in zip(whole, suffix_dedup.anchors_of(b)))
+
+
+def test_collapsing_a_bucket_keeps_its_rows():
+    """Rows given in many parts, with a collapse after each, mark what one sorting marks."""
+    r = np.random.default_rng(5)
+    h, c, doc, place = (r.integers(0, k, 400) for k in (5, 4, 30, 3))
+    columns = h.astype(np.uint64), c.astype(np.uint64), doc, place, np.zeros(400, np.uint8)
+    seen = []
+    for parts in (1, 40):
+        bucket, out = suffix_dedup.Bucket(), []
+        for x in zip(*(np.array_split(k, parts) for k in columns)):
+            out += list(bucket.add(suffix_dedup._pack(*x)))
+            out += list(bucket.collapse()) if parts > 1 else []
+        out += list(bucket.close())
+        rows = [x for b in out for x in b.to_pylist()]
+        edges = {(x["doc_id"], x["place"], x["anchor"]) for x in rows if x["anchor"] is not None}
+        claims = {(x["doc_id"], x["place"]) for x in rows if x["pdoc"] is not None}
+        seen.append((edges, claims))
+    assert seen[0] == seen[1] and seen[0][0] and seen[0][1]
+
+
 def test_repeated_rows_and_empty_tables(spark):
     got = suffix_dedup.remove_repeats(docs(spark, [(1, "q" * 60), (1, "q" * 60), (2, "q" * 60)])).collect()
     assert sorted((x["doc_id"], x["n_removed"]) for x in got) == [(1, 0), (1, 0), (2, 60)]
