@@ -59,10 +59,10 @@ BATCH_BYTES = 8 << 20
 SEGMENT = 1 << 20  # bytes of a text hashed at a time
 SLICE_ROWS = 256  # texts held as Python objects at a time
 LOCAL_HOT = 64
-BUCKET_ANCHORS = 600_000
-TASK_BYTES = 48 << 20  # of texts; more only where that would make over MAX_TASKS tasks
+BUCKET_ANCHORS = 150_000
+TASK_BYTES = 16 << 20  # of texts; more only where that would make over MAX_TASKS tasks
 MAX_TASKS = 50_000
-COLLAPSE_ROWS = 1_000_000
+COLLAPSE_ROWS = 400_000
 BLOCK_ROWS = 20_000
 HOT = 100_000
 SEEDS = 8
@@ -163,6 +163,16 @@ def _unpack(data: bytes, *kinds: type) -> list[np.ndarray]:
     return [np.ascontiguousarray(planes[e - s : e].T).view(k).ravel() for k, s, e in zip(kinds, sizes, ends)]
 
 
+def _short(x: np.ndarray) -> np.ndarray:
+    return x.view(np.uint8).reshape(-1, 8)[:, :6].copy().view("V6").ravel()
+
+
+def _long(x: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(x), 8), np.uint8)
+    wide[:, :6] = x.view(np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).ravel()
+
+
 def _raw(column: pa.Array) -> Iterator[np.ndarray]:
     """The bytes of each text of a column, a null as none."""
     for x in column.cast(pa.binary()):
@@ -201,7 +211,8 @@ def _same_bytes(whole: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.n
     return True
 
 
-KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.uint8)  # anchor, neighbourhood, doc_id, place, whether the anchor has others elsewhere
+KINDS = ("V6", "V6", np.int64, np.int64, np.uint8)  # anchor, neighbourhood, doc_id, place, whether the anchor has others elsewhere
+SHIPPED = np.uint64((1 << 48) - 1)  # bits of both hashes that travel: equal bytes are proved later
 
 
 def _find_anchors(buckets: int, seed: int, bits: int):
@@ -244,6 +255,7 @@ def _find_anchors(buckets: int, seed: int, bits: int):
         order = np.argsort(bucket, kind="stable")
         bucket, columns = bucket[order], [x[order] for x in columns]
         cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+        columns[:2] = map(_short, columns[:2])
         rows += [(int(bucket[a]), False, _pack(*[x[a:b] for x in columns])) for a, b in zip(cuts[:-1], cuts[1:])]
         for i in range(0, len(rows), 64):
             b, m, d = zip(*rows[i : i + 64])
@@ -257,7 +269,7 @@ def _find_anchors(buckets: int, seed: int, bits: int):
                     continue
                 units.append((doc, version))
                 h, c, at = anchors_of(b, seed)
-                found.append((h, c & kept, at))
+                found.append((h, c & kept & SHIPPED, at))
                 texts.append(b)
                 size += len(b)
                 if size >= BATCH_BYTES:
@@ -290,7 +302,8 @@ class Bucket:
         self.rows = self.limit = 0
 
     def add(self, data: bytes) -> Iterator[pa.RecordBatch]:
-        self.parts.append(_unpack(data, *KINDS))
+        h, c, *rest = _unpack(data, *KINDS)
+        self.parts.append([_long(h), _long(c), *rest])
         self.rows += len(self.parts[-1][0])
         if self.rows > max(COLLAPSE_ROWS, self.limit):
             yield from self.collapse()
@@ -330,7 +343,8 @@ class Bucket:
 def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now, held = None, Bucket()
     for b in batches:
-        for bucket, marks, data in zip(*(b.column(i).to_pylist() for i in range(3))):
+        for bucket, marks, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            data = data.as_buffer()
             if marks:
                 doc, place, size = _unpack(data, np.int64, np.int64, np.int64)
                 yield _found(doc, place, size=size) if size.all() else pa.RecordBatch.from_pylist([{}], FOUND_SCHEMA)

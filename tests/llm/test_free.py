@@ -125,7 +125,7 @@ def test_collapsing_a_bucket_keeps_its_rows():
     """Rows given in many parts, with a collapse after each, mark what one sorting marks."""
     r = np.random.default_rng(5)
     h, c, doc, place = (r.integers(0, k, 400) for k in (5, 4, 30, 3))
-    columns = h.astype(np.uint64), c.astype(np.uint64), doc, place, np.zeros(400, np.uint8)
+    columns = *(suffix_dedup._short(x.astype(np.uint64)) for x in (h, c)), doc, place, np.zeros(400, np.uint8)
     seen = []
     for parts in (1, 40):
         bucket, out = suffix_dedup.Bucket(), []
