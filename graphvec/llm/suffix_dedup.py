@@ -220,6 +220,7 @@ def _find_anchors(buckets: int, seed: int, bits: int):
     shift = np.uint64(64 - (buckets.bit_length() - 1)) if buckets > 1 else None
 
     def bucket_of(x: np.ndarray) -> np.ndarray:
+        x = _mixed(x * np.uint64(_base(5)))  # anchors' hashes are the least of a window, so the low ones are crowded
         return (x >> shift).astype(np.int64) if shift is not None else np.zeros(len(x), np.int64)
 
     def out(units: list, found: list, texts: list) -> Iterator[pa.RecordBatch]:
