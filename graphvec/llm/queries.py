@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphvec.llm import bpe, decontam, licenses, lm_score, quality, secrets, simhash, suffix_dedup, token_counts, warc
+from graphvec.storage import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,9 +42,20 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+LIMITS = tuple(1 << k for k in range(7, 18))  # 128 to 131,072 tokens
+SHARES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0)
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of three kinds: each distinct length, the standard context limits, and quantiles
+    (key: how many documents in a thousand do not exceed n_tokens)."""
     lengths = token_counts.encoded_lengths(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return token_counts.context_table(token_counts.histogram(lengths))
+    t = materialize(token_counts.context_table(token_counts.histogram(lengths)), "contexts")
+    rows = t.select(F.lit("length").alias("kind"), F.col("n_tokens").alias("key"), *t.columns)
+    limits = token_counts.at_limits(t, LIMITS)
+    rows = rows.unionByName(limits.select(F.lit("limit").alias("kind"), F.col("context_limit").alias("key"), F.col("docs_over").alias("docs_at_least"), F.col("tokens_kept").alias("truncated_tokens")), allowMissingColumns=True)
+    shares = token_counts.quantiles(t, SHARES)
+    return rows.unionByName(shares.select(F.lit("quantile").alias("kind"), F.round(F.col("share") * 1000).cast("bigint").alias("key"), "n_tokens"), allowMissingColumns=True)
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

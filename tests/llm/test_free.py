@@ -35,7 +35,7 @@ def test_token_counts(spark):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    texts = [None, "", "a b c", "the quick brown fox " * 900, "é中<|endoftext|>", "a b c", "x" * 5000]
+    texts = [None, "", "a b c", "the quick brown fox " * 900, "é中<|endoftext|>", "a b c", "x" * 5000, " " * 3000, "a" + "\n" * 2000 + "b" + " \t" * 999 + "\u3000c " + "\x1f" * 1500]
     lengths = sorted(len(own.encode_ordinary(t or "")) for t in texts)
     made = token_counts.encoded_lengths(docs(spark, list(enumerate(texts))), path, public_tokenizers.PATTERN)
     hist = token_counts.histogram(made)
@@ -45,11 +45,20 @@ def test_token_counts(spark):
         assert r["n_docs"] == lengths.count(n) and r["docs_at_least"] == sum(x >= n for x in lengths)
         assert r["tokens_at_least"] == sum(x for x in lengths if x >= n) and r["truncated_tokens"] == sum(min(x, n) for x in lengths)
         assert (r["total_docs"], r["total_tokens"]) == (len(lengths), sum(lengths))
-    limits = token_counts.at_limits(hist, [0, 3, 100, 10**6]).collect()
+    limits = token_counts.at_limits(table, [0, 3, 100, 10**6]).collect()
     assert [tuple(r) for r in limits] == [(k, sum(x > k for x in lengths), sum(min(x, k) for x in lengths), sum(max(x - k, 0) for x in lengths)) for k in (0, 3, 100, 10**6)]
-    assert [r["n_tokens"] for r in token_counts.quantiles(table, [0.01, 0.5, 1.0]).collect()] == [lengths[0], lengths[3], lengths[-1]]
+    assert [r["n_tokens"] for r in token_counts.quantiles(table, [0.01, 0.5, 1.0]).collect()] == [lengths[0], lengths[4], lengths[-1]]
     empty = token_counts.histogram(made.limit(0))
-    assert token_counts.context_table(empty).count() == 0 and token_counts.at_limits(empty, [5]).first()["tokens_kept"] == 0
+    assert token_counts.context_table(empty).count() == 0 and token_counts.at_limits(token_counts.context_table(empty), [5]).first()["tokens_kept"] == 0
+
+
+def test_very_long_runs():
+    """Millions of equal characters: as many tokens as a shorter run's, in proportion."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        encoding = token_counts._encoding(f.read(), public_tokenizers.PATTERN)
+    n = token_counts.count_tokens
+    assert n(encoding, "a" + " " * 2_000_000 + "b") == len(encoding._encode_single_piece(" " * 1_999_999)) + 2
+    assert n(encoding, " " * 2_000_000) > 0 and n(encoding, "x" * 2_000_000) > 0 and n(encoding, "-" * 2_000_000) > 0
 
 
 # --- 2 suffix-array dedup ------------------------------------------------------------------
