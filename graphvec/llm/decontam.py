@@ -12,7 +12,8 @@ turn, so what is broadcast has a bound however large the benchmark is.
 
 Edge cases: null or word-less texts and items match nothing; items too short for a mask match
 as a whole; items with equal words are reported under their smallest item_id; repeated
-documents are each reported once per (doc_id, item_id); empty tables give no rows.
+documents are each reported once per (doc_id, item_id); empty tables give no rows; `decontaminate`
+keeps all columns, whatever they are called.
 """
 
 from __future__ import annotations
@@ -119,4 +120,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_t
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """`docs` without those that hold a benchmark passage; a null doc_id always stays."""
-    return docs.join(find_leaks(docs, items, **options).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    leaked = find_leaks(docs, items, **options).select(F.col("doc_id").alias("_leaked")).distinct()
+    return docs.join(leaked, docs["doc_id"] == leaked["_leaked"], "left_anti")

@@ -10,11 +10,16 @@ DataFrame functions run here.
 
 Edge cases: a null text has no words; a document without words scores 0 and is not kept,
 since it also fails the base rules; without labels the target equals the raw corpus and all
-scores are 0.  Repeated rows are judged alike, extra columns are left alone.
+scores are 0.  Repeated rows are judged alike; an empty table gives no rows.  All input columns
+stay, save that quality_rules replaces columns with the names of its own.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +58,7 @@ def _covered(places: str) -> Column:
 
 
 def base_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """`docs` with _words and the contract's base columns; every input column stays."""
+    """`docs`, whose columns begin with no underscore, with _words and the base columns."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     d = docs.withColumns({"_words": words_of(F.col(text_col)), "_lines": lines})
@@ -105,35 +110,47 @@ def log_ratio_table(docs: DataFrame, labels: DataFrame, text_col: str = "text",
     return full.select("bucket", (ratio if target else F.lit(0.0)).alias("log_ratio"))
 
 
-def keep(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that quality_rules keeps.  The partition number in the condition
-    holds the filter above the projections: pushed below them, it would repeat their
-    expressions once for each reference."""
-    judged = quality_rules(docs, labels, **options).withColumn("_at", F.spark_partition_id())
-    return judged.where(F.col("kept") & (F.col("_at") >= 0)).select(*docs.columns)
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr")
 
 
 def learned_threshold(trusted: DataFrame) -> float:
     """From judged trusted documents: max(mean - 4 sd, least - sd) of those that pass the base
-    rules, or THRESHOLD if there are fewer than two."""
-    llr = F.when(~F.col("base_failed"), F.col("llr"))
-    mean, sd, least, n = trusted.agg(F.avg(llr), F.stddev(llr), F.min(llr), F.count(llr)).first()
-    return max(mean - 4 * sd, least - sd) if n > 1 else THRESHOLD
-
-
-def quality_rules(docs: DataFrame, labels: DataFrame, text_col: str = "text", buckets: int = BUCKETS, threshold: float | None = None) -> DataFrame:
-    """`docs` with the base columns, llr (mean log ratio per n-gram) and kept."""
+    rules, or THRESHOLD if there are fewer than two.  Sums are of decimals, so that they do not
+    depend on the order in which tasks end."""
+    llr = F.when(~F.col("base_failed"), F.round("llr", 9).cast("decimal(18,9)"))
+    total, squares, least, n = trusted.agg(F.sum(llr), F.sum((llr * llr).cast("decimal(28,18)")), F.min(llr), F.count(llr)).first()
+    if n < 2:
+        return THRESHOLD
+    total, squares = Fraction(total), Fraction(squares)
+    sd = math.sqrt((squares - total * total / n) / (n - 1))
+    return max(float(total / n) - 4 * sd, float(least) - sd)
+
+
+def _judged(docs: DataFrame, labels: DataFrame, text_col: str, buckets: int, threshold: float | None, carry: Sequence[str]) -> DataFrame:
+    """row (the columns `carry` of a row), FEATURES and kept.  Texts are judged once: the written
+    rows tell the threshold and take it."""
     table = log_ratio_table(docs, labels, text_col, buckets)
     # as many rows as there are buckets, whatever the corpus holds
     ratios = table.agg(F.sort_array(F.collect_list(F.struct("bucket", "log_ratio")))["log_ratio"].alias("r")).first()["r"]
     held = F.lit(ratios) if ratios else F.array()
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col("doc_id").alias("id"), F.col(text_col).cast("string").alias("text"))
+    d = base_features(d).withColumn("_grams", ngram_buckets("_words", buckets))
+    total = F.aggregate("_grams", F.lit(0.0), lambda acc, b: acc + F.get(held, b))
+    d = d.withColumn("llr", F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0)))
+    d = materialize(d.select("row", "id", *FEATURES), "judged")
+    if threshold is None:
+        threshold = learned_threshold(d.join(target_ids(labels, True).withColumnRenamed("doc_id", "id"), "id", "left_semi"))
+    return d.select("row", *FEATURES, (~F.col("base_failed") & (F.col("llr") >= threshold)).alias("kept"))
 
-    def judged(some: DataFrame) -> DataFrame:
-        d = base_features(some, text_col).withColumn("_grams", ngram_buckets("_words", buckets))
-        total = F.aggregate("_grams", F.lit(0.0), lambda acc, b: acc + F.get(held, b))
-        return d.withColumn("llr", F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0))).drop("_grams", "_words")
 
-    if threshold is None:
-        trusted = docs.select("doc_id", text_col).join(target_ids(labels, True), "doc_id", "left_semi")
-        threshold = learned_threshold(judged(trusted))
-    return judged(docs).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+def keep(docs: DataFrame, labels: DataFrame, text_col: str = "text", buckets: int = BUCKETS, threshold: float | None = None) -> DataFrame:
+    """The rows of `docs` that quality_rules keeps, whatever their other columns are called."""
+    return _judged(docs, labels, text_col, buckets, threshold, docs.columns).where("kept").select("row.*")
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, text_col: str = "text", buckets: int = BUCKETS, threshold: float | None = None, carry: Sequence[str] | None = None) -> DataFrame:
+    """The columns `carry` of `docs` (all, unless given) with the base columns, llr (mean log
+    ratio per n-gram) and kept."""
+    names = docs.columns if carry is None else list(carry)
+    rest = [F.col("row").getField(c).alias(c) for c in names if c.lower() not in (*FEATURES, "kept")]
+    return _judged(docs, labels, text_col, buckets, threshold, names).select(*rest, *FEATURES, "kept")

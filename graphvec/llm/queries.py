@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    r = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), carry=["doc_id"])
     return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("llr", 9).alias("llr"))
 
 
@@ -24,7 +24,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda k: F.size(F.filter("base_spans", lambda x: x["kind"] == k)).cast("bigint")
     return r.select(
         "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
-        F.sha2(secrets.spans_text("base_spans"), 256).alias("base_sha256"), secrets.spans_text("secret_spans").alias("spans"))
+        F.sha2(secrets.spans_text("base_spans"), 256).alias("base_sha256"), secrets.spans_text("secret_spans").alias("spans"), "n_confirmed")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,36 @@ from pyspark.sql import functions as F
 
 from graphvec.llm import decontam, quality, secrets
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, _words int"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
 def docs(spark, texts, start=0):
-    return spark.createDataFrame([(i + start, t, "en", "s", 0, "clash", 1) for i, t in enumerate(texts)], SCHEMA).select("doc_id", "text", "lang", "source", "n_chars")
+    return spark.createDataFrame([(i + start, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+
+
+CLASH = ("n_words", "kept", "llr", "_words", "_lines", "_windows", "_places", "_grams", "row", "id", "base_spans", "secret_spans", "n_confirmed", "_entropy", "_done", "spans", "a.b", "wh", "p")
+
+
+def clashing(df):
+    """`df` with columns that bear the names of outputs and of what operators use within."""
+    return df.withColumns({c: F.lit(f"clash {c}") for c in CLASH})
+
+
+def test_clashing_columns(spark):
+    key = "token=deadbeefdeadbeefdeadbeef00"
+    plain = docs(spark, ["word " * 10, " ".join(f"w{i}" for i in range(60)) + f" {key} end", None, ""])
+    df = clashing(plain)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    bench = spark.createDataFrame([(7, "word " * 9)], "item_id bigint, text string")
+    judged = quality.quality_rules(df, labels).collect()
+    assert {x["doc_id"]: (x["n_words"], x["a.b"], x["_words"]) for x in judged} == {0: (10, "clash a.b", "clash _words"), 1: (62, "clash a.b", "clash _words"), 2: (0, "clash a.b", "clash _words"), 3: (0, "clash a.b", "clash _words")}
+    scanned = {x["doc_id"]: x for x in secrets.secret_scan(df).collect()}
+    assert [s["kind"] for s in scanned[1]["base_spans"]] == [0, 2] and scanned[0]["_entropy"] == "clash _entropy" and scanned[2]["secret_spans"] == []
+    for made, ids in ((quality.keep(df, labels), {1}), (secrets.redact(df), {0, 1, 2, 3}), (decontam.decontaminate(df, bench), {1, 2, 3})):
+        assert made.columns == df.columns
+        rows = made.collect()
+        assert {x["doc_id"] for x in rows} == ids and all(x[c] == f"clash {c}" for x in rows for c in CLASH)
+    assert {x["doc_id"]: x["text"].split()[-2] for x in secrets.redact(df).where("doc_id = 1").collect()} == {1: "[REDACTED]"}
 
 
 def base(text):
@@ -115,8 +140,47 @@ def test_entropy_spans(spark):
     assert got[0] == [(4, 3, 44)] and got[1] == got[2] == got[3] == got[4] == [] and [k for _, k, _ in got[5]] == [0]
     window = lambda s: max(-sum(c / 20 * math.log2(c / 20) for c in map(w.count, set(w))) for w in (s[i : i + 20] for i in range(len(s) - 19)))
     for s in (key, "abababababababababababab", "a1" * 15 + key):
-        made = spark.createDataFrame([(s,)], "s string").select(secrets.window_entropy(F.col("s"))).first()[0]
+        made = spark.createDataFrame([(s,)], "s string").select(secrets.window_entropy(F.col("s"), secrets.CLASSES[1][1])).first()[0]
         assert made == pytest.approx(window(s))
+    assert spark.createDataFrame([(key[:19],)], "s string").select(secrets.window_entropy(F.col("s"), secrets.CLASSES[1][1])).first()[0] is None
+
+
+def brute_entropy(text):
+    """Candidates, the allow-list, classes and windows in plain Python."""
+    import math
+
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text):
+        rest = m[0]
+        for pattern in secrets.ALLOW:
+            rest = re.sub(pattern, " ", rest)
+        hit = False
+        for _, _, stretch, also, bits in secrets.CLASSES:
+            for x in re.findall(stretch, rest):
+                if all(re.search(a, x) for a in also):
+                    windows = (x[i : i + 20] for i in range(len(x) - 19))
+                    hit |= max(-sum(w.count(c) / 20 * math.log2(w.count(c) / 20) for c in set(w)) for w in windows) >= bits - 1e-12
+        base = spans(text)
+        if hit and not any(a <= m.start() and m.end() <= b for a, _, b in base):
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def test_entropy_spans_equal_brute_force(spark):
+    r = random.Random(21)
+    kinds = ["0123456789abcdef", "ABCDEFabcdef0123456789", "abcdefghij", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCxyz0123456789+/=_-", "aB1"]
+    parts = lambda: "".join(r.choice(r.choice(kinds)) if r.random() < 0.2 else r.choice(k) for k in [r.choice(kinds)] for _ in range(r.randint(5, 45)))
+    every = [" ".join(r.choice(["", "example", "sha256-", "token=", "see/", "é", "01234567"]) + parts() for _ in range(r.randint(0, 8))) for _ in range(150)]
+    got = {x["doc_id"]: [tuple(s) for s in x["secret_spans"]] for x in secrets.secret_scan(docs(spark, every)).collect()}
+    want = {i: sorted(spans(t) + brute_entropy(t)) for i, t in enumerate(every)}
+    assert got == want and sum(k == 3 for x in want.values() for _, k, _ in x) > 50
+
+
+def test_many_matches_in_a_long_text(spark):
+    text = " ".join(f"token=abc{i:04d}é" for i in range(30_000))
+    got = secrets.secret_scan(docs(spark, [text])).select("base_spans").first()[0]
+    assert [tuple(x) for x in got] == spans(text)
+    assert secrets.redact(docs(spark, [text])).first()["text"] == " ".join(["[REDACTED]é"] * 30_000)
 
 
 def random_key(r, n=40):
