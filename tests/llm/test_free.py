@@ -282,12 +282,24 @@ def test_keep_one_drops_copies_of_similarity_of_four_fifths(spark, cell_rows):
 
 @pytest.fixture(scope="module")
 def clip():
-    return Tokenizer.from_file(CLIP), bpe.Cached(bpe.Transducer(open(CLIP, encoding="utf-8").read()))
+    return Tokenizer.from_file(CLIP), bpe.Encoder(open(CLIP, encoding="utf-8").read())
 
 
-def agree(clip, text):
+def by_library(clip, text):
     ids = clip[0].encode(text, add_special_tokens=False).ids
-    assert clip[1].text(text) == (struct.pack(f"<{len(ids)}I", *ids), clip[0].decode(ids, skip_special_tokens=False)), repr(text[:80])
+    return struct.pack(f"<{len(ids)}I", *ids), clip[0].decode(ids, skip_special_tokens=False)
+
+
+def joined(parts):
+    """What the rows of a document hold together, the spaced text without what joins the rows."""
+    rows = [[c[0].as_py() for c in p] for p in parts]
+    assert [r[0] for r in rows] == list(range(len(rows))) and [r[1] for r in rows] == [False] * (len(rows) - 1) + [True]
+    return b"".join(r[2] for r in rows), "".join(r[3] for r in rows)
+
+
+def agree(clip, text):
+    _, _, packed, decoded, _ = clip[1].short([text])
+    assert (packed[0].as_py(), decoded[0].as_py()) == by_library(clip, text), repr(text[:80])
 
 
 def test_bpe_equals_the_library(clip):
@@ -305,28 +317,72 @@ def test_stream_equals_merging_the_whole_word(clip):
     t = clip[1].of
     assert t.lookahead > 0
     r = random.Random(2)
-    for n in (1, 5, 700, 2500):
-        word = "".join(r.choice(["th", "e", "ing", "s", "x", "er"]) for _ in range(n))
+    for n, parts in [*((n, ["th", "e", "ing", "s", "x", "er"]) for n in (1, 5, 700, 2500)), (900, "a"), (900, "ha"), (300, "👍!?"), (800, "abcdefghijklmnop"), *((30, "aeinrst") for _ in range(60))]:
+        word = "".join(r.choice(parts) for _ in range(n))
         symbols = [t.alphabet[b] for b in word.encode()]
         whole = t.merge([*symbols[:-1], symbols[-1] + t.suffix])
+        assert t.unstable(symbols) <= t.lookahead
         for step in (1, 64, 256) if n < 1000 else (256,):
             assert list(t.stream(symbols, step)) == whole
     with pytest.raises(ValueError):
         t._sufficient_lookahead([("ab", "c")])
 
 
-def test_incremental_text(clip):
+def test_memory_of_a_long_word(clip):
+    """A word of millions of characters leaves token by token: what is held is a few hundred."""
     t = clip[1].of
-    assert "".join(t.text(t.encode_word("é👍"))) == "é👍 "
-    pieces = list(t.text([t.vocab[t.alphabet[b]] for b in "é".encode()]))
-    assert pieces[0] == "" and "".join(pieces) == "é"
+    taken = 0
 
+    def symbols():
+        nonlocal taken
+        for k in range(400_000):
+            taken = k
+            yield "theingxers"[k * k % 10]
 
-def test_encode_on_spark(spark, clip):
-    rows = [(0, "Hello, World!"), (1, None), (2, ""), (3, "Hello, World!")]
-    got = {x["doc_id"]: (bytes(x["token_bytes"]), x["decoded"], x["fp"]) for x in bpe.encode(docs(spark, rows), CLIP).collect()}
-    assert got[0] == got[3] == (*clip[1].text("Hello, World!"), "clash") and got[1] == got[2] == (b"", "", "clash")
+    ahead, given = 0, 0
+    for token in t.stream(symbols()):
+        given += len(token.removesuffix(t.suffix))
+        ahead = max(ahead, taken - given)
+    assert given == 400_000 and ahead < t.lookahead + 2 * bpe.STEP
+
+
+def test_long_texts_equal_the_library(clip, monkeypatch):
+    """Texts read a few bytes at a time, with and without white space, in one run or many."""
+    monkeypatch.setattr(bpe, "PIECE", 64)
+    monkeypatch.setattr(bpe, "RUN", 20)
+    r = random.Random(7)
+    parts = ["a", "the", "é", "e\u0301", "\u1112\u1161\u11ab", "'", "'s", "'LL", "ll", "<|endoftext|>", "<|endof", "<", "1", "!", "...", "中", "👍", "Σ"]
+    for k in range(300):
+        text = "".join(r.choice(parts if k % 3 else parts[: r.randint(1, 6)]) for _ in range(r.randint(1, 400)))
+        if k % 2:
+            text = " ".join(text[i : i + 90] for i in range(0, len(text), 90))
+        ids, shown = by_library(clip, text)
+        got, spaced = joined(list(clip[1].long(memoryview(text.encode()))))
+        assert got == ids and spaced == shown, repr(text)
+
+
+def test_incremental_text(clip):
+    t, d = clip[1].of, clip[1].decoder
+    plain = lambda ids, first=True, last=True: d.parts(np.array(ids, np.uint32), np.array([0, len(ids)]), first, last)[1][0].as_py()
+    assert plain(t.encode_word("é👍")) == "é👍 "
+    a, b = (t.vocab[t.alphabet[x]] for x in "é".encode())
+    assert (plain([a], True, False), plain([b], False, True)) == ("", "é") and plain([a]) == "\ufffd"
+
+
+def test_encode_on_spark(spark, clip, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE", 1000)
+    long = "a word and anotherword " * 300 + "x" * 3000
+    rows = [(0, "Hello, World!"), (1, None), (2, ""), (3, "Hello, World!"), (4, long), (5, "x")]
+    made = bpe.encode(docs(spark, rows), CLIP)
+    got = {x["doc_id"]: (bytes(x["token_bytes"]), x["decoded"], x["fp"]) for x in made.where("doc_id <> 4").collect()}
+    assert got[0] == got[3] == (*by_library(clip, "Hello, World!"), "clash") and got[1] == got[2] == (b"", "", "clash")
+    sums = {x["doc_id"]: (x["n_tokens"], x["ids_sha256"], x["decoded_sha256"], x["fp"]) for x in bpe.digests(made).collect()}
+    for d, t in rows:
+        ids, shown = by_library(clip, t or "")
+        assert sums[d] == (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(shown.encode()).hexdigest(), "clash")
     assert bpe.digests(bpe.encode(docs(spark, rows[:0]), CLIP)).count() == 0
+    clash = docs(spark, rows[:1]).withColumns({c: F.lit("clash") for c in ("part", "last", "plain", "_text", "a.b")})
+    assert bpe.digests(bpe.encode(clash, CLIP)).columns == ["doc_id", "fp", "_text", "a.b", "n_tokens", "ids_sha256", "decoded_sha256", "plain_sha256"]
 
 
 # --- 9 WARC --------------------------------------------------------------------------------
