@@ -18,6 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = sc.getConf().get("spark.checkpoint.dir")
     if not path:
         path = sc.getCheckpointDir()
+        if not path and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not path:
             path = "file://" + tempfile.mkdtemp(prefix="graphvec-")
             sc.setCheckpointDir(path)
@@ -31,14 +33,26 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/graphvec-{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back: lineage ends there, and
     the loss of an executor costs nothing that was written."""
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete what `materialize` wrote for these tables; nothing that is still to be computed
+    may read them."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if not path.getName().startswith("graphvec-"):
+                raise ValueError(f"{folder} is no written intermediate")
+            path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int):
     """`df` with a broadcast hint if it has at most `max_rows` rows, else `df` as it is, which
     leaves the join to a shuffle.  Counts `df` once."""
