@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphvec.storage import broadcast_if_small, materialize
+from graphvec.storage import broadcast_if_small, discard, materialize
 
 LENGTH = 50
 GRAM = 24
@@ -526,7 +526,7 @@ def _split(edges: DataFrame, hot: int) -> DataFrame:
             break
         big = broadcast_if_small(big, 100_000)
         done.append(level.join(big, "anchor", "left_anti"))
-        level = materialize(_halved(level.join(big, "anchor", "left_semi")), "halves")
+        level = materialize(_halved(level.join(big, "anchor", "left_semi")), "halves", "zstd")
     for other in done:
         level = level.unionAll(other)
     return level
@@ -609,18 +609,21 @@ def _attempt(d: DataFrame, texts: DataFrame, size: int, hot: int, seed: int, bit
     asked = asked.unionAll(found.where("anchor is not null").select("doc_id", version("place"), begin, offset("place") + LENGTH - begin, "anchor", "doc_id", "place"))
     asked = asked.repartition(tasks, "of", "version").groupBy("of", "version").agg(F.collect_list(F.struct("at", "size", "anchor", "doc_id", "place")).alias("asked"))
     held = texts.select(F.col("doc_id").alias("of"), "version", "text").repartition(tasks, "of", "version").join(asked, ["of", "version"])
-    pieces = materialize(held.select("text", "asked").mapInArrow(_cut_out, PIECES), "pieces")
+    pieces = materialize(held.select("text", "asked").mapInArrow(_cut_out, PIECES), "pieces", "zstd")
 
+    claimed = materialize(pieces.where("anchor is null").select("doc_id", "version", "place", "size", "near"), "claims", "zstd")
     edges = pieces.where("anchor is not null").select("anchor", F.lit(0).alias("low"), F.lit(LEFT).alias("high"), "doc_id", "version", F.col("place").alias("at"), "near")
     ordered = _split(edges, hot).repartition(tasks, "anchor").sortWithinPartitions("anchor")
     strings = materialize(ordered.mapInArrow(_resolve, "doc_id bigint, place bigint, size bigint"), "strings")
+    discard(pieces)
 
     none = F.lit(None).cast("binary").alias("near")
     marks = found.where("size is not null").select("doc_id", "place", "size").unionAll(strings).select("doc_id", version("place").alias("version"), offset("place").alias("start"), "size", none)
-    marks = marks.unionAll(pieces.where("anchor is null").select("doc_id", "version", "place", "size", "near"))
+    marks = marks.unionAll(claimed)
     marks = marks.repartition(tasks, "doc_id", "version").groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "size", "near")).alias("marks"))
     joined = d.repartition(tasks, "doc_id", "version").join(marks, ["doc_id", "version"], "left")
-    out = materialize(joined.select("doc_id", "text", "marks").mapInArrow(_remove, f"{RESULT}, void boolean"), "removed")
+    out = materialize(joined.select("doc_id", "text", "marks").mapInArrow(_remove, f"{RESULT}, void boolean"), "removed", "zstd")
+    discard(found, strings, claimed)
     return out.drop("void") if out.where("void").isEmpty() else None
 
 
