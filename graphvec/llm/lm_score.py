@@ -6,13 +6,17 @@ an escaped word's bytes, closed by a space, follow bit by bit.  Each bit is pred
 several predictors: the tree itself, and counts of (hashed context, node) pairs of the
 training texts, with one and two words of context for tree bits and one to four bytes for
 spelled ones.  The stretched predictions are mixed by weights; which set of weights is used
-is gated by how often each hashed context was seen.  Weights start alike for every text and
-are refined as the text is read, after every CHUNK tokens (every byte of a spelled word), from
+is gated by how often each hashed context was seen.  Start weights are learned online on a
+sixteenth of the training texts, and of the training words, by hash: they are left out of the
+context counts, so that the weights meet contexts as an unknown text does.  The weights start
+alike for every text and are refined as the text is read, after every CHUNK tokens (every byte of a spelled word), from
 what was read only, so the product of the bit probabilities is the model's probability.
 
-Counting: word counts are summed over the whole training part.  Context counts live in hashed
+Counting: word counts are summed over the whole training part.  A training text's contexts are in
+the counts that score it; a held-out text's are not.  Context counts live in hashed
 tables of a fixed number of slots, so what is broadcast has a bound; tasks send compressed
-blocks of their counts, summed in two rounds.  Words outside the vocabulary meet the full word
+blocks of their counts, summed in two rounds in 64 bits.  The spelling counts take each distinct
+training word once, listed or not.  Words outside the vocabulary meet the full word
 counts in a join, and are spelled once for each distinct word met there.
 
 Edge cases: a null or empty text is just its end token; without training rows N and V are 0
@@ -43,6 +47,8 @@ BLOCK = 1 << 16
 CHUNK = 48
 PART = 60_000  # tokens scored at a time
 TALLY_PART = 24_000  # tokens counted at a time
+LEARN_PART = 4_000  # tokens, or bytes of words, by which start weights move at a time
+LEARN_SHARE = 16  # one in so many training texts and words tells the start weights
 SLICE_BYTES = 4 << 20  # text split into words at a time, unless one text is longer
 END = b"\n"  # no word holds white space
 LOG2 = float(np.log10(2.0))
@@ -206,9 +212,18 @@ class Tally:
 
     def __init__(self, tables: int, slots: int):
         self.counts = np.zeros((tables, 2 * slots), np.uint32)
+        self.added = 0
 
     def add(self, table: int, slot: np.ndarray, bit: np.ndarray) -> None:
         np.add.at(self.counts[table], 2 * slot + bit, np.uint32(1))
+        self.added += len(slot)
+
+    def overflow(self) -> Iterator[pa.RecordBatch]:
+        """Sends the counts on before any of them could outgrow its 32 bits."""
+        if self.added >= 1 << 31:
+            yield from self.blocks()
+            self.counts[:] = 0
+            self.added = 0
 
     def blocks(self) -> Iterator[pa.RecordBatch]:
         for k, row in enumerate(self.counts):
@@ -220,7 +235,7 @@ class Tally:
 
 def _block(table: int, block: int, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([table], pa.int32()), pa.array([block], pa.int32()), pa.array([zlib.compress(counts.astype(np.uint32).tobytes(), 1)], pa.binary())], names=["tab", "block", "counts"])
+        [pa.array([table], pa.int32()), pa.array([block], pa.int32()), pa.array([zlib.compress(counts.astype(np.uint64).tobytes(), 1)], pa.binary())], names=["tab", "block", "counts"])
 
 
 BLOCKS = "tab int, block int, counts binary"
@@ -231,13 +246,13 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, total = None, None
     for b in batches:
         for tab, block, raw in zip(*(b.column(i).to_pylist() for i in range(3))):
-            part = np.frombuffer(zlib.decompress(raw), np.uint32)
+            part = np.frombuffer(zlib.decompress(raw), np.uint64)
             if key != (tab, block):
                 if key:
                     yield _block(*key, total)
                 key, total = (tab, block), part.copy()
             else:
-                total = np.minimum(total.astype(np.uint64) + part, np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                total += part
     if key:
         yield _block(*key, total)
 
@@ -259,7 +274,7 @@ def gathered(blocks: DataFrame, tables: int, slots: int) -> np.ndarray:
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for tab, block, raw in zip(*(b.column(i).to_pylist() for i in range(3))):
-                n0, n1 = np.frombuffer(zlib.decompress(raw), np.uint32).reshape(-1, 2).astype(np.float64).T
+                n0, n1 = np.frombuffer(zlib.decompress(raw), np.uint64).reshape(-1, 2).astype(np.float64).T
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([tab], pa.int32()), pa.array([block], pa.int32()), pa.array([zlib.compress(packed(n0, n1).tobytes(), 1)], pa.binary())], names=["tab", "block", "counts"])
 
@@ -332,9 +347,18 @@ def _byte_starts() -> np.ndarray:
 class WordModel:
     """Bits of the code, given the tokens before."""
 
-    def __init__(self, code: Code, tables: np.ndarray, rate: float = 0.06):
-        self.code, self.rate, self.tables = code, rate, tables
-        self.starts = _word_starts()
+    def __init__(self, code: Code, tables: np.ndarray, starts: np.ndarray, rate: float = 0.06):
+        self.code, self.rate, self.tables, self.starts = code, rate, tables, starts
+
+    def learn(self, texts: list[np.ndarray], seen: np.ndarray) -> None:
+        """Moves the start weights by what texts outside the counts say, and adds to `seen` how
+        many bits each set of weights met."""
+        weights = self.starts[None].astype(np.float32)
+        for text in texts:
+            for at in range(0, len(text), LEARN_PART):
+                before = tuple(np.concatenate((np.zeros(2, np.int64), text[:at]))[-2:])
+                self._part([text[at : at + LEARN_PART]], before, weights, seen)
+        self.starts = weights[0].astype(np.float64)
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log2 probability of each text's code bits; long texts go in parts."""
@@ -358,7 +382,7 @@ class WordModel:
             at = end
         return out
 
-    def _part(self, texts: list[np.ndarray], before: tuple[int, int], weights: np.ndarray) -> np.ndarray:
+    def _part(self, texts: list[np.ndarray], before: tuple[int, int], weights: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
         lengths = np.array([len(t) for t in texts], np.int64)
         starts = np.cumsum(lengths) - lengths
         chunk = (np.arange(lengths.sum()) - np.repeat(starts, lengths)) // CHUNK
@@ -372,6 +396,8 @@ class WordModel:
         for k, c in enumerate(contexts):
             _unpack(self.tables[k].take(_slot(np.repeat(c, sizes), mixed, self.tables.shape[1])), inputs, gate)
         ends = np.cumsum(sizes)[np.cumsum(np.bincount(chunk)) - 1]
+        if seen is not None:
+            seen += np.bincount(gate, minlength=len(seen))
         return mix(inputs, gate, self.code.sign_at[at], np.repeat(owner, sizes), ends, weights, self.rate)
 
 
@@ -386,8 +412,22 @@ def _unpack(slots: np.ndarray, inputs: list[np.ndarray], gate: np.ndarray) -> No
 class Speller:
     """Bits of a word's bytes and the closing space."""
 
-    def __init__(self, tables: np.ndarray, rate: float = 0.06):
-        self.tables, self.rate, self.starts = tables, rate, _byte_starts()
+    def __init__(self, tables: np.ndarray, starts: np.ndarray, rate: float = 0.06):
+        self.tables, self.rate, self.starts = tables, rate, starts
+
+    def learn(self, words: list[bytes], seen: np.ndarray) -> None:
+        """As WordModel.learn: words one after another move one set of start weights."""
+        sizes = np.cumsum([len(w) + 1 for w in words]) // LEARN_PART
+        for group in np.split(np.arange(len(words)), np.flatnonzero(np.diff(sizes)) + 1) if words else []:
+            word, place, mixed, bit, contexts = byte_bits([words[k] for k in group])
+            inputs, gate = [], np.zeros(len(mixed), np.int16)
+            for k, c in enumerate(contexts):
+                _unpack(self.tables[k][_slot(c, mixed, self.tables.shape[1])], inputs, gate)
+            seen += np.bincount(gate, minlength=len(seen))
+            weights = self.starts[None].astype(np.float32)
+            ends = np.cumsum(np.bincount(np.minimum(place, 63)))
+            mix(inputs, gate, np.float32(1) - np.float32(2) * bit, np.zeros(len(word), np.int64), ends, weights, self.rate)
+            self.starts = weights[0].astype(np.float64)
 
     def score(self, words: list[bytes]) -> np.ndarray:
         out = []
@@ -409,6 +449,23 @@ class Speller:
 
 # --- Spark ---------------------------------------------------------------------------------
 
+LEARNED = "cell int, weight double, seen double"
+
+
+def _learned(starts: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+    n = np.repeat(seen.astype(np.float64), starts.shape[1])
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(starts.size, dtype=np.int32)), pa.array(starts.ravel() * n), pa.array(n)], names=["cell", "weight", "seen"])
+
+
+def averaged(rows: DataFrame, starts: np.ndarray) -> np.ndarray:
+    """The mean of what the tasks learned, by the bits that each saw; `starts` where none did.
+    Rounded, so that the order of the sum does not show.  One row a weight reaches the driver."""
+    out = starts.copy().ravel()
+    for cell, weight, seen in rows.groupBy("cell").agg(F.sum("weight"), F.sum("seen")).collect():
+        if seen:
+            out[cell] = round(weight / seen, 4)
+    return out.reshape(starts.shape)
+
 
 def numbered(texts: pa.Array, listed: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Token numbers of the texts one after another, each closed by 1 for the end; how many
@@ -452,22 +509,20 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
                 ids, counts, _, _ = numbered(b.column(0), listed)
                 contexts = word_contexts(ids, np.cumsum(counts) - counts)
                 for at in range(0, len(ids), TALLY_PART):
+                    yield from tally.overflow()
                     part = slice(at, at + TALLY_PART)
                     sizes, bits = code.expand(ids[part])
                     for k in range(2):
                         tally.add(k, _slot(np.repeat(contexts[k][part], sizes), code.mixed[bits], word_slots), code.bits[bits])
         yield from tally.blocks()
 
-    least = top[-1][1] if len(top) == vocab else 0
-    listed = set(w for w, _ in top)
-    known = sc.broadcast(listed)
-
     def tally_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(4, byte_slots)
         for b in batches:
-            words = [w for w in b.column(0).to_pylist() if w != END and w not in known.value]
+            words = b.column(0).to_pylist()
             at = 0
             while at < len(words):
+                yield from tally.overflow()
                 end, size = at, 0
                 while end < len(words) and (end == at or size + len(words[end]) <= PART):
                     size += len(words[end])
@@ -478,13 +533,32 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
                 at = end
         yield from tally.blocks()
 
-    rare = counts.where((F.col("c") <= least) | (F.octet_length("word") > LONGEST)) if least else counts.limit(0)
-    word_tables = sc.broadcast(gathered(train.mapInArrow(tally_words, BLOCKS), 2, word_slots))
-    byte_tables = sc.broadcast(gathered(rare.select("word").mapInArrow(tally_bytes, BLOCKS), 4, byte_slots))
+    apart = lambda c: F.pmod(F.xxhash64(c), F.lit(LEARN_SHARE)) == 0
+    spelled_words = counts.where(F.col("word") != F.lit(END)).select("word")
+    word_tables = sc.broadcast(gathered(train.where(~apart("text")).mapInArrow(tally_words, BLOCKS), 2, word_slots))
+    byte_tables = sc.broadcast(gathered(spelled_words.where(~apart("word")).mapInArrow(tally_bytes, BLOCKS), 4, byte_slots))
+
+    def learn_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, listed = shared.value
+        model, seen = WordModel(code, word_tables.value, _word_starts()), np.zeros(16, np.int64)
+        for whole in batches:
+            for b in slices(whole, 0):
+                ids, counts, _, _ = numbered(b.column(0), listed)
+                model.learn(np.split(ids, np.cumsum(counts)[:-1]), seen)
+        yield _learned(model.starts, seen)
+
+    def learn_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, seen = Speller(byte_tables.value, _byte_starts()), np.zeros(16, np.int64)
+        for b in batches:
+            model.learn(b.column(0).to_pylist(), seen)
+        yield _learned(model.starts, seen)
+
+    word_starts = averaged(train.where(apart("text")).mapInArrow(learn_words, LEARNED), _word_starts())
+    byte_starts = averaged(spelled_words.where(apart("word")).mapInArrow(learn_bytes, LEARNED), _byte_starts())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, listed = shared.value
-        model = WordModel(code, word_tables.value)
+        model = WordModel(code, word_tables.value, word_starts)
         names = ["rid", "doc_id", "held_out", "n_tokens", "known", "logc", "bits", "n_bytes", "word", "n"]
         none = lambda k, kind: pa.nulls(k, kind)
         for whole in batches:
@@ -509,7 +583,7 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
     rows = materialize(d.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held_out", "text").mapInArrow(read, schema), "scores")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = Speller(byte_tables.value)
+        speller = Speller(byte_tables.value, byte_starts)
         for b in batches:
             words = b.column(1).dictionary_encode()  # the join leaves equal words together
             bits = speller.score(words.dictionary.to_pylist())[words.indices.to_numpy(zero_copy_only=False)]

@@ -462,12 +462,12 @@ def test_bit_probabilities_sum_to_one():
     code = lm_score.Code([(b"a", 50), (b"b", 20), (b"c", 3)], 5, 10)
     r = np.random.default_rng(1)
     tables = lm_score.packed(r.integers(0, 9, (2, 1 << 16)).astype(float), r.integers(0, 9, (2, 1 << 16)).astype(float))
-    model = lm_score.WordModel(code, tables)
+    model = lm_score.WordModel(code, tables, lm_score._word_starts())
     texts = [np.array([2, 3, s, 1]) for s in range(5)]
     whole = model.score([t[:3] for t in texts])
     prefix = model.score([np.array([2, 3])])[0]
     assert np.exp2(whole - prefix).sum() == pytest.approx(1, abs=1e-3)
-    speller = lm_score.Speller(lm_score.packed(r.integers(0, 9, (4, 1 << 16)).astype(float), r.integers(0, 9, (4, 1 << 16)).astype(float)))
+    speller = lm_score.Speller(lm_score.packed(r.integers(0, 9, (4, 1 << 16)).astype(float), r.integers(0, 9, (4, 1 << 16)).astype(float)), lm_score._byte_starts())
     some = [bytes([b]) for b in range(256) if b not in b" "] 
     assert np.exp2(speller.score(some)).sum() < 1
 
@@ -477,6 +477,6 @@ def test_long_texts_score_alike_in_parts(monkeypatch):
     r = np.random.default_rng(2)
     tables = lm_score.packed(r.integers(0, 9, (2, 1 << 16)).astype(float), r.integers(0, 9, (2, 1 << 16)).astype(float))
     ids = r.integers(0, 4, 5000)
-    whole = lm_score.WordModel(code, tables).score([ids])[0]
+    whole = lm_score.WordModel(code, tables, lm_score._word_starts()).score([ids])[0]
     monkeypatch.setattr(lm_score, "PART", 1000)
-    assert lm_score.WordModel(code, tables).score([ids])[0] == pytest.approx(whole, rel=1e-4)
+    assert lm_score.WordModel(code, tables, lm_score._word_starts()).score([ids])[0] == pytest.approx(whole, rel=1e-4)
