@@ -145,7 +145,8 @@ def similarity_edges(points: DataFrame, threshold: float, block_rows: int = 2000
 def approximate_search(collection: DataFrame, queries: DataFrame, limit: int = DEFAULT_LIMIT, tables: int = 24, bits: int = 8, seed: int = 42) -> DataFrame:
     """(qid, id, cosine, rank) from rows that share a random-hyperplane bucket with the query
     in one of `tables` tables or sit one bit away; scores are exact."""
-    dim = len(collection.select("vector").first()["vector"])
+    first = collection.where("vector is not null").select("vector").first()
+    dim = len(first["vector"]) if first else 1  # an empty collection gives no rows
     planes = np.random.default_rng(seed).normal(size=(tables, bits, dim))
     held = collection.sparkSession.sparkContext.broadcast(planes)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LINK = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
+LINK = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 # What the cleaners remove, in this order.
 DLT_RULES = (
@@ -22,10 +22,11 @@ HEADER = r"(?md)^----- (.*?) -----$"
 
 
 def links(pages: DataFrame, host: str, domain_prefix: str, html: str = "html") -> DataFrame:
-    """(url, ord, link) of each page: hrefs with white space cut off, a leading slash completed
-    by `host`, and only those that start with `domain_prefix`."""
+    """(url, ord, link) of each page: hrefs, quoted or not, with white space cut off and &amp;
+    read, a leading slash completed by `host`, and only those that start with `domain_prefix`."""
     found = pages.select("url", F.posexplode(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(LINK), F.lit(1))).alias("ord", "href"))
-    href = F.regexp_replace("href", r"(?U)^\s+|\s+\z", "")
+    href = F.regexp_replace(F.regexp_replace("href", r"""^["']|["']\z""", ""), r"(?U)^\s+|\s+\z", "")
+    href = F.replace(href, F.lit("&amp;"), F.lit("&"))
     full = F.when(href.startswith("/"), F.concat(F.lit(host), href)).otherwise(href)
     return found.select("url", F.col("ord").cast("bigint").alias("ord"), full.alias("link")).where(F.col("link").startswith(domain_prefix))
 

@@ -93,6 +93,14 @@ def vector_delete(spark, d):
     return vector.delete(c, table(spark, d, "orders").select(F.col("o_custkey").alias("id")))
 
 
+@query("""SELECT c_custkey AS id, c_mktsegment AS payload FROM customer
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'O')""")
+def vector_delete_some(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("payload"))
+    urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'")
+    return vector.delete(c, urgent.select(F.col("o_custkey").alias("id")))
+
+
 @query(r"""WITH a AS (SELECT page_id, trim(regexp_replace(regexp_replace(lower(url), '[^a-z0-9-]', '-', 'g'), '-+', '-', 'g'), '-') AS x FROM pages),
 b AS (SELECT page_id, CASE WHEN regexp_matches(x, '^[0-9]') THEN 'idx-' || x ELSE x END AS x FROM a),
 c AS (SELECT page_id, CASE WHEN length(x) > 128 THEN rtrim(substr(x, 1, 128), '-') ELSE x END AS x FROM b)
@@ -161,6 +169,44 @@ def graph_upsert_edges_multikey(spark, d):
     return mutate.latest_attributes(rows, ["src", "dst", "key"]).select("src", "dst", "key", F.col("value").alias("quantity"))
 
 
+def _props(*columns: str):
+    return F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("string"))])
+
+
+@query("""WITH o AS (SELECT 'cust:' || o_custkey AS id, min(o_orderkey) AS ord, arg_max(o_orderpriority, o_orderkey) AS priority, arg_max(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY 1),
+c AS (SELECT 'cust:' || c_custkey AS id, c_custkey AS ord, c_name, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING')
+SELECT coalesce(c.id, o.id) AS id, coalesce(c.ord, o.ord) AS ord, CASE WHEN c.id IS NOT NULL THEN 'Customer' END AS type, c_name AS name, c_mktsegment AS segment, priority, status
+FROM c FULL JOIN o ON c.id = o.id""")
+def graph_merge_nodes(spark, d):
+    """Orders as updates of a graph that holds some of their customers."""
+    c, o = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").withColumn("segment", F.col("c_mktsegment")), table(spark, d, "orders")
+    o = o.withColumns({"priority": F.col("o_orderpriority"), "status": F.col("o_orderstatus")})
+    node = lambda key, kind, name, props: [
+        F.concat(F.lit("cust:"), F.col(key).cast("string")).alias("id"), F.col(key).cast("bigint").alias("ord"), F.lit(kind).cast("string").alias("type"), name.cast("string").alias("name"),
+        F.lit(None).cast("timestamp").alias("updated_at"), props.alias("props")]
+    old = c.select(*node("c_custkey", "Customer", F.col("c_name"), _props("segment")))
+    rows = o.select(F.col("o_orderkey"), *node("o_custkey", None, F.lit(None), _props("priority", "status"))).withColumn("ord", F.col("o_orderkey").cast("bigint")).drop("o_orderkey")
+    return mutate.upsert_nodes(old, rows).select("id", "ord", "type", "name", *[F.try_element_at("props", F.lit(k)).alias(k) for k in ("segment", "priority", "status")])
+
+
+@query("""WITH l AS (SELECT 'order:' || l_orderkey AS src, 'part:' || l_partkey AS dst, 'holds' AS key, l_orderkey * 1000000 + l_linenumber * 10000 + (ascii(l_returnflag) - 65) * 100 + ascii(l_linestatus) - 65 AS ord, l_returnflag, l_linestatus, l_linenumber FROM lineitem),
+o AS (SELECT src, dst, key, min(ord) AS ord, arg_max(l_returnflag, ord) AS flag FROM l WHERE l_linenumber <= 2 GROUP BY ALL),
+n AS (SELECT src, dst, key, min(ord) AS ord, arg_max(l_linestatus, ord) AS status FROM l WHERE l_linenumber >= 2 GROUP BY ALL)
+SELECT coalesce(o.src, n.src) AS src, coalesce(o.dst, n.dst) AS dst, coalesce(o.key, n.key) AS key, coalesce(o.ord, n.ord) AS ord, flag, status
+FROM o FULL JOIN n ON o.src = n.src AND o.dst = n.dst""")
+def graph_merge_edges(spark, d):
+    """The later lines of orders as updates of a graph that holds the first two of each."""
+    li = table(spark, d, "lineitem").withColumns({"flag": F.col("l_returnflag"), "status": F.col("l_linestatus")})
+    ident = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    edge = lambda props: [
+        ident("order:", "l_orderkey").alias("src"), ident("part:", "l_partkey").alias("dst"), F.lit("holds").alias("key"), F.expr("bigint(l_orderkey) * 1000000 + l_linenumber * 10000 + (ascii(l_returnflag) - 65) * 100 + ascii(l_linestatus) - 65").alias("ord"),
+        *[F.lit(None).cast("string").alias(c) for c in ("relationship_name", "relationship_type")], F.lit(None).cast("timestamp").alias("updated_at"), props.alias("props")]
+    none = F.create_map().cast("map<string,string>")
+    old = mutate.upsert_edges(li.limit(0).select(*edge(none)), li.where("l_linenumber <= 2").select(*edge(_props("flag"))))
+    new = mutate.upsert_edges(old, li.where("l_linenumber >= 2").select(*edge(_props("status"))))
+    return new.select("src", "dst", "key", "ord", *[F.try_element_at("props", F.lit(k)).alias(k) for k in ("flag", "status")])
+
+
 def _commerce(sql: str) -> str:
     return f"WITH {fixtures.COMMERCE} {sql}"
 
@@ -177,6 +223,14 @@ def graph_delete_nodes(spark, d):
     return mutate.delete_nodes(n, e, _ids(spark, d, "customer", "cust", "c_custkey", "c_mktsegment = 'BUILDING'"))[1].select("src", "dst", "key")
 
 
+@query(_commerce(""", gone AS (SELECT 'cust:' || c_custkey AS id FROM customer WHERE c_mktsegment = 'BUILDING')
+SELECT id FROM nodes WHERE id NOT IN (SELECT id FROM gone)"""))
+def graph_delete_nodes_left(spark, d):
+    """The node side of graph_delete_nodes."""
+    n, e = fixtures.commerce_graph(spark, d)
+    return mutate.delete_nodes(n, e, _ids(spark, d, "customer", "cust", "c_custkey", "c_mktsegment = 'BUILDING'"))[0].select("id")
+
+
 @query(_commerce("SELECT src, dst, key FROM edges WHERE NOT (key = 'located_in' AND dst LIKE 'nation:%')"))
 def graph_cut_predecessors(spark, d):
     _, e = fixtures.commerce_graph(spark, d)
@@ -345,8 +399,8 @@ def graph_clustering(spark, d):
 
 # --- web text ------------------------------------------------------------------------------
 
-@query(r"""WITH h AS (SELECT url, regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"', 1) AS l FROM pages),
-x AS (SELECT url, unnest(range(len(l))) AS ord, trim(unnest(l), E' \t\n\r') AS href FROM h)
+@query(r"""WITH h AS (SELECT url, regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1) AS l FROM pages),
+x AS (SELECT url, unnest(range(len(l))) AS ord, replace(trim(regexp_replace(unnest(l), '^["'']|["'']$', '', 'g'), E' \t\n\r'), '&amp;', '&') AS href FROM h)
 SELECT url, ord, CASE WHEN starts_with(href, '/') THEN 'https://docs.example.com' || href ELSE href END AS link FROM x WHERE link LIKE 'https://docs.example.com/%'""")
 def html_links(spark, d):
     return web_text.links(table(spark, d, "pages"), "https://docs.example.com", "https://docs.example.com/")

@@ -109,3 +109,11 @@ def test_rank_fusion(spark):
     right = spark.createDataFrame([(0, "b", 1), (0, "c", 2)], "qid int, id string, rank int")
     got = hybrid.fuse(left, right, 2).orderBy("rank").collect()
     assert [r["id"] for r in got] == ["b", "a"] and got[0]["score"] == pytest.approx(1 / 61 + 1 / 62)
+
+
+def test_approximate_search_of_an_empty_collection(spark):
+    from graphvec.operators import vector
+
+    none = spark.createDataFrame([], "id bigint, vector array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 2.0])], "qid bigint, vector array<float>")
+    assert vector.approximate_search(none, asked.limit(0)).count() == 0
