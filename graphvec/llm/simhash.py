@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphvec.llm.near_copies import near_copies
@@ -186,8 +186,12 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """`docs` with the smallest doc_id of each group of near copies, one row each; null ids all
-    stay.  Near copies are texts whose 5-word shingles have a Jaccard similarity of 0.8 or more
+    stay.  Of rows that repeat a doc_id the one with the smallest text stays, and of equal texts
+    the one with the smallest other columns, as JSON.  Near copies are texts whose 5-word shingles have a Jaccard similarity of 0.8 or more
     (near_copies): the distance of near_duplicates is the query's, and too narrow for them."""
     ids = near_copies(docs, text_col, id_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(ids, id_col, "left_semi").dropDuplicates([id_col]).select(*docs.columns)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, id_col)]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias(id_col), F.col(text_col).alias("text"), F.to_json(F.struct(F.lit(0), *rest)).alias("rest"))
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy("text", "rest"))
+    kept = rows.join(ids, id_col, "left_semi").withColumn("first", first).where("first = 1").select("row.*")
     return kept.unionAll(docs.where(F.col(id_col).isNull()))
