@@ -43,10 +43,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_WORDS = 400_000  # a worker forgets all words when it knows so many
-CACHE_TOKENS = 4_000_000
+CACHE_WORDS = 250_000  # a worker forgets all words when it knows so many
+CACHE_TOKENS = 2_000_000
 PIECE = 1 << 18  # bytes of a text handled at a time
-SLICE_BYTES = 2 << 20  # of short texts handled together
+SLICE_BYTES = 1 << 20  # of short texts handled together
 RUN = 1 << 12  # characters of a word before it is read on its own
 STEP = 256  # symbols between emissions
 
@@ -121,6 +121,7 @@ class Transducer:
         letters, numbers = letters_and_numbers()
         self.runs = re.compile(f"[{letters}]+"), re.compile(f"[^{SPACES}{letters}{numbers}]+")
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else (lambda t: [t])
+        self.merges = merges
         self.lookahead = self._sufficient_lookahead(merges)
 
     def _size(self, token: str) -> int:
@@ -133,37 +134,50 @@ class Transducer:
         most = 0
         base = set(self.alphabet.values())
         base |= {c + self.suffix for c in base}
-        first: dict[str, int] = {}  # rank of the first merge that takes a token on its left
-        links: dict[tuple[str, str], list[int]] = {}  # (a', a): ranks of merges (a', b') with a on the left spine of b'
-        for rank, (a, b) in enumerate(merges):
+        for a, b in merges:
             if any(x not in base and x not in born for x in (a, b)) or a + b in born:
                 raise ValueError(f"merge {a} {b} is not proper")
             chain, t = 0, b
             while t is not None:
                 chain = max(chain, longest.get(t, 0))
-                links.setdefault((a, t), []).append(rank)
                 t = left.get(t)
-            first.setdefault(a, rank)
             longest[a] = max(longest.get(a, 0), self._size(a) + chain)
             most = max(most, longest[a])
             born.add(a + b)
             left[a + b] = a
-        self.first, self.links, self.widest = first, links, max(map(len, first), default=0)
         return most
 
+    @functools.cached_property
+    def chains(self) -> tuple[dict[str, int], dict[tuple[str, str], list[int]], int]:
+        """What the first long word asks for: the rank of the first merge that takes a token on
+        its left; for (a', a) the ranks of merges (a', b') with a on the left spine of b'; and
+        the longest token that is on the left of a merge."""
+        first: dict[str, int] = {}
+        links: dict[tuple[str, str], list[int]] = {}
+        left: dict[str, str] = {}
+        for rank, (a, b) in enumerate(self.merges):
+            t = b
+            while t is not None:
+                links.setdefault((a, t), []).append(rank)
+                t = left.get(t)
+            first.setdefault(a, rank)
+            left[a + b] = a
+        return first, links, max(map(len, first), default=0)
+
     def unstable(self, held: list[str]) -> int:
         """How many symbols at the end of a proper prefix of a word may yet merge otherwise: the
         longest chain of merges whose tokens end at its end, one before the other."""
+        first, links, widest = self.chains
         text = "".join(held)
         reach, seen, todo = 0, {}, [(len(text), None, -1)]
         while todo:
             end, after, rank = todo.pop()
-            for size in range(1, min(self.widest, end) + 1):
+            for size in range(1, min(widest, end) + 1):
                 token = text[end - size : end]
                 if after is None:
-                    now = self.first.get(token)
+                    now = first.get(token)
                 else:
-                    ranks = self.links.get((token, after))
+                    ranks = links.get((token, after))
                     now = next((r for r in ranks if r > rank), None) if ranks else None
                 if now is not None and seen.get((end, token), now + 1) > now:
                     seen[end, token] = now
