@@ -468,3 +468,16 @@ SELECT qid, r.id, round(c, 6) AS cosine, rank, '{"label":' || label || '}' AS pa
 def retrieval_chunks(spark, d):
     r = retrieve.chunks(_points(spark, d), _queries(spark, d), 5)
     return r.select("qid", "id", F.round("cosine", 6).alias("cosine"), F.col("rank").cast("bigint").alias("rank"), "payload")
+
+
+@query("""WITH s AS (SELECT q.vec_id AS qid, e.vec_id AS id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS c FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0),
+r AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY round(c, 12) DESC, id) AS rank FROM s),
+n AS (SELECT count(*) AS n FROM embeddings), e AS (SELECT vec_id AS src, (7 * vec_id + 3) % n AS dst FROM embeddings, n),
+x AS (SELECT dst AS node, src, dst FROM e UNION ALL SELECT src, src, dst FROM e)
+SELECT qid, node, src, 'v' || src AS src_name, dst, 'v' || dst AS dst_name FROM r JOIN x ON r.id = x.node WHERE rank <= 5 AND dst IN (SELECT vec_id FROM embeddings)""")
+def retrieval_insights(spark, d):
+    p = table(spark, d, "embeddings").select("vec_id")
+    n = p.count()
+    nodes = p.select(F.col("vec_id").alias("id"), F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("name"))
+    edges = p.select(F.col("vec_id").alias("src"), ((7 * F.col("vec_id") + 3) % n).alias("dst"), F.lit("next").alias("key"), F.lit("next").alias("relationship_name"))
+    return retrieve.insights(_points(spark, d), _queries(spark, d), nodes, edges, 5).select("qid", "node", "src", "src_name", "dst", "dst_name")
