@@ -278,6 +278,27 @@ def test_keep_one_drops_copies_of_similarity_of_four_fifths(spark, cell_rows):
         assert {x["doc_id"] for x in simhash.keep_one(docs(spark, rows)).collect()} == set(want.values())
 
 
+def test_a_crowd_of_half_alike_texts_loses_no_link(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(120)]
+    rows = []
+    for d in range(3 * near_copies.CROWD):  # pairs from alike to a similarity of about 0.6
+        w = list(base)
+        for at in r.sample(range(120), r.randint(0, 4)):
+            w[at] = word()
+        rows.append((d, " ".join(w)))
+    rows += [(d, rows[d + 1][1]) for d in range(0, 60, 20)]  # ids that repeat with another text
+    plain = [(k, t) for k, (_, t) in enumerate(rows)]
+    for crowd in (near_copies.CROWD, 1):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(near_copies, "CROWD", crowd)
+            got = near_copies.near_copies(docs(spark, plain), cell_rows=16).collect()
+            assert {x["doc_id"]: x["component_id"] for x in got} == slow_links(plain)
+    ids = {x["doc_id"] for x in near_copies.near_copies(docs(spark, rows)).collect()}
+    assert ids == {d for d, _ in rows}
+
+
 # --- 7 BPE ---------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
