@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphvec.operators.ordering import running
 from graphvec.storage import materialize
 
 RETRY_STATUS = (408, 429, 502)
@@ -27,8 +28,8 @@ def crawl(start: DataFrame, links: DataFrame, fetched: DataFrame | None = None,
         live = frontier if fetched is None else frontier.join(fetched.select("url"), "url", "left_semi")
         step = live.select("url", F.col("ord").alias("parent")).join(links, "url").groupBy(F.col("link").alias("url")).agg(F.min(F.struct("parent", "ord")).alias("first"))
         step = step.join(seen.select("url"), "url", "left_anti")
-        w = Window.partitionBy(F.lit(depth)).orderBy("first")
-        frontier = materialize(step.select("url", F.lit(depth).alias("depth"), "first").withColumn("ord", F.row_number().over(w).cast("bigint")).drop("first"), "crawl")
+        placed = running(step.select("url", "first.parent", "first.ord"), [], ["parent", "ord"], name="crawl-order")
+        frontier = materialize(placed.select("url", F.lit(depth).alias("depth"), (F.col("pos") + 1).alias("ord")), "crawl")
         if frontier.isEmpty():
             break
         seen = seen.unionAll(frontier)

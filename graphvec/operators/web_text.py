@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphvec.operators.ordering import running
+
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 # What the cleaners remove, in this order.
@@ -60,6 +62,33 @@ def segment(corpora: DataFrame, text: str = "text") -> DataFrame:
     return pages.withColumn("pos", F.row_number().over(w).cast("bigint") - 1)
 
 
+def segment_fragments(fragments: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
+    """(keys, pos, url, start, page) of corpora that stand as rows (keys, order, fragment), each
+    from one header up to before another: what `segment` gives for the fragments in one text,
+    which is never put together."""
+    cut = segment(fragments.select(*keys, F.col(order).alias("_ord"), "fragment"), "fragment")
+    cut = cut.select(*keys, "_ord", F.col("start").alias("_at"), "url", "page", F.length("page").alias("_length"))
+    return running(cut, keys, ["_ord", "_at"], "_length", "pages").select(*keys, "pos", "url", "start", "page")
+
+
+def matching_pages(pages: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pages whose url starts with one of `prefixes` (prefix), once each, stripped at the
+    right: the parts that `extract_pages` joins, one row each."""
+    p = prefixes.where("prefix is not null").agg(F.collect_set("prefix").alias("_listed"))  # the call's own list
+    hit = F.exists("_listed", lambda x: F.col("url").startswith(x))
+    return pages.join(F.broadcast(p), hit, "left_semi").withColumn("page", rstrip(F.col("page")))  # one row
+
+
+def halves_of_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """`pages` (keys, pos, url, start, page) with half, 1 or 2: the cut of `split_in_halves`,
+    taken from lengths alone, so a corpus stays in rows.  A page is never cut."""
+    total = pages.groupBy(*keys).agg(F.floor(F.sum(F.length("page")) / 2).alias("_mid"))
+    sized = pages.select(*keys, "start").join(total, keys)
+    cut = sized.where("start < _mid").groupBy(*keys).agg(F.max("start").alias("_cut"))
+    half = F.when(F.col("start") < F.coalesce("_cut", F.lit(0)), 1).otherwise(2)
+    return pages.join(cut, keys, "left").withColumn("half", half).drop("_cut")
+
+
 def rstrip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+\z", "")
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphvec.operators import vector, web_text
+from graphvec.operators.ordering import running
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,13 +115,13 @@ _PIECES = (
 )
 
 
-def corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source, text): pages of each source in doc_id order, with text that cleaning removes."""
-    d = table(spark, sf_dir, "documents").withColumn("rn", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))
+def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, ord, fragment): a page of each document, numbered in doc_id order in its source,
+    with text that cleaning removes."""
+    d = running(table(spark, sf_dir, "documents"), ["source"], ["doc_id"]).withColumn("rn", F.col("pos") + 1)
     extra = [F.when(F.col("rn") % n == 0, F.lit(s)).otherwise(F.lit("")) for n, s in _PIECES]
     url = F.concat(F.lit("https://docs.example.com/"), "lang", F.lit("/"), F.col("doc_id").cast("string"))
-    f = d.select("source", F.col("rn").alias("ord"), web_text.fragment(url, F.concat(F.coalesce("text", F.lit("")), *extra)).alias("fragment"))
-    return web_text.combine(f, ["source"])
+    return d.select("source", F.col("rn").alias("ord"), web_text.fragment(url, F.concat(F.coalesce("text", F.lit("")), *extra)).alias("fragment"))
 
 
 def _sql_text(s: str) -> str:
@@ -129,12 +130,10 @@ def _sql_text(s: str) -> str:
 
 CORPORA = """
 numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
-corpora AS (SELECT source, string_agg('----- https://docs.example.com/' || lang || '/' || doc_id || ' -----' || chr(10) || chr(10) || coalesce(text, '')""" + "".join(
-    f" || CASE WHEN rn % {n} = 0 THEN {_sql_text(s)} ELSE '' END" for n, s in _PIECES) + """ || chr(10) || chr(10), '' ORDER BY rn) AS text FROM numbered GROUP BY source),
-heads AS (SELECT source, text, regexp_extract_all(text, '(?m)^----- (.*?) -----$', 1) AS urls, string_split_regex(text, '(?m)^----- .*? -----$') AS bodies FROM corpora),
-pages_of AS (SELECT source, unnest(range(len(urls))) AS pos, unnest(urls) AS url, unnest(bodies[2:]) AS body FROM heads),
-paged AS (SELECT source, pos, url, '----- ' || url || ' -----' || body AS page,
-  sum(length(url) + 12 + length(body)) OVER (PARTITION BY source ORDER BY pos) - (length(url) + 12 + length(body)) AS start FROM pages_of)"""
+frag AS (SELECT source, rn AS ord, '----- https://docs.example.com/' || lang || '/' || doc_id || ' -----' || chr(10) || chr(10) || coalesce(text, '')""" + "".join(
+    f" || CASE WHEN rn % {n} = 0 THEN {_sql_text(s)} ELSE '' END" for n, s in _PIECES) + """ || chr(10) || chr(10) AS text FROM numbered),
+paged AS (SELECT source, ord - 1 AS pos, 'https://docs.example.com/' || regexp_extract(text, '^----- https://docs.example.com/(.*?) -----', 1) AS url, text AS page,
+  coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM frag)"""
 
 
 # --- letters as a vector -------------------------------------------------------------------

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from graphvec.functions.text import canonical_id, collection_name, parse_time, payload, prefixed_name
 from graphvec.operators import crawl, web_text
+from graphvec.operators.ordering import running
 from graphvec.sources.corpus import fetch_pages, read_corpora, write_corpus
 
 CORPUS = ("before\n----- https://d/a -----\n\nx\n## Privacy Preference Center\nmore\n----- https://d/a/b -----\n\ny\r\n### Cookie List z\n\n\n\n"
@@ -92,3 +93,35 @@ def test_small_functions(spark):
     for text, want in (("1700000000123", True), ("2024-01-02T03:04:05.123456+00:00", True), ("2024-01-02T03:04:05+00:00", True), ("soon", False)):
         assert (one(spark, text, parse_time) is not None) == want
     assert one(spark, "{'a': 1}", lambda c: F.to_json(payload(c))) == "{}"
+
+
+def test_rows_of_pages_give_what_whole_texts_give(spark):
+    rows = [(k, o, f"----- {u} -----\n\n{b}\n\n") for k, o, u, b in (
+        ("a", 1, "/x/1", "one " * 9), ("a", 2, "/y/2", "two\n----- /x/in -----\nmore"), ("a", 5, "/x/3", "three  "), ("b", 1, "/y/1", ""), ("c", 1, "/x/1", "long " * 50), ("c", 2, "/x/2", "s"))]
+    f = spark.createDataFrame(rows, "source string, ord bigint, fragment string")
+    whole = web_text.combine(f, ["source"])
+    pages = web_text.segment_fragments(f, ["source"])
+    one = web_text.segment(whole)
+    columns = ["source", "pos", "url", "start", "page"]
+    assert sorted(pages.select(columns).collect()) == sorted(one.select(columns).collect())
+    prefixes = spark.createDataFrame([("/x",), ("/x/1",), (None,)], "prefix string")
+    parts = sorted(web_text.matching_pages(pages, prefixes).collect())
+    joined = {r["source"]: r["text"] for r in web_text.extract_pages(one, prefixes.where("prefix is not null"), ["source"]).collect()}
+    assert {k: "\n\n".join(r["page"] for r in parts if r["source"] == k) for k in joined} == joined and {r["source"] for r in parts} == set(joined)
+    halves = web_text.halves_of_pages(pages, ["source"]).orderBy("source", "pos").collect()
+    got = {k: tuple("".join(r["page"] for r in halves if r["source"] == k and r["half"] == h).strip() for h in (1, 2)) for k in "abc"}
+    assert got == {r["source"]: (r["first_half"].strip(), r["second_half"].strip()) for r in web_text.split_in_halves(whole).collect()}
+    none = f.limit(0)
+    assert web_text.halves_of_pages(web_text.segment_fragments(none, ["source"]), ["source"]).isEmpty()
+
+
+def test_running_counts_and_sums(spark):
+    rows = [(k, i * 7 % 101, i) for i in range(101) for k in ("hot", None) if k or i < 5]
+    df = spark.createDataFrame(rows, "k string, o bigint, w bigint")
+    for keys in (["k"], []):
+        got = running(df, keys, ["o", "w"] if keys else ["o", "w", "k"], "w").collect()
+        for k in {r["k"] for r in got} if keys else [0]:
+            own = sorted((r for r in got if not keys or r["k"] == k), key=lambda r: r["pos"])
+            assert [r["pos"] for r in own] == list(range(len(own))) and [r["o"] for r in own] == sorted(r["o"] for r in own)
+            assert [r["start"] for r in own] == [sum(x["w"] for x in own[:i]) for i in range(len(own))]
+    assert running(df.limit(0), [], ["o"]).isEmpty()
