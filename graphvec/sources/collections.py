@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphvec.errors import CollectionNotFound, EngineInitialization
-from graphvec.operators import vector
+from graphvec.functions.vectors import PROFILES
+from graphvec.operators import hybrid, vector
 from graphvec.schema import POINTS
+from graphvec.storage import remove
 
-#: profile name -> how that backend behaves (score profile, limits, missing collections)
+#: profile name -> how that backend behaves (score profile, limits, missing collections, and
+#: `keep`: the score a row of a batch search needs, given cosine and score)
 ADAPTERS: dict[str, dict] = {}
 
 
@@ -20,8 +22,8 @@ def use_vector_adapter(name: str, **behaviour) -> None:
     ADAPTERS[name] = behaviour
 
 
-use_vector_adapter("redis", profile="redis_norm", clamp=False, missing="empty", create=False)
-use_vector_adapter("qdrant", profile="distance", clamp=False, missing="empty", create=False)
+use_vector_adapter("redis", profile="redis_norm", clamp=False, missing="empty", create=False, keep="score < 0.1")
+use_vector_adapter("qdrant", profile="distance", clamp=False, missing="empty", create=False, keep="cosine > 0.9")
 use_vector_adapter("opensearch", profile="opensearch", clamp=True, missing="raise", create=True)
 use_vector_adapter("azureaisearch", profile="azure", clamp=True, missing="empty", create=True)
 
@@ -37,8 +39,7 @@ class CollectionStore:
         self.behaviour = ADAPTERS[adapter]
 
     def _name(self, name: str) -> str:
-        full = f"{self.prefix}_{name}".lower() if self.prefix else name
-        return re.sub(r"[^A-Za-z0-9_.-]", "-", full)
+        return f"{self.prefix}_{name}".lower() if self.prefix else name
 
     def _catalog(self) -> DataFrame:
         schema = "n bigint, name string, version string"
@@ -106,10 +107,39 @@ class CollectionStore:
             return self.spark.createDataFrame([], "id string, score double")
         return vector.search(self.read(name), vector_, text, embed, limit, self.behaviour["profile"], self.behaviour["clamp"])
 
+    def _found(self, name: str, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The collection, and queries (qid, text) or (qid, vector) with vectors."""
+        if not self.has_collection(name):
+            if self.behaviour["missing"] == "raise":
+                raise CollectionNotFound(name)
+            points = self.spark.createDataFrame([], POINTS)
+        else:
+            points = self.read(name)
+        return points, queries if "vector" in queries.columns else queries.withColumn("vector", self.embed(F.col("text")))
+
+    def batch_search(self, name: str, queries: DataFrame, limit: int | None = vector.DEFAULT_LIMIT, with_vectors: bool = False) -> DataFrame:
+        """(qid, id, score, rank, payload[, vector]) for queries (qid, text) or (qid, vector): the
+        closest rows of each, less those that the backend's `keep` rules out."""
+        points, q = self._found(name, queries)
+        hits = vector.batch_search(points, q.select("qid", "vector"), vector.effective_limit(limit, self.behaviour["clamp"]))
+        hits = hits.withColumn("score", PROFILES[self.behaviour["profile"]](F.col("cosine"))).where(self.behaviour.get("keep", "true"))
+        return hits.join(points.select("id", "payload", *(["vector"] if with_vectors else [])), "id").select("qid", "id", "score", "rank", "payload", *(["vector"] if with_vectors else []))
+
+    def hybrid_search(self, name: str, queries: DataFrame, limit: int | None = vector.DEFAULT_LIMIT) -> DataFrame:
+        """(qid, id, score, rank, payload) for queries (qid, text[, vector]): ranks of the words
+        and of the vectors, fused."""
+        points, q = self._found(name, queries)
+        k = vector.effective_limit(limit, self.behaviour["clamp"])
+        words = hybrid.bm25(points.select("id", "text"), q.select("qid", "text"), k)
+        fused = hybrid.fuse(words, vector.batch_search(points, q.select("qid", "vector"), k), k)
+        return fused.join(points.select("id", "payload"), "id").select("qid", "id", "score", "rank", "payload")
+
     def prune(self) -> None:
-        """Forget every collection of this store (and prefix)."""
+        """Drop every collection of this store (and prefix), its files included."""
         known = self._catalog()
-        newest = known.groupBy("name").agg(F.max_by("version", "n").alias("version")).where("version is not null")
-        gone = newest.where(F.col("name").startswith(self._name(""))) if self.prefix else newest
-        rows = gone.select(F.lit(known.count()).cast("bigint").alias("n"), "name", F.lit(None).cast("string").alias("version"))
+        gone = known.where(F.col("name").startswith(self._name(""))) if self.prefix else known
+        newest = gone.groupBy("name").agg(F.max_by("version", "n").alias("version"))
+        rows = newest.where("version is not null").select(F.lit(known.count()).cast("bigint").alias("n"), "name", F.lit(None).cast("string").alias("version"))
+        old = [r["version"] for r in gone.where("version is not null").select("version").collect()]  # one for each write of a collection
         rows.coalesce(1).write.mode("append").parquet(f"{self.root}/catalog")
+        remove(self.spark, self.root, old)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from graphvec.functions.text import canonical_id, parse_time
 from graphvec.schema import EDGES, NODES
+from graphvec.storage import remove
 
 _FIXED = {"id", "source", "target", "key", "updated_at"}
 
@@ -104,8 +105,11 @@ class GraphStore:
         self.spark.createDataFrame([(n, version)], "n bigint, version string").coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def delete(self) -> None:
-        """Forget the graph: the next load is empty."""
+        """Drop the graph and the files of all its versions: the next load is empty."""
+        known = self._version() is not None
+        old = [r["version"] for r in self.spark.read.parquet(f"{self.root}/commits").where("version is not null").collect()] if known else []  # one for each save
         self._commit(None)
+        remove(self.spark, self.root, old)
 
     def query(self, sql: str) -> DataFrame:
         """Extension: SQL over the views nodes and edges."""

@@ -53,6 +53,16 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def remove(spark: SparkSession, root: str, names: list[str]) -> None:
+    """Delete the folders of these names under `root`, which nothing points to any more."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for name in names:
+        if not name or "/" in name or name.startswith("."):
+            raise ValueError(f"{name!r} is no version of this store")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        path.getFileSystem(conf).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int):
     """`df` with a broadcast hint if it has at most `max_rows` rows, else `df` as it is, which
     leaves the join to a shuffle.  Counts `df` once."""

@@ -47,7 +47,8 @@ def test_graph_store(spark, tmp_path):
     assert n.count() == 2 and e.count() == 1
     assert store.query("SELECT count(*) FROM nodes JOIN edges ON id = src").first()[0] == 1
     store.delete()
-    assert store.load()[0].count() == 0
+    assert store.load()[0].count() == 0 and [p.name for p in (tmp_path / "s").iterdir()] == ["commits"]
+    store.delete()
 
 
 def test_streamed_upserts(spark, tmp_path):

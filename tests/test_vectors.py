@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +86,19 @@ def test_upsert_replaces_whole_rows(spark):
     assert {tuple(r) for r in vector.upsert(once, new).collect()} == {tuple(r) for r in once.collect()}
 
 
+@pytest.mark.parametrize("adapter, found", [("qdrant", {"1"}), ("redis", set()), ("azureaisearch", {"1", "2"})])
+def test_store_searches_for_many_texts(spark, tmp_path, adapter, found):
+    store = CollectionStore(spark, str(tmp_path / "c"), adapter=adapter)
+    rows = spark.createDataFrame([("1", "quantum computer", ["name"]), ("2", "quantum sandwich of cheese", ["name"])], "id string, name string, index_fields array<string>")
+    asked = spark.createDataFrame([(7, "Quantum computer"), (8, None)], "qid int, text string")
+    assert store.batch_search("Entity_name", asked).isEmpty() and store.hybrid_search("Entity_name", asked).isEmpty()
+    store.index_data_points("Entity", "name", rows)
+    got = store.batch_search("Entity_name", asked, with_vectors=True).collect()
+    assert {r["id"] for r in got} == found and all(r["qid"] == 7 and json.loads(r["payload"])["id"] == r["id"] and r["vector"] for r in got)
+    both = store.hybrid_search("Entity_name", asked, 1).collect()
+    assert [(r["qid"], r["id"], r["rank"], round(r["score"], 9)) for r in both] == [(7, "1", 1, round(2 / 61, 9))]
+
+
 def test_collection_store(spark, tmp_path):
     store = CollectionStore(spark, str(tmp_path / "c"), adapter="qdrant", prefix="T")
     assert not store.has_collection("Entity_name") and store.search("Entity_name", text="x").count() == 0
@@ -96,8 +111,12 @@ def test_collection_store(spark, tmp_path):
         store.create_data_points("missing", store.read("Entity_name").withColumn("seq", F.lit(1)))
     assert store.retrieve("Entity_name", spark.createDataFrame([("1",), ("9",)], "id string")).count() == 1
     assert store.delete_data_points("Entity_name", spark.createDataFrame([("1",), ("9",)], "id string")) == 1
+    other = CollectionStore(spark, str(tmp_path / "c"), prefix="U")
+    other.create_collection("a b")
+    assert not other.has_collection("a-b")
     store.prune()
-    assert not store.has_collection("Entity_name")
+    assert not store.has_collection("Entity_name") and other.read("a b").count() == 0
+    assert len([p for p in (tmp_path / "c").iterdir() if p.name != "catalog"]) == 1
     with pytest.raises(CollectionNotFound):
         CollectionStore(spark, str(tmp_path / "c"), adapter="opensearch").search("none", text="x")
     with pytest.raises(EngineInitialization):
