@@ -53,14 +53,15 @@ def find_documents(nodes: DataFrame, content_hash: str | None = None) -> DataFra
     return d.select(F.col("id").alias("document"))
 
 
-def document_subgraph(edges: DataFrame, documents: DataFrame, dedupe: bool = False) -> DataFrame:
+def document_subgraph(edges: DataFrame, documents: DataFrame, dedupe: bool = False, nodes: DataFrame | None = None) -> DataFrame:
     """(document, part, id): for each document of `documents` its chunks, the entities and
     entity types that nothing else uses, and what was made from its chunks.
 
     A chunk, orphan entity or made-from node comes once for each edge that leads to it, unless
     `dedupe`; orphan types come once.  An entity is an orphan if all its `contains` edges come
     from the document's chunks, a type if all its `is_a` and `instance_of` edges come from
-    orphan entities."""
+    orphan entities.  With `nodes` only nodes of type EntityType are types, and each row has
+    its node's other columns, null where there is no such node."""
     rel = lambda *names: edges.where(F.col("relationship_name").isin(*names))
     chunks = rel("is_part_of").join(documents.withColumnRenamed("document", "dst"), "dst").select(F.col("dst").alias("document"), F.col("src").alias("chunk"))
     own = chunks.distinct()
@@ -75,6 +76,8 @@ def document_subgraph(edges: DataFrame, documents: DataFrame, dedupe: bool = Fal
     kind_total = typed.groupBy("kind").agg(F.count("*").alias("all"))
     kind_inside = orphan_ids.join(typed, "entity").groupBy("document", "kind").agg(F.count("*").alias("own"))
     kinds = kind_inside.join(kind_total, "kind").where(F.col("own") == F.col("all")).select("document", "kind")
+    if nodes is not None:
+        kinds = kinds.join(nodes.where("type = 'EntityType'").select(F.col("id").alias("kind")), "kind", "left_semi").select("document", "kind")
     made = rel("made_from").select(F.col("src").alias("made"), F.col("dst").alias("chunk"))
     parts = {"document": documents.select("document", F.col("document").alias("id")), "chunks": chunks.select("document", F.col("chunk").alias("id")),
              "orphan_entities": orphans.select("document", F.col("entity").alias("id")), "orphan_types": kinds.select("document", F.col("kind").alias("id")),
@@ -83,4 +86,7 @@ def document_subgraph(edges: DataFrame, documents: DataFrame, dedupe: bool = Fal
     for name, df in parts.items():
         df = (df.distinct() if dedupe else df).select("document", F.lit(name).alias("part"), "id")
         out = df if out is None else out.unionAll(df)
-    return out
+    if nodes is None:
+        return out
+    clash = {c: f"node_{c}" for c in nodes.columns if c in ("document", "part")}
+    return out.join(nodes.withColumnsRenamed(clash), "id", "left").select("document", "part", "id", *[clash.get(c, c) for c in nodes.columns if c != "id"])

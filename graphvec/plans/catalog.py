@@ -339,7 +339,7 @@ def document_subgraph(spark, d):
 @query(_SUBGRAPH)
 def document_subgraph_all(spark, d):
     n, e = fixtures.document_graph(spark, d)
-    return lineage.document_subgraph(e, lineage.find_documents(n))
+    return lineage.document_subgraph(e, lineage.find_documents(n), nodes=n.select("id", "type")).drop("type")
 
 
 # --- components and metrics ----------------------------------------------------------------

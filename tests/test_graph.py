@@ -156,4 +156,9 @@ def test_document_lineage(spark):
     got = Counter((r["part"], r["id"]) for r in lineage.document_subgraph(e, docs).collect())
     assert got == {("document", "d1"): 1, ("chunks", "c1"): 1, ("chunks", "c2"): 1, ("orphan_entities", "x"): 2, ("orphan_types", "t"): 1, ("made_from_nodes", "s"): 1}
     assert lineage.document_subgraph(e, docs, dedupe=True).where("part = 'orphan_entities'").count() == 1
+    named = n.where("id <> 't'").select("id", "type", "name")
+    for kind, more in (("EntityType", {("orphan_types", "t"): 1}), ("Entity", {})):
+        rows = lineage.document_subgraph(e, docs, nodes=named.unionAll(spark.createDataFrame([("t", kind, "T")], named.schema))).collect()
+        assert Counter((r["part"], r["id"]) for r in rows) == Counter({k: v for k, v in got.items() if k[0] != "orphan_types"}) + Counter(more)
+        assert {r["name"] for r in rows if r["part"] == "orphan_types"} == ({"T"} if more else set()) and {r["type"] for r in rows if r["part"] == "document"} <= set(lineage.DOCUMENT_TYPES)
     assert lineage.find_documents(n, "none").count() == 0
