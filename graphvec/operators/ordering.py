@@ -24,3 +24,19 @@ def running(rows: DataFrame, keys: list[str], order: list[str], weight: str | No
     r = placed.alias("x").join(sizes.alias("s"), on)
     start = [(F.col("_w") + F.coalesce("_before", F.lit(0))).alias("start")] if weight else []
     return r.select(*[f"x.{c}" for c in rows.columns], (F.col("_n") + F.col("_pos")).alias("pos"), *start)
+
+
+def earlier(rows: DataFrame, keys: list[str], order: list[str], value: str | None = None, weight: str | None = None, name: str = "earlier") -> DataFrame:
+    """`rows` with what stands before each in its group of `keys` by `order`: `last`, the latest
+    value that is not null, and `total`, the sum of the weights.  Both are associative: ranges of the order are
+    scanned each on its own, and a row for each range carries them on."""
+    cut = materialize(rows.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), name)
+    v = F.col(value) if value else F.lit(None).cast("boolean")
+    w = F.col(weight).cast("bigint") if weight else F.lit(0).cast("bigint")
+    within = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ends = cut.groupBy("_range", *keys).agg(F.max_by(v, F.when(v.isNotNull(), F.struct(*order))).alias("_ends_last"), F.sum(w).alias("_ends_sum"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("_range", *keys, F.last("_ends_last", ignorenulls=True).over(before).alias("_ends_last"), F.coalesce(F.sum("_ends_sum").over(before), F.lit(0)).alias("_ends_sum"))
+    on = [F.col("x._range") == F.col("s._range"), *[F.col(f"x.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]]
+    seen = cut.withColumns({"_seen_last": F.last(v, ignorenulls=True).over(within), "_seen_sum": F.coalesce(F.sum(w).over(within), F.lit(0))})
+    return seen.alias("x").join(ends.alias("s"), on).select(*[f"x.{c}" for c in rows.columns], F.coalesce("_seen_last", "_ends_last").alias("last"), (F.col("_seen_sum") + F.col("_ends_sum")).alias("total"))

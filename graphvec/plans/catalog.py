@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from graphvec.functions import text as text_functions
 from graphvec.functions.vectors import PROFILES, cosine
-from graphvec.operators import crawl, hybrid, lineage, metrics, mutate, retrieve, vector, walk, web_text
+from graphvec.operators import completion, crawl, hybrid, ingest, inverted_file, lineage, metrics, mutate, retrieve, vector, walk, web_text
 from graphvec.plans import fixtures
 from graphvec.plans.fixtures import table
+from graphvec.sources.collections import CollectionStore
+from graphvec.storage import materialize, new_path
+from graphvec.streaming.components import StreamedComponents
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -114,6 +117,38 @@ def payload_json_get(spark, d):
     return table(spark, d, "events").select("event_id", F.variant_get(text_functions.payload(F.col("props")), "$.k", "bigint").alias("k"))
 
 
+@query("""SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, event_type AS type, user_id AS third, 'say "(None, True)"' AS note FROM events""")
+def payload_literals(spark, d):
+    """Payloads that were stored as Python literals, with quotes and brackets within texts."""
+    k = F.variant_get(text_functions.payload(F.col("props")), "$.k", "string")
+    text = F.concat(F.lit("{'k': "), k, F.lit(", 'type': '"), "event_type", F.lit("', \"it's\": (True, None, "), F.col("user_id").cast("string"), F.lit(",), 'note': 'say \"(None, True)\"',}"))
+    rows = table(spark, d, "events").select("event_id", text_functions.payload(text).alias("p"))
+    get = lambda path, kind, name: F.variant_get("p", path, kind).alias(name)
+    return rows.select("event_id", get("$.k", "bigint", "k"), get("$.type", "string", "type"), get("$[\"it's\"][2]", "bigint", "third"), get("$.note", "string", "note"))
+
+
+#: backend -> score, what it keeps, whether a payload gets the id
+_STORED = {"redis": ("(1 + c) / 2", "1 - c < 0.1", False), "qdrant": ("1 - c", "c > 0.9", True), "opensearch": ("1 - 1 / (2 - c)", "true", False), "azureaisearch": ("1 / (2 - c)", "true", True)}
+
+
+@query("""WITH s AS (SELECT q.vec_id AS qid, e.vec_id AS id, e.label, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS c FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(c, 12) DESC, id::VARCHAR) AS rank FROM s QUALIFY rank <= 5)
+""" + " UNION ALL ".join(f"SELECT '{a}' AS adapter, qid, id::VARCHAR AS id, round({score}, 6) AS score, rank, json_object('label', label{", 'id', id::VARCHAR" if has_id else ''})::VARCHAR AS payload FROM r WHERE {keep}" for a, (score, keep, has_id) in _STORED.items()))
+def store_batch_search(spark, d):
+    """A batch of searches in a store of each backend: thresholds, scores and what the payload holds."""
+    points = _points(spark, d).select(F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("text"), "vector", "payload", F.lit(0).alias("seq"))
+    out = None
+    for adapter in _STORED:
+        store = CollectionStore(spark, new_path(spark, "store"), adapter=adapter)
+        store.create_collection("points")
+        store.create_data_points("points", points)
+        hits = store.batch_search("points", _queries(spark, d), 5).select(F.lit(adapter).alias("adapter"), "qid", "id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"), "payload")
+        # members by name, as JSON objects have no order
+        hits = hits.withColumn("payload", F.to_json(F.struct(F.get_json_object("payload", "$.label").cast("int").alias("label"), F.get_json_object("payload", "$.id").alias("id"))))
+        out = hits if out is None else out.unionAll(hits)
+    return out
+
+
 @query("""WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[a-z]{2,}') AS t FROM documents),
 n AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM d),
 tf AS (SELECT id, len, token, count(*) AS tf FROM (SELECT id, len(t) AS len, unnest(t) AS token FROM d) GROUP BY ALL),
@@ -145,6 +180,18 @@ def ann_lsh_recall(spark, d):
     return hit.select("qid", "n_exact").join(F.broadcast(enough))  # one row
 
 
+@query("SELECT vec_id AS qid, 5::BIGINT AS n_exact, true AS mean_recall_at_least_0_9 FROM embeddings WHERE vec_id % 100 = 0")
+def vector_index_recall(spark, d):
+    """Exact hits of each query, and whether a stored index finds nine tenths of all."""
+    path = new_path(spark, "vector-index")
+    inverted_file.build(_points(spark, d), path)
+    exact = vector.batch_search(_points(spark, d), _queries(spark, d), 5)
+    near = inverted_file.search(spark, path, _queries(spark, d), 5)
+    hit = exact.join(near.select("qid", "id", F.lit(1).alias("hit")), ["qid", "id"], "left").groupBy("qid").agg(F.count("hit").alias("found"), F.count("*").alias("n_exact"))
+    enough = hit.agg((F.sum("found") >= 0.9 * F.sum("n_exact")).alias("mean_recall_at_least_0_9"))
+    return hit.select("qid", "n_exact").join(F.broadcast(enough))  # one row
+
+
 # --- graph upserts and deletes -------------------------------------------------------------
 
 @query("""WITH a AS (SELECT user_id, event_id, 'last_type' AS attr, event_type AS value FROM events
@@ -256,6 +303,13 @@ def graph_has_edges(spark, d):
     return walk.has_edges(e, wanted)
 
 
+@query(_commerce("SELECT o_orderkey AS pos, 'cust:' || o_custkey % 2000 AS id FROM orders WHERE 'cust:' || o_custkey % 2000 IN (SELECT id FROM nodes)"))
+def graph_has_nodes(spark, d):
+    n, _ = fixtures.commerce_graph(spark, d)
+    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("pos"), F.concat(F.lit("cust:"), (F.col("o_custkey") % 2000).cast("string")).alias("id"))
+    return walk.has_nodes(n, ids).select("pos", "id")
+
+
 @query(_commerce("SELECT o_orderkey AS pos, id, type, name FROM orders JOIN nodes ON id = 'cust:' || o_custkey"))
 def graph_extract_nodes(spark, d):
     n, _ = fixtures.commerce_graph(spark, d)
@@ -302,6 +356,14 @@ def _documents(sql: str) -> str:
     return f"WITH {fixtures.DOCUMENT_GRAPH} {sql}"
 
 
+@query(_commerce(""", seed AS (SELECT id FROM nodes WHERE type = 'region' AND name IN ('ASIA', 'EUROPE')),
+near AS (SELECT id FROM seed UNION SELECT src FROM edges WHERE dst IN (FROM seed) UNION SELECT dst FROM edges WHERE src IN (FROM seed))
+SELECT src, dst, key FROM edges WHERE src IN (FROM near) AND dst IN (FROM near)"""))
+def graph_nodeset_subgraph(spark, d):
+    n, e = fixtures.commerce_graph(spark, d)
+    return lineage.nodeset_subgraph(n, e, "region", ["ASIA", "EUROPE"], extension=True)[1].select("src", "dst", "key")
+
+
 @query(_documents("""SELECT src, dst, key, 'UNKNOWN' AS relationship_type FROM edges
 WHERE src IN (SELECT id FROM nodes WHERE type IN ('TextDocument', 'DocumentChunk')) AND dst IN (SELECT id FROM nodes WHERE type IN ('TextDocument', 'DocumentChunk'))"""))
 def graph_filter_attrs(spark, d):
@@ -353,6 +415,17 @@ def graph_components(spark, d):
     return metrics.component_labels(*fixtures.similarity_graph(spark, d)).select("id", "component")
 
 
+@query(_similar("SELECT id::VARCHAR AS node, min(b::VARCHAR) AS component FROM (SELECT a AS id, b FROM reach) WHERE id IN (SELECT u FROM sym) GROUP BY id"))
+def graph_components_streamed(spark, d):
+    """The edges in five batches; the end is what one run over all of them gives."""
+    _, e = fixtures.similarity_graph(spark, d)
+    e = materialize(e.select(F.col("src").alias("u"), F.col("dst").alias("v")), "edges")
+    store = StreamedComponents(spark, new_path(spark, "components"))
+    for k in range(5):
+        store.add(e.where(F.pmod(F.xxhash64("u", "v"), F.lit(5)) == k))
+    return store.current()
+
+
 @query(_similar("SELECT id FROM labels WHERE component <> (SELECT component FROM sizes ORDER BY n_nodes DESC, component LIMIT 1)"))
 def graph_disconnected_nodes(spark, d):
     return metrics.disconnected_nodes(*fixtures.similarity_graph(spark, d))
@@ -381,8 +454,6 @@ n AS (SELECT count(*) AS num_nodes FROM own), m AS (SELECT count(*) AS num_edges
 SELECT num_nodes, num_edges, round(2.0::DOUBLE * num_edges / num_nodes, 9) AS mean_degree, round(num_edges::DOUBLE / (num_nodes * (num_nodes - 1)), 9) AS edge_density,
 1::BIGINT AS num_connected_components, num_nodes::VARCHAR AS sizes, 0::BIGINT AS num_selfloops, diameter, round(total / (num_nodes * (num_nodes - 1)), 9) AS avg_shortest_path_length, round(c, 9) AS avg_clustering FROM n, m, dd, cc"""))
 def graph_metrics_optional(spark, d):
-    from graphvec.storage import materialize
-
     n, e = fixtures.similarity_graph(spark, d)
     e = materialize(e, "edges")
     ids = materialize(metrics.largest_component_ids(materialize(metrics.component_labels(n, e), "labels")), "largest")
@@ -435,13 +506,11 @@ def text_clean(spark, d):
     return c.select("source", "ord", F.length("x").cast("bigint").alias("n_chars"), F.md5("x").alias("text_md5"))
 
 
-@query(_corpora("SELECT source, ord, length(x)::BIGINT AS n_chars, md5(x) AS text_md5 FROM (SELECT source, ord, " + _COLLAPSE.format(
-    x=r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?s)www\.loom\.com.*?!\[\]\(<Base64-Image-Removed>\)!\[\]\(<Base64-Image-Removed>\)', '', 'g'), "
-      r"'(?m)^.*\[Skip to main content\].*$', '', 'g'), '(?si)we use essential cookies.*?PreferencesDeclineAccept', '', 'g'), "
-      r"'(?si)This demo works on codespaces.*?coding help reimagined with AI prowess\.', '', 'g')") + " AS x FROM frag)"))
+@query(f"WITH {fixtures.cleaned_whole_sql(web_text.DLT_STEPS)} SELECT source, ord, length(text)::BIGINT AS n_chars, md5(text) AS text_md5 FROM cleaned")
 def text_clean_blocks(spark, d):
-    c = fixtures.fragments(spark, d).select("source", "ord", web_text.clean(F.col("fragment"), web_text.DLT_RULES).alias("x"))
-    return c.select("source", "ord", F.length("x").cast("bigint").alias("n_chars"), F.md5("x").alias("text_md5"))
+    """Blocks within pages and over pages; the SQL cleans each source as one text."""
+    c = web_text.clean_pages(fixtures.fragments(spark, d, crossing=True), ["source"])
+    return c.select("source", "ord", F.length("fragment").cast("bigint").alias("n_chars"), F.md5("fragment").alias("text_md5"))
 
 
 @query(_corpora("SELECT source, pos, url, start::BIGINT AS start, md5(page) AS page_md5 FROM paged"))
@@ -485,3 +554,75 @@ def retrieval_insights(spark, d):
     nodes = p.select(F.col("vec_id").alias("id"), F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("name"))
     edges = p.select(F.col("vec_id").alias("src"), ((7 * F.col("vec_id") + 3) % n).alias("dst"), F.lit("next").alias("key"), F.lit("next").alias("relationship_name"))
     return retrieve.insights(_points(spark, d), _queries(spark, d), nodes, edges, 5).select("qid", "node", "src", "src_name", "dst", "dst_name")
+
+
+# --- graph and points made from texts -------------------------------------------------------
+
+def _ingested(sql: str) -> str:
+    return f"WITH {fixtures.INGEST} {sql}"
+
+
+def _ingest(spark, d):
+    return ingest.ingest_graph(table(spark, d, "documents"), fixtures.letter_vector)
+
+
+@query(_ingested("SELECT * FROM nodes"))
+def ingest_nodes(spark, d):
+    prop = lambda k, t: F.try_element_at("props", F.lit(k)).cast(t).alias(k)
+    return _ingest(spark, d)[0].select("id", "type", "name", prop("n", "bigint"), prop("llr", "double"), prop("start", "bigint"))
+
+
+@query(_ingested("SELECT * FROM edges"))
+def ingest_edges(spark, d):
+    return _ingest(spark, d)[1].select("src", "dst", "key")
+
+
+def _asked(points: str) -> str:
+    letters = fixtures.LETTER_SQL
+    return _ingested(f""", p AS ({points}), pv AS (SELECT id, text, {letters} AS v FROM p), qv AS (SELECT item_id AS qid, {letters} AS v FROM benchmark),
+c AS (SELECT qid, id, text, list_cosine_similarity(pv.v, qv.v) AS c FROM pv, qv WHERE list_sum(pv.v) > 0), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(c, 12) DESC, id) AS rank FROM c QUALIFY rank <= 5)""")
+
+
+def _collection(spark, d, name: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    nodes, edges, points = _ingest(spark, d)
+    points = materialize(points.where(F.col("collection") == name), "points")
+    return nodes, edges, points, table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), fixtures.letter_vector("text").alias("vector"))
+
+
+@query(_asked("SELECT summary AS id, text FROM summaries") + " SELECT qid, id, rank, round(c, 6) AS cosine, md5(text) AS text_md5 FROM r")
+def retrieval_summaries(spark, d):
+    _, _, points, asked = _collection(spark, d, "TextSummary_text")
+    r = retrieve.chunks(points, asked, 5)
+    return r.select("qid", "id", F.col("rank").cast("bigint").alias("rank"), F.round("cosine", 6).alias("cosine"), F.md5(F.get_json_object("payload", "$.text")).alias("text_md5"))
+
+
+@query(_asked("SELECT entity AS id, a || ' ' || b AS text FROM found") + """, x AS (SELECT dst AS node, * FROM edges UNION ALL SELECT src, * FROM edges)
+SELECT qid, node, src, m.name AS src_name, key, dst, o.name AS dst_name FROM r JOIN x ON r.id = x.node JOIN nodes m ON m.id = x.src JOIN nodes o ON o.id = x.dst""")
+def retrieval_entity_insights(spark, d):
+    nodes, edges, points, asked = _collection(spark, d, "Entity_name")
+    return retrieve.insights(points, asked, nodes, edges, 5).select("qid", "node", "src", "src_name", "key", "dst", "dst_name")
+
+
+def _pushed(stay: float, least: float, rounds: int) -> str:
+    steps = ["pairs_ AS MATERIALIZED (SELECT src AS u, dst AS v FROM edges WHERE src <> dst UNION SELECT dst, src FROM edges WHERE src <> dst)", "degree AS MATERIALIZED (SELECT u, count(*) AS degree FROM pairs_ GROUP BY u)",
+             "s0 AS MATERIALIZED (SELECT qid, id, 0.0::DOUBLE AS mass, 1.0::DOUBLE / count(*) OVER (PARTITION BY qid) AS rest FROM r WHERE rank <= 3)"]
+    for k in range(rounds):
+        steps.append(f"a{k} AS MATERIALIZED (SELECT qid, id, mass, rest, degree, coalesce(round(rest, 12) >= {least}::DOUBLE * degree, false) AS push FROM s{k} LEFT JOIN degree ON u = id)")
+        steps.append(f"s{k + 1} AS MATERIALIZED (SELECT qid, id, sum(mass) AS mass, sum(rest) AS rest FROM (SELECT qid, id, CASE WHEN push THEN mass + {stay}::DOUBLE * rest ELSE mass END AS mass, CASE WHEN push THEN 0.0::DOUBLE ELSE rest END AS rest FROM a{k}"
+                     f" UNION ALL SELECT qid, v, 0.0::DOUBLE, rest * (1 - {stay}::DOUBLE) / degree FROM a{k} JOIN pairs_ ON u = id WHERE push) GROUP BY qid, id)")
+    return ", ".join(steps)
+
+
+@query(_asked("SELECT entity AS id, a || ' ' || b AS text FROM found") + ", " + _pushed(completion.STAY, completion.LEAST, completion.ROUNDS) + f""",
+met AS (SELECT qid, id, mass + rest AS mass, text, len(regexp_extract_all(text, '{ingest.WORD}')) AS words FROM s{completion.ROUNDS} JOIN chunks ON chunk = id),
+ranked AS (SELECT *, row_number() OVER win AS place, sum(words) OVER (win ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM met WINDOW win AS (PARTITION BY qid ORDER BY round(mass, 9) DESC, id))
+SELECT qid, id, round(mass, 9) AS mass, place, words, md5(text) AS text_md5 FROM ranked WHERE total <= {completion.BUDGET}""")
+def completion_context(spark, d):
+    """Chunks near the three entities closest to each question, packed into a budget of words."""
+    _, edges, points = _ingest(spark, d)
+    points = materialize(points, "points")
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), fixtures.letter_vector("text").alias("vector"))
+    seeds = vector.batch_search(points.where("collection = 'Entity_name'"), asked, 3).select("qid", "id")
+    chunks = points.where("collection = 'DocumentChunk_text'").select("id", "text")
+    r = completion.pack(completion.walk_mass(seeds, edges), chunks)
+    return r.select("qid", "id", F.round("mass", 9).alias("mass"), F.col("place").cast("bigint").alias("place"), F.col("words").cast("bigint").alias("words"), F.md5("text").alias("text_md5"))

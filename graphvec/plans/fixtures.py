@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphvec.operators import vector, web_text
+from graphvec.operators import ingest, vector, web_text
 from graphvec.operators.ordering import running
 
 
@@ -115,11 +115,18 @@ _PIECES = (
 )
 
 
-def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: blocks that open on one page of a source and close three pages later: (every, at) of a page's number
+_CROSSING = (
+    (11, 1, "\nsee www.loom.com/embed now\n\n"), (11, 4, "\n\n\nend ![](<Base64-Image-Removed>)![](<Base64-Image-Removed>)\n\n"), (13, 2, "\nbut WE USE essential cookies here"), (13, 5, "\nPreferencesDeclineAccept\n\n"),
+    (17, 3, "\nThis demo works on codespaces"), (17, 6, "\nand coding help reimagined with AI prowess.\n\n\n"),
+)
+
+
+def fragments(spark: SparkSession, sf_dir: str, crossing: bool = False) -> DataFrame:
     """(source, ord, fragment): a page of each document, numbered in doc_id order in its source,
-    with text that cleaning removes."""
+    with text that cleaning removes; with `crossing` also such as goes on over pages."""
     d = running(table(spark, sf_dir, "documents"), ["source"], ["doc_id"]).withColumn("rn", F.col("pos") + 1)
-    extra = [F.when(F.col("rn") % n == 0, F.lit(s)).otherwise(F.lit("")) for n, s in _PIECES]
+    extra = [F.when(F.col("rn") % n == at, F.lit(s)).otherwise(F.lit("")) for n, at, s in ((*[(n, 0, s) for n, s in _PIECES], *(_CROSSING if crossing else ())))]
     url = F.concat(F.lit("https://docs.example.com/"), "lang", F.lit("/"), F.col("doc_id").cast("string"))
     return d.select("source", F.col("rn").alias("ord"), web_text.fragment(url, F.concat(F.coalesce("text", F.lit("")), *extra)).alias("fragment"))
 
@@ -128,21 +135,74 @@ def _sql_text(s: str) -> str:
     return " || chr(10) || ".join("'" + x.replace("'", "''") + "'" for x in s.split("\n"))
 
 
-CORPORA = """
+def _pages_sql(pieces) -> str:
+    return """
 numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
 frag AS (SELECT source, rn AS ord, '----- https://docs.example.com/' || lang || '/' || doc_id || ' -----' || chr(10) || chr(10) || coalesce(text, '')""" + "".join(
-    f" || CASE WHEN rn % {n} = 0 THEN {_sql_text(s)} ELSE '' END" for n, s in _PIECES) + """ || chr(10) || chr(10) AS text FROM numbered),
+        f" || CASE WHEN rn % {n} = {at} THEN {_sql_text(s)} ELSE '' END" for n, at, s in pieces) + """ || chr(10) || chr(10) AS text FROM numbered)"""
+
+
+CORPORA = _pages_sql([(n, 0, s) for n, s in _PIECES]) + """,
 paged AS (SELECT source, ord - 1 AS pos, 'https://docs.example.com/' || regexp_extract(text, '^----- https://docs.example.com/(.*?) -----', 1) AS url, text AS page,
   coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM frag)"""
 
 
+def cleaned_whole_sql(steps) -> str:
+    """Each source cleaned as one text, in which chr(1) opens each page and stays; then cut into
+    pages again, as cleaned(source, ord, text)."""
+    parts = [_pages_sql([*[(n, 0, s) for n, s in _PIECES], *_CROSSING]), "j0 AS (SELECT source, string_agg(chr(1) || text, '' ORDER BY ord) AS t FROM frag GROUP BY source)"]
+    for i, step in enumerate(steps):
+        rule = (step.rule if isinstance(step, web_text.Block) else step.replace("(?md)", "(?m)")).replace("'", "''")
+        parts.append(f"""
+j{i + 1} AS (SELECT source, array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || coalesce(regexp_replace(b[i], '[^\\x01]', '', 'g'), '')), '') AS t
+  FROM (SELECT source, string_split_regex(t, '{rule}') AS p, regexp_extract_all(t, '{rule}') AS b FROM j{i}))""")
+    run = "\\n[\\n\\x01]*\\n"
+    parts.append(f"""
+runs AS (SELECT source, string_split_regex(t, '{run}') AS p, list_transform(regexp_extract_all(t, '{run}'), lambda r: string_split(r, '')) AS b FROM j{len(steps)}),
+fewer AS (SELECT source, array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || coalesce(array_to_string(list_transform(range(1, len(b[i]) + 1), lambda k:
+  CASE WHEN b[i][k] = chr(1) OR len(list_filter(b[i][1:k], lambda c: c = chr(10))) <= 2 THEN b[i][k] ELSE '' END), ''), '')), '') AS t FROM runs),
+cleaned AS (SELECT source, generate_subscripts(l, 1) AS ord, unnest(l) AS text FROM (SELECT source, string_split(t, chr(1))[2:] AS l FROM fewer))""")
+    return ",\n".join(parts)
+
+
+# --- graph and points made from the texts --------------------------------------------------
+
+INGEST = rf"""
+d AS (SELECT doc_id, min(coalesce(text, '')) AS t FROM documents WHERE doc_id IS NOT NULL GROUP BY 1),
+s AS (SELECT doc_id, flatten(list_transform(regexp_extract_all(t, '{ingest.SENTENCE}'), lambda x: regexp_extract_all(x, '{ingest.piece(ingest.SIZE)}'))) AS l FROM d),
+u AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS u, unnest(l) AS unit FROM s),
+w AS (SELECT *, sum(len(regexp_extract_all(unit, '{ingest.WORD}'))) OVER before AS wb, sum(length(unit)) OVER before AS cb FROM u
+  WINDOW before AS (PARTITION BY doc_id ORDER BY u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+cut AS MATERIALIZED (SELECT doc_id, u, unit, coalesce(wb, 0)::BIGINT AS wb, coalesce(cb, 0)::BIGINT AS start, coalesce(wb, 0)::BIGINT // {ingest.SIZE} AS c FROM w),
+last AS (SELECT doc_id, max(c) AS last FROM cut GROUP BY 1),
+placed AS (SELECT doc_id, u, unit, c, start FROM cut UNION ALL
+  SELECT doc_id, u, unit, c + 1, NULL FROM cut JOIN last USING (doc_id) WHERE wb >= (c + 1) * {ingest.SIZE} - {ingest.OVERLAP} AND c < last),
+chunks AS MATERIALIZED (SELECT doc_id, c, min(start) AS start, string_agg(unit, '' ORDER BY u) AS text, 'chunk:' || doc_id || ':' || c AS chunk FROM placed GROUP BY doc_id, c),
+terms AS (SELECT doc_id, c, u, regexp_extract_all(lower(unit), '{ingest.TERM}') AS t FROM cut),
+pairs AS MATERIALIZED (SELECT doc_id, c, u, t[i] AS a, t[i + 1] AS b FROM (SELECT *, unnest(range(1, len(t))) AS i FROM terms)),
+counts AS (SELECT a, b, count(*)::DOUBLE AS k FROM pairs GROUP BY ALL), total AS (SELECT count(*)::DOUBLE AS t FROM pairs),
+margins AS (SELECT a, b, k, sum(k) OVER (PARTITION BY a) AS na, sum(k) OVER (PARTITION BY b) AS nb, t FROM counts, total),
+ratios AS (SELECT a, b, k::BIGINT AS n, k * t > na * nb AS more, round(2 * (k * ln(k / (na * nb / t)) + CASE WHEN na > k THEN (na - k) * ln((na - k) / (na * (t - nb) / t)) ELSE 0 END
+  + CASE WHEN nb > k THEN (nb - k) * ln((nb - k) / ((t - na) * nb / t)) ELSE 0 END + CASE WHEN t - na - nb + k > 0 THEN (t - na - nb + k) * ln((t - na - nb + k) / ((t - na) * (t - nb) / t)) ELSE 0 END), 6) AS llr FROM margins),
+found AS MATERIALIZED (SELECT a, b, n, llr, 'ent:' || a || ' ' || b AS entity FROM ratios WHERE more AND n >= {ingest.MIN_COUNT} AND llr >= {ingest.MIN_LLR}),
+named AS MATERIALIZED (SELECT DISTINCT doc_id, c, u, entity FROM pairs JOIN found USING (a, b)),
+scores AS (SELECT doc_id, u, count(*) AS score FROM named GROUP BY ALL),
+summaries AS MATERIALIZED (SELECT doc_id, c, unit AS text, 'sum:' || doc_id AS summary, 'chunk:' || doc_id || ':' || c AS chunk FROM cut LEFT JOIN scores USING (doc_id, u) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(score, 0) DESC, u) = 1),
+nodes AS (SELECT DISTINCT 'doc:' || doc_id AS id, 'TextDocument' AS type, 'text_' || doc_id AS name, NULL::BIGINT AS n, NULL::DOUBLE AS llr, NULL::BIGINT AS start FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT chunk, 'DocumentChunk', chunk, NULL, NULL, start FROM chunks UNION ALL SELECT summary, 'TextSummary', summary, NULL, NULL, NULL FROM summaries
+  UNION ALL SELECT entity, 'Entity', a || ' ' || b, n, llr, NULL FROM found UNION ALL SELECT DISTINCT 'type:' || b, 'EntityType', b, NULL, NULL::DOUBLE, NULL FROM found),
+edges AS (SELECT chunk AS src, 'doc:' || doc_id AS dst, 'is_part_of' AS key FROM chunks UNION ALL SELECT DISTINCT 'chunk:' || doc_id || ':' || c, entity, 'contains' FROM named
+  UNION ALL SELECT entity, 'type:' || b, 'is_a' FROM found UNION ALL SELECT summary, chunk, 'made_from' FROM summaries)"""
+
+
 # --- letters as a vector -------------------------------------------------------------------
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
-def letter_vector(text: str):
-    t = F.lower(F.coalesce(F.col(text), F.lit("")))
+def letter_vector(text):
+    """Counts of letters of a column, or of the column of that name."""
+    t = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
     return F.array(*[(F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))).cast("double") for c in LETTERS])
 
 

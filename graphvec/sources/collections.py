@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphvec.errors import CollectionNotFound, EngineInitialization
+from graphvec.functions.text import payload_with_id
 from graphvec.functions.vectors import PROFILES
 from graphvec.operators import hybrid, vector
 from graphvec.schema import POINTS
-from graphvec.storage import remove
+from graphvec.sources.commits import BUCKETS, Table, VersionedTables
 
-#: profile name -> how that backend behaves (score profile, limits, missing collections, and
-#: `keep`: the score a row of a batch search needs, given cosine and score)
+#: profile name -> how that backend behaves (score profile, limits, missing collections, whether a hit's
+#: payload gets its id, and `keep`: what a row of a batch search needs, given cosine and score)
 ADAPTERS: dict[str, dict] = {}
 
 
@@ -22,90 +21,96 @@ def use_vector_adapter(name: str, **behaviour) -> None:
     ADAPTERS[name] = behaviour
 
 
-use_vector_adapter("redis", profile="redis_norm", clamp=False, missing="empty", create=False, keep="score < 0.1")
-use_vector_adapter("qdrant", profile="distance", clamp=False, missing="empty", create=False, keep="cosine > 0.9")
+use_vector_adapter("redis", profile="redis_norm", clamp=False, missing="empty", create=False, keep="1 - cosine < 0.1")
+use_vector_adapter("qdrant", profile="distance", clamp=False, missing="empty", create=False, payload_id=True, keep="cosine > 0.9")
 use_vector_adapter("opensearch", profile="opensearch", clamp=True, missing="raise", create=True)
-use_vector_adapter("azureaisearch", profile="azure", clamp=True, missing="empty", create=True)
+use_vector_adapter("azureaisearch", profile="azure", clamp=True, missing="empty", create=True, payload_id=True)
+
+
+POINT_TABLE = Table(POINTS, ["id"], vector.upsert)
 
 
 class CollectionStore:
-    """Create, fill, search and drop collections.  Each write is a new version of the whole
-    collection, and the pointer table `catalog` names the current ones."""
+    """Create, fill, search and drop collections.  All collections of a root share one log of
+    commits; an upsert or a deletion rewrites the buckets of the points it names."""
 
-    def __init__(self, spark: SparkSession, root: str, embed=vector.hash_embedding, adapter: str = "qdrant", prefix: str = ""):
+    def __init__(self, spark: SparkSession, root: str, embed=vector.hash_embedding, adapter: str = "qdrant", prefix: str = "", buckets: int = BUCKETS, history: bool = False):
         if not root or embed is None:
             raise EngineInitialization("a collection store needs a root and an embedder")
+        if adapter not in ADAPTERS:
+            raise EngineInitialization(f"no vector adapter {adapter!r}; known are {', '.join(sorted(ADAPTERS))}")
         self.spark, self.root, self.embed, self.prefix = spark, root.rstrip("/"), embed, prefix
         self.behaviour = ADAPTERS[adapter]
+        self.log, self.history_kept = VersionedTables(spark, self.root, buckets), history
 
     def _name(self, name: str) -> str:
         return f"{self.prefix}_{name}".lower() if self.prefix else name
 
-    def _catalog(self) -> DataFrame:
-        schema = "n bigint, name string, version string"
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/catalog")
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return self.spark.createDataFrame([], schema)
-            raise
-
-    def _point(self, name: str, version: str | None) -> None:
-        n = self._catalog().count()
-        self.spark.createDataFrame([(n, self._name(name), version)], "n bigint, name string, version string").coalesce(1).write.mode("append").parquet(f"{self.root}/catalog")
-
-    def _version(self, name: str) -> str | None:
-        rows = self._catalog().where(F.col("name") == self._name(name)).orderBy(F.desc("n")).limit(1).collect()
-        return rows[0]["version"] if rows else None
-
     def has_collection(self, name: str) -> bool:
-        return self._version(name) is not None
+        return self._name(name) in self.log.names()
 
-    def read(self, name: str) -> DataFrame:
-        version = self._version(name)
-        if version is None:
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        """The collection as it is, or as it was at a version."""
+        if self._name(name) not in self.log.names(version):
             raise CollectionNotFound(name)
-        return self.spark.read.schema(POINTS).parquet(f"{self.root}/{version}")
-
-    def _write(self, name: str, points: DataFrame) -> None:
-        version = uuid.uuid4().hex
-        points.select(*POINTS.names).write.parquet(f"{self.root}/{version}")
-        self._point(name, version)
+        return self.log.read(self._name(name), POINT_TABLE, version)
 
     def create_collection(self, name: str) -> None:
         if not self.has_collection(name):
-            self._write(name, self.spark.createDataFrame([], POINTS))
+            self.log.commit(lambda tables: ({self._name(name): {}, **tables}, None))
 
     def create_vector_index(self, index: str, field: str) -> None:
         self.create_collection(f"{index}_{field}")
 
     def index_data_points(self, index: str, field: str, rows: DataFrame) -> None:
         self.create_vector_index(index, field)
-        points = vector.index_points(rows, self.embed)
-        self._write(f"{index}_{field}", vector.upsert(self.read(f"{index}_{field}"), points.withColumn("seq", F.lit(0))))
+        self._upsert(f"{index}_{field}", vector.index_points(rows, self.embed).withColumn("seq", F.lit(0)), "seq")
 
     def create_data_points(self, name: str, points: DataFrame, seq: str = "seq") -> None:
+        """Upsert `points`; a collection that is not there is made or an error, as the backend has it."""
         if self.behaviour["create"]:
             self.create_collection(name)
-        self._write(name, vector.upsert(self.read(name), points, seq))
+        elif not self.has_collection(name):
+            raise CollectionNotFound(name)
+        self._upsert(name, points, seq)
+
+    def _upsert(self, name: str, points: DataFrame, seq: str) -> None:
+        self.log.apply({self._name(name): (POINT_TABLE, points.select(*POINTS.names, F.col(seq).cast("bigint").alias("seq")), None)})
 
     def retrieve(self, name: str, ids: DataFrame) -> DataFrame:
         return vector.retrieve(self.read(name), ids)
 
     def delete_data_points(self, name: str, ids: DataFrame) -> int:
         """How many rows went."""
-        old = self.read(name)
-        deleted = old.join(ids.select("id"), "id", "left_semi").count()
-        self._write(name, vector.delete(old, ids))
+        deleted = self.read(name).join(ids.select("id"), "id", "left_semi").count()
+        self.log.apply({self._name(name): (POINT_TABLE, None, ids.select("id"))})
         return deleted
 
     def search(self, name: str, vector_: list[float] | None = None, text: str | None = None, limit: int | None = vector.DEFAULT_LIMIT) -> DataFrame:
+        """(id, score, payload) of the closest points."""
         embed = lambda texts: [r[0] for r in self.spark.createDataFrame([(t,) for t in texts], "t string").select(self.embed(F.col("t"))).collect()]
         if not self.has_collection(name):
             if self.behaviour["missing"] == "raise":
                 raise CollectionNotFound(name)
-            return self.spark.createDataFrame([], "id string, score double")
-        return vector.search(self.read(name), vector_, text, embed, limit, self.behaviour["profile"], self.behaviour["clamp"])
+            return self.spark.createDataFrame([], "id string, score double, payload string")
+        hits = vector.search(self.read(name), vector_, text, embed, limit, self.behaviour["profile"], self.behaviour["clamp"], with_payload=True)
+        self._note("search", name, text, limit)
+        return self._payload(hits).select("id", "score", "payload")
+
+    def _payload(self, hits: DataFrame) -> DataFrame:
+        return hits.withColumn("payload", payload_with_id(F.col("payload"), F.col("id"))) if self.behaviour.get("payload_id") else hits
+
+    def _note(self, kind: str, name: str, text: str | None, limit: int | None) -> None:
+        if self.history_kept:
+            row = self.spark.createDataFrame([(kind, self._name(name), text, limit)], "kind string, collection string, text string, n int").withColumn("at", F.current_timestamp())
+            row.coalesce(1).write.mode("append").parquet(f"{self.root}/history")
+
+    def history(self) -> DataFrame:
+        """(kind, collection, text, n, at): the searches made with a store that keeps its history."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/history")
+        schema = "kind string, collection string, text string, n int, at timestamp"
+        there = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/history") if there else self.spark.createDataFrame([], schema)
 
     def _found(self, name: str, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The collection, and queries (qid, text) or (qid, vector) with vectors."""
@@ -123,7 +128,9 @@ class CollectionStore:
         points, q = self._found(name, queries)
         hits = vector.batch_search(points, q.select("qid", "vector"), vector.effective_limit(limit, self.behaviour["clamp"]))
         hits = hits.withColumn("score", PROFILES[self.behaviour["profile"]](F.col("cosine"))).where(self.behaviour.get("keep", "true"))
-        return hits.join(points.select("id", "payload", *(["vector"] if with_vectors else [])), "id").select("qid", "id", "score", "rank", "payload", *(["vector"] if with_vectors else []))
+        self._note("batch", name, None, limit)
+        hits = hits.join(points.select("id", "payload", *(["vector"] if with_vectors else [])), "id")
+        return self._payload(hits).select("qid", "id", "score", "rank", "payload", *(["vector"] if with_vectors else []))
 
     def hybrid_search(self, name: str, queries: DataFrame, limit: int | None = vector.DEFAULT_LIMIT) -> DataFrame:
         """(qid, id, score, rank, payload) for queries (qid, text[, vector]): ranks of the words
@@ -132,14 +139,12 @@ class CollectionStore:
         k = vector.effective_limit(limit, self.behaviour["clamp"])
         words = hybrid.bm25(points.select("id", "text"), q.select("qid", "text"), k)
         fused = hybrid.fuse(words, vector.batch_search(points, q.select("qid", "vector"), k), k)
-        return fused.join(points.select("id", "payload"), "id").select("qid", "id", "score", "rank", "payload")
+        self._note("hybrid", name, None, limit)
+        return self._payload(fused.join(points.select("id", "payload"), "id")).select("qid", "id", "score", "rank", "payload")
 
     def prune(self) -> None:
-        """Drop every collection of this store (and prefix), its files included."""
-        known = self._catalog()
-        gone = known.where(F.col("name").startswith(self._name(""))) if self.prefix else known
-        newest = gone.groupBy("name").agg(F.max_by("version", "n").alias("version"))
-        rows = newest.where("version is not null").select(F.lit(known.count()).cast("bigint").alias("n"), "name", F.lit(None).cast("string").alias("version"))
-        old = [r["version"] for r in gone.where("version is not null").select("version").collect()]  # one for each write of a collection
-        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/catalog")
-        remove(self.spark, self.root, old)
+        """Drop every collection of this store (and prefix), and the files that no collection has any
+        more; readers of older versions must have ended."""
+        mine = self._name("") if self.prefix else ""
+        self.log.commit(lambda tables: ({n: f for n, f in tables.items() if not n.startswith(mine)}, None))
+        self.log.vacuum()

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from graphvec.errors import EngineInitialization
 from graphvec.functions.text import canonical_id, parse_time
-from graphvec.schema import EDGES, NODES
+from graphvec.operators.mutate import upsert_edges, upsert_nodes
+from graphvec.schema import EDGE_KEY, EDGES, NODES
+from graphvec.sources.commits import BUCKETS, Table, VersionedTables
 from graphvec.storage import remove
 
 _FIXED = {"id", "source", "target", "key", "updated_at"}
@@ -66,50 +67,42 @@ def write_node_link(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     heads.unionAll(body).orderBy("section", "ord").select("line").coalesce(1).write.mode("overwrite").text(path)
 
 
+NODE_TABLE = Table(NODES, ["id"], upsert_nodes)
+EDGE_TABLE = Table(EDGES, EDGE_KEY, upsert_edges)
+TABLES = {"nodes": NODE_TABLE, "edges": EDGE_TABLE}
+
+
 class GraphStore:
-    """Versions of (nodes, edges) under `root`; a commit writes a new version, and a pointer
-    table names it, so readers never see half a write."""
+    """Versions of (nodes, edges) under `root`.  A commit names all files of a version at once, so
+    readers never see half a write, and a writer that was overtaken starts again from the newer
+    version.  `save` writes a whole graph, `merge` and `delete_nodes` only the buckets they change."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
+        self.log = VersionedTables(spark, self.root, buckets)
+
+    def load(self, version: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """The last committed graph, or that of a version; an empty one before the first commit."""
+        version = self.log.version() if version is None else version
+        return tuple(self.log.read(name, table, version) for name, table in TABLES.items())
+
+    def save(self, nodes: DataFrame, edges: DataFrame) -> int:
+        return self.log.replace({"nodes": (NODE_TABLE, nodes), "edges": (EDGE_TABLE, edges)})
+
+    def merge(self, nodes: DataFrame | None = None, edges: DataFrame | None = None) -> int:
+        """Upsert nodes and edges in one commit; returns its version."""
+        return self.log.apply({n: (TABLES[n], df, None) for n, df in (("nodes", nodes), ("edges", edges)) if df is not None})
 
-    def _version(self) -> str | None:
-        try:
-            row = self.spark.read.parquet(f"{self.root}/commits").orderBy(F.desc("n")).limit(1).collect()
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return None
-            raise
-        return row[0]["version"] if row else None
-
-    def load(self) -> tuple[DataFrame, DataFrame]:
-        """The last committed graph; an empty one before the first commit."""
-        v = self._version()
-        if v is None:
-            return empty_graph(self.spark)
-        return tuple(self.spark.read.schema(s).parquet(f"{self.root}/{v}/{name}") for s, name in ((NODES, "nodes"), (EDGES, "edges")))
-
-    def save(self, nodes: DataFrame, edges: DataFrame) -> None:
-        v = uuid.uuid4().hex
-        nodes.select(*NODES.names).write.parquet(f"{self.root}/{v}/nodes")
-        edges.select(*EDGES.names).write.parquet(f"{self.root}/{v}/edges")
-        self._commit(v)
-
-    def _commit(self, version: str | None) -> None:
-        try:
-            n = self.spark.read.parquet(f"{self.root}/commits").count()
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            n = 0
-        self.spark.createDataFrame([(n, version)], "n bigint, version string").coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+    def delete_nodes(self, ids: DataFrame) -> int:
+        """Delete the nodes of `ids` (id) and their edges in one commit; returns its version."""
+        edges = self.load()[1]
+        ends = [edges.join(ids.select(F.col("id").alias(side)), side, "left_semi").select(*EDGE_KEY) for side in ("src", "dst")]
+        return self.log.apply({"nodes": (NODE_TABLE, None, ids.select("id")), "edges": (EDGE_TABLE, None, ends[0].unionByName(ends[1]))})
 
     def delete(self) -> None:
         """Drop the graph and the files of all its versions: the next load is empty."""
-        known = self._version() is not None
-        old = [r["version"] for r in self.spark.read.parquet(f"{self.root}/commits").where("version is not null").collect()] if known else []  # one for each save
-        self._commit(None)
-        remove(self.spark, self.root, old)
+        self.log.replace({"nodes": (NODE_TABLE, None), "edges": (EDGE_TABLE, None)})
+        remove(self.spark, self.root, ["data"])
 
     def query(self, sql: str) -> DataFrame:
         """Extension: SQL over the views nodes and edges."""
@@ -117,3 +110,18 @@ class GraphStore:
         nodes.createOrReplaceTempView("nodes")
         edges.createOrReplaceTempView("edges")
         return self.spark.sql(sql)
+
+
+#: graph adapters by name
+GRAPH_ADAPTERS: dict[str, type] = {"tables": GraphStore}
+
+
+def use_graph_adapter(name: str, adapter: type) -> None:
+    """Make `adapter(spark, root)` known as a graph store."""
+    GRAPH_ADAPTERS[name] = adapter
+
+
+def graph_store(name: str, spark: SparkSession, root: str):
+    if name not in GRAPH_ADAPTERS:
+        raise EngineInitialization(f"no graph adapter {name!r}; known are {', '.join(sorted(GRAPH_ADAPTERS))}")
+    return GRAPH_ADAPTERS[name](spark, root)

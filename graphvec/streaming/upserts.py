@@ -5,27 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphvec.operators.mutate import upsert_edges, upsert_nodes
 from graphvec.sources.collections import CollectionStore
 from graphvec.sources.graph_store import GraphStore
 
 
 def stream_graph(nodes: DataFrame | None, edges: DataFrame | None, store: GraphStore, checkpoint: str):
-    """Upsert streams of nodes and edges into the store; returns the started queries.  Upserts
-    are idempotent, so a batch that is replayed after a failure changes nothing."""
+    """Upsert streams of nodes and edges into the store; returns the started queries.  A batch
+    rewrites the buckets it meets.  Upserts are idempotent, so a batch that is replayed after a failure changes nothing."""
     def commit_nodes(batch: DataFrame, _: int) -> None:
-        n, e = store.load()
-        store.save(upsert_nodes(n, batch), e)
+        store.merge(nodes=batch)
 
     def commit_edges(batch: DataFrame, _: int) -> None:
-        n, e = store.load()
-        store.save(n, upsert_edges(e, batch))
+        store.merge(edges=batch)
 
     started = []
     for name, df, commit in (("nodes", nodes, commit_nodes), ("edges", edges, commit_edges)):
         if df is not None:
             started.append(df.writeStream.foreachBatch(commit).option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start())
-            started[-1].awaitTermination()  # one writer of the store at a time
+            started[-1].awaitTermination()
     return started
 
 

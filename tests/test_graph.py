@@ -162,3 +162,68 @@ def test_document_lineage(spark):
         assert Counter((r["part"], r["id"]) for r in rows) == Counter({k: v for k, v in got.items() if k[0] != "orphan_types"}) + Counter(more)
         assert {r["name"] for r in rows if r["part"] == "orphan_types"} == ({"T"} if more else set()) and {r["type"] for r in rows if r["part"] == "document"} <= set(lineage.DOCUMENT_TYPES)
     assert lineage.find_documents(n, "none").count() == 0
+
+
+def test_streamed_components_after_each_batch(spark, tmp_path):
+    """Equal to a recomputation after each of five batches, one of which comes twice."""
+    import random
+
+    from graphvec.operators.components import components
+    from graphvec.streaming.components import StreamedComponents, stream_components
+
+    r = random.Random(3)
+    edges = [(str(r.randint(0, 150)), str(r.randint(0, 150))) for _ in range(110)] + [("7", "7"), ("900", "900"), (None, "5"), ("hub", "1")]
+    batches = [edges[i::5] for i in range(5)]
+    store, seen = StreamedComponents(spark, str(tmp_path / "c"), 4), []
+    for k, batch in enumerate([*batches, batches[2]]):
+        df = spark.createDataFrame(batch, "u string, v string")
+        if k == 3:
+            df.write.parquet(str(tmp_path / "in"))
+            stream_components(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), store, str(tmp_path / "cp")).awaitTermination()
+        else:
+            store.add(df)
+        seen += batch
+        known = {x for e in seen if None not in e for x in e}
+        found = {x["node"]: x["component"] for x in components(spark.createDataFrame([e for e in seen if None not in e], "u string, v string")).collect()}
+        got = store.current().collect()
+        assert {x["node"]: x["component"] for x in got} == {n: found.get(n, n) for n in known} and len(got) == len(known)
+
+
+def test_walk_mass_and_packing(spark):
+    from graphvec.operators import completion
+
+    edges = [("e1", "a"), ("e1", "b"), ("e2", "b"), ("b", "c"), ("c", "c"), ("hub", "a")] + [("hub", f"n{i}") for i in range(50)]
+    df = spark.createDataFrame([(u, v, "r") for u, v in edges], "src string, dst string, key string")
+    seeds = spark.createDataFrame([(1, "e1"), (1, "e2"), (1, "e2"), (2, "alone")], "qid int, id string")
+    got = {(x["qid"], x["id"]): x["mass"] for x in completion.walk_mass(seeds, df, 0.2, 0.01, 4).collect()}
+    near = {}
+    for u, v in edges:
+        if u != v:
+            near.setdefault(u, set()).add(v)
+            near.setdefault(v, set()).add(u)
+    mass, rest = {}, {"e1": 0.5, "e2": 0.5}
+    for _ in range(4):
+        new = {}
+        for n, x in rest.items():
+            if x >= 0.01 * len(near[n]):
+                mass[n] = mass.get(n, 0) + 0.2 * x
+                for m in near[n]:
+                    new[m] = new.get(m, 0) + 0.8 * x / len(near[n])
+            else:
+                new[n] = new.get(n, 0) + x
+        rest = new
+    want = {(1, n): mass.get(n, 0) + rest.get(n, 0) for n in {*mass, *rest}}
+    assert {k: pytest.approx(v) for k, v in want.items()} == {k: v for k, v in got.items() if k[0] == 1} and got[2, "alone"] == 1.0
+    assert sum(v for (q, _), v in got.items() if q == 1) == pytest.approx(1)
+    texts = spark.createDataFrame([("b", "one two three"), ("a", "four five"), ("e1", ""), ("c", "x " * 99)], "id string, text string")
+    m = spark.createDataFrame([(1, "b", 0.5), (1, "a", 0.2), (1, "e1", 0.9), (1, "c", 0.1), (1, "zz", 0.8), (2, "c", 1.0)], "qid int, id string, mass double")
+    assert [(x["id"], x["place"], x["words"]) for x in completion.pack(m, texts, 6).orderBy("qid", "place").collect()] == [("e1", 1, 0), ("b", 2, 3), ("a", 3, 2)]
+
+
+def test_nodes_with_and_without_ids(spark):
+    from graphvec.operators.walk import get_nodes
+    from graphvec.schema import NODES
+
+    n = spark.createDataFrame([("a", 0, "X", "A", None, {"id": "own"}), ("b", 1, "Y", None, None, {})], NODES)
+    ids = spark.createDataFrame([("a",), ("a",), ("z",)], "id string")
+    assert [x["id"] for x in get_nodes(n, ids).collect()] == ["own", "own"] and {x["id"] for x in get_nodes(n).collect()} == {"own", "b"}

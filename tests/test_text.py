@@ -1,9 +1,11 @@
 """Text operators against expected results."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from graphvec.functions.text import canonical_id, collection_name, parse_time, payload, prefixed_name
+from graphvec.functions.text import canonical_id, collection_name, parse_time, payload, payload_with_id, prefixed_name, unescape
 from graphvec.operators import crawl, web_text
 from graphvec.operators.ordering import running
 from graphvec.sources.corpus import fetch_pages, read_corpora, write_corpus
@@ -92,7 +94,7 @@ def test_small_functions(spark):
     assert one(spark, "Ent", lambda c: prefixed_name("P", c)) == "p_ent"
     for text, want in (("1700000000123", True), ("2024-01-02T03:04:05.123456+00:00", True), ("2024-01-02T03:04:05+00:00", True), ("soon", False)):
         assert (one(spark, text, parse_time) is not None) == want
-    assert one(spark, "{'a': 1}", lambda c: F.to_json(payload(c))) == "{}"
+    assert one(spark, "{'a': 1}", lambda c: F.to_json(payload(c))) == '{"a":1}' and one(spark, "{'a': open('x')}", lambda c: F.to_json(payload(c))) == "{}"
 
 
 def test_rows_of_pages_give_what_whole_texts_give(spark):
@@ -125,3 +127,60 @@ def test_running_counts_and_sums(spark):
             assert [r["pos"] for r in own] == list(range(len(own))) and [r["o"] for r in own] == sorted(r["o"] for r in own)
             assert [r["start"] for r in own] == [sum(x["w"] for x in own[:i]) for i in range(len(own))]
     assert running(df.limit(0), [], ["o"]).isEmpty()
+
+
+LITERALS = [
+    "{'a': 1}", r"""{"a": 'it\'s "quoted"', 'b': (1, 2.5, -3,), 'c': [None, True, False, ], 'd': {}}""", """('(None, True)', "it's")""", r"'a\\ \x41 é \n tab\t \q \" \' end'", "[]", "{'k': {'n': {'deep': [()]}},}",
+    "None", "'{[,]}'", r'"\\"', r"""'\\"'""", "{'a': 'é中', 'b': 1e5}", "{'a': \"x'y\\\"z\"}",
+]
+
+
+@pytest.mark.parametrize("text", LITERALS)
+def test_payloads_written_as_literals(spark, text):
+    import ast
+
+    want = json.loads(json.dumps(ast.literal_eval(text)))
+    assert json.loads(one(spark, text, lambda c: F.to_json(payload(c)))) == want
+
+
+@pytest.mark.parametrize("text", ["{'a': }", "{'a'", "f(x)", "", "'open", "{1: 2"])
+def test_payloads_that_say_nothing(spark, text):
+    assert one(spark, text, lambda c: F.to_json(payload(c))) == "{}"
+
+
+def test_payload_with_id(spark):
+    rows = [('{"id": "old", "n": {"x": [1, null]}}', "new"), ("{'n': 'a'}", 'a"b'), ("nothing", "z"), (None, "y"), ("[1]", "l")]
+    df = spark.createDataFrame(rows, "p string, i string").select(payload_with_id(F.col("p"), F.col("i")).alias("p"))
+    assert [json.loads(r["p"]) for r in df.collect()] == [{"n": {"x": [1, None]}, "id": "new"}, {"n": "a", "id": 'a"b'}, {"id": "z"}, {"id": "y"}, {"id": "l"}]
+
+
+@pytest.mark.parametrize("text", ["a&amp;b&lt;c&gt;&quot;&apos;", "&amp;lt;", "&#233;&#x1F44D;&#X41;", "&unknown; & &#; &#xD800;", "", "plain", "?a=1&b=2&amp;c"])
+def test_character_references(spark, text):
+    import html
+
+    want = html.unescape(text).replace(chr(0xFFFD), "&#xD800;")
+    assert one(spark, text, unescape) == want
+
+
+def test_fetch_rounds(spark):
+    """A throwing, a throttling and a dead host, and one that answers."""
+    from graphvec.sources.corpus import fetch_rounds
+
+    tries = spark.sparkContext.accumulator(0)
+    pauses = []
+
+    def fetch(url):
+        tries.add(1)
+        if "throws" in url:
+            raise OSError("no route")
+        return {"ok": (200, "md " + url), "empty": (200, None), "slow": (429, ""), "dead": (404, ""), "bad": (502, "")}[url.split("/")[2]]
+
+    urls = ["http://ok/1", "http://ok/2", "http://ok/1", "http://empty/", "http://slow/1", "http://slow/2", "http://slow/3", "http://dead/", "http://bad/", "http://throws/", "not a url", None]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r["url"]: (r["action"], r["tries"], r["status"], r["markdown"]) for r in fetch_rounds(df.where("url <> 'not a url' or url is null"), fetch, 3, 35.0, 0.01, pauses.append).collect()}
+    assert got["http://ok/1"] == ("use", 1, 200, "md http://ok/1") and got["http://empty/"] == ("use", 1, 200, "") and got["http://dead/"] == ("fail", 1, 404, None)
+    assert got["http://bad/"] == ("fail", 3, 502, None) and got["http://throws/"] == ("fail", 3, 502, None) and len(got) == 9
+    assert {got[f"http://slow/{i}"][:3] for i in (1, 2, 3)} == {("fail", 3, 429)} and len(pauses) == 8 and set(pauses) == {35.0}
+    assert tries.value == 2 + 1 + 9 + 1 + 3 + 3
+    thrown = fetch_rounds(df.where("url = 'not a url'"), fetch, 1).first()
+    assert thrown["action"] == "fail" and thrown["error"].startswith("IndexError")

@@ -86,7 +86,7 @@ def test_upsert_replaces_whole_rows(spark):
     assert {tuple(r) for r in vector.upsert(once, new).collect()} == {tuple(r) for r in once.collect()}
 
 
-@pytest.mark.parametrize("adapter, found", [("qdrant", {"1"}), ("redis", set()), ("azureaisearch", {"1", "2"})])
+@pytest.mark.parametrize("adapter, found", [("qdrant", {"1"}), ("redis", {"1"}), ("azureaisearch", {"1", "2"})])
 def test_store_searches_for_many_texts(spark, tmp_path, adapter, found):
     store = CollectionStore(spark, str(tmp_path / "c"), adapter=adapter)
     rows = spark.createDataFrame([("1", "quantum computer", ["name"]), ("2", "quantum sandwich of cheese", ["name"])], "id string, name string, index_fields array<string>")
@@ -116,7 +116,7 @@ def test_collection_store(spark, tmp_path):
     assert not other.has_collection("a-b")
     store.prune()
     assert not store.has_collection("Entity_name") and other.read("a b").count() == 0
-    assert len([p for p in (tmp_path / "c").iterdir() if p.name != "catalog"]) == 1
+    assert list((tmp_path / "c" / "data").iterdir()) == []
     with pytest.raises(CollectionNotFound):
         CollectionStore(spark, str(tmp_path / "c"), adapter="opensearch").search("none", text="x")
     with pytest.raises(EngineInitialization):
