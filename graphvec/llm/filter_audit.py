@@ -2,7 +2,7 @@
 
 Relational word pipeline: words are exploded and counted by (document, word), these counts by
 document give total and distinct words, and an outer join with the other flags gives each
-document its five failures as bits.  Documents of one text, part, failures and labels are counted
+document its five failures as bits; all of this stands behind one shuffle of the texts.  Documents of one text, part, failures and labels are counted
 together; the smallest doc_id of a text says which of them repeat it, so a text that a third of
 all rows share is a partial sum per task and never a join key.  One row a part with 32
 conditional counts (and 32 for good and for toxic documents) answers all 120 orders: a step's
@@ -33,13 +33,14 @@ SYMBOLS = r"[#$%&*|]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+KEY = ["doc_id", "h", "part"]
+
+
 def word_totals(texts: DataFrame) -> DataFrame:
-    """(doc_id, h, n_words, n_distinct) for rows (doc_id, h, text).  A null word stands for the row
-    itself: it says how often a repeated row occurs, and keeps documents without words."""
-    words = texts.select("doc_id", "h", F.explode(F.concat(F.array(F.lit(None).cast("string")), F.split("text", SPACE))).alias("word")).where("word is null or word <> ''")
-    counts = words.groupBy("doc_id", "h", "word").agg(F.count("*").alias("n"))
-    rows = F.max(F.when(F.col("word").isNull(), F.col("n")))
-    return counts.groupBy("doc_id", "h").agg((F.sum(F.when(F.col("word").isNotNull(), F.col("n"))) / rows).cast("bigint").alias("n_words"), F.count("word").alias("n_distinct"))
+    """(KEY, n_words, n_distinct) of each row (KEY, n, text) that has a word."""
+    words = texts.select(*KEY, "n", F.explode(F.split("text", SPACE)).alias("word")).where("word <> ''")
+    counts = words.groupBy(*KEY, "n", "word").agg(F.count("*").alias("times"))
+    return counts.groupBy(*KEY, "n").agg(F.sum("times").alias("n_words"), F.count("*").alias("n_distinct")).drop("n")
 
 
 def failures(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", part_col: str = "lang") -> DataFrame:
@@ -47,12 +48,12 @@ def failures(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col:
     the set `failed` and are labelled so."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     d = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part")).withColumn("h", F.xxhash64("text"))
+    # the one shuffle of texts: repeated rows are one before it, and all counting by document and word stays behind it
+    d = d.groupBy(*KEY).agg(F.min("text").alias("text"), F.count("*").alias("n"))
     upper = F.length("text") - F.length(F.translate("text", UPPER, ""))
-    flags = d.select("doc_id", "h", "part", F.sha2("text", 256).alias("digest"), (100 * upper > UPPER_PERCENT * F.length("text")).alias("c"), F.col("text").rlike(SYMBOLS).alias("d"))
-    flags = flags.groupBy("doc_id", "h", "part", "digest", "c", "d").agg(F.count("*").alias("n"))
-    words = word_totals(d.select("doc_id", "h", "text"))
-    named = [F.col(f"f.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("doc_id", "h")]
-    all_flags = flags.alias("f").join(words.alias("w"), named[0] & named[1], "left").select("f.*", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
+    flags = d.select(*KEY, "n", F.sha2("text", 256).alias("digest"), (100 * upper > UPPER_PERCENT * F.length("text")).alias("c"), F.col("text").rlike(SYMBOLS).alias("d"))
+    met = [F.col(f"f.{k}").eqNullSafe(F.col(f"w.{k}")) for k in KEY]
+    all_flags = flags.alias("f").join(word_totals(d).alias("w"), met[0] & met[1] & met[2], "left").select("f.*", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
     marks = labels.where("doc_id is not null").groupBy("doc_id").agg(*[F.coalesce(F.max(F.col(a) == 1), F.lit(False)).alias(b) for a, b in (("quality", "good"), ("toxic", "toxic"))])
     all_flags = all_flags.join(marks, "doc_id", "left").withColumns({b: F.coalesce(b, F.lit(False)) for b in ("good", "toxic")})
     bit = lambda c, i: F.when(c, 1 << i).otherwise(0)
