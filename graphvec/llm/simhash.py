@@ -11,10 +11,11 @@ pairs, and the bits of an XOR decide the rest.
 
 A cell sends on a spanning forest of its links, never its pairs.  Cells over CELL_ROWS are cut
 into tiles, and each pair of tiles is one task-sized group, so no cell lands in one task.
-Equal fingerprints are merged first.  Components come from star contraction over the links.
+Equal fingerprints are merged first.  Components come from star contraction over the links between fingerprints.
 
 Edge cases: null and word-less texts have fingerprint zero and link like others; a text of
-under 4 words is one shingle; repeated rows share a fingerprint; a row with a null doc_id
+under 4 words is one shingle; repeated rows share a fingerprint; rows that share a doc_id but not the
+text are linked by their fingerprints only; a row with a null doc_id
 gets a fingerprint but takes no part in links, its component is null; an empty table gives no
 rows; extra columns are ignored.
 """
@@ -177,9 +178,10 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = CELL_ROW
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of `docs`."""
     fps = materialize(fingerprints(docs, text_col, id_col), "fingerprints")
-    points = materialize(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "points")
-    found = components(links(points, max_bits))
-    named = points.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    points = materialize(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
+    found = materialize(components(links(points.select("fp", F.col("fp").alias("rep")), max_bits)), "fingerprint-groups")
+    named = points.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")
     r = fps.join(named, "fp", "left")
     return r.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
