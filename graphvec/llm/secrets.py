@@ -150,11 +150,18 @@ def _scanned(docs: DataFrame, text_col: str, classes: Sequence, allow: Sequence[
     plain = lambda found: F.transform(found, lambda x: F.struct(x["start"], x["kind"], x["end"])).cast(SPAN)
     entropy = F.filter("found3", lambda x: _suspicious(x["match"], classes, allow))
     d = d.select("row", "text", F.sort_array(F.concat(*[plain(F.col(f"found{k}")) for k in range(3)])).alias("base"), plain(entropy).alias("entropy"))
-    inside = lambda a, b: (b["start"] <= a["start"]) & (a["end"] <= b["end"])
-    meet = lambda a, b: (b["start"] < a["end"]) & (a["start"] < b["end"])
-    free = F.filter("entropy", lambda e: ~F.exists("base", lambda b: inside(e, b)))
-    confirmed = F.when(F.size("entropy") > 0, F.size(F.filter("base", lambda b: F.exists("entropy", lambda e: meet(e, b))))).otherwise(0)
-    return d.select("row", "text", "base", F.sort_array(F.concat("base", free)).alias("spans"), confirmed.cast("bigint").alias("n_confirmed"))
+    # both lists merge in one order, in which a running largest end says what a span lies in or meets
+    event = lambda at, entropy, x: F.struct(at.alias("at"), F.lit(entropy).alias("entropy"), x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))
+    of = lambda name, entropy, at: F.transform(name, lambda x: event(x[at], entropy, x))
+    ends = lambda events, entropy: F.transform(events, lambda x: F.when(x["entropy"] == entropy, x["end"]).otherwise(0))
+    d = d.withColumns({"by_start": F.sort_array(F.concat(of("base", 0, "start"), of("entropy", 1, "start"))), "by_end": F.sort_array(F.concat(of("base", 0, "end"), of("entropy", 1, "start")))})
+    d = d.withColumns({"base_ends": ends("by_start", 0), "entropy_ends": ends("by_end", 1)})
+    d = d.withColumns({f"{c}_before": _before(c, lambda a, b: F.greatest(a, b)) for c in ("base_ends", "entropy_ends")})
+    both = lambda events, before: F.arrays_zip(F.col(events).alias("x"), F.col(before).alias("reached"))
+    inside = F.filter(both("by_start", "base_ends_before"), lambda y: (y["x"]["entropy"] == 1) & (y["reached"] < y["x"]["end"]))
+    free = F.transform(inside, lambda y: F.struct(y["x"]["start"], y["x"]["kind"], y["x"]["end"])).cast(SPAN)
+    met = F.filter(both("by_end", "entropy_ends_before"), lambda y: (y["x"]["entropy"] == 0) & (y["reached"] > y["x"]["start"]))
+    return d.select("row", "text", "base", F.sort_array(F.concat("base", free)).alias("spans"), F.size(met).cast("bigint").alias("n_confirmed"))
 
 
 def secret_scan(docs: DataFrame, text_col: str = "text", classes: Sequence = CLASSES, allow: Sequence[str] = ALLOW) -> DataFrame:
