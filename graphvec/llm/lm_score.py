@@ -8,12 +8,14 @@ training texts, with one and two words of context for tree bits and one to four
 spelled ones.  The stretched predictions are mixed by weights; which set of weights is used
 is gated by how often each hashed context was seen.  Start weights are learned online on a
 sixteenth of the training texts, and of the training words, by hash: they are left out of the
-context counts, so that the weights meet contexts as an unknown text does.  The weights start
+context counts, so that the weights meet contexts as an unknown text does.  These texts are dealt into lanes
+by their own values, a lane learns from its texts in a fixed order, and lanes are averaged in whole
+numbers, so a score does not depend on how the input is split.  The weights start
 alike for every text and are refined as the text is read, after every CHUNK tokens (every byte of a spelled word), from
 what was read only, so the product of the bit probabilities is the model's probability.
 
 Counting: word counts are summed over the whole training part.  A training text's contexts are in
-the counts that score it; a held-out text's are not.  Context counts live in hashed
+the counts that score it, but for the sixteenth that told the start weights; a held-out text's are not.  Context counts live in hashed
 tables of a fixed number of slots, so what is broadcast has a bound; tasks send compressed
 blocks of their counts, summed in two rounds in 64 bits.  The spelling counts take each distinct
 training word once, listed or not.  Words outside the vocabulary meet the full word
@@ -415,10 +417,18 @@ class Speller:
     def __init__(self, tables: np.ndarray, starts: np.ndarray, rate: float = 0.06):
         self.tables, self.rate, self.starts = tables, rate, starts
 
-    def learn(self, words: list[bytes], seen: np.ndarray) -> None:
-        """As WordModel.learn: words one after another move one set of start weights."""
-        sizes = np.cumsum([len(w) + 1 for w in words]) // LEARN_PART
-        for group in np.split(np.arange(len(words)), np.flatnonzero(np.diff(sizes)) + 1) if words else []:
+    def learn(self, words: list[bytes], seen: np.ndarray, more: bool = False) -> list[bytes]:
+        """As WordModel.learn: words one after another move one set of start weights.  If `more` follow, the
+        words of the last step, which may not be complete, are given back."""
+        groups, size = [[]], 0
+        for k, w in enumerate(words):
+            groups[-1].append(k)
+            size += len(w) + 1
+            if size >= LEARN_PART:
+                groups.append([])
+                size = 0
+        rest = [words[k] for k in groups.pop()] if more else []
+        for group in filter(None, groups):
             word, place, mixed, bit, contexts = byte_bits([words[k] for k in group])
             inputs, gate = [], np.zeros(len(mixed), np.int16)
             for k, c in enumerate(contexts):
@@ -428,6 +438,7 @@ class Speller:
             ends = np.cumsum(np.bincount(np.minimum(place, 63)))
             mix(inputs, gate, np.float32(1) - np.float32(2) * bit, np.zeros(len(word), np.int64), ends, weights, self.rate)
             self.starts = weights[0].astype(np.float64)
+        return rest
 
     def score(self, words: list[bytes]) -> np.ndarray:
         out = []
@@ -449,24 +460,45 @@ class Speller:
 
 # --- Spark ---------------------------------------------------------------------------------
 
-LEARNED = "cell int, weight double, seen double"
+LEARNED = "cell int, weight bigint, seen bigint"
+LANE_TEXTS, LANE_WORDS = 1024, 1 << 16  # texts and words in a lane, on average
+UNITS = 10**9  # logarithms of spelled words are added up as whole numbers of this part of one
+FIXED = 1 << 20  # weights are added up as whole numbers of this part of one
 
 
 def _learned(starts: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
-    n = np.repeat(seen.astype(np.float64), starts.shape[1])
-    return pa.RecordBatch.from_arrays([pa.array(np.arange(starts.size, dtype=np.int32)), pa.array(starts.ravel() * n), pa.array(n)], names=["cell", "weight", "seen"])
+    n = np.repeat(seen, starts.shape[1])
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(starts.size, dtype=np.int32)), pa.array(np.round(starts.ravel() * FIXED).astype(np.int64) * n), pa.array(n)], names=["cell", "weight", "seen"])
 
 
 def averaged(rows: DataFrame, starts: np.ndarray) -> np.ndarray:
-    """The mean of what the tasks learned, by the bits that each saw; `starts` where none did.
-    Rounded, so that the order of the sum does not show.  One row a weight reaches the driver."""
+    """The mean of what the lanes learned, by the bits that each saw; `starts` where none did.
+    Whole numbers are added, in whatever order.  One row a weight reaches the driver."""
     out = starts.copy().ravel()
-    for cell, weight, seen in rows.groupBy("cell").agg(F.sum("weight"), F.sum("seen")).collect():
+    for cell, weight, seen in rows.groupBy("cell").agg(F.sum(F.col("weight").cast("decimal(38,0)")), F.sum("seen")).collect():
         if seen:
-            out[cell] = round(weight / seen, 4)
+            out[cell] = round(int(weight) / int(seen) / FIXED, 4)
     return out.reshape(starts.shape)
 
 
+def in_lanes(rows: DataFrame, column: str, lanes: int, *salt: str) -> DataFrame:
+    """(lane, column) in runs of one lane each.  Lane and order follow from a row's own values, so
+    what a lane learns does not depend on how the input is split; `salt` spreads copies over lanes."""
+    h = F.xxhash64(F.lit(1), column, *salt)
+    dealt = rows.select(F.pmod(h, F.lit(lanes)).cast("int").alias("lane"), h.alias("at"), column, *salt)
+    return dealt.repartition("lane").sortWithinPartitions("lane", "at", column).select("lane", column)
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The batches cut where the lane changes."""
+    for b in batches:
+        lane = b.column(0).to_numpy()
+        edges = [0, *(np.flatnonzero(lane[1:] != lane[:-1]) + 1).tolist(), b.num_rows]
+        for a, z in zip(edges, edges[1:]):
+            if z > a:
+                yield int(lane[a]), b.slice(a, z - a)
+
+
 def numbered(texts: pa.Array, listed: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Token numbers of the texts one after another, each closed by 1 for the end; how many
     tokens each text has; and the words that are not listed, with their texts' places."""
@@ -540,21 +572,27 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
 
     def learn_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, listed = shared.value
-        model, seen = WordModel(code, word_tables.value, _word_starts()), np.zeros(16, np.int64)
-        for whole in batches:
-            for b in slices(whole, 0):
-                ids, counts, _, _ = numbered(b.column(0), listed)
-                model.learn(np.split(ids, np.cumsum(counts)[:-1]), seen)
-        yield _learned(model.starts, seen)
+        for _, lane in itertools.groupby(runs(batches), lambda x: x[0]):
+            model, seen = WordModel(code, word_tables.value, _word_starts()), np.zeros(16, np.int64)
+            for _, whole in lane:
+                for b in slices(whole, 1):
+                    ids, counts, _, _ = numbered(b.column(1), listed)
+                    model.learn(np.split(ids, np.cumsum(counts)[:-1]), seen)
+            yield _learned(model.starts, seen)
 
     def learn_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = Speller(byte_tables.value, _byte_starts()), np.zeros(16, np.int64)
-        for b in batches:
-            model.learn(b.column(0).to_pylist(), seen)
-        yield _learned(model.starts, seen)
-
-    word_starts = averaged(train.where(apart("text")).mapInArrow(learn_words, LEARNED), _word_starts())
-    byte_starts = averaged(spelled_words.where(apart("word")).mapInArrow(learn_bytes, LEARNED), _byte_starts())
+        for _, lane in itertools.groupby(runs(batches), lambda x: x[0]):
+            model, seen = Speller(byte_tables.value, _byte_starts()), np.zeros(16, np.int64)
+            rest: list[bytes] = []
+            for _, b in lane:
+                rest = model.learn(rest + b.column(1).to_pylist(), seen, more=True)
+            model.learn(rest, seen)
+            yield _learned(model.starts, seen)
+
+    texts = in_lanes(d.where(~F.col("held_out") & apart("text")), "text", max(1, end // LEARN_SHARE // LANE_TEXTS), "doc_id")
+    word_starts = averaged(texts.mapInArrow(learn_words, LEARNED), _word_starts())
+    words = in_lanes(spelled_words.where(apart("word")), "word", max(1, v // LEARN_SHARE // LANE_WORDS))
+    byte_starts = averaged(words.mapInArrow(learn_bytes, LEARNED), _byte_starts())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, listed = shared.value
@@ -593,7 +631,9 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
                 [b.column(0), pa.array(np.where(c > 0, times, 0), pa.int64()), pa.array(times * np.log10(c + 1.0)), pa.array(times * bits)], names=["rid", "known", "logc", "bits"])
 
     met = rows.where("word is not null").select("word", "rid", "n").join(counts, "word", "left").select("rid", "word", "n", F.coalesce("c", F.lit(0)).alias("c"))
-    spelled = met.mapInArrow(spell, "rid bigint, known bigint, logc double, bits double").groupBy("rid").agg(*[F.sum(c).alias(f"{c}2") for c in ("known", "logc", "bits")])
+    spelled = met.mapInArrow(spell, "rid bigint, known bigint, logc double, bits double")
+    exact = lambda c: (F.sum(F.round(F.col(c) * UNITS).cast("bigint")) / UNITS).alias(f"{c}2")
+    spelled = spelled.groupBy("rid").agg(F.sum("known").alias("known2"), exact("logc"), exact("bits"))
     r = rows.where("word is null").join(spelled, "rid", "left")
     both = lambda c: F.col(c) + F.coalesce(F.col(f"{c}2"), F.lit(0))
     return r.select(

@@ -199,3 +199,44 @@ def test_points_bound_the_overlap():
         common = ngram_join.most_common(ngram_join.unpacked(ngram_join.packed(a), len(a)), ngram_join.unpacked(ngram_join.packed(b), len(b)))
         assert len(np.intersect1d(a, b)) <= common <= min(len(a), len(b))
     assert len(shingle_set("a b c", 4)) == 1
+
+
+# --- earlier operators: cases the first tests left out -------------------------------------
+
+def test_simhash_of_doc_ids_with_several_texts(spark):
+    """A doc_id joins nothing; its texts' fingerprints do, whichever id is smaller."""
+    from graphvec.llm import simhash
+
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    for third in (3, 9):
+        rows = [(5, a), (5, b), (third, a), (10, b)]
+        got = sorted((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+        assert got == sorted([(5, min(5, third)), (5, 5), (third, min(5, third)), (10, 5)])
+
+
+def test_scores_do_not_depend_on_how_the_input_is_split(spark):
+    from graphvec.llm import lm_score
+
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(words[min(299, int(r.expovariate(0.02)))] + r.choice(["", "", "x"]) for _ in range(r.randint(0, 120)))) for i in range(400)] + [(None, "w1"), (7, None), (8, "w1"), (8, "w1")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [sorted((tuple(x) for x in lm_score.score(docs.repartition(n), vocab=100, word_slots=1 << 16, byte_slots=1 << 16).select("doc_id", "n_tokens", "base_score", "score").collect()), key=str) for n in (1, 7, 16)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)
+
+
+def test_secret_spans_of_a_long_dump_of_keys(spark):
+    """Many spans in one text: the same as when each part stands alone, in time that grows with the text."""
+    from pyspark.sql import functions as F
+
+    from graphvec.llm import secrets
+
+    r = random.Random(2)
+    key = lambda: "".join(r.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789") for _ in range(40))
+    parts = [f"token={key()} {key()} AKIA{'ABCDEFGHIJKLMNOP'} {'0123456789abcdef' * 2} plain\n" for _ in range(400)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(parts)] + [(-1, "".join(parts))], "doc_id bigint, text string")
+    got = {x["doc_id"]: x for x in secrets.secret_scan(df).collect()}
+    starts = np.cumsum([0] + [len(p) for p in parts])
+    for name in ("base_spans", "secret_spans"):
+        assert [(s["start"], s["kind"], s["end"]) for s in got[-1][name]] == [(s["start"] + at, s["kind"], s["end"] + at) for i, at in enumerate(starts[:-1].tolist()) for s in got[i][name]]
+    assert got[-1]["n_confirmed"] == sum(got[i]["n_confirmed"] for i in range(400)) > 0
