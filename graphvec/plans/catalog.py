@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from graphvec.functions import text as text_functions
 from graphvec.functions.vectors import PROFILES, cosine
-from graphvec.operators import completion, crawl, hybrid, ingest, inverted_file, lineage, metrics, mutate, retrieve, vector, walk, web_text
+from graphvec.operators import completion, crawl, hybrid, ingest, inverted_file, lineage, metrics, mutate, postings, retrieve, vector, walk, web_text
 from graphvec.plans import fixtures
 from graphvec.plans.fixtures import table
 from graphvec.sources.collections import CollectionStore
@@ -149,7 +149,7 @@ def store_batch_search(spark, d):
     return out
 
 
-@query("""WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[a-z]{2,}') AS t FROM documents),
+_HYBRID = ("""WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[a-z]{2,}') AS t FROM documents),
 n AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM d),
 tf AS (SELECT id, len, token, count(*) AS tf FROM (SELECT id, len(t) AS len, unnest(t) AS token FROM d) GROUP BY ALL),
 df AS (SELECT token, count(*) AS df FROM tf GROUP BY 1),
@@ -162,6 +162,9 @@ r AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY round(c, 12)
 f AS (SELECT qid, id, sum(1.0::DOUBLE / (60 + rank)) AS s FROM (SELECT * FROM l UNION ALL SELECT * FROM r) GROUP BY 1, 2),
 g AS (SELECT qid, id, s, row_number() OVER (PARTITION BY qid ORDER BY round(s, 12) DESC, id) AS rank FROM f)
 SELECT qid, id, round(s, 9) AS score, rank FROM g WHERE rank <= 15""")
+
+
+@query(_HYBRID)
 def hybrid_rrf(spark, d):
     docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
     left = hybrid.bm25(docs.select(F.col("doc_id").alias("id"), "text"), items.select(F.col("item_id").alias("qid"), "text"), 15)
@@ -170,6 +173,18 @@ def hybrid_rrf(spark, d):
     return hybrid.fuse(left, right, 15).select("qid", "id", F.round("score", 9).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
+@query(_HYBRID)
+def hybrid_stored(spark, d):
+    """hybrid_rrf with its ranking by words from a stored index."""
+    docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
+    path = new_path(spark, "postings")
+    postings.build(docs.select(F.col("doc_id").alias("id"), "text"), path)
+    left = postings.bm25(spark, path, items.select(F.col("item_id").alias("qid"), "text"), 15)
+    right = vector.batch_search(docs.select(F.col("doc_id").alias("id"), fixtures.letter_vector("text").alias("vector")),
+                                items.select(F.col("item_id").alias("qid"), fixtures.letter_vector("text").alias("vector")), 15)
+    return hybrid.fuse(left, right, 15).select("qid", "id", F.round("score", 9).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
 @query("SELECT vec_id AS qid, 5::BIGINT AS n_exact, true AS mean_recall_at_least_0_9 FROM embeddings WHERE vec_id % 100 = 0")
 def ann_lsh_recall(spark, d):
     """Exact hits of each query, and whether the approximate search finds nine tenths of all."""

@@ -227,3 +227,19 @@ def test_nodes_with_and_without_ids(spark):
     n = spark.createDataFrame([("a", 0, "X", "A", None, {"id": "own"}), ("b", 1, "Y", None, None, {})], NODES)
     ids = spark.createDataFrame([("a",), ("a",), ("z",)], "id string")
     assert [x["id"] for x in get_nodes(n, ids).collect()] == ["own", "own"] and {x["id"] for x in get_nodes(n).collect()} == {"own", "b"}
+
+
+def test_path_totals_equal_distances(spark):
+    import random
+
+    r = random.Random(5)
+    e = [(f"n{i}", f"n{i + 1}") for i in range(70)] + [(f"n{r.randint(0, 70)}", f"n{r.randint(0, 70)}") for _ in range(12)] + [("far", "away")]
+    df = spark.createDataFrame([(u, v, "r") for u, v in e], "src string, dst string, key string")
+    pairs = metrics.simple_pairs(df)
+    ids = spark.createDataFrame([(x,) for x in {x for p in e for x in p} | {"alone"}], "id string")
+    want = metrics.distances(pairs, ids).agg(F.max("d"), F.sum("d")).first()
+    assert metrics.path_totals(pairs, ids) == tuple(want)
+    assert metrics.path_totals(pairs, ids, 3) == tuple(metrics.distances(pairs, ids, 3).agg(F.max("d"), F.sum("d")).first())
+    near = metrics.approximate_paths(ids.withColumn("ord", F.lit(0)), df.withColumn("ord", F.lit(0)), 12).first()
+    n = metrics.distances(pairs, ids).where("d > 0").count()
+    assert near["avg_shortest_path_length"] == pytest.approx(want[1] / n, rel=0.1) and near["reached_pairs"] == pytest.approx(n, rel=0.1)
