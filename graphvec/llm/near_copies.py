@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from graphvec.llm.suffix_dedup import _dropping_shuffles
 from graphvec.operators.components import components
-from graphvec.storage import broadcast_if_small, materialize
+from graphvec.storage import broadcast_if_small, discard, materialize
 
 SHINGLE = 5
 SIMILAR = (4, 5)  # Jaccard similarity as a fraction
@@ -232,7 +232,10 @@ def verified(pairs: DataFrame, unique: DataFrame) -> DataFrame:
     near = materialize(bound.distinct(), "near-pairs")
     asked = near.select(F.explode(F.array("u", "v")).alias("rep")).distinct()
     sets = unique.join(broadcast_if_small(asked, 100_000), "rep", "left_semi").select("rep", "sig", "shingles").dropDuplicates(["rep", "sig"])
-    return materialize(_both(near, materialize(sets, "asked-sets"), "shingles").mapInArrow(_verify, "u bigint, v bigint"), "near-links")
+    sets = materialize(sets, "asked-sets")
+    links = materialize(_both(near, sets, "shingles").mapInArrow(_verify, "u bigint, v bigint"), "near-links")
+    discard(near, sets)
+    return links
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,18 +243,18 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(folded, b.column(1).to_pylist()), pa.binary())], names=["rep", "bits"])
 
 
-def _dealt(rows: DataFrame, unique: DataFrame, cell_rows: int) -> DataFrame:
+def _dealt(rows: DataFrame, unique: DataFrame, cell_rows: int) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     """(key, tiles, rep, n, label, bits): crowded keys are cut into tiles; each pair of tiles is a
-    group.  A rep of several texts has a row for the parities of each."""
+    group.  A rep of several texts has a row for the parities of each.  With the tables written for it."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("rows"), (F.min("label") < F.max("label")).alias("open"))
     sizes = materialize(sizes.where("open").select("key", F.when(F.col("rows") > cell_rows, F.ceil(F.col("rows") / (cell_rows / 2))).otherwise(1).cast("int").alias("t"), (F.col("rows") > CROWD).alias("crowd")), "cells")
-    dealt = materialize(rows.join(broadcast_if_small(sizes, 100_000), "key"), "sized")
+    sized = dealt = materialize(rows.join(broadcast_if_small(sizes, 100_000), "key"), "sized")
     bits = unique.select("rep", "bits").mapInArrow(_folded, "rep bigint, bits binary")
     dealt = dealt.where("not crowd").withColumn("bits", F.lit(None).cast("binary")).unionByName(dealt.where("crowd").join(bits, "rep"))
     dealt = dealt.withColumn("a", F.pmod(F.xxhash64("rep"), F.col("t")).cast("int"))
     dealt = dealt.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
     tiles = F.least("a", "b").cast("bigint") * F.lit(1 << 31) + F.greatest("a", "b")
-    return dealt.select("key", tiles.alias("tiles"), "rep", "n", "label", "bits").repartition("key", "tiles").sortWithinPartitions("key", "tiles")
+    return dealt.select("key", tiles.alias("tiles"), "rep", "n", "label", "bits").repartition("key", "tiles").sortWithinPartitions("key", "tiles"), (sizes, sized)
 
 
 def near_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -279,7 +282,12 @@ def near_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
         named = shared.join(found.select(F.col("node").alias("rep"), F.col("component").alias("label")), "rep", "left")
         named = materialize(named.select("key", "rep", "n", F.coalesce("label", "rep").alias("label")), "labelled")
-        rest = _dealt(named, unique, cell_rows).mapInArrow(_pairs, "u bigint, v bigint")
-        found = materialize(components(links.unionAll(verified(rest, unique))), "near-components")
+        discard(shared, found)
+        dealt, written = _dealt(named, unique, cell_rows)
+        links = links.unionAll(verified(dealt.mapInArrow(_pairs, "u bigint, v bigint"), unique))
+        discard(named, *written)
+        found = materialize(components(links), "near-components")
         owners = least.join(found.withColumnRenamed("node", "least"), "least", "left").select("sig", F.coalesce("component", "least").alias("component_id"))
-        return materialize(sets.select(F.col("rep").alias("doc_id"), "sig").join(owners, "sig").select("doc_id", "component_id"), "near-copies")
+        out = materialize(sets.select(F.col("rep").alias("doc_id"), "sig").join(owners, "sig").select("doc_id", "component_id"), "near-copies")
+        discard(sets, least, copies, links, found)
+        return out
