@@ -5,7 +5,8 @@ every 3 neighbours, and an inverted index maps the kept ones to (template, posit
 document's shingles are looked up, so five equal words in a row are enough to meet.  Hits on
 one template that lie within its reach form a candidate region, where a Smith-Waterman
 alignment in a band around the hits' diagonals gives the matched words, the coverage and the
-span in characters.
+span in characters.  The band takes in all hits whose diagonals differ by the template's length at most: words
+put in between cost one each and a matched word counts two, so a longer gap never pays.
 
 Edge cases: null and empty texts have no spans; several regions of one license in a text are
 all reported; of overlapping regions with different licenses all that reach the coverage are
@@ -146,7 +147,7 @@ def scan(text: str, index: Index, band: int = BAND, min_coverage: float = MIN_CO
         ids, low, high, last, at = index.ids[t], p - i, p - i, p, i
         k += 1
         # a hit further back in the template begins the next copy of it
-        while k < len(hits) and hits[k][0] == t and abs(hits[k][1] - hits[k][2] - low) <= 2 * band and hits[k][1] - last <= len(ids) and hits[k][2] > at:
+        while k < len(hits) and hits[k][0] == t and abs(hits[k][1] - hits[k][2] - low) <= max(2 * band, len(ids)) and hits[k][1] - last <= 2 * len(ids) and hits[k][2] > at:
             _, last, at = hits[k]
             low, high = min(low, last - at), max(high, last - at)
             k += 1
