@@ -29,7 +29,6 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 BUCKETS = 1 << 14
 PRIOR = 10.0  # n-grams of raw text that each target bucket starts with
-THRESHOLD = -0.045  # without trusted documents to learn it from
 MAX_BROADCAST_LABELS = 2_000_000
 
 
@@ -115,12 +114,12 @@ FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def learned_threshold(trusted: DataFrame) -> float:
     """From judged trusted documents: max(mean - 4 sd, least - sd) of those that pass the base
-    rules, or THRESHOLD if there are fewer than two.  Sums are of decimals, so that they do not
+    rules; with fewer than two nothing says what to reject, and all pass.  Sums are of decimals, so that they do not
     depend on the order in which tasks end."""
     llr = F.when(~F.col("base_failed"), F.round("llr", 9).cast("decimal(18,9)"))
     total, squares, least, n = trusted.agg(F.sum(llr), F.sum((llr * llr).cast("decimal(28,18)")), F.min(llr), F.count(llr)).first()
     if n < 2:
-        return THRESHOLD
+        return -math.inf
     total, squares = Fraction(total), Fraction(squares)
     sd = math.sqrt((squares - total * total / n) / (n - 1))
     return max(float(total / n) - 4 * sd, float(least) - sd)
