@@ -24,7 +24,7 @@ match are sorted, and none that matches is left out:
   its offsets share, again and again if need be, until a group is one string.
 4 The bytes behind each claim are fetched from the document that it names and compared with the
   claiming document's when the repeats are cut out.  If any differ, two neighbourhoods had one
-  hash: the attempt is void and another is made with another hash.
+  hash: the attempt is void and another is made with another hash, of which all 64 bits travel.
 
 Tasks hold a batch of texts, a bucket's different neighbourhoods or a block of them; there are
 as many tasks as the bytes of the table ask for, and buckets as many as its anchors.
@@ -212,11 +212,13 @@ def _same_bytes(whole: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.n
 
 
 KINDS = ("V6", "V6", np.int64, np.int64, np.uint8)  # anchor, neighbourhood, doc_id, place, whether the anchor has others elsewhere
-SHIPPED = np.uint64((1 << 48) - 1)  # bits of both hashes that travel: equal bytes are proved later
+WIDE = (np.uint64, np.uint64, *KINDS[2:])
+SHIPPED = np.uint64((1 << 48) - 1)  # bits of both hashes that travel at first: equal bytes are proved later
+LARGE = 1 << 40  # bytes of text from which on all 64 bits travel from the first attempt on, as in later attempts at any size
 
 
-def _find_anchors(buckets: int, seed: int, bits: int):
-    kept = np.uint64((1 << bits) - 1)
+def _find_anchors(buckets: int, seed: int, bits: int, wide: bool):
+    kept = np.uint64((1 << bits) - 1) & (~np.uint64(0) if wide else SHIPPED)
     shift = np.uint64(64 - (buckets.bit_length() - 1)) if buckets > 1 else None
 
     def bucket_of(x: np.ndarray) -> np.ndarray:
@@ -256,7 +258,8 @@ def _find_anchors(buckets: int, seed: int, bits: int):
         order = np.argsort(bucket, kind="stable")
         bucket, columns = bucket[order], [x[order] for x in columns]
         cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-        columns[:2] = map(_short, columns[:2])
+        if not wide:
+            columns[:2] = map(_short, columns[:2])
         rows += [(int(bucket[a]), False, _pack(*[x[a:b] for x in columns])) for a, b in zip(cuts[:-1], cuts[1:])]
         for i in range(0, len(rows), 64):
             b, m, d = zip(*rows[i : i + 64])
@@ -270,7 +273,7 @@ def _find_anchors(buckets: int, seed: int, bits: int):
                     continue
                 units.append((doc, version))
                 h, c, at = anchors_of(b, seed)
-                found.append((h, c & kept & SHIPPED, at))
+                found.append((h, c & kept, at))
                 texts.append(b)
                 size += len(b)
                 if size >= BATCH_BYTES:
@@ -298,13 +301,14 @@ class Bucket:
     """The rows of a bucket.  Once there are many, those with an equal neighbourhood give way to
     the smallest doc_id's, so what is held follows the different neighbourhoods."""
 
-    def __init__(self):
+    def __init__(self, wide: bool):
         self.parts: list[list[np.ndarray]] = []
+        self.wide = wide
         self.rows = self.limit = 0
 
     def add(self, data: bytes) -> Iterator[pa.RecordBatch]:
-        h, c, *rest = _unpack(data, *KINDS)
-        self.parts.append([_long(h), _long(c), *rest])
+        h, c, *rest = _unpack(data, *(WIDE if self.wide else KINDS))
+        self.parts.append([h, c, *rest] if self.wide else [_long(h), _long(c), *rest])
         self.rows += len(self.parts[-1][0])
         if self.rows > max(COLLAPSE_ROWS, self.limit):
             yield from self.collapse()
@@ -341,22 +345,25 @@ class Bucket:
             yield _found(doc[edge], place[edge], anchor=h[edge].view(np.int64))
 
 
-def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    now, held = None, Bucket()
-    for b in batches:
-        for bucket, marks, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-            data = data.as_buffer()
-            if marks:
-                doc, place, size = _unpack(data, np.int64, np.int64, np.int64)
-                yield _found(doc, place, size=size) if size.all() else pa.RecordBatch.from_pylist([{}], FOUND_SCHEMA)
-                continue
-            if bucket != now and held.parts:
-                yield from held.close()
-                held = Bucket()
-            now = bucket
-            yield from held.add(data)
-    if held.parts:
-        yield from held.close()
+def _sort_buckets(wide: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, Bucket(wide)
+        for b in batches:
+            for bucket, marks, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                data = data.as_buffer()
+                if marks:
+                    doc, place, size = _unpack(data, np.int64, np.int64, np.int64)
+                    yield _found(doc, place, size=size) if size.all() else pa.RecordBatch.from_pylist([{}], FOUND_SCHEMA)
+                    continue
+                if bucket != now and held.parts:
+                    yield from held.close()
+                    held = Bucket(wide)
+                now = bucket
+                yield from held.add(data)
+        if held.parts:
+            yield from held.close()
+
+    return run
 
 
 def _join_claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -590,15 +597,15 @@ def _versions(d: DataFrame) -> tuple[DataFrame, DataFrame]:
     return d, d.dropDuplicates(["doc_id", "version"]) if n else d
 
 
-def _attempt(d: DataFrame, texts: DataFrame, size: int, hot: int, seed: int, bits: int) -> DataFrame | None:
+def _attempt(d: DataFrame, texts: DataFrame, size: int, hot: int, seed: int, bits: int, wide: bool) -> DataFrame | None:
     """The result, or None if two different neighbourhoods were found to have one hash."""
     tasks = max(1, math.ceil(size / max(TASK_BYTES, size / MAX_TASKS)))
     buckets = 1 << max(3, math.ceil(math.log2(max(1.0, size * 2 / (LEFT + 2) / BUCKET_ANCHORS))))
     low = (1 << VERSION) - 1
     version, offset = lambda c: F.shiftright(c, VERSION).cast("int"), lambda c: F.col(c).bitwiseAND(F.lit(low))
 
-    sent = texts.mapInArrow(_find_anchors(buckets, seed, bits), ROWS)
-    found = materialize(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, FOUND), "repeats")
+    sent = texts.mapInArrow(_find_anchors(buckets, seed, bits, wide), ROWS)
+    found = materialize(sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets(wide), FOUND), "repeats")
     if not found.where("doc_id is null").isEmpty():
         return None
 
@@ -641,7 +648,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     with _dropping_shuffles(docs.sparkSession):
         named, texts = _versions(d.where("doc_id is not null"))
         for seed in range(SEEDS):
-            done = _attempt(named, texts, size, hot, seed, 64 if seed else hash_bits)
+            done = _attempt(named, texts, size, hot, seed, 64 if seed else hash_bits, seed > 0 or size >= LARGE)
             if done is not None:
                 return done.unionAll(unnamed)
     raise RuntimeError(f"{SEEDS} hashes in a row were equal for different bytes")

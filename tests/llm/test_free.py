@@ -137,7 +137,7 @@ def test_collapsing_a_bucket_keeps_its_rows():
     columns = *(suffix_dedup._short(x.astype(np.uint64)) for x in (h, c)), doc, place, np.zeros(400, np.uint8)
     seen = []
     for parts in (1, 40):
-        bucket, out = suffix_dedup.Bucket(), []
+        bucket, out = suffix_dedup.Bucket(False), []
         for x in zip(*(np.array_split(k, parts) for k in columns)):
             out += list(bucket.add(suffix_dedup._pack(*x)))
             out += list(bucket.collapse()) if parts > 1 else []

@@ -240,3 +240,68 @@ def test_secret_spans_of_a_long_dump_of_keys(spark):
     for name in ("base_spans", "secret_spans"):
         assert [(s["start"], s["kind"], s["end"]) for s in got[-1][name]] == [(s["start"] + at, s["kind"], s["end"] + at) for i, at in enumerate(starts[:-1].tolist()) for s in got[i][name]]
     assert got[-1]["n_confirmed"] == sum(got[i]["n_confirmed"] for i in range(400)) > 0
+
+
+def best_overlap(doc, item):
+    """Of all diagonals: most matched words of a best-scoring stretch, and that stretch's share of the item."""
+    best = (0, 0.0)
+    for diag in range(1 - len(item), len(doc)):
+        score = matched = 0
+        top = (0, 0)
+        for i, w in enumerate(item):
+            if score <= 0:
+                score = matched = 0
+            same = 0 <= diag + i < len(doc) and doc[diag + i] == w
+            score, matched = score + (1 if same else -2), matched + same
+            top = max(top, (score, matched), key=lambda x: x[0])
+        best = max(best, (top[1], top[1] / len(item)))
+    return best
+
+
+@pytest.mark.parametrize(("rate", "recall"), [(0.0, 1.0), (0.1, 1.0), (0.2, 0.9), (0.3, 0.6)])
+def test_decontamination_against_all_diagonals(spark, rate, recall):
+    from graphvec.llm import decontam
+
+    r = random.Random(int(100 * rate))
+    words = [f"w{i}" for i in range(400)]
+    items = [[r.choice(words) for _ in range(r.choice([3, 8, 15, 30, 60]))] for _ in range(12)]
+    docs = []
+    for d in range(40):
+        text = [r.choice(words) for _ in range(r.randint(0, 80))]
+        if d % 2:
+            item = r.choice(items)
+            a = r.randint(0, len(item) // 3)
+            at = r.randint(0, len(text))
+            text[at:at] = [r.choice(words) if r.random() < rate else w for w in item[a:]]
+        docs.append(text)
+    frame = lambda rows, name: spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(rows)], f"{name} bigint, text string")
+    for max_slice in (1_000_000, 300):
+        got = {(x["doc_id"], x["item_id"]): (x["n_matched"], x["coverage"]) for x in decontam.find_leaks(frame(docs, "doc_id"), frame(items, "item_id"), max_slice=max_slice).collect()}
+        want = {(d, i): b for d, doc in enumerate(docs) for i, item in enumerate(items) if (b := best_overlap(doc, item))[0] >= 13 or b[1] >= 0.8}
+        assert set(got) <= set(want) and len(got) >= recall * len(want) and len(want) >= (8 if rate < 0.2 else 4)
+        assert all(got[k][0] <= want[k][0] for k in got)
+
+
+def test_licenses_against_alignments_without_a_band():
+    """Substituted, dropped and inserted words, also long insertions: what a full alignment of each template finds."""
+    from graphvec.llm import licenses
+
+    r = random.Random(4)
+    index = licenses.Index(licenses.TEMPLATES)
+    filler = [f"filler{i}" for i in range(50)]
+    seen = 0
+    for name in index.names:
+        words = licenses.WORD.findall(licenses.TEMPLATES[name].lower())
+        for gap in (0, 0, 6, 12, 25, 60):
+            text = [w for w in words if len(words) < 10 or r.random() > 0.03]
+            text = [r.choice(filler) if len(words) > 20 and r.random() < 0.04 else w for w in text]
+            at = r.randint(len(text) // 3, 2 * len(text) // 3)
+            if len(words) > 20 or gap == 0:
+                text[at:at] = [r.choice(filler) for _ in range(gap)]
+            text = [r.choice(filler) for _ in range(r.randint(0, 30))] + text + [r.choice(filler) for _ in range(r.randint(0, 30))]
+            region = [index.number.get(w, -1) for w in text]
+            want = {n for n, ids in zip(index.names, index.ids) if licenses.align(region, ids, -len(ids), len(region))[0] >= licenses.MIN_COVERAGE * len(ids)}
+            got = {x[0] for x in licenses.scan(" ".join(text), index)}
+            assert got == want, (name, gap)
+            seen += name in got
+    assert seen >= 50
