@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphvec.errors import CollectionNotFound, EngineInitialization
 from graphvec.functions.text import payload_with_id
 from graphvec.functions.vectors import PROFILES
-from graphvec.operators import hybrid, vector
+from graphvec.operators import hybrid, inverted_file, vector
 from graphvec.schema import POINTS
 from graphvec.sources.commits import BUCKETS, Table, VersionedTables
 
@@ -122,11 +124,30 @@ class CollectionStore:
             points = self.read(name)
         return points, queries if "vector" in queries.columns else queries.withColumn("vector", self.embed(F.col("text")))
 
-    def batch_search(self, name: str, queries: DataFrame, limit: int | None = vector.DEFAULT_LIMIT, with_vectors: bool = False) -> DataFrame:
+    def build_index(self, name: str, **options) -> dict:
+        """Store a vector index of the collection as it is; what it holds is returned.  Writing to the
+        collection makes it out of date, and searches exact, until it is built again."""
+        version, at = self.log.version(), f"data/{uuid.uuid4().hex}"
+        about = inverted_file.build(self.read(name, version), f"{self.root}/{at}", **options)
+        self.log.commit(lambda tables: ({**tables, f"{self._name(name)}#index": {"index": at, "of": f"version/{version}"}}, None))
+        return about
+
+    def _index(self, name: str) -> str | None:
+        """Where the collection's index is, if it is there and the collection is what it was."""
+        tables = self.log.entry(self.log.version())["tables"]
+        index = tables.get(f"{self._name(name)}#index")
+        if not index:
+            return None
+        then = self.log.entry(int(index["of"].split("/")[1]))["tables"].get(self._name(name))
+        return f"{self.root}/{index['index']}" if then == tables.get(self._name(name)) else None
+
+    def batch_search(self, name: str, queries: DataFrame, limit: int | None = vector.DEFAULT_LIMIT, with_vectors: bool = False, indexed: bool = False) -> DataFrame:
         """(qid, id, score, rank, payload[, vector]) for queries (qid, text) or (qid, vector): the
-        closest rows of each, less those that the backend's `keep` rules out."""
+        closest rows of each, less those that the backend's `keep` rules out; with `indexed` those that an up-to-date index finds."""
         points, q = self._found(name, queries)
-        hits = vector.batch_search(points, q.select("qid", "vector"), vector.effective_limit(limit, self.behaviour["clamp"]))
+        k, path = vector.effective_limit(limit, self.behaviour["clamp"]), self._index(name) if indexed else None
+        asked = q.select("qid", "vector")
+        hits = inverted_file.search(self.spark, path, asked, k) if path and k else vector.batch_search(points, asked, k)
         hits = hits.withColumn("score", PROFILES[self.behaviour["profile"]](F.col("cosine"))).where(self.behaviour.get("keep", "true"))
         self._note("batch", name, None, limit)
         hits = hits.join(points.select("id", "payload", *(["vector"] if with_vectors else [])), "id")

@@ -53,3 +53,23 @@ def test_tiny_indexes(spark, tmp_path, n):
     asked = spark.createDataFrame([("q", [1.0, 0.1])], "qid string, vector array<float>")
     got = inverted_file.search(spark, str(tmp_path / "i"), asked, 2).collect()
     assert about["rows"] == n and len(got) == min(n, 2) and (not got or min(got, key=lambda r: r["rank"])["id"] == "0")
+
+
+def test_a_store_keeps_an_index_until_its_collection_changes(spark, tmp_path):
+    from graphvec.sources.collections import CollectionStore
+
+    v = clustered(300)
+    points = spark.createDataFrame([(str(i), None, [float(x) for x in y], "{}", 0) for i, y in enumerate(v)], "id string, text string, vector array<float>, payload string, seq int")
+    store = CollectionStore(spark, str(tmp_path / "c"), adapter="azureaisearch", buckets=2)
+    store.create_data_points("p", points)
+    asked = points.where("id < '15'").select(F.col("id").alias("qid"), "vector")
+    found = lambda **k: {(r["qid"], r["id"], r["payload"]) for r in store.batch_search("p", asked, 4, **k).collect()}
+    exact = found()
+    assert store._index("p") is None and found(indexed=True) == exact
+    assert store.build_index("p")["rows"] == 300
+    path = store._index("p")
+    assert path and len(found(indexed=True) & exact) >= 0.9 * len(exact)
+    assert store.log.vacuum() == 1 and len(found(indexed=True) & exact) >= 0.9 * len(exact)
+    store.delete_data_points("p", points.where("id = '0'"))
+    assert store._index("p") is None and all(i != "0" for _, i, _ in found(indexed=True))
+    assert store.log.names() == ["p", "p#index"] and store.has_collection("p")
