@@ -7,17 +7,18 @@ several predictors: the tree itself, and counts of (hashed context, node) pairs
 training texts, with one and two words of context for tree bits and one to four bytes for
 spelled ones.  The stretched predictions are mixed by weights; which set of weights is used
 is gated by how often each hashed context was seen.  Start weights are learned online on a
-sixteenth of the training texts, and of the training words, by hash: they are left out of the
-context counts, so that the weights meet contexts as an unknown text does.  These texts are dealt into lanes
+sixteenth of the training texts, and of the training words, by hash: while they are learned, this share is
+not in the context counts, so that the weights meet contexts as an unknown text does; once they are learned, its counts
+are added.  These texts are dealt into lanes
 by their own values, a lane learns from its texts in a fixed order, and lanes are averaged in whole
 numbers, so a score does not depend on how the input is split.  The weights start
 alike for every text and are refined as the text is read, after every CHUNK tokens (every byte of a spelled word), from
 what was read only, so the product of the bit probabilities is the model's probability.
 
-Counting: word counts are summed over the whole training part.  A training text's contexts are in
-the counts that score it, but for the sixteenth that told the start weights; a held-out text's are not.  Context counts live in hashed
+Counting: word and context counts are summed over the whole training part.  A training text's contexts are in
+the counts that score it, a held-out text's are not.  Context counts live in hashed
 tables of a fixed number of slots, so what is broadcast has a bound; tasks send compressed
-blocks of their counts, summed in two rounds in 64 bits.  The spelling counts take each distinct
+blocks of their counts, those of the learning share apart, summed in two rounds in 64 bits.  The spelling counts take each distinct
 training word once, listed or not.  Words outside the vocabulary meet the full word
 counts in a join, and are spelled once for each distinct word met there.
 
@@ -39,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphvec.storage import materialize
+from graphvec.storage import discard, materialize
 
 VOCAB = 1 << 16
 LONGEST = 64  # bytes of a vocabulary word, which bounds what is broadcast
@@ -77,6 +78,16 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(full).cast(pa.binary()), so_far[ends] - so_far[ends - counts]
 
 
+def halves(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(0, the rows that are counted at once) and (1, the rows of the learning share) of `batch`,
+    whose last column tells them apart."""
+    share = pc.fill_null(batch.column(batch.num_columns - 1), False)
+    for k, rows in ((0, pc.invert(share)), (1, share)):
+        part = batch.filter(rows)
+        if part.num_rows:
+            yield k, part
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
@@ -266,15 +277,19 @@ def packed(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return (np.round(stretched * 512).astype(np.int16) << 2) | np.digitize(n0 + n1, (1, 4, 32)).astype(np.int16)
 
 
-def gathered(blocks: DataFrame, tables: int, slots: int) -> np.ndarray:
-    """Packed slots, [tables, slots].  Blocks are summed by groups of tasks and then over
-    groups; a fixed number of slots reaches the driver."""
+def added_up(blocks: DataFrame) -> DataFrame:
+    """One block for each (tab, block): summed by groups of tasks and then over groups."""
     salted = blocks.withColumn("salt", F.spark_partition_id() % 32)
     first = salted.repartition("tab", "block", "salt").sortWithinPartitions("tab", "block", "salt").select("tab", "block", "counts").mapInArrow(_summed, BLOCKS)
-    second = first.repartition("tab", "block").sortWithinPartitions("tab", "block").mapInArrow(_summed, BLOCKS)
+    return first.repartition("tab", "block").sortWithinPartitions("tab", "block").mapInArrow(_summed, BLOCKS)
+
+
+def gathered(blocks: DataFrame, tables: int, slots: int) -> np.ndarray:
+    """Packed slots, [tables, slots], of blocks that stand by (tab, block); a fixed number of
+    slots reaches the driver."""
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _summed(batches):
             for tab, block, raw in zip(*(b.column(i).to_pylist() for i in range(3))):
                 n0, n1 = np.frombuffer(zlib.decompress(raw), np.uint64).reshape(-1, 2).astype(np.float64).T
                 yield pa.RecordBatch.from_arrays(
@@ -282,12 +297,17 @@ def gathered(blocks: DataFrame, tables: int, slots: int) -> np.ndarray:
 
     out = np.zeros((tables, slots), np.int16)
     half = BLOCK // 2
-    for tab, block, raw in second.mapInArrow(learned, BLOCKS).toLocalIterator():
+    for tab, block, raw in blocks.repartition("tab", "block").sortWithinPartitions("tab", "block").mapInArrow(learned, BLOCKS).toLocalIterator():
         part = np.frombuffer(zlib.decompress(raw), np.int16)
         out[tab, block * half : block * half + len(part)] = part
     return out
 
 
+def with_share(blocks: DataFrame, tables: int) -> DataFrame:
+    """The blocks of all training rows, from those without (tab below `tables`) and of the share."""
+    return blocks.withColumn("tab", F.col("tab") % tables)
+
+
 # --- mixing --------------------------------------------------------------------------------
 
 
@@ -535,9 +555,9 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
 
     def tally_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, listed = shared.value
-        tally = Tally(2, word_slots)
+        tally = Tally(4, word_slots)
         for whole in batches:
-            for b in slices(whole, 0):
+            for share, b in ((share, b) for share, rows in halves(whole) for b in slices(rows, 0)):
                 ids, counts, _, _ = numbered(b.column(0), listed)
                 contexts = word_contexts(ids, np.cumsum(counts) - counts)
                 for at in range(0, len(ids), TALLY_PART):
@@ -545,12 +565,12 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
                     part = slice(at, at + TALLY_PART)
                     sizes, bits = code.expand(ids[part])
                     for k in range(2):
-                        tally.add(k, _slot(np.repeat(contexts[k][part], sizes), code.mixed[bits], word_slots), code.bits[bits])
+                        tally.add(2 * share + k, _slot(np.repeat(contexts[k][part], sizes), code.mixed[bits], word_slots), code.bits[bits])
         yield from tally.blocks()
 
     def tally_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally(4, byte_slots)
-        for b in batches:
+        tally = Tally(8, byte_slots)
+        for share, b in (half for whole in batches for half in halves(whole)):
             words = b.column(0).to_pylist()
             at = 0
             while at < len(words):
@@ -561,19 +581,20 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
                     end += 1
                 _, _, mixed, bit, contexts = byte_bits(words[at:end])
                 for k, c in enumerate(contexts):
-                    tally.add(k, _slot(c, mixed, byte_slots), bit)
+                    tally.add(4 * share + k, _slot(c, mixed, byte_slots), bit)
                 at = end
         yield from tally.blocks()
 
     apart = lambda c: F.pmod(F.xxhash64(c), F.lit(LEARN_SHARE)) == 0
     spelled_words = counts.where(F.col("word") != F.lit(END)).select("word")
-    word_tables = sc.broadcast(gathered(train.where(~apart("text")).mapInArrow(tally_words, BLOCKS), 2, word_slots))
-    byte_tables = sc.broadcast(gathered(spelled_words.where(~apart("word")).mapInArrow(tally_bytes, BLOCKS), 4, byte_slots))
+    word_blocks = materialize(added_up(train.select("text", apart("text").alias("share")).mapInArrow(tally_words, BLOCKS)), "word-blocks")
+    byte_blocks = materialize(added_up(spelled_words.select("word", apart("word").alias("share")).mapInArrow(tally_bytes, BLOCKS)), "byte-blocks")
+    word_unlearned, byte_unlearned = (sc.broadcast(gathered(b.where(F.col("tab") < k), k, slots)) for b, k, slots in ((word_blocks, 2, word_slots), (byte_blocks, 4, byte_slots)))
 
     def learn_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, listed = shared.value
         for _, lane in itertools.groupby(runs(batches), lambda x: x[0]):
-            model, seen = WordModel(code, word_tables.value, _word_starts()), np.zeros(16, np.int64)
+            model, seen = WordModel(code, word_unlearned.value, _word_starts()), np.zeros(16, np.int64)
             for _, whole in lane:
                 for b in slices(whole, 1):
                     ids, counts, _, _ = numbered(b.column(1), listed)
@@ -582,7 +603,7 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
 
     def learn_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, lane in itertools.groupby(runs(batches), lambda x: x[0]):
-            model, seen = Speller(byte_tables.value, _byte_starts()), np.zeros(16, np.int64)
+            model, seen = Speller(byte_unlearned.value, _byte_starts()), np.zeros(16, np.int64)
             rest: list[bytes] = []
             for _, b in lane:
                 rest = model.learn(rest + b.column(1).to_pylist(), seen, more=True)
@@ -593,6 +614,11 @@ def score(docs: DataFrame, text_col: str = "text", vocab: int = VOCAB, word_slot
     word_starts = averaged(texts.mapInArrow(learn_words, LEARNED), _word_starts())
     words = in_lanes(spelled_words.where(apart("word")), "word", max(1, v // LEARN_SHARE // LANE_WORDS))
     byte_starts = averaged(words.mapInArrow(learn_bytes, LEARNED), _byte_starts())
+    word_unlearned.destroy()
+    byte_unlearned.destroy()
+    word_tables = sc.broadcast(gathered(with_share(word_blocks, 2), 2, word_slots))
+    byte_tables = sc.broadcast(gathered(with_share(byte_blocks, 4), 4, byte_slots))
+    discard(word_blocks, byte_blocks)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, listed = shared.value
