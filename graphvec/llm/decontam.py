@@ -7,8 +7,10 @@ over the whole item, position by position, and the best-scoring stretch (match +
 -2) is the overlap.  A pair counts as leaked if the stretch has `min_matched` equal words, or
 covers `min_coverage` of the item.  Only DataFrame functions run here.
 
-The benchmark is split into slices of at most MAX_SLICE hashes: each slice is broadcast in
-turn, so what is broadcast has a bound however large the benchmark is.
+A benchmark of more than MAX_SLICE hashes is put in order and cut into slices of so many, wherever
+an item begins or ends: each slice is broadcast in turn, with the items that reach into it, so what is broadcast
+has a bound (hashes: the slice; words: the slice and two items) however large the benchmark and its items are. The
+documents' word hashes are then written once and every slice reads those.
 
 Edge cases: null or word-less texts and items match nothing; items too short for a mask match
 as a whole; items with equal words are reported under their smallest item_id; repeated
@@ -25,7 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphvec.storage import materialize
+from graphvec.operators.ordering import running
+from graphvec.storage import discard, materialize
 
 # 1: the word must be equal; 0: it is ignored.
 MASKS = ("1101100111", "1110010111", "1111011", "111111")
@@ -47,9 +50,9 @@ def _seed(wh: Column, at: Column, number: int, mask: str) -> Column:
 
 
 def _benchmark(items: DataFrame, text_col: str) -> DataFrame:
-    """Distinct word sequences: item_id (smallest), iw, n_items."""
+    """Distinct word sequences: item_id (smallest), iw, n_items and ik, which tells texts of one item_id apart."""
     d = items.select("item_id", token_hashes(F.col(text_col)).alias("iw")).where((F.size("iw") > 0) & F.col("item_id").isNotNull())
-    return d.groupBy("iw").agg(F.min("item_id").alias("item_id"), F.countDistinct("item_id").alias("n_items"))
+    return d.groupBy("iw").agg(F.min("item_id").alias("item_id"), F.countDistinct("item_id").alias("n_items")).withColumn("ik", F.xxhash64("iw"))
 
 
 def _best_stretch(doc: str, item: str, diag: str) -> Column:
@@ -95,19 +98,27 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_t
     span = max(map(len, masks))
     short = [r[0] for r in bench.where(F.size("iw") < min(map(len, masks))).select(F.size("iw")).distinct().collect()]  # fewer than a mask's span
     every = [*masks, *("1" * n for n in sorted(short))]
-    total = bench.agg(F.sum(F.size("iw").cast("bigint") * len(every))).first()[0] or 0
+    cost = F.size("iw").cast("bigint") * len(every)
+    total = bench.agg(F.sum(cost)).first()[0] or 0
     slices = max(1, math.ceil(total / max_slice))
     d = docs.select("doc_id", token_hashes(F.col(text_col)).alias("wh"))
+    if slices > 1:
+        unplaced = bench
+        bench = materialize(running(unplaced.withColumn("cost", cost), [], ["item_id", "ik"], "cost", "benchmark-order").select("item_id", "iw", "n_items", "ik", "cost", "start"), "benchmark")
+        discard(unplaced)
+        d = materialize(d, "word-hashes")
     at = d.select("doc_id", "wh", F.explode(F.sequence(F.lit(0), F.size("wh") - 1)).alias("p"))
     seeds = at.select("doc_id", "wh", "p", F.posexplode(F.array(*[_seed(F.col("wh"), F.col("p"), k, m) for k, m in enumerate(every)])).alias("k", "h")).where(F.col("h").isNotNull())
     parts = []
     for k in range(slices):
-        own = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k) if slices > 1 else bench
-        places = own.select("item_id", "iw", F.explode(F.sequence(F.lit(0), F.size("iw") - 1)).alias("q"))
+        own = bench.where((F.col("start") < (k + 1) * max_slice) & (F.col("start") + F.col("cost") > k * max_slice)) if slices > 1 else bench
+        places = own.select("*", F.explode(F.sequence(F.lit(0), F.size("iw") - 1)).alias("q"))
+        if slices > 1:  # a place belongs to the slice of its first hash
+            places = places.where(F.floor((F.col("start") + F.col("q") * len(every)) / max_slice) == k)
         keys = [F.when(F.lit(len(m) >= span or len(m) in map(len, masks)) | (F.size("iw") == len(m)), _seed(F.col("iw"), F.col("q"), n, m)) for n, m in enumerate(every)]
-        hashes = places.select("item_id", "q", F.posexplode(F.array(*keys)).alias("k", "h")).where(F.col("h").isNotNull())
-        hits = seeds.join(F.broadcast(hashes), ["k", "h"]).select("doc_id", "wh", "k", "p", "item_id", "q")
-        laid = hits.join(F.broadcast(own.select("item_id", "iw", "n_items")), "item_id").where(_leads(every)).withColumn("diag", F.col("p") - F.col("q"))
+        hashes = places.select("item_id", "ik", "q", F.posexplode(F.array(*keys)).alias("k", "h")).where(F.col("h").isNotNull())
+        hits = seeds.join(F.broadcast(hashes), ["k", "h"]).select("doc_id", "wh", "k", "p", "item_id", "ik", "q")
+        laid = hits.join(F.broadcast(own.select("item_id", "ik", "iw", "n_items")), ["item_id", "ik"]).where(_leads(every)).withColumn("diag", F.col("p") - F.col("q"))
         laid = laid.select("doc_id", "item_id", "n_items", "diag", F.size("iw").alias("n"), _best_stretch("wh", "iw", "diag").alias("s"))
         parts.append(laid.select(
             "doc_id", "item_id", "n_items", F.col("s.b_matched").cast("bigint").alias("n_matched"), (F.col("s.b_end") - F.col("s.b_start")).cast("bigint").alias("n_overlap"),

@@ -305,3 +305,19 @@ def test_licenses_against_alignments_without_a_band():
             assert got == want, (name, gap)
             seen += name in got
     assert seen >= 50
+
+
+def test_slices_cut_through_long_items(spark):
+    """An item of more hashes than a slice holds, and an item_id with two texts: the same rows however the benchmark is cut."""
+    from graphvec.llm import decontam
+
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(200)]
+    text = lambda n: [r.choice(words) for _ in range(n)]
+    long, a, b = text(300), text(40), text(40)
+    items = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(a)), (2, " ".join(b)), (3, "w1 w2 w3"), (4, None), (None, "w5 w6 w7 w8 w9 w10 w11"), (5, " ".join(a))], "item_id bigint, text string")
+    rows = [(0, long), (1, text(20) + long[100:160] + text(20)), (2, a), (3, text(9) + b[5:30]), (4, text(60)), (5, ["w1", "w2", "w3"]), (6, []), (7, a[:12] + ["x"] + a[13:30]), (7, b)]
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in rows] + [(8, None)], "doc_id bigint, text string")
+    got = [sorted(tuple(x) for x in decontam.find_leaks(docs, items, max_slice=n).collect()) for n in (1_000_000, 400, 250)]
+    assert got[0] == got[1] == got[2]
+    assert {x[:2] for x in got[0]} == {(0, 1), (1, 1), (2, 2), (3, 2), (5, 3), (7, 2)} and {x[0]: x[2] for x in got[0]}[0] == 300
