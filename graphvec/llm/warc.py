@@ -10,7 +10,8 @@ page_id is a response, the others are revisits that refer to it.
 
 A bundle gets its name when it is complete, and only bundles named in the written index count,
 so a task that runs twice leaves a stray file and no wrong result.  Files go through the
-filesystem of the given URI.
+filesystem of the given URI; names that Spark uses for stores (s3a, s3n, wasb, wasbs, dbfs) are
+put as Arrow has them, and for any other store pass `opened_by`, which gives a filesystem and a path in it for a URI.
 
 Edge cases: a null html is an empty payload; rows with a null page_id are always responses;
 rows that repeat the smallest page_id with the same payload are all responses; a null url is
@@ -23,7 +24,8 @@ import base64
 import hashlib
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 import pyarrow.fs
@@ -42,10 +44,31 @@ DATE = "2024-01-01T00:00:00Z"
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 
+Opener = Callable[[str], tuple[pa.fs.FileSystem, str]]
+
 INDEX = "page_id bigint, record_id string, bundle string, frame int, offset int, length int"
 RECORD = "page_id bigint, record_id string, record_type string, url string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"
 
 
+def arrow_uri(uri: str) -> str:
+    """The URI by which Arrow reaches what Spark names so."""
+    scheme, rest = urlsplit(uri).scheme, uri.partition(":")[2]
+    if scheme in ("s3a", "s3n"):
+        return "s3:" + rest
+    if scheme in ("wasb", "wasbs"):  # container@account.blob..., the same account's other address
+        return "abfss:" + rest.replace(".blob.", ".dfs.", 1)
+    if scheme == "dbfs":
+        return "file:///dbfs/" + rest.lstrip("/")
+    return uri if scheme else "file://" + uri
+
+
+def filesystem_of(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    try:
+        return pa.fs.FileSystem.from_uri(arrow_uri(uri))
+    except (pa.ArrowInvalid, NotImplementedError) as e:
+        raise ValueError(f"no filesystem for {uri}: pass opened_by") from e
+
+
 def record_id(page_id: int | None, digest: str) -> str:
     return f"urn:page:{page_id}" if page_id is not None else f"urn:page:null:{digest}"
 
@@ -60,7 +83,7 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, refers_to
     name = record_id(page_id, digest)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    uri = "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in url or "")
+    uri = "".join(c if c.isprintable() else quote(c, safe="", errors="replace") for c in url or "")
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{name}>", f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response"]
@@ -157,13 +180,14 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     return p.join(first, "sha", "left").select("page_id", "url", "html", F.when(F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to"))
 
 
-def write_bundles(pages: DataFrame, to: str | None = None, min_bytes: int = 0, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
+def write_bundles(pages: DataFrame, to: str | None = None, min_bytes: int = 0, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES,
+                  opened_by: Opener = filesystem_of) -> DataFrame:
     """Write a record for each row of `pages` into bundles under the URI `to` (by default a
     new folder of the shared one) and return the index, itself a written table."""
     to = to or new_path(pages.sparkSession, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pa.fs.FileSystem.from_uri(to)
+        fs, root = opened_by(to)
         fs.create_dir(root, recursive=True)
         writer, name = None, ""
         for b in batches:
@@ -186,8 +210,8 @@ def write_bundles(pages: DataFrame, to: str | None = None, min_bytes: int = 0, f
     return materialize(mark_revisits(pages, min_bytes).mapInArrow(run, INDEX), "warc-index")
 
 
-def _opened(uri: str) -> pa.NativeFile:
-    fs, path = pa.fs.FileSystem.from_uri(uri)
+def _opened(uri: str, opened_by: Opener) -> pa.NativeFile:
+    fs, path = opened_by(uri)
     return fs.open_input_file(path)
 
 
@@ -197,13 +221,13 @@ def _records(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in types.items()], names=list(types))
 
 
-def frames(bundles: DataFrame) -> DataFrame:
+def frames(bundles: DataFrame, opened_by: Opener = filesystem_of) -> DataFrame:
     """(bundle, at, packed, size) of every frame of the given bundles, from their footers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for uri in b.column(0).to_pylist():
-                with _opened(uri) as f:
+                with _opened(uri, opened_by) as f:
                     table = seek_table(f)
                 cols = list(zip(*table)) or [()] * 3
                 yield pa.RecordBatch.from_arrays([pa.array([uri] * len(table), pa.string()), *(pa.array(c, pa.int64()) for c in cols)], names=["bundle", "at", "packed", "size"])
@@ -211,13 +235,13 @@ def frames(bundles: DataFrame) -> DataFrame:
     return bundles.select("bundle").distinct().mapInArrow(run, "bundle string, at bigint, packed bigint, size bigint")
 
 
-def read_bundles(bundles: DataFrame) -> DataFrame:
+def read_bundles(bundles: DataFrame, opened_by: Opener = filesystem_of) -> DataFrame:
     """Every record of the bundles named in column bundle, read frame by frame."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for uri, at, packed, size in zip(*(c.to_pylist() for c in b.columns)):
-                with _opened(uri) as f:
+                with _opened(uri, opened_by) as f:
                     data = _frame(f, at, packed, size)
                 rows, place = [], 0
                 while place < len(data):
@@ -225,13 +249,13 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
                     rows.append(row)
                 yield _records(rows)
 
-    found = materialize(frames(bundles), "frames")
+    found = materialize(frames(bundles, opened_by), "frames")
     # a row is small and what it names is not: a fixed number keeps the tasks from being merged
     tasks = max(1, -(-found.count() // FRAMES_A_TASK))
     return found.repartition(tasks, "bundle", "at").mapInArrow(run, RECORD)
 
 
-def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:
+def fetch(index: DataFrame, wanted: DataFrame, opened_by: Opener = filesystem_of) -> DataFrame:
     """The records of `wanted` (record_id) by random access: only their frames are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +264,7 @@ def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:
             rows = []
             for uri, k, offset in zip(*(c.to_pylist() for c in b.columns)):
                 if held[:2] != (uri, k):
-                    with _opened(uri) as f:
+                    with _opened(uri, opened_by) as f:
                         held = uri, k, _frame(f, *seek_table(f)[k])
                 rows.append(parse_record(held[2], offset)[0])
             yield _records(rows)

@@ -321,3 +321,21 @@ def test_slices_cut_through_long_items(spark):
     got = [sorted(tuple(x) for x in decontam.find_leaks(docs, items, max_slice=n).collect()) for n in (1_000_000, 400, 250)]
     assert got[0] == got[1] == got[2]
     assert {x[:2] for x in got[0]} == {(0, 1), (1, 1), (2, 2), (3, 2), (5, 3), (7, 2)} and {x[0]: x[2] for x in got[0]}[0] == 300
+
+
+def test_warc_reaches_other_stores(spark, tmp_path):
+    import pyarrow.fs as fs
+
+    from graphvec.llm import warc
+
+    assert [warc.arrow_uri(u) for u in ("s3a://b/x", "s3n://b/x", "wasbs://c@acc.blob.core.windows.net/x", "dbfs:/tmp/x", "abfss://c@a/x", "hdfs://n/x", "/tmp/x", "file:///tmp/x")] == [
+        "s3://b/x", "s3://b/x", "abfss://c@acc.dfs.core.windows.net/x", "file:///dbfs/tmp/x", "abfss://c@a/x", "hdfs://n/x", "file:///tmp/x", "file:///tmp/x"]
+    with pytest.raises(ValueError, match="opened_by"):
+        warc.filesystem_of("shop://x/y")
+    folder = str(tmp_path)
+    shop = lambda uri: (fs.LocalFileSystem(), folder + "/" + uri.removeprefix("shop://"))
+    pages = spark.createDataFrame([(1, "http://h/\u2028\x01 é", "a"), (2, None, "a"), (3, "u", None)], "page_id bigint, url string, html string")
+    index = warc.write_bundles(pages, "shop://w", opened_by=shop)
+    got = {x["page_id"]: x for x in warc.read_bundles(index, opened_by=shop).collect()}
+    assert got[1]["url"] == "http://h/%E2%80%A8%01 é" and got[2]["refers_to"] == 1 and got[3]["payload_bytes"] == 0
+    assert [x["page_id"] for x in warc.fetch(index, index.where("page_id = 2"), opened_by=shop).collect()] == [2]
