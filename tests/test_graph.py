@@ -1,8 +1,11 @@
 """Graph operators on hand-made graphs: parallel edges, self-loops, dangling ends, ties."""
 
+import itertools
+import random
 import uuid
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,3 +246,29 @@ def test_path_totals_equal_distances(spark):
     near = metrics.approximate_paths(ids.withColumn("ord", F.lit(0)), df.withColumn("ord", F.lit(0)), 12).first()
     n = metrics.distances(pairs, ids).where("d > 0").count()
     assert near["avg_shortest_path_length"] == pytest.approx(want[1] / n, rel=0.1) and near["reached_pairs"] == pytest.approx(n, rel=0.1)
+
+
+@pytest.mark.parametrize("group_edges", [10, 60, 1_000_000])
+def test_triangles_in_groups_of_parts(spark, group_edges):
+    """The same triangles for any number of parts, for numbers and texts, with more than 2^26 pairs of nodes as well."""
+    r = random.Random(4)
+    links = {tuple(sorted(r.sample(range(40), 2))) for _ in range(200)}
+    want = {}
+    for x, y, z in itertools.combinations(range(40), 3):
+        if {(x, y), (x, z), (y, z)} <= links:
+            for k in (x, y, z):
+                want[k] = want.get(k, 0) + 1
+    df = spark.createDataFrame(sorted(links), "u bigint, v bigint")
+    assert {x["id"]: x["t"] for x in metrics.triangles(df, group_edges).collect()} == want
+    named = df.select(F.format_string("n%02d", "u").alias("u"), F.format_string("n%02d", "v").alias("v"))
+    assert {int(x["id"][1:]): x["t"] for x in metrics.triangles(named, group_edges).collect()} == want
+
+
+def test_triangles_send_no_wedges(spark):
+    """A star of 2,000 rays has two million wedges and one triangle; none of them is a row."""
+    df = spark.range(1, 2001).select(F.lit(0).cast("bigint").alias("u"), F.col("id").alias("v")).unionAll(spark.range(1).select(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")))
+    t = metrics.triangles(df)
+    assert "SortMergeJoin" not in (plan := t._jdf.queryExecution().executedPlan().toString()) and "BroadcastHashJoin" not in plan
+    assert {x["id"]: x["t"] for x in t.collect()} == {0: 1, 1: 1, 2: 1}
+    found = metrics._triangles(np.array([0, 0, 1]), np.array([1, 2, 2]), *[np.zeros(3, int)] * 2, 0, 0, 0, 10_000)
+    assert found[:4].tolist() == [1, 1, 1, 0]
