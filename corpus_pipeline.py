@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages over `documents`, each written and read again.
 
-1 quality rules drop documents, 2 SimHash keeps one document of each near-duplicate group,
+1 quality rules drop documents, 2 SimHash, and an exact check after it, keep one document of each near-duplicate group,
 3 decontamination drops documents that hold a benchmark passage, 4 secrets are masked in the
 texts, 5 the remaining texts are BPE-encoded.
 """
@@ -22,8 +22,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near copies, one row each; rows without a doc_id stay."""
-    return simhash.keep_one(docs)
+    """The smallest doc_id of each group of near copies, which SimHash fingerprints or, after these,
+    an exact check link; one row each; rows without a doc_id stay."""
+    return simhash.keep_one_linked(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -186,12 +186,32 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     return r.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(node, component) of the doc_ids that have near copies: linked by SimHash fingerprints, or by
+    the exact check that follows, which finds what a distance of 4 bits is too narrow for."""
+    near = near_duplicates(docs, text_col, id_col).where("doc_id <> component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    exact = near_copies(docs, text_col, id_col).where("doc_id <> component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    return components(materialize(near, "simhash-links").unionAll(exact))
+
+
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """`docs` with the smallest doc_id of each group of near copies, one row each; null ids all
-    stay.  Of rows that repeat a doc_id the one with the smallest text stays, and of equal texts
-    the one with the smallest other columns, as JSON.  Near copies are texts whose 5-word shingles have a Jaccard similarity of 0.8 or more
-    (near_copies): the distance of near_duplicates is the query's, and too narrow for them."""
+    """`docs` with the smallest doc_id of each group of texts whose 5-word shingles have a Jaccard
+    similarity of 0.8 or more (near_copies)."""
     ids = near_copies(docs, text_col, id_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    return _first_rows(docs, ids, text_col, id_col)
+
+
+def keep_one_linked(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """`docs` with the smallest doc_id of each of near_groups."""
+    later = materialize(near_groups(docs, text_col, id_col).where("node <> component").select(F.col("node").alias(id_col)), "later-copies")
+    ids = docs.where(F.col(id_col).isNotNull()).select(id_col).distinct().join(later, id_col, "left_anti")
+    return _first_rows(docs, ids, text_col, id_col)
+
+
+def _first_rows(docs: DataFrame, ids: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """The rows of `docs` with one of `ids`, one row each; null ids all stay.  Of rows that repeat
+    a doc_id the one with the smallest text stays, and of equal texts the one with the smallest
+    other columns, as JSON."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, id_col)]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias(id_col), F.col(text_col).alias("text"), F.to_json(F.struct(F.lit(0), *rest)).alias("rest"))
     first = F.row_number().over(Window.partitionBy(id_col).orderBy("text", "rest"))

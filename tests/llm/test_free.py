@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from graphvec.llm import bpe, licenses, lm_score, near_copies, simhash, suffix_dedup, token_counts, warc
 
 CLIP = public_tokenizers.path("word_bpe_49k.json")
@@ -237,6 +238,22 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_the_pipeline_drops_what_only_fingerprints_link(spark):
+    """Pairs at 4 or fewer differing bits whose shingle sets are alike to less than four fifths."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for d in range(0, 4000, 2):
+        base = [word() for _ in range(6)] * 8
+        other = base + [word() for _ in range(4)]
+        rows += [(d, " ".join(base)), (d + 1, " ".join(other))]
+    close = [d for d in range(0, 4000, 2) if (slow_fingerprint(rows[d][1]) ^ slow_fingerprint(rows[d + 1][1])).bit_count() <= 4 and len(set(slow_links(rows[d : d + 2]).values())) == 2][:20]
+    assert close
+    some = [x for d in close for x in rows[d : d + 2]]
+    kept = {x["doc_id"] for x in corpus_pipeline.near_duplicate_stage(spark, docs(spark, some), "").collect()}
+    assert kept == set(brute_components({d: slow_fingerprint(t) for d, t in some}).values()) and not kept & {d + 1 for d in close}
+
+
 def slow_links(rows):
     sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for d, t in rows}
     root = {d: d for d in sets}
