@@ -24,6 +24,7 @@ from graphvec.functions.vectors import PROFILES, cosine
 DEFAULT_LIMIT = 15
 MAX_LIMIT = 10_000
 QUERY_BLOCK = 2048
+SCORE_ROWS = 64  # queries whose scores with a batch are held at a time
 JOIN_BLOCK = 20_000  # rows of one side of a similarity join's group
 
 
@@ -89,28 +90,36 @@ def batch_search(collection: DataFrame, queries: DataFrame, limit: int | None =
     return ranked if min_cosine is None else ranked.where(F.col("cosine") > min_cosine)
 
 
-def _block_search(collection: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the best k of each row, and of all that tie with the k-th; not a number counts as none."""
+    np.copyto(score, -np.inf, where=np.isnan(score))
+    if score.shape[1] <= k:
+        return np.nonzero(score > -np.inf)
+    least = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k, None] - 1e-12
+    return np.nonzero((score >= least) & (score > -np.inf))
+
+
+def _block_search(collection: DataFrame, queries: DataFrame, k: int, planes: np.ndarray | None = None) -> DataFrame:
+    """(qid, id, cosine) of each batch's best; with `planes` only of the rows in near buckets."""
     rows = queries.where("vector is not null").select("qid", "vector").toArrow()  # one block of queries
     id_type, qid_type = collection.schema["id"].dataType.simpleString(), queries.schema["qid"].dataType.simpleString()
     schema = f"qid {qid_type}, id {id_type}, cosine double"
     spark = collection.sparkSession
     if not rows.num_rows or not k:
         return spark.createDataFrame([], schema)
-    held = spark.sparkContext.broadcast((rows.column("qid").combine_chunks(), _normalised(np.array(rows.column("vector").to_pylist(), np.float64))))
+    held = spark.sparkContext.broadcast((rows.column("qid").combine_chunks(), _normalised(np.array(rows.column("vector").to_pylist(), np.float64)), planes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, q = held.value
+        names, q, planes = held.value
+        asked = _codes(q, planes) if planes is not None else None
         for b in batches:
-            ids = b.column(0)
-            c = q @ _normalised(_matrix(b.column(1), q.shape[1])).T
-            score = np.where(np.isnan(c), -np.inf, c)
-            for a in range(0, len(score), 256):
-                part = score[a : a + 256]
-                if part.shape[1] > k:  # all that tie with the k-th stay
-                    least = -np.partition(-part, k - 1, axis=1)[:, k - 1 : k] - 1e-12
-                    row, col = np.nonzero((part >= least) & (part > -np.inf))
-                else:
-                    row, col = np.nonzero(part > -np.inf)
+            ids, rows = b.column(0), _normalised(_matrix(b.column(1), q.shape[1])).T
+            codes = _codes(rows.T, planes) if planes is not None else None
+            for a in range(0, len(q), SCORE_ROWS):  # a slice of the scores at a time
+                part = q[a : a + SCORE_ROWS] @ rows
+                if planes is not None:
+                    part[~_near_buckets(asked[:, a : a + SCORE_ROWS], codes, planes.shape[1])] = np.nan
+                row, col = _best(part, k)
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(row + a)), ids.take(pa.array(col)), pa.array(part[row, col])], names=["qid", "id", "cosine"])
 
     return collection.select("id", "vector").mapInArrow(run, schema)
@@ -148,35 +157,34 @@ def similarity_edges(points: DataFrame, threshold: float, block_rows: int | None
     return p.groupBy("i", "j").applyInArrow(pairs, f"u {id_type}, v {id_type}, cosine double")
 
 
-def approximate_search(collection: DataFrame, queries: DataFrame, limit: int = DEFAULT_LIMIT, tables: int = 24, bits: int = 8, seed: int = 42) -> DataFrame:
+def approximate_search(collection: DataFrame, queries: DataFrame, limit: int = DEFAULT_LIMIT, tables: int = 24, bits: int = 8, seed: int = 42, block: int = QUERY_BLOCK) -> DataFrame:
     """(qid, id, cosine, rank) from rows that share a random-hyperplane bucket with the query
-    in one of `tables` tables or sit one bit away; scores are exact."""
+    in one of `tables` tables or sit one bit away; scores are exact.  Queries go in blocks, as in
+    batch_search: a batch of rows meets their buckets where it is, so no pair of a query and a row is shuffled but a batch's best."""
     first = collection.where("vector is not null").select("vector").first()
     dim = len(first["vector"]) if first else 1  # an empty collection gives no rows
     planes = np.random.default_rng(seed).normal(size=(tables, bits, dim))
-    held = collection.sparkSession.sparkContext.broadcast(planes)
-
-    def signed(df: DataFrame, key: str, probe: bool) -> DataFrame:
-        kind = df.schema[key].dataType.simpleString()
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            p = held.value
-            for b in batches:
-                v = _matrix(b.column(1), p.shape[2])
-                sign = np.einsum("nd,tbd->ntb", v, p) > 0
-                code = sign @ (1 << np.arange(p.shape[1]))  # [n, tables]
-                codes = [code, *(code ^ (1 << i) for i in range(p.shape[1]))] if probe else [code]
-                for c in codes:
-                    bucket = c + (np.arange(c.shape[1]) << 32)
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.repeat(np.arange(len(c)), c.shape[1]))), pa.array(bucket.ravel())], names=[key, "bucket"])
-
-        return df.select(key, "vector").mapInArrow(run, f"{key} {kind}, bucket bigint")
-
-    near = signed(queries, "qid", True).join(signed(collection, "id", False), "bucket").select("qid", "id").distinct()
-    q, c = queries.select("qid", F.col("vector").alias("qv")), collection.select("id", "vector")
-    scored = near.join(q, "qid").join(c, "id").select("qid", "id", cosine(F.col("qv"), F.col("vector")).alias("cosine"))
+    blocks = max(1, math.ceil(queries.count() / block))
+    found = [_block_search(collection, queries.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i), limit, planes) for i in range(blocks)]
     w = Window.partitionBy("qid").orderBy(F.desc(F.round("cosine", 12)), "id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    return reduce(DataFrame.unionAll, found).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+
+
+def _codes(v: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    """[tables, n]: the bucket of each row in each table; a zero vector has those of no positive side."""
+    sign = np.nan_to_num(v) @ planes.reshape(-1, planes.shape[2]).T > 0
+    return np.ascontiguousarray((sign.reshape(len(v), *planes.shape[:2]) @ (1 << np.arange(planes.shape[1]))).T)
+
+
+def _near_buckets(asked: np.ndarray, codes: np.ndarray, bits: int) -> np.ndarray:
+    """[queries, rows]: whether a row is in a query's bucket, or one bit away, in some table."""
+    met = np.zeros((asked.shape[1], codes.shape[1]), bool)
+    near = np.array([0, *(1 << i for i in range(bits))])
+    for q, c in zip(asked, codes):
+        known, place = np.unique(c, return_inverse=True)
+        wanted = np.isin(q[:, None] ^ known[None, :], near)  # buckets that have rows, not rows
+        met |= wanted[:, place]
+    return met
 
 
 def hash_embedding(text: Column, dim: int = 64) -> Column:

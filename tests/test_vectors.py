@@ -136,3 +136,24 @@ def test_approximate_search_of_an_empty_collection(spark):
     none = spark.createDataFrame([], "id bigint, vector array<float>")
     asked = spark.createDataFrame([(1, [1.0, 2.0])], "qid bigint, vector array<float>")
     assert vector.approximate_search(none, asked.limit(0)).count() == 0
+
+
+def test_approximate_search_shuffles_no_pairs(spark):
+    """Rows of near buckets in some table, as counted by hand, and no join of queries with rows."""
+    r = np.random.default_rng(3)
+    v, q = r.normal(size=(60, 6)), r.normal(size=(5, 6))
+    schema = lambda key: f"{key} bigint, vector array<double>"
+    rows, asked = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], schema("id")), spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(q)], schema("qid"))
+    found = vector.approximate_search(rows, asked, 60, tables=2, bits=5, block=2)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    planes = np.random.default_rng(42).normal(size=(2, 5, 6))
+    sides = lambda x: np.einsum("nd,tbd->ntb", x, planes) > 0
+    near = ((sides(q)[:, None] != sides(v)[None]).sum(axis=3) <= 1).any(axis=2)
+    assert {(x["qid"], x["id"]) for x in found.collect()} == set(zip(*map(np.ndarray.tolist, np.nonzero(near))))
+
+
+def test_search_holds_a_slice_of_the_scores():
+    """The best and their ties from a slice of queries; rows without a cosine are none."""
+    score = np.array([[0.1, 0.5, 0.5, np.nan], [np.nan, np.nan, np.nan, 0.2]])
+    row, col = vector._best(score, 1)
+    assert list(zip(row.tolist(), col.tolist())) == [(0, 1), (0, 2), (1, 3)] and vector.SCORE_ROWS * 10_000 * 8 < 1 << 23
