@@ -19,12 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphvec.operators.skew import split_join
+from graphvec.operators.skew import MOST, split_join
 from graphvec.operators.vector import hash_embedding
 from graphvec.schema import EDGES, NODES
 from graphvec.storage import materialize
 
 SIZE, OVERLAP = 120, 20
+FEW = 500_000  # entities that are broadcast
 MIN_COUNT, MIN_LLR = 5, 10.83  # one in a thousand pairs of independent words reaches this ratio
 SENTENCE = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,18 +51,45 @@ def units(docs: DataFrame, size: int = SIZE, text_col: str = "text", id_col: str
 
 
 def chunks(cut: DataFrame, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
-    """(doc_id, c, start, text) of `units`; start is where the chunk's own first unit stands."""
+    """(doc_id, c, start, text) of `units`; start is where the chunk's own first unit stands; with a
+    column best, the u of a unit, also summary: that unit's text in the chunk that it opens in.  Units that
+    are not written and read stay dealt by document, and are not shuffled again."""
     last = F.max("c").over(Window.partitionBy("doc_id"))  # one document
     again = (F.col("words_before") >= (F.col("c") + 1) * size - overlap) & (F.col("c") < F.col("last"))
-    rows = cut.withColumn("last", last).select("doc_id", "u", "unit", F.col("c").alias("own"), "start", F.explode(F.when(again, F.array("c", F.col("c") + 1)).otherwise(F.array("c"))).alias("c"))
+    with_best = ["best"] if "best" in cut.columns else []
+    rows = cut.withColumn("last", last).select("doc_id", "u", "unit", F.col("c").alias("own"), "start", F.explode(F.when(again, F.array("c", F.col("c") + 1)).otherwise(F.array("c"))).alias("c"), *with_best)
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("u", "unit"))), lambda x: x["unit"]), "")  # of 2 * size words at most
-    return rows.groupBy("doc_id", "c").agg(F.min(F.when(F.col("own") == F.col("c"), F.col("start"))).alias("start"), text.alias("text"))
+    summary = [F.max(F.when((F.col("u") == F.col("best")) & (F.col("own") == F.col("c")), F.col("unit"))).alias("summary")] if with_best else []
+    return rows.groupBy("doc_id", "c").agg(F.min(F.when(F.col("own") == F.col("c"), F.col("start"))).alias("start"), text.alias("text"), *summary)
 
 
 def word_pairs(cut: DataFrame) -> DataFrame:
     """(doc_id, c, u, a, b) for every two neighbouring terms of a unit."""
+    return _pairs(cut, lambda pairs: pairs)
+
+
+def distinct_pairs(cut: DataFrame) -> DataFrame:
+    """`word_pairs`, each once in a unit, which is one row."""
+    return _pairs(cut, F.array_distinct)
+
+
+def _pairs(cut: DataFrame, of_unit) -> DataFrame:
     t = cut.select("doc_id", "c", "u", F.regexp_extract_all(F.lower("unit"), F.lit(TERM), F.lit(0)).alias("t"))
-    return t.select("doc_id", "c", "u", F.inline(F.arrays_zip(F.slice("t", F.lit(1), F.greatest(F.size("t") - 1, F.lit(0))).alias("a"), F.slice("t", F.lit(2), F.greatest(F.size("t") - 1, F.lit(0))).alias("b"))))
+    n = F.greatest(F.size("t") - 1, F.lit(0))
+    return t.select("doc_id", "c", "u", F.inline(of_unit(F.arrays_zip(F.slice("t", F.lit(1), n).alias("a"), F.slice("t", F.lit(2), n).alias("b")))))
+
+
+def mentions(cut: DataFrame, found: DataFrame, few: int = FEW) -> DataFrame:
+    """(doc_id, c, u, a, b): the pairs of each unit that are among the entities `found` (a, b, n).  Up
+    to `few` entities meet the pairs where these are; of more, each row goes to its entity, but for entities
+    with over one in skew.MOST of all mentions, which `n` tells without counting the pairs again."""
+    pairs, named = distinct_pairs(cut), found.select("a", "b")
+    if found.limit(few + 1).count() <= few:
+        return pairs.join(F.broadcast(named), ["a", "b"]).select("doc_id", "c", "u", "a", "b")
+    heavy = found.where(F.col("n") * MOST > F.lit(found.agg(F.sum("n")).first()[0])).select("a", "b")  # fewer than MOST rows
+    light = named.join(F.broadcast(heavy), ["a", "b"], "left_anti")
+    met = pairs.join(F.broadcast(heavy), ["a", "b"]).unionByName(pairs.join(F.broadcast(heavy), ["a", "b"], "left_anti").join(light.hint("merge"), ["a", "b"]))
+    return met.select("doc_id", "c", "u", "a", "b")
 
 
 def log_likelihood(both, a, b, total):
@@ -74,7 +102,7 @@ def log_likelihood(both, a, b, total):
 def collocations(pairs: DataFrame, min_count: int = MIN_COUNT, min_llr: float = MIN_LLR) -> DataFrame:
     """(a, b, n, llr) of the pairs that stand together at least `min_count` times and by more than
     chance."""
-    counts = materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "pair-counts")
+    counts = materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "pair-counts", "zstd")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     first, second = (counts.groupBy(w).agg(F.sum("n").alias(f"n_{w}")) for w in "ab")
     often = materialize(counts.where(F.col("n") >= min_count), "frequent-pairs")
@@ -88,14 +116,14 @@ def ingest_graph(docs: DataFrame, embed=hash_embedding, size: int = SIZE, overla
     """(nodes, edges, points) of `docs`: documents, chunks, summaries, entities and their types;
     points (collection, id, text, vector, payload) belong to DocumentChunk_text, TextSummary_text
     and Entity_name."""
-    cut = materialize(units(docs, size, text_col, id_col), "units")
+    cut = materialize(units(docs, size, text_col, id_col), "units", "zstd")
     found = materialize(collocations(word_pairs(cut), min_count, min_llr), "entities")
-    pairs = materialize(word_pairs(cut).groupBy("doc_id", "c", "u", "a", "b").agg(F.lit(1).alias("one")), "unit-pairs")
-    named = materialize(split_join(pairs.drop("one"), found.select("a", "b"), ["a", "b"]), "mentions")
-    parts = materialize(chunks(cut, size, overlap), "chunks")
+    named = materialize(mentions(cut, found), "mentions")
     scores = named.groupBy("doc_id", "u").agg(F.count("*").alias("score"))  # a unit's pairs are distinct
-    best = cut.join(scores, ["doc_id", "u"], "left").groupBy("doc_id").agg(F.max_by(F.struct("c", "unit"), F.struct(F.coalesce("score", F.lit(0)), -F.col("u"))).alias("best"))
-    summaries = materialize(best.select("doc_id", "best.c", F.col("best.unit").alias("text")), "summaries")
+    best = scores.groupBy("doc_id").agg(F.max_by("u", F.struct("score", -F.col("u"))).alias("best"))  # without a mention: the first unit
+    straight = units(docs, size, text_col, id_col).join(best.hint("merge"), "doc_id", "left")  # dealt by document
+    parts = materialize(chunks(straight.withColumn("best", F.coalesce("best", F.lit(0))), size, overlap), "chunks", "zstd")
+    summaries = parts.where("summary is not null").select("doc_id", "c", F.col("summary").alias("text"))
 
     text = lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in p])
     doc_id, c, name = F.col("doc_id"), F.col("c"), F.concat_ws(" ", "a", "b")

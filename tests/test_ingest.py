@@ -104,3 +104,15 @@ def test_earlier_carries_values_and_sums_over_ranges(spark, keys):
         last[k] = v if v is not None else last.get(k)
         total[k] += w
     assert got == want
+
+
+def test_mentions_by_broadcast_and_by_shuffle(spark):
+    """The same mentions, once a unit, whether entities are few or many, with a heavy one among them."""
+    rows = [(k, "red apple red apple. " + ("green pear." if k % 3 else "blue plum.")) for k in range(12)]
+    cut = ingest.units(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found = spark.createDataFrame([("red", "apple", 240_000), ("green", "pear", 5)], "a string, b string, n bigint")
+    want = sorted((k, 0, "red", "apple") for k in range(12)) + [(k, 1, "green", "pear") for k in range(12) if k % 3]
+    for few in (10, 1):
+        made = ingest.mentions(cut, found, few)
+        assert sorted((x["doc_id"], x["u"], x["a"], x["b"]) for x in made.collect()) == sorted(want)
+    assert "Exchange" not in ingest.distinct_pairs(spark.createDataFrame([(1, 0, 0, "a b")], "doc_id int, c int, u int, unit string"))._jdf.queryExecution().executedPlan().toString()
