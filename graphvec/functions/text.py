@@ -34,15 +34,15 @@ def parse_time(c: Column) -> Column:
     return F.coalesce(millis, *iso)
 
 
-# one token of a literal: a quoted text, a word, white space, or any other character
-_TOKEN = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[A-Za-z0-9_.+-]+|\s+|."""
+# one token of a literal: a quoted text, a word, white space, a closing bracket with a comma before it, or any other character
+_TOKEN = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[A-Za-z0-9_.+-]+|\s+|,\s*[\])}]|."""
 # one part of a quoted text: an escape, or what needs none
 _PART = r"""\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|(?s:\\.)|[^\\"]+|\""""
 
 
 def literal_json(c: Column) -> Column:
     """A Python literal of dicts, lists, tuples, texts, numbers, True, False and None as JSON text.  Its
-    tokens are taken left to right, so brackets, quotes and names within quotes stay as they are."""
+    tokens are taken left to right, each once, so brackets, quotes and names within quotes stay as they are."""
     def part(p: Column) -> Column:
         control = F.when(p == r"\a", r"\u0007").when(p == r"\v", r"\u000b").when(p == r"\0", r"\u0000")
         same = p.isin(r"\\", r"\"", r"\n", r"\t", r"\r", r"\b", r"\f") | p.rlike(r"^\\u....$")
@@ -52,13 +52,12 @@ def literal_json(c: Column) -> Column:
 
     def token(t: Column) -> Column:
         inner = F.regexp_extract_all(F.substring(t, F.lit(2), F.length(t) - 2), F.lit(_PART), F.lit(0))
-        text = F.concat(F.lit('"'), F.array_join(F.transform(inner, part), ""), F.lit('"'))
-        word = F.when(t == "None", "null").when(t == "True", "true").when(t == "False", "false").when(t == "(", "[").when(t == ")", "]").otherwise(t)
+        plain = F.when(~t.rlike(r'[\\"]'), F.substring(t, F.lit(2), F.length(t) - 2))  # quoted by ', without escapes
+        text = F.concat(F.lit('"'), F.coalesce(plain, F.array_join(F.transform(inner, part), "")), F.lit('"'))
+        word = F.when(t == "None", "null").when(t == "True", "true").when(t == "False", "false").when(t == "(", "[").when(t.rlike(r"(?s)^(,.*)?\)$"), "]").when(t.rlike("(?s)^,."), F.substring(t, -1, 1)).otherwise(t)
         return F.when(t.rlike("^['\"]."), text).when(t.rlike(r"^\s"), "").otherwise(word)
 
-    parts = F.filter(F.transform(F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0)), token), lambda t: t != "")
-    last = lambda t, i: (t == ",") & F.get(parts, i + 1).isin("]", "}")
-    return F.array_join(F.filter(parts, lambda t, i: ~F.coalesce(last(t, i), F.lit(False))), "")
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0)), token), "")
 
 
 def payload(c: Column) -> Column:

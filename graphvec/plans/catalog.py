@@ -122,7 +122,7 @@ def payload_literals(spark, d):
     """Payloads that were stored as Python literals, with quotes and brackets within texts."""
     k = F.variant_get(text_functions.payload(F.col("props")), "$.k", "string")
     text = F.concat(F.lit("{'k': "), k, F.lit(", 'type': '"), "event_type", F.lit("', \"it's\": (True, None, "), F.col("user_id").cast("string"), F.lit(",), 'note': 'say \"(None, True)\"',}"))
-    rows = table(spark, d, "events").select("event_id", text_functions.payload(text).alias("p"))
+    rows = table(spark, d, "events").select("event_id", text.alias("text")).select("event_id", text_functions.payload(F.col("text")).alias("p"))
     get = lambda path, kind, name: F.variant_get("p", path, kind).alias(name)
     return rows.select("event_id", get("$.k", "bigint", "k"), get("$.type", "string", "type"), get("$[\"it's\"][2]", "bigint", "third"), get("$.note", "string", "note"))
 

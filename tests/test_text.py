@@ -1,11 +1,12 @@
 """Text operators against expected results."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from graphvec.functions.text import canonical_id, collection_name, parse_time, payload, payload_with_id, prefixed_name, unescape
+from graphvec.functions.text import canonical_id, collection_name, literal_json, parse_time, payload, payload_with_id, prefixed_name, unescape
 from graphvec.operators import crawl, web_text
 from graphvec.operators.ordering import running
 from graphvec.sources.corpus import fetch_pages, read_corpora, write_corpus
@@ -184,3 +185,13 @@ def test_fetch_rounds(spark):
     assert tries.value == 2 + 1 + 9 + 1 + 3 + 3
     thrown = fetch_rounds(df.where("url = 'not a url'"), fetch, 1).first()
     assert thrown["action"] == "fail" and thrown["error"].startswith("IndexError")
+
+
+def test_literals_are_read_in_one_pass(spark):
+    """Commas before a closing bracket go with it, whatever stands between, and the time grows with the text."""
+    cases = {"{'a': (1, 2,), 'b': [3, \n], }": {"a": [1, 2], "b": [3]}, "((1,),\n)": [[1]], "{'c': ',]', 'd': 'x, }',}": {"c": ",]", "d": "x, }"}, "[',', (),]": [",", []]}
+    many = "[" + "'it', " * 20_000 + "]"
+    rows = spark.createDataFrame([(x,) for x in [*cases, many]], "x string").select("x", literal_json(F.col("x")).alias("j"))
+    t = time.time()
+    got = {r["x"]: json.loads(r["j"]) for r in rows.collect()}
+    assert got == cases | {many: ["it"] * 20_000} and time.time() - t < 30
