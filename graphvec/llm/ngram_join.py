@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +46,10 @@ PERCENT = 85
 SLICE_ROWS = 256
 FINE = 256  # groups of a segment
 COARSE = 64  # groups of a point in a tree
+FINEST = 4096  # groups, at most, by which a tree's pairs are looked at again before they are sent
 LEAF = 16  # points of a box, and boxes of a box above
 TILE_ROWS = 2048
+CROWD = 64  # rows; larger nodes do not send a pair that an earlier one sends
 #: counts of a segment are told apart by their sum with these weights, modulo 2^64
 WEIGHTS = np.random.default_rng(42).integers(0, 1 << 63, FINE, np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -185,6 +188,21 @@ def tree_pairs(points: np.ndarray, n: np.ndarray, chunk: int = 1 << 12) -> Itera
         todo.append((level - 1, a[live], b[live]))
 
 
+def _same_groups(points: list[np.ndarray]) -> np.ndarray:
+    """[rows, groups]: points folded to the groups that all of them have, FINEST at most."""
+    groups = min(FINEST, *map(len, points))
+    return np.stack([folded(p, groups).astype(np.int32) for p in points])
+
+
+def near_pairs(fine: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (i, j) that the finer counts let link as well.  Texts that share half of their shingles
+    pass the tree's few groups, and there is a pair for every two of a crowd; so they are dropped where they meet."""
+    step = max(1, (1 << 20) // fine.shape[1])
+    keep = [linked(np.minimum(fine[i[at : at + step]], fine[j[at : at + step]]).sum(axis=1), n[i[at : at + step]], n[j[at : at + step]]) for at in range(0, len(i), step)]
+    keep = np.concatenate([np.zeros(0, bool), *keep])
+    return i[keep], j[keep]
+
+
 # --- Spark ---------------------------------------------------------------------------------
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,16 +268,24 @@ def _with_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tree_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and tiles (key, tiles, row, n, label, asks, point) -> pairs to verify."""
+    """Rows sorted by key and tiles (key, tiles, own, row, n, label, asks, asked, shared, point) -> pairs to verify.
+    Two rows may meet in many crowded nodes and tiles; the first of these sends the pair."""
     held: list[pa.RecordBatch] = []
 
     def solve(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows)
-        row, n, label, asks = (t.column(c).to_numpy() for c in ("row", "n", "label", "asks"))
-        points = np.stack([folded(unpacked(p, k), COARSE) for p, k in zip(t.column("point").to_pylist(), n.tolist())])
-        for i, j in tree_pairs(points, n):
-            good = (label[i] != label[j]) & (asks[i] | asks[j])
-            i, j = i[good], j[good]
+        row, n, label, asks, own = (t.column(c).to_numpy() for c in ("row", "n", "label", "asks", "own"))
+        crowd = pc.max(pc.list_value_length(t.column("shared"))).as_py()
+        low, high = divmod(t.column("tiles")[0].as_py(), 1 << 31)
+        fine = _same_groups([unpacked(p, k) for p, k in zip(t.column("point").to_pylist(), n.tolist())])
+        for i, j in tree_pairs(fine.reshape(len(n), -1, COARSE).sum(axis=1, dtype=np.int64), n):
+            good = (label[i] != label[j]) & (asks[i] | asks[j]) & ((own[i] != own[j]) | (low == high))
+            i, j = near_pairs(fine, n, i[good], j[good])
+            if len(i) and crowd:
+                some, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+                asked, shared = ([frozenset(x) for x in t.column(c).take(pa.array(some)).to_pylist()] for c in ("asked", "shared"))
+                first = np.array([asked[x].isdisjoint(shared[y]) and shared[x].isdisjoint(asked[y]) for x, y in at.reshape(2, -1).T.tolist()], bool)
+                i, j = i[first], j[first]
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(row[i], row[j])), pa.array(np.maximum(row[i], row[j]))], names=["u", "v"])
 
@@ -318,12 +344,21 @@ def _labelled(shared: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def _tiles(rows: DataFrame, unique: DataFrame, tile_rows: int) -> DataFrame:
-    """Rows of nodes, with points; a node of over `tile_rows` is cut, and each pair of tiles is a group."""
-    d = rows.withColumn("t", F.when(F.col("rows") > tile_rows, F.ceil(F.col("rows") / (tile_rows / 2))).otherwise(1).cast("int"))
-    d = d.withColumn("a", F.pmod(F.xxhash64("row"), F.col("t")).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
-    tiles = F.least("a", "b").cast("bigint") * F.lit(1 << 31) + F.greatest("a", "b")
-    d = d.select("key", tiles.alias("tiles"), "row", "n", "label", "asks").join(unique.select("row", "point"), "row")
-    return d.select("key", "tiles", "row", "n", "label", "asks", "point").repartition("key", "tiles").sortWithinPartitions("key", "tiles")
+    """Rows of nodes, with points; a node of over `tile_rows` is cut, and each pair of tiles is a group.  Half
+    of a key names a node here; nodes that share a half are one.  In nodes of over CROWD rows, `shared` are such nodes of a row
+    before this one, and `asked` those in which it asks; smaller ones send few pairs for a row."""
+    d = rows.groupBy(F.shiftright("key", 32).cast("int").alias("key"), "row").agg(F.min("n").alias("n"), F.min("label").alias("label"), F.max("asks").alias("asks"))
+    d = materialize(d, "half-keys")
+    d = d.join(d.groupBy("key").agg(F.count("*").alias("rows")), "key")
+    large = F.col("rows") > CROWD
+    of_row = d.where(large).groupBy("row").agg(F.collect_list("key").alias("shared"), F.collect_list(F.when(F.col("asks"), F.col("key"))).alias("asked"))  # of one text
+    d = d.withColumn("t", F.when(F.col("rows") > tile_rows, F.ceil(F.col("rows") / (tile_rows / 2))).otherwise(1).cast("int"))
+    d = d.withColumn("own", F.pmod(F.xxhash64("row"), F.col("t")).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
+    tiles = F.least("own", "b").cast("bigint") * F.lit(1 << 31) + F.greatest("own", "b")
+    d = d.select("key", tiles.alias("tiles"), "own", "row", "n", "label", "asks", "rows").join(of_row, "row", "left").join(unique.select("row", "point"), "row")
+    none = F.array().cast("array<int>")
+    before = [F.when(large, F.filter(c, lambda k: k < F.col("key"))).otherwise(none).alias(c) for c in ("asked", "shared")]
+    return d.select("key", "tiles", "own", "row", "n", "label", "asks", *before, "point").repartition("key", "tiles").sortWithinPartitions("key", "tiles")
 
 
 def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", tile_rows: int = TILE_ROWS) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from graphvec.llm import filter_audit, fim, ngram_join
@@ -191,6 +192,22 @@ def test_tree_join_loses_no_pair_and_drops_most():
         assert len(want) < 3 * rows + 20
 
 
+def test_tree_join_sends_few_pairs_of_a_crowd_that_shares_passages():
+    r = np.random.default_rng(8)
+    new = lambda k: r.integers(0, 1 << 63, k, np.uint64)
+    shared = new(900)
+    sets = [np.unique(np.concatenate([shared, new(300)])) for _ in range(100)]
+    sets += [np.unique(np.concatenate([s[5:], new(4)])) for s in sets]
+    columns = {"key": [1] * 200, "tiles": [0] * 200, "own": [0] * 200, "asked": [[]] * 200, "shared": [[]] * 200, "row": list(range(200)), "n": list(map(len, sets)), "label": list(range(200)), "asks": [True] * 200, "point": list(map(ngram_join.packed, sets))}
+    got = [p for b in ngram_join._tree_join(iter([pa.RecordBatch.from_pydict(columns)])) for p in zip(*(c.to_pylist() for c in b.columns))]
+    assert len(got) == len(set(got)) and set(got) >= {(i, i + 100) for i in range(100)}
+    assert len(got) < 200  # of 19,900
+    # pairs that met in an earlier node, in which one of them asked, are not sent again
+    columns |= {"shared": [[0]] * 200, "asked": [[0]] * 50 + [[]] * 150}
+    again = [p for b in ngram_join._tree_join(iter([pa.RecordBatch.from_pydict(columns)])) for p in zip(*(c.to_pylist() for c in b.columns))]
+    assert set(again) == {(u, v) for u, v in got if u >= 50 and v >= 50}
+
+
 def test_points_bound_the_overlap():
     r = np.random.default_rng(7)
     for n in (1, 5, 80, 900, 70_000):
