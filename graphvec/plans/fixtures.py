@@ -203,7 +203,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 def letter_vector(text):
     """Counts of letters of a column, or of the column of that name."""
     t = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
-    return F.array(*[(F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))).cast("double") for c in LETTERS])
+    return F.array(*[(F.octet_length(t) - F.octet_length(F.replace(t, F.lit(c), F.lit("")))).cast("double") for c in LETTERS])  # a letter is one byte
 
 
 LETTER_SQL = "[" + ", ".join(f"(length(lower(text)) - length(replace(lower(text), '{c}', '')))::DOUBLE" for c in LETTERS) + "]"
