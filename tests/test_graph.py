@@ -248,6 +248,27 @@ def test_path_totals_equal_distances(spark):
     assert near["avg_shortest_path_length"] == pytest.approx(want[1] / n, rel=0.1) and near["reached_pairs"] == pytest.approx(n, rel=0.1)
 
 
+@pytest.mark.parametrize("part, block, depth", [(16, 64, None), (40, 128, 2), (65_536, 64, None)])
+def test_path_totals_in_parts_and_blocks(spark, part, block, depth):
+    """The same distances however nodes and sources are dealt, links one way, and some nodes that are no source."""
+    r = random.Random(8)
+    links = {(r.randrange(150), r.randrange(150)) for _ in range(500)} | {(i, i + 1) for i in range(150, 154)}
+    ahead = {u: {v for x, v in links if x == u} for u in range(156)}
+    met = []
+    for start in range(0, 156, 2):
+        seen = near = {start}
+        d = 0
+        while near and (depth is None or d < depth):
+            d += 1
+            near = set().union(*(ahead[u] for u in near)) - seen
+            seen = seen | near
+            met += [d] * len(near)
+    df = spark.createDataFrame([(u, v) for u, v in sorted(links) if u != v], "u bigint, v bigint")
+    ids = spark.createDataFrame([(i,) for i in range(0, 156, 2)], "id bigint")
+    assert metrics.path_totals(df, ids, depth, part, block) == (max(met), sum(met))
+    assert metrics.path_totals(df, ids.where("id < 0")) == (0, 0)
+
+
 @pytest.mark.parametrize("group_edges", [10, 60, 1_000_000])
 def test_triangles_in_groups_of_parts(spark, group_edges):
     """The same triangles for any number of parts, for numbers and texts, with more than 2^26 pairs of nodes as well."""
