@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphvec.operators import bloom
 from graphvec.operators.skew import MOST, split_join
 from graphvec.operators.vector import hash_embedding
 from graphvec.schema import EDGES, NODES
@@ -79,17 +80,49 @@ def _pairs(cut: DataFrame, of_unit) -> DataFrame:
     return t.select("doc_id", "c", "u", F.inline(of_unit(F.arrays_zip(F.slice("t", F.lit(1), n).alias("a"), F.slice("t", F.lit(2), n).alias("b")))))
 
 
+def chunk_pairs(own: DataFrame) -> DataFrame:
+    """(doc_id, c, u, a, b, again) of (doc_id, c, units), a row for each chunk with its own units (u, unit): `distinct_pairs`,
+    and whether an earlier unit of the chunk has the pair too.  Chunks are sorted where they are; nothing is shuffled."""
+    t = own.select("doc_id", "c", F.transform("units", lambda x: F.struct(x["u"].alias("u"), F.regexp_extract_all(F.lower(x["unit"]), F.lit(TERM), F.lit(0)).alias("t"))).alias("t"))
+
+    def of_unit(x):
+        n = F.greatest(F.size(x["t"]) - 1, F.lit(0))
+        return F.transform(F.arrays_zip(F.slice(x["t"], F.lit(1), n).alias("a"), F.slice(x["t"], F.lit(2), n).alias("b")), lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), x["u"].alias("u")))
+
+    def against_last(x, i):
+        last = F.get("p", i - 1)
+        again = F.coalesce((last["a"] == x["a"]) & (last["b"] == x["b"]), F.lit(False))
+        return F.struct(x["u"].alias("u"), x["a"].alias("a"), x["b"].alias("b"), again.alias("again"), (again & (last["u"] == x["u"])).alias("twice"))
+
+    ranked = t.select("doc_id", "c", F.sort_array(F.flatten(F.transform("t", of_unit))).alias("p"))
+    return ranked.select("doc_id", "c", F.inline(F.transform("p", against_last))).where("twice is null or not twice").drop("twice")
+
+
 def mentions(cut: DataFrame, found: DataFrame, few: int = FEW) -> DataFrame:
-    """(doc_id, c, u, a, b): the pairs of each unit that are among the entities `found` (a, b, n).  Up
-    to `few` entities meet the pairs where these are; of more, each row goes to its entity, but for entities
-    with over one in skew.MOST of all mentions, which `n` tells without counting the pairs again."""
-    pairs, named = distinct_pairs(cut), found.select("a", "b")
-    if found.limit(few + 1).count() <= few:
-        return pairs.join(F.broadcast(named), ["a", "b"]).select("doc_id", "c", "u", "a", "b")
+    """(doc_id, c, u, a, b): the pairs of each unit that are among the entities `found` (a, b, n)."""
+    return among(distinct_pairs(cut), found, few)
+
+
+def among(pairs: DataFrame, found: DataFrame, few: int = FEW, counts: DataFrame | None = None) -> DataFrame:
+    """The rows of `pairs` (a, b, ...) that are among `found` (a, b, n); `counts` (a, b) has every pair
+    once, where these are known.
+
+    Up to `few` entities meet the pairs where these are.  Of more, their Bloom filter does, and then the pairs that
+    pass it by mistake, which `counts` tells: few of them, so no pair travels.  Only if there are over `few` mistakes,
+    each row that passes goes to its entity, but for entities with over one in skew.MOST of all mentions, which `n` tells."""
+    named = found.select("a", "b")
+    if (n := found.count()) <= few:
+        return pairs.join(F.broadcast(named), ["a", "b"]).select(*pairs.columns)
+    passes = bloom.member(found.select(F.xxhash64("a", "b").alias("h")), n)
+    met = pairs.where(passes(F.xxhash64("a", "b")))
+    known = pairs.select("a", "b").distinct() if counts is None else counts.select("a", "b")
+    wrong = materialize(known.where(passes(F.xxhash64("a", "b"))).join(named.hint("merge"), ["a", "b"], "left_anti"), "passed-by-mistake")
+    if wrong.limit(few + 1).count() <= few:
+        return met.join(F.broadcast(wrong), ["a", "b"], "left_anti").select(*pairs.columns)
     heavy = found.where(F.col("n") * MOST > F.lit(found.agg(F.sum("n")).first()[0])).select("a", "b")  # fewer than MOST rows
     light = named.join(F.broadcast(heavy), ["a", "b"], "left_anti")
-    met = pairs.join(F.broadcast(heavy), ["a", "b"]).unionByName(pairs.join(F.broadcast(heavy), ["a", "b"], "left_anti").join(light.hint("merge"), ["a", "b"]))
-    return met.select("doc_id", "c", "u", "a", "b")
+    met = met.join(F.broadcast(heavy), ["a", "b"]).unionByName(met.join(F.broadcast(heavy), ["a", "b"], "left_anti").join(light.hint("merge"), ["a", "b"]))
+    return met.select(*pairs.columns)
 
 
 def log_likelihood(both, a, b, total):
@@ -99,10 +132,19 @@ def log_likelihood(both, a, b, total):
     return 2 * (cell(both, a * b / t) + cell(a - both, a * (t - b) / t) + cell(b - both, (t - a) * b / t) + cell(t - a - b + both, (t - a) * (t - b) / t))
 
 
+def pair_counts(pairs: DataFrame) -> DataFrame:
+    """(a, b, n), written: how often each pair stands in `pairs`."""
+    return materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "pair-counts", "zstd")
+
+
 def collocations(pairs: DataFrame, min_count: int = MIN_COUNT, min_llr: float = MIN_LLR) -> DataFrame:
     """(a, b, n, llr) of the pairs that stand together at least `min_count` times and by more than
     chance."""
-    counts = materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "pair-counts", "zstd")
+    return collocations_of(pair_counts(pairs), min_count, min_llr)
+
+
+def collocations_of(counts: DataFrame, min_count: int = MIN_COUNT, min_llr: float = MIN_LLR) -> DataFrame:
+    """`collocations` of pairs whose `pair_counts` are known."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     first, second = (counts.groupBy(w).agg(F.sum("n").alias(f"n_{w}")) for w in "ab")
     often = materialize(counts.where(F.col("n") >= min_count), "frequent-pairs")
@@ -112,13 +154,15 @@ def collocations(pairs: DataFrame, min_count: int = MIN_COUNT, min_llr: float =
 
 
 def ingest_graph(docs: DataFrame, embed=hash_embedding, size: int = SIZE, overlap: int = OVERLAP, min_count: int = MIN_COUNT, min_llr: float = MIN_LLR,
-                 text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+                 text_col: str = "text", id_col: str = "doc_id", few: int = FEW) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, edges, points) of `docs`: documents, chunks, summaries, entities and their types;
     points (collection, id, text, vector, payload) belong to DocumentChunk_text, TextSummary_text
     and Entity_name."""
-    cut = materialize(units(docs, size, text_col, id_col), "units", "zstd")
-    found = materialize(collocations(word_pairs(cut), min_count, min_llr), "entities")
-    named = materialize(mentions(cut, found), "mentions")
+    own = units(docs, size, text_col, id_col).groupBy("doc_id", "c").agg(F.collect_list(F.struct("u", "unit")).alias("units"))  # dealt by document
+    own = materialize(own, "units", "zstd")
+    counts = pair_counts(word_pairs(own.select("doc_id", "c", F.inline("units"))))
+    found = materialize(collocations_of(counts, min_count, min_llr), "entities")
+    named = materialize(among(chunk_pairs(own), found, few, counts), "mentions")
     scores = named.groupBy("doc_id", "u").agg(F.count("*").alias("score"))  # a unit's pairs are distinct
     best = scores.groupBy("doc_id").agg(F.max_by("u", F.struct("score", -F.col("u"))).alias("best"))  # without a mention: the first unit
     straight = units(docs, size, text_col, id_col).join(best.hint("merge"), "doc_id", "left")  # dealt by document
@@ -141,7 +185,7 @@ def ingest_graph(docs: DataFrame, embed=hash_embedding, size: int = SIZE, overla
     props = lambda *names: F.create_map(*[x for n in names for x in (F.lit(n), F.col(n).cast("string"))])
     nodes = [node(documents, doc, "TextDocument", text("text_", doc_id)), node(parts, chunk, "DocumentChunk", chunk, props("start")), node(summaries, summary, "TextSummary", summary),
              node(found, entity, "Entity", name, props("n", "llr")), node(found.select("b").distinct(), text("type:", F.col("b")), "EntityType", F.col("b"))]
-    edges = [edge(parts, chunk, doc, "is_part_of"), edge(named.select("doc_id", "c", "a", "b").distinct(), chunk, entity, "contains"),
+    edges = [edge(parts, chunk, doc, "is_part_of"), edge(named.where("not again"), chunk, entity, "contains"),
              edge(found, entity, text("type:", F.col("b")), "is_a"), edge(summaries, summary, chunk, "made_from")]
 
     def points(rows: DataFrame, collection: str, point_id, label) -> DataFrame:

@@ -116,3 +116,23 @@ def test_mentions_by_broadcast_and_by_shuffle(spark):
         made = ingest.mentions(cut, found, few)
         assert sorted((x["doc_id"], x["u"], x["a"], x["b"]) for x in made.collect()) == sorted(want)
     assert "Exchange" not in ingest.distinct_pairs(spark.createDataFrame([(1, 0, 0, "a b")], "doc_id int, c int, u int, unit string"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_entities_meet_no_shuffle_of_pairs(spark):
+    """Of more than `few` entities only a filter and its mistakes meet the pairs; full filters make mistakes, and none stays."""
+    from graphvec.operators import bloom
+
+    rows = [(k, f"red apple {'abc'[k % 3] * 4} {'xyz'[k // 3 % 3] * 5}. green pear red apple.") for k in range(40)]
+    own = ingest.units(spark.createDataFrame(rows, "doc_id bigint, text string")).groupBy("doc_id", "c").agg(F.collect_list(F.struct("u", "unit")).alias("units"))
+    found = spark.createDataFrame([("red", "apple", 80), ("green", "pear", 40), ("apple", "aaaa", 14)], "a string, b string, n bigint")
+    pairs = ingest.chunk_pairs(own)
+    want = ingest.among(pairs, found).collect()
+    assert sum(x["again"] for x in want) == 40 and len(want) == 40 * 3 + 14
+    made = ingest.among(pairs, found, 2)
+    assert "SortMergeJoin" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted(made.collect()) == sorted(want)
+    assert sorted(ingest.among(pairs, found, 2, ingest.pair_counts(pairs)).collect()) == sorted(want)
+    passes = bloom.member(spark.range(300_000).select(F.xxhash64("id").alias("h")), 300_000, 1024)
+    assert spark.range(300_000).where(~passes(F.xxhash64("id"))).count() == 0
+    passes = bloom.member(spark.range(300_000).select(F.xxhash64("id").alias("h")), 300_000)
+    assert spark.range(300_000).where(~passes(F.xxhash64("id"))).count() == 0 and spark.range(10**6, 2 * 10**6).where(passes(F.xxhash64("id"))).count() < 200
