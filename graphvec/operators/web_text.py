@@ -113,9 +113,9 @@ def clean_pages(pages: DataFrame, keys: list[str], steps: tuple[Block | str, ...
     cross pages are found by a scan over one small row a page.  A page must end with a line end, as
     `fragment` makes it, so that no opening or closing text crosses pages; a null text is empty."""
     pages = pages.withColumn(text, F.coalesce(text, F.lit("")))
-    for step in steps:
-        pages = _across(pages, keys, order, text, step) if isinstance(step, Block) else pages.withColumn(text, F.regexp_replace(text, step, ""))
-    return _newlines_across(pages, keys, order, text)
+    for step in steps:  # each scan reads its pages twice, so they are written: it would repeat all steps before it
+        pages = _across(materialize(pages, "pages", "zstd"), keys, order, text, step) if isinstance(step, Block) else pages.withColumn(text, F.regexp_replace(text, step, ""))
+    return _newlines_across(materialize(pages, "pages", "zstd"), keys, order, text)
 
 
 def fragment(url: Column, body: Column) -> Column:

@@ -56,3 +56,13 @@ def test_pages_of_one_text_equal_clean(spark):
     df = spark.createDataFrame(rows, "k int, ord int, fragment string")
     one = {x["k"]: x["fragment"] for x in web_text.clean_pages(df, ["k"]).collect()}
     assert one == {x["k"]: x["c"] for x in df.select("k", web_text.clean(df["fragment"], web_text.DLT_RULES).alias("c")).collect()}
+
+
+def test_a_scan_repeats_no_earlier_step(spark):
+    """Pages are written before each scan: what is left to compute holds none of the blocks before."""
+    from graphvec.operators import web_text as w
+
+    df = spark.createDataFrame([("s", 1, "a\nwe use essential cookies\n"), ("s", 2, "PreferencesDeclineAccept b\n")], "source string, ord bigint, fragment string")
+    made = w.clean_pages(df, ["source"])
+    assert "PreferencesDeclineAccept" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(x["fragment"] for x in made.collect()) == [" b\n", "a\n"]
