@@ -293,3 +293,20 @@ def test_triangles_send_no_wedges(spark):
     assert {x["id"]: x["t"] for x in t.collect()} == {0: 1, 1: 1, 2: 1}
     found = metrics._triangles(np.array([0, 0, 1]), np.array([1, 2, 2]), *[np.zeros(3, int)] * 2, 0, 0, 0, 10_000)
     assert found[:4].tolist() == [1, 1, 1, 0]
+
+
+def test_connections_read_each_edge_once(spark, graph, tmp_path):
+    """Few ids and many give the same rows, with repeated nodes, loops and unknown ids; of many, an edge travels once to either end."""
+    n, e = graph
+    n = n.unionAll(nodes(spark, ("b", "X", "B2", {})))
+    asked = ids(spark, "a", "a", "c", "ghost", "nobody", None)
+    e.write.parquet(str(tmp_path / "links"))
+    stored = spark.read.parquet(str(tmp_path / "links"))
+    name = {"a": ["A"], "b": ["B", "B2"], "c": ["C"], "d": [None], "e": ["E"]}
+    rows = [(x["src"], x["dst"], x["key"]) for x in e.collect()]
+    want = Counter((at, s, sn, k, d, dn) for s, d, k in rows for at in (d, s) if at in ("a", "c", "ghost") for sn in name.get(s, []) for dn in name.get(d, []))
+    for few in (walk.FEW, 0):
+        got = walk.connections(n, stored, asked, few)
+        assert Counter((x["node"], x["src"], x["src_name"], x["key"], x["dst"], x["dst_name"]) for x in got.collect()) == want
+    assert want["c", "c", "C", "r", "c", "C"] == 2
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
