@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphvec.errors import NodesetFilterNotSupported
+from graphvec.storage import materialize
 
 DOCUMENT_TYPES = ("TextDocument", "PdfDocument")
 
@@ -53,6 +54,31 @@ def find_documents(nodes: DataFrame, content_hash: str | None = None) -> DataFra
     return d.select(F.col("id").alias("document"))
 
 
+def _as_often(rows: DataFrame, column: str) -> DataFrame:
+    """(document, that column), each row of `rows` as often as its `times` say."""
+    return rows.select("document", column, F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).select("document", column)
+
+
+def _orphan_entities(own: DataFrame, numbered: DataFrame, contains: DataFrame) -> DataFrame:
+    """(document, entity, times): entities all of whose edges come from chunks of the document, and
+    how many edges lead to them, by `own` (document, no, chunk, times), one row for each pair.
+
+    Where no chunk belongs to two documents, an entity is an orphan if its edges meet one number
+    only: that is one pass over the edges, which are summed up before they travel to the entity.
+    The entities of other chunks are counted by document."""
+    known = contains.where("entity IS NOT NULL")
+    met = known.join(own.select("chunk", "no", "times"), "chunk", "left")
+    sums = [F.count("no").alias("own"), F.sum("times").alias("times")]
+    alone = met.groupBy("entity").agg(F.min("no").alias("no"), F.max("no").alias("last"), F.count("*").alias("all"), *sums).where("no = last AND own = all")
+    shared = own.groupBy("chunk").count().where("count > 1").select("chunk")
+    if not shared.isEmpty():
+        apart = materialize(known.join(shared, "chunk", "left_semi").select("entity").distinct(), "shared")
+        total = known.join(apart, "entity", "left_semi").groupBy("entity").agg(F.count("*").alias("all"))
+        some = met.join(apart, "entity", "left_semi").groupBy("no", "entity").agg(*sums).join(total, "entity").where(F.col("own") == F.col("all"))
+        alone = alone.join(apart, "entity", "left_anti").select("no", "entity", "times").unionByName(some.select("no", "entity", "times"))
+    return alone.join(numbered, "no").select("document", "entity", "times")
+
+
 def document_subgraph(edges: DataFrame, documents: DataFrame, dedupe: bool = False, nodes: DataFrame | None = None) -> DataFrame:
     """(document, part, id): for each document of `documents` its chunks, the entities and
     entity types that nothing else uses, and what was made from its chunks.
@@ -63,15 +89,14 @@ def document_subgraph(edges: DataFrame, documents: DataFrame, dedupe: bool = Fal
     orphan entities.  With `nodes` only nodes of type EntityType are types, and each row has
     its node's other columns, null where there is no such node."""
     rel = lambda *names: edges.where(F.col("relationship_name").isin(*names))
-    chunks = rel("is_part_of").join(documents.withColumnRenamed("document", "dst"), "dst").select(F.col("dst").alias("document"), F.col("src").alias("chunk"))
-    own = chunks.distinct()
     contains = rel("contains").select(F.col("src").alias("chunk"), F.col("dst").alias("entity"))
-    entities = chunks.join(contains, "chunk").select("document", "entity")
-    # an entity is an orphan of d if d's chunks have as many of its edges as it has in all
-    total = contains.groupBy("entity").agg(F.count("*").alias("all"))
-    inside = own.join(contains, "chunk").groupBy("document", "entity").agg(F.count("*").alias("own"))
-    orphan_ids = inside.join(total, "entity").where(F.col("own") == F.col("all")).select("document", "entity")
-    orphans = entities.join(orphan_ids, ["document", "entity"], "left_semi")
+    # numbers for the documents, which fit an aggregate's buffer where texts would be sorted
+    numbered = materialize(documents.where("document IS NOT NULL").groupBy("document").agg(F.count("*").alias("copies")).withColumn("no", F.monotonically_increasing_id()), "documents")
+    parts = rel("is_part_of").join(numbered.withColumnRenamed("document", "dst"), "dst").groupBy(F.col("dst").alias("document"), "no", F.col("src").alias("chunk"))
+    own = materialize(parts.agg((F.count("*") * F.max("copies")).alias("times")), "chunks")
+    chunks = _as_often(own, "chunk")
+    found = materialize(_orphan_entities(own, numbered, contains), "orphans")
+    orphan_ids, orphans = found.select("document", "entity"), _as_often(found, "entity")
     typed = rel("is_a", "instance_of").select(F.col("src").alias("entity"), F.col("dst").alias("kind"))
     kind_total = typed.groupBy("kind").agg(F.count("*").alias("all"))
     kind_inside = orphan_ids.join(typed, "entity").groupBy("document", "kind").agg(F.count("*").alias("own"))

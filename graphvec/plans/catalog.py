@@ -409,13 +409,13 @@ SELECT document, part, id FROM (
 
 @query(_SUBGRAPH + " WHERE document = 'doc:497'")
 def document_subgraph(spark, d):
-    n, e = fixtures.document_graph(spark, d)
+    n, e = fixtures.document_graph(spark, d, written=True)
     return lineage.document_subgraph(e, lineage.find_documents(n, "497"))
 
 
 @query(_SUBGRAPH)
 def document_subgraph_all(spark, d):
-    n, e = fixtures.document_graph(spark, d)
+    n, e = fixtures.document_graph(spark, d, written=True)
     return lineage.document_subgraph(e, lineage.find_documents(n), nodes=n.select("id", "type")).drop("type")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graphvec.operators import ingest, vector, web_text
 from graphvec.operators.ordering import running
+from graphvec.storage import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- documents, chunks, entities and types -------------------------------------------------
 
-def document_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def document_graph(spark: SparkSession, sf_dir: str, written: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of the texts; `written`: the words are looked for once and kept, for graphs
+    that are read several times."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     c = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")).select("doc_id", (F.col("i") + 1).alias("i"), "line")
     doc, chunk = F.concat(F.lit("doc:"), "doc_id"), F.concat(F.lit("chunk:"), "doc_id", F.lit(":"), "i")
     words = c.select(chunk.alias("chunk"), F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit("[a-z]{5,}"), F.lit(0)))).alias("word"))
+    words = materialize(words, "words") if written else words
     word = words.select("word").distinct()
+    word = materialize(word, "word") if written else word
     kind = F.concat(F.lit("type:"), F.substring("word", 1, 4))
     node = lambda df, i, t, n: df.select(i.alias("id"), F.lit(t).alias("type"), n.alias("name"))
     nodes = node(d, doc, "TextDocument", F.concat(F.lit("text_"), "doc_id"))

@@ -310,3 +310,34 @@ def test_connections_read_each_edge_once(spark, graph, tmp_path):
         assert Counter((x["node"], x["src"], x["src_name"], x["key"], x["dst"], x["dst_name"]) for x in got.collect()) == want
     assert want["c", "c", "C", "r", "c", "C"] == 2
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+@pytest.mark.parametrize("sharing", [False, True])
+def test_orphans_of_repeated_and_shared_chunks(spark, sharing):
+    """As by definition, with repeated edges and documents, chunks without a document, and chunks of two documents."""
+    r = random.Random(12)
+    belongs = [(f"c{c}", f"d{c % 6}") for c in range(40) for _ in range(1 + c % 2)] + ([(f"c{c}", f"d{c % 5}") for c in range(0, 40, 3)] if sharing else [])
+    holds = [(f"c{r.randrange(44)}", f"e{r.randrange(60)}") for _ in range(90)] * 2 + [(f"c{c}", f"own{c}") for c in range(40)] + [(None, "own1"), ("c2", None)]
+    kinds = [(f"own{c}", f"t{c % 9}") for c in range(40)] + [(f"e{c}", f"t{c % 4}") for c in range(60)]
+    asked = ["d0", "d1", "d2", "d3", "d3", "none"]
+    want, types = Counter(), set()
+    for d in asked:
+        want["document", d, d] += 1
+        mine = [c for c, x in belongs if x == d]
+        want.update(("chunks", d, c) for c in mine)
+        only = {e for _, e in holds if e and all(c in mine for c, x in holds if x == e)}
+        want.update(("orphan_entities", d, e) for m in mine for c, e in holds if c == m and e in only)
+        types |= {("orphan_types", d, t) for _, t in kinds if all(e in only for e, x in kinds if x == t)}
+    e = edges(spark, *[(c, d, "is_part_of") for c, d in belongs], *[(c, x, "contains") for c, x in holds], *[(x, t, "is_a") for x, t in kinds])
+    docs = spark.createDataFrame([(d,) for d in asked], "document string")
+    got = Counter((x["part"], x["document"], x["id"]) for x in lineage.document_subgraph(e, docs).collect())
+    assert got == want + Counter(types) and sum(n for k, n in got.items() if k[0] == "orphan_entities") > 20
+    once = Counter((x["part"], x["document"], x["id"]) for x in lineage.document_subgraph(e, docs, dedupe=True).collect())
+    assert once == Counter(got.keys())
+
+
+def test_all_documents_search_their_words_once(spark):
+    from graphvec.plans import catalog
+
+    plan = catalog.QUERIES["document_subgraph_all"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "[a-z]{5,}" not in plan
