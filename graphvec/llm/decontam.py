@@ -4,13 +4,14 @@ Fixed masks ignore some of the token positions they span, so a passage whose wor
 partly substituted still hashes alike under one of them.  The masks' hashes of every document
 position meet those of the benchmark in a broadcast join; around each hit the document is laid
 over the whole item, position by position, and the best-scoring stretch (match +1, mismatch
--2) is the overlap.  A pair counts as leaked if the stretch has `min_matched` equal words, or
+-2) is the overlap.  A hit takes along only those words of the document that the item covers: a task
+holds all hits of a document at once.  A pair counts as leaked if the stretch has `min_matched` equal words, or
 covers `min_coverage` of the item.  Only DataFrame functions run here.
 
 A benchmark of more than MAX_SLICE hashes is put in order and cut into slices of so many, wherever
 an item begins or ends: each slice is broadcast in turn, with the items that reach into it, so what is broadcast
 has a bound (hashes: the slice; words: the slice and two items) however large the benchmark and its items are. The
-documents' word hashes are then written once and every slice reads those.
+documents' word hashes are then written once and every slice reads those; what it finds is written before the next.
 
 Edge cases: null or word-less texts and items match nothing; items too short for a mask match
 as a whole; items with equal words are reported under their smallest item_id; repeated
@@ -55,9 +56,14 @@ def _benchmark(items: DataFrame, text_col: str) -> DataFrame:
     return d.groupBy("iw").agg(F.min("item_id").alias("item_id"), F.countDistinct("item_id").alias("n_items")).withColumn("ik", F.xxhash64("iw"))
 
 
-def _best_stretch(doc: str, item: str, diag: str) -> Column:
+def _covered(doc: str, n: str, diag: str) -> Column:
+    """The words of the document that an item of `n` words covers when laid over it at `diag`."""
+    return F.slice(doc, F.greatest(F.col(diag), F.lit(0)) + 1, F.col(n) + F.least(F.col(diag), F.lit(0)))
+
+
+def _best_stretch(covered: str, item: str, diag: str) -> Column:
     """Best-scoring stretch of the item laid over the document at `diag`."""
-    wh, iw, d = F.col(doc), F.col(item), F.col(diag)
+    wh, iw, d = F.col(covered), F.col(item), F.least(F.col(diag), F.lit(0))
 
     def step(acc: Column, w: Column) -> Column:
         i = acc["i"]
@@ -79,14 +85,9 @@ def _best_stretch(doc: str, item: str, diag: str) -> Column:
 def _leads(masks: Sequence[str]) -> Column:
     """True for the first of a chain of hits: the same mask one word earlier is no hit.
     All hits of a chain lie on one diagonal and would verify the same overlap."""
-    wh, iw, p, q = F.col("wh"), F.col("iw"), F.col("p"), F.col("q")
-    chained = F.lit(False)
-    for n, mask in enumerate(masks):
-        equal = F.col("k") == n
-        for i, c in enumerate(mask):
-            if c == "1":
-                equal = equal & (F.get(wh, p + (i - 1)) == F.get(iw, q + (i - 1)))
-        chained = chained | equal
+    p, q = F.col("p"), F.col("q")
+    kept = F.get(F.array(*[F.array(*[F.lit(i) for i, c in enumerate(m) if c == "1"]) for m in masks]), F.col("k"))
+    chained = F.forall(kept, lambda i: F.get("covered", F.least(p, q) + i - 1) == F.get("iw", q + i - 1))
     return ~((p > 0) & (q > 0) & F.coalesce(chained, F.lit(False)))
 
 
@@ -116,14 +117,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_t
         if slices > 1:  # a place belongs to the slice of its first hash
             places = places.where(F.floor((F.col("start") + F.col("q") * len(every)) / max_slice) == k)
         keys = [F.when(F.lit(len(m) >= span or len(m) in map(len, masks)) | (F.size("iw") == len(m)), _seed(F.col("iw"), F.col("q"), n, m)) for n, m in enumerate(every)]
-        hashes = places.select("item_id", "ik", "q", F.posexplode(F.array(*keys)).alias("k", "h")).where(F.col("h").isNotNull())
-        hits = seeds.join(F.broadcast(hashes), ["k", "h"]).select("doc_id", "wh", "k", "p", "item_id", "ik", "q")
-        laid = hits.join(F.broadcast(own.select("item_id", "ik", "iw", "n_items")), ["item_id", "ik"]).where(_leads(every)).withColumn("diag", F.col("p") - F.col("q"))
-        laid = laid.select("doc_id", "item_id", "n_items", "diag", F.size("iw").alias("n"), _best_stretch("wh", "iw", "diag").alias("s"))
-        parts.append(laid.select(
+        hashes = places.select("item_id", "ik", "q", F.size("iw").alias("n"), F.posexplode(F.array(*keys)).alias("k", "h")).where(F.col("h").isNotNull())
+        hits = seeds.join(F.broadcast(hashes), ["k", "h"]).withColumn("diag", F.col("p") - F.col("q"))
+        hits = hits.select("doc_id", "k", "p", "q", "item_id", "ik", "n", "diag", _covered("wh", "n", "diag").alias("covered"))
+        laid = hits.join(F.broadcast(own.select("item_id", "ik", "iw", "n_items")), ["item_id", "ik"]).where(_leads(every))
+        laid = laid.select("doc_id", "item_id", "n_items", "diag", F.size("iw").alias("n"), _best_stretch("covered", "iw", "diag").alias("s"))
+        laid = laid.select(
             "doc_id", "item_id", "n_items", F.col("s.b_matched").cast("bigint").alias("n_matched"), (F.col("s.b_end") - F.col("s.b_start")).cast("bigint").alias("n_overlap"),
-            (F.col("diag") + F.col("s.b_start")).cast("bigint").alias("doc_start"), (F.col("s.b_matched") / F.col("n")).alias("coverage")))
-    found = reduce(DataFrame.unionAll, parts).where((F.col("n_matched") >= min_matched) | (F.col("coverage") >= min_coverage))
+            (F.col("diag") + F.col("s.b_start")).cast("bigint").alias("doc_start"), (F.col("s.b_matched") / F.col("n")).alias("coverage"))
+        # as a generator: a filter would be pushed into the join, which would align each pair again
+        leaks = (F.col("n_matched") >= min_matched) | (F.col("coverage") >= min_coverage)
+        laid = laid.select("doc_id", "item_id", F.inline(F.when(leaks, F.array(F.struct("n_items", "n_matched", "n_overlap", "doc_start", "coverage")))))
+        parts.append(materialize(laid, "leaks") if slices > 1 else laid)  # one slice is broadcast at a time
+    found = reduce(DataFrame.unionAll, parts)
     rank = F.struct((-F.col("n_matched")).alias("a"), F.col("n_overlap").alias("b"), F.col("doc_start").alias("c"), F.col("coverage").alias("d"), F.col("n_items").alias("e"))
     best = found.groupBy("doc_id", "item_id").agg(F.min(rank).alias("r"))
     return best.select("doc_id", "item_id", (-F.col("r.a")).alias("n_matched"), F.col("r.b").alias("n_overlap"), F.col("r.c").alias("doc_start"), F.col("r.d").alias("coverage"), F.col("r.e").alias("n_items"))

@@ -237,6 +237,17 @@ def test_leaks_found_with_substitutions(spark):
     assert decontam.find_leaks(df, bench.limit(0)).count() == 0 and decontam.find_leaks(df.limit(0), bench).count() == 0
 
 
+def test_many_passages_in_one_document(spark):
+    """Its 84,000 hits, each with all of the document's words, would take 16 GB."""
+    r = random.Random(6)
+    item, other = ([r.choice(WORDS) for _ in range(n)] for n in (40, 30))
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(other))], "item_id bigint, text string")
+    df = docs(spark, [" ".join(item * 600), " ".join(item[25:] + other[:12] + item[:14])])
+    for options in ({}, {"max_slice": 150}):
+        got = sorted(tuple(x) for x in decontam.find_leaks(df, bench, **options).collect())
+        assert got == [(0, 0, 40, 40, 0, 1.0, 1), (1, 0, 15, 15, 0, 15 / 40, 1)]
+
+
 def test_digest_of_no_spans(spark):
     got = secrets.secret_scan(docs(spark, ["clean"])).select(F.sha2(secrets.spans_text("base_spans"), 256)).first()[0]
     assert got == hashlib.sha256(b"").hexdigest()
