@@ -104,6 +104,17 @@ def test_components_and_metrics(spark, graph):
     assert o["diameter"] is None and o["avg_shortest_path_length"] is None and o["avg_clustering"] == 0.0
 
 
+def test_sizes_of_any_number_of_components(spark, monkeypatch):
+    """There was a most, a million, over which the list was null."""
+    monkeypatch.setattr(metrics, "MAX_LISTED", 10, raising=False)
+    n = spark.range(45_000, numPartitions=3).select(F.col("id").cast("string").alias("id"), (F.col("id") * 7919 % 45_001).alias("ord"))
+    e = n.where("ord % 5 = 0 AND ord < 40000").select(F.col("id").alias("src"), F.concat(F.lit("+"), "id").alias("dst"), F.lit("r").alias("key"), "ord")
+    m = metrics.graph_metrics(n, e).first()
+    order = sorted(i * 7919 % 45_001 for i in range(45_000))
+    assert m["num_connected_components"] == 45_000
+    assert m["sizes_of_connected_components"] == [2 if o % 5 == 0 and o < 40_000 else 1 for o in order]
+
+
 def test_equal_components_go_by_insertion_order(spark):
     n = nodes(spark, ("z", "X", None, {}), ("y", "X", None, {}), ("a", "X", None, {}), ("b", "X", None, {}))
     e = edges(spark, ("a", "b", "r"), ("z", "y", "r"))
